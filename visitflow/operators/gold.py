@@ -198,61 +198,63 @@ def _mean(sum_col: str, n_col: str, digits: int) -> Column:
     )
 
 
-def split(agg: DataFrame) -> dict[str, DataFrame]:
-    """Cut the ``aggregate_all`` result into the nine gold tables."""
-
-    def grain(name: str) -> DataFrame:
-        return agg.filter(F.col("grain") == name)
+def split(agg: DataFrame, ordered: bool = True) -> dict[str, DataFrame]:
+    """Cut the ``aggregate_all`` result into the nine gold tables.
 
+    ``ordered=False`` skips the sorts of the tables without a limit (for
+    consumers that ignore row order, such as ``stack``); the top-10 tables
+    always keep their ordered limit.
+    """
     n = F.col("n").alias("patient_count")
-    return {
-        "severity_summary": grain("severity_summary")
-        .select(
+    projections = {
+        "severity_summary": [
             "severity",
             n,
             _mean("sum_age", "n_age", 1).alias("avg_age"),
             _mean("sum_wbc", "n_wbc", 1).alias("avg_wbc"),
             _mean("sum_hgb", "n_hgb", 1).alias("avg_hgb"),
-        )
-        .orderBy(*_by_count("patient_count", "severity")),
-        "age_group_summary": grain("age_group_summary")
-        .select(
+        ],
+        "age_group_summary": [
             "age_group",
             n,
             _mean("sum_score", "n_score", 2).alias("avg_severity_score"),
             _mean("sum_wbc", "n_wbc", 2).alias("avg_wbc"),
             _mean("sum_hgb", "n_hgb", 2).alias("avg_hgb"),
-        )
-        .orderBy(F.col("age_group").asc()),
-        "gender_summary": grain("gender_summary")
-        .select("gender", n)
-        .orderBy(*_by_count("patient_count", "gender")),
-        "wbc_summary": grain("wbc_summary")
-        .select("wbc_status", n, _mean("sum_age", "n_age", 1).alias("avg_age"))
-        .orderBy(*_by_count("patient_count", "wbc_status")),
-        "hgb_summary": grain("hgb_summary")
-        .select("hgb_status", n)
-        .orderBy(*_by_count("patient_count", "hgb_status")),
-        "daily_trends": grain("daily_trends")
-        .select(
+        ],
+        "gender_summary": ["gender", n],
+        "wbc_summary": ["wbc_status", n, _mean("sum_age", "n_age", 1).alias("avg_age")],
+        "hgb_summary": ["hgb_status", n],
+        "daily_trends": [
             "date",
             F.col("n").alias("patient_per_day"),
             _mean("sum_age", "n_age", 1).alias("avg_age"),
             F.col("severe").alias("severe_cases"),
-        )
-        .orderBy(F.col("date").desc()),
-        "top_doctors": grain("top_doctors")
-        .select("doctor_id", "doctor_name", F.col("n").alias("patients_treated"))
-        .orderBy(*_by_count("patients_treated", "doctor_id", "doctor_name"))
-        .limit(TOP_N),
-        "diagnosis_summary": grain("diagnosis_summary")
-        .select("diagnosis_code", "diagnosis_desc", n)
-        .orderBy(*_by_count("patient_count", "diagnosis_code", "diagnosis_desc"))
-        .limit(TOP_N),
-        "allergy_summary": grain("allergy_summary")
-        .select("allergy", n)
-        .orderBy(*_by_count("patient_count", "allergy")),
+        ],
+        "top_doctors": ["doctor_id", "doctor_name", F.col("n").alias("patients_treated")],
+        "diagnosis_summary": ["diagnosis_code", "diagnosis_desc", n],
+        "allergy_summary": ["allergy", n],
+    }
+    orders = {
+        "severity_summary": _by_count("patient_count", "severity"),
+        "age_group_summary": [F.col("age_group").asc()],
+        "gender_summary": _by_count("patient_count", "gender"),
+        "wbc_summary": _by_count("patient_count", "wbc_status"),
+        "hgb_summary": _by_count("patient_count", "hgb_status"),
+        "daily_trends": [F.col("date").desc()],
+        "top_doctors": _by_count("patients_treated", "doctor_id", "doctor_name"),
+        "diagnosis_summary": _by_count("patient_count", "diagnosis_code", "diagnosis_desc"),
+        "allergy_summary": _by_count("patient_count", "allergy"),
     }
+    limited = {"top_doctors", "diagnosis_summary"}
+    tables = {}
+    for name, cols in projections.items():
+        df = agg.filter(F.col("grain") == name).select(*cols)
+        if name in limited:
+            df = df.orderBy(*orders[name]).limit(TOP_N)
+        elif ordered:
+            df = df.orderBy(*orders[name])
+        tables[name] = df
+    return tables
 
 
 # Column layout of the stacked (long) form of all nine tables.

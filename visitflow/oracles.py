@@ -267,8 +267,5 @@ FROM ({GOLD_BODIES['age_group_summary']})"""
         deduped="SELECT * FROM bronze WHERE TRY_CAST(timestamp AS TIMESTAMP) IS NOT NULL "
         "QUALIFY row_number() OVER (PARTITION BY id ORDER BY delivery_seq) = 1",
     )
-    # Event-time windows have no group for a missing date.
-    q["stream_daily_trends"] = _with(
-        f"SELECT * FROM ({GOLD_BODIES['daily_trends']}) WHERE date IS NOT NULL"
-    )
+    q["stream_daily_trends"] = q["gold_daily_trends"]
     return q

@@ -1,20 +1,22 @@
 """Batch plans: bronze -> silver table, silver -> nine gold tables -> report.
 
 ``build_gold`` computes all nine tables from one scan of silver (GROUPING SETS)
-and keeps the small aggregate persisted while the nine writes run; the
-reference scans silver eighteen times (nine writes plus nine recounts).
+and cuts the nine tables from that small aggregate; the
+reference scans silver eighteen times (nine writes plus nine recounts). The
+aggregate is checkpointed (reliable storage under ``spark.checkpoint.dir``),
+and row counts come from observations on the writes, not from recounts.
 """
 
 from __future__ import annotations
 
 import logging
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from visitflow.operators import gold, report, silver
 from visitflow.sinks.files import write_gold, write_partitioned
+from visitflow.session import materialize
 from visitflow.sources.tables import MissingInputError, read_gold, read_silver
 
 log = logging.getLogger(__name__)
@@ -32,9 +34,9 @@ def write_silver(silver_df: DataFrame, path: str, fmt: str = "parquet", files: i
 def build_gold(silver_df: DataFrame, one_pass: bool = True) -> dict[str, DataFrame]:
     """The nine gold tables (``daily_trends`` only when silver has ``timestamp``).
 
-    With ``one_pass`` the tables are cut from one GROUPING SETS aggregate; call
-    ``release`` on the result's ``_source`` when done (``write_gold_tables``
-    does that).
+    With ``one_pass`` the tables are cut from one GROUPING SETS aggregate; when
+    several of them are executed, checkpoint the aggregate first (as
+    ``write_gold_tables`` does) so silver is scanned once.
     """
     if not one_pass or "timestamp" not in silver_df.columns:
         tables = {name: fn(silver_df) for name, fn in gold.BUILDERS.items()}
@@ -47,12 +49,9 @@ def write_gold_tables(
 ) -> dict[str, int]:
     """Build and write all gold tables; returns rows written per table."""
     if one_pass and "timestamp" in silver_df.columns:
-        agg = gold.aggregate_all(silver_df).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            tables = gold.split(agg)
-            return _write_all(tables, root, fmt)
-        finally:
-            agg.unpersist()
+        # One scan of silver; the small aggregate is checkpointed and read nine times.
+        agg = materialize(gold.aggregate_all(silver_df))
+        return _write_all(gold.split(agg), root, fmt)
     return _write_all(build_gold(silver_df, one_pass=False), root, fmt)
 
 

@@ -72,3 +72,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never-reused folder under the shared work folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/visitflow/{label}-{uuid.uuid4().hex}"
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+
+    Used for small intermediate results that several outputs read (e.g. the
+    grouping-sets aggregate behind the nine gold tables): they are computed
+    once, and a lost executor does not force a recomputation from the source.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)

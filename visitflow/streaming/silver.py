@@ -5,9 +5,9 @@
   idempotent ``foreachBatch`` sink (a replayed batch id overwrites itself).
 * ``start_live_gold`` — a streaming aggregate over the silver stream in
   ``complete`` mode; each trigger replaces the small result table.
-* ``start_daily_trends`` — event-time daily windows with a watermark in
-  ``update`` mode; each trigger overwrites only the days it changed (dynamic
-  partition overwrite), so the table is always the latest value per day.
+* ``start_daily_trends`` — per-day aggregate in ``update`` mode; each trigger
+  overwrites only the days it changed (dynamic partition overwrite), so the
+  table is always the latest value per day.
 
 Dedupe state holds every id ever seen (the reference's semantics); on a large
 stream use the RocksDB state store (``use_rocksdb_state``) so state lives on
@@ -135,24 +135,17 @@ def live_severity(silver: DataFrame) -> DataFrame:
     )
 
 
-def live_daily_trends(silver: DataFrame, delay: str) -> DataFrame:
-    """Daily counts on event-time windows; rows without a parsable time are not counted."""
-    timed = silver.withColumn("visit_time", rules.visit_time("timestamp")).withWatermark(
-        "visit_time", delay
-    )
-    return (
-        timed.groupBy(F.window("visit_time", "1 day"))
-        .agg(
-            F.count(F.lit(1)).alias("patient_per_day"),
-            F.round(F.avg("age"), 1).alias("avg_age"),
-            F.count_if(F.col("severity") == "SEVERE").alias("severe_cases"),
-        )
-        .select(
-            F.col("window.start").cast("date").alias("date"),
-            "patient_per_day",
-            "avg_age",
-            "severe_cases",
-        )
+def live_daily_trends(silver: DataFrame) -> DataFrame:
+    """Daily counts keyed on the record's own calendar date (as the batch table).
+
+    The key is the date text of the record, so no time zone enters. State is
+    one row per calendar day (a few hundred a year), so it needs no watermark:
+    a late record still lands on its own day and the day is rewritten.
+    """
+    return silver.groupBy(rules.visit_date("timestamp").alias("date")).agg(
+        F.count(F.lit(1)).alias("patient_per_day"),
+        F.round(F.avg("age"), 1).alias("avg_age"),
+        F.count_if(F.col("severity") == "SEVERE").alias("severe_cases"),
     )
 
 
@@ -160,11 +153,11 @@ def start_daily_trends(
     silver: DataFrame,
     path: str,
     checkpoint: str,
-    delay: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
+    """Keep the daily table current: ``update`` mode, each changed day overwritten."""
     return (
-        live_daily_trends(silver, delay)
+        live_daily_trends(silver)
         .writeStream.outputMode("update")
         .foreachBatch(UpsertPartitionsSink(path, "date"))
         .option("checkpointLocation", checkpoint)
