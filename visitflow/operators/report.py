@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 from visitflow.functions import rules
 
 
-def round1_ratio(num: Column, den: Column, scale: int = 1) -> Column:
+def round1_ratio(num: Column | str, den: Column | str, scale: int = 1) -> Column:
     """round_half_up(scale * num / den, 1) for non-negative integers; 0 when den is 0."""
-    num = num.cast("bigint")
-    den = den.cast("bigint")
+    num = (F.col(num) if isinstance(num, str) else num).cast("bigint")
+    den = (F.col(den) if isinstance(den, str) else den).cast("bigint")
     tenths = F.floor(
         (F.lit(20 * scale) * num + den).cast("double") / (F.lit(2) * den).cast("double")
     )
