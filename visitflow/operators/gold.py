@@ -198,6 +198,25 @@ def _mean(sum_col: str, n_col: str, digits: int) -> Column:
     )
 
 
+def table_order(name: str) -> list[Column]:
+    """Row order of a gold table: count desc, then keys ascending, nulls last."""
+    orders = {
+        "severity_summary": _by_count("patient_count", "severity"),
+        "age_group_summary": [F.col("age_group").asc()],
+        "gender_summary": _by_count("patient_count", "gender"),
+        "wbc_summary": _by_count("patient_count", "wbc_status"),
+        "hgb_summary": _by_count("patient_count", "hgb_status"),
+        "daily_trends": [F.col("date").desc()],
+        "top_doctors": _by_count("patients_treated", "doctor_id", "doctor_name"),
+        "diagnosis_summary": _by_count("patient_count", "diagnosis_code", "diagnosis_desc"),
+        "allergy_summary": _by_count("patient_count", "allergy"),
+    }
+    return orders[name]
+
+
+LIMITED = {"top_doctors", "diagnosis_summary"}
+
+
 def split(agg: DataFrame, ordered: bool = True) -> dict[str, DataFrame]:
     """Cut the ``aggregate_all`` result into the nine gold tables.
 
@@ -234,25 +253,13 @@ def split(agg: DataFrame, ordered: bool = True) -> dict[str, DataFrame]:
         "diagnosis_summary": ["diagnosis_code", "diagnosis_desc", n],
         "allergy_summary": ["allergy", n],
     }
-    orders = {
-        "severity_summary": _by_count("patient_count", "severity"),
-        "age_group_summary": [F.col("age_group").asc()],
-        "gender_summary": _by_count("patient_count", "gender"),
-        "wbc_summary": _by_count("patient_count", "wbc_status"),
-        "hgb_summary": _by_count("patient_count", "hgb_status"),
-        "daily_trends": [F.col("date").desc()],
-        "top_doctors": _by_count("patients_treated", "doctor_id", "doctor_name"),
-        "diagnosis_summary": _by_count("patient_count", "diagnosis_code", "diagnosis_desc"),
-        "allergy_summary": _by_count("patient_count", "allergy"),
-    }
-    limited = {"top_doctors", "diagnosis_summary"}
     tables = {}
     for name, cols in projections.items():
         df = agg.filter(F.col("grain") == name).select(*cols)
-        if name in limited:
-            df = df.orderBy(*orders[name]).limit(TOP_N)
+        if name in LIMITED:
+            df = df.orderBy(*table_order(name)).limit(TOP_N)
         elif ordered:
-            df = df.orderBy(*orders[name])
+            df = df.orderBy(*table_order(name))
         tables[name] = df
     return tables
 

@@ -51,15 +51,18 @@ def write_gold_tables(
     if one_pass and "timestamp" in silver_df.columns:
         # One scan of silver; the small aggregate is checkpointed and read nine times.
         agg = materialize(gold.aggregate_all(silver_df))
-        return _write_all(gold.split(agg), root, fmt)
+        return _write_all(gold.split(agg, ordered=False), root, fmt, sort_in_writer=True)
     return _write_all(build_gold(silver_df, one_pass=False), root, fmt)
 
 
-def _write_all(tables: dict[str, DataFrame], root: str, fmt: str) -> dict[str, int]:
+def _write_all(
+    tables: dict[str, DataFrame], root: str, fmt: str, sort_in_writer: bool = False
+) -> dict[str, int]:
     counts = {}
     for name, df in tables.items():
         obs = Observation(f"gold_{name}")
-        write_gold(df.observe(obs, F.count(F.lit(1)).alias("rows")), root, name, fmt=fmt)
+        order = gold.table_order(name) if sort_in_writer and name not in gold.LIMITED else None
+        write_gold(df.observe(obs, F.count(F.lit(1)).alias("rows")), root, name, fmt=fmt, order=order)
         counts[name] = int(obs.get.get("rows", 0) or 0)
         log.info("gold table %s: %d rows", name, counts[name])
     return counts

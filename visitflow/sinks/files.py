@@ -62,13 +62,20 @@ class SilverBatchSink:
         log.info("silver batch %d: %d rows written", batch_id, rows)
 
 
-def write_gold(df: DataFrame, root: str, name: str, fmt: str = "json") -> None:
+def write_gold(
+    df: DataFrame, root: str, name: str, fmt: str = "json", order: list | None = None
+) -> None:
     """One gold table as a single ordered file, replacing the previous version.
 
     Gold tables are aggregates (a handful of rows per label), so one file is
-    cheap; ``coalesce(1)`` after the sort keeps the row order.
+    cheap. With ``order`` the rows are sorted inside that single partition — the
+    same file order as a global sort, without its sampling job and shuffle;
+    without it, ``coalesce(1)`` keeps the order of an already sorted frame.
     """
-    df.coalesce(1).write.mode("overwrite").format(fmt).save(f"{root.rstrip('/')}/{name}")
+    out = df.coalesce(1)
+    if order:
+        out = out.sortWithinPartitions(*order)
+    out.write.mode("overwrite").format(fmt).save(f"{root.rstrip('/')}/{name}")
 
 
 def encode(bronze: DataFrame, with_delivery_seq: bool = False) -> DataFrame:
