@@ -18,7 +18,8 @@ variable                          meaning                     default
 ``SILVER_FORMAT``                 silver file format          ``parquet``
 ================================  ==========================  =======================
 
-Run with ``spark-submit -m visitflow silver|gold|kpi`` or ``python -m visitflow …``.
+Run with ``spark-submit --py-files visitflow.zip visitflow/__main__.py silver|gold|kpi``
+or ``python -m visitflow …``.
 The session comes from ``SparkSession.builder.getOrCreate()``, so the master
 and cluster settings are those of the submit command.
 """
