@@ -76,3 +76,21 @@ def test_labels(spark):
     assert report.labelled(df).columns == ["Doctor Id", "Doctor Name", "Patients Treated"]
     ag, _ = _frames(spark)
     assert report.numeric_view(ag).columns == ["Age Group", "Patient Count", "Avg Severity Score"]
+
+
+def test_kpi_from_silver_equals_kpi_from_gold(spark):
+    from conftest import MEDIUM
+
+    from visitflow.operators import gold, silver
+    from visitflow.sources.fixture import read_bronze
+
+    s = silver.clean(read_bronze(spark, MEDIUM))
+    from_gold = report.kpi_summary(gold.age_group_summary(s), gold.gender_summary(s)).collect()
+    assert report.kpi_from_silver(s).collect() == from_gold
+    assert from_gold[0].asDict() == {
+        "total_patients": 6815,
+        "severe_count": 2846,
+        "severe_pct": 41.8,
+        "avg_age": 58.0,
+        "male_pct": 49.5,
+    }

@@ -3,7 +3,8 @@
 The KPI row combines two gold tables. Instead of joining two one-row frames,
 both tables are stacked with ``unionByName`` and reduced by one global
 aggregate of conditional sums; the inputs are gold tables whose row counts are
-bounded by their label sets (four age bands, three genders).
+bounded by their label sets (four age bands, three genders). From silver, one
+two-set GROUPING SETS aggregate produces the same stacked rows in one scan.
 
 Percentages and the band-midpoint average are rounded to one decimal, half up,
 in exact integer arithmetic: ``floor((2*10*num + den) / (2*den)) / 10``.
@@ -36,12 +37,40 @@ def _midpoint(label: Column) -> Column:
     return expr.otherwise(0)
 
 
+def _kpi_from_rows(rows: DataFrame) -> DataFrame:
+    """KPI row from stacked label rows: ``src`` ('age'/'gender'), ``label``, ``n``, ``score``."""
+    is_age = F.col("src") == "age"
+    is_gender = F.col("src") == "gender"
+    label_up = F.upper(F.coalesce(F.col("label"), F.lit("")))
+
+    def total(cond: Column, value: Column) -> Column:
+        return F.coalesce(F.sum(F.when(cond, value)), F.lit(0))
+
+    severe_band = is_age & (
+        F.coalesce(F.col("score"), F.lit(0.0)) > rules.SEVERE_SCORE_THRESHOLD
+    )
+    sums = rows.agg(
+        total(is_age, F.col("n")).alias("total"),
+        total(severe_band, F.col("n")).alias("severe"),
+        total(is_age, _midpoint(F.col("label")) * F.col("n")).alias("age_sum"),
+        total(is_gender & (label_up == "MALE"), F.col("n")).alias("male"),
+        total(is_gender & (label_up == "FEMALE"), F.col("n")).alias("female"),
+    )
+    return sums.select(
+        F.col("total").cast("bigint").alias("total_patients"),
+        F.col("severe").cast("bigint").alias("severe_count"),
+        round1_ratio(F.col("severe"), F.col("total"), scale=100).alias("severe_pct"),
+        round1_ratio(F.col("age_sum"), F.col("total")).alias("avg_age"),
+        round1_ratio(F.col("male"), F.col("male") + F.col("female"), scale=100).alias("male_pct"),
+    )
+
+
 def kpi_summary(age_groups: DataFrame, genders: DataFrame) -> DataFrame:
-    """One row: total_patients, severe_count, severe_pct, avg_age, male_pct.
+    """One row: total_patients, severe_count, severe_pct, avg_age, male_pct, from gold tables.
 
     * total = sum of band counts;
-    * severe_count = patients in bands whose mean severity score is above 2
-      (a missing score counts as 0);
+    * severe_count = patients in bands whose mean severity score (as stored in
+      the gold table, rounded to 2 decimals) is above 2; a missing score is 0;
     * avg_age = band midpoints weighted by count (unknown band = 0);
     * male_pct = MALE / (MALE + FEMALE), gender matched case-insensitively.
     """
@@ -57,38 +86,29 @@ def kpi_summary(age_groups: DataFrame, genders: DataFrame) -> DataFrame:
         F.col("patient_count").cast("bigint").alias("n"),
         F.lit(None).cast("double").alias("score"),
     )
-    is_age = F.col("src") == "age"
-    is_gender = F.col("src") == "gender"
-    label_up = F.upper(F.coalesce(F.col("label"), F.lit("")))
-    sums = ag.unionByName(gd).agg(
-        F.coalesce(F.sum(F.when(is_age, F.col("n"))), F.lit(0)).alias("total"),
-        F.coalesce(
-            F.sum(
-                F.when(
-                    is_age
-                    & (F.coalesce(F.col("score"), F.lit(0.0)) > rules.SEVERE_SCORE_THRESHOLD),
-                    F.col("n"),
-                )
-            ),
-            F.lit(0),
-        ).alias("severe"),
-        F.coalesce(
-            F.sum(F.when(is_age, _midpoint(F.col("label")) * F.col("n"))), F.lit(0)
-        ).alias("age_sum"),
-        F.coalesce(F.sum(F.when(is_gender & (label_up == "MALE"), F.col("n"))), F.lit(0)).alias(
-            "male"
-        ),
-        F.coalesce(
-            F.sum(F.when(is_gender & (label_up == "FEMALE"), F.col("n"))), F.lit(0)
-        ).alias("female"),
+    return _kpi_from_rows(ag.unionByName(gd))
+
+
+def kpi_from_silver(silver: DataFrame) -> DataFrame:
+    """The same KPI row straight from silver, in one scan.
+
+    One GROUPING SETS aggregate ((age_group), (gender)) yields exactly the rows
+    of the two gold tables the KPIs read, with the band score rounded as the
+    gold table stores it; a global aggregate then folds them into one row.
+    """
+    agg = silver.groupingSets([[F.col("age_group")], [F.col("gender")]], "age_group", "gender").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.round(F.avg("severity_score"), 2).alias("score"),
+        F.grouping("age_group").alias("g_age"),
     )
-    return sums.select(
-        F.col("total").cast("bigint").alias("total_patients"),
-        F.col("severe").cast("bigint").alias("severe_count"),
-        round1_ratio(F.col("severe"), F.col("total"), scale=100).alias("severe_pct"),
-        round1_ratio(F.col("age_sum"), F.col("total")).alias("avg_age"),
-        round1_ratio(F.col("male"), F.col("male") + F.col("female"), scale=100).alias("male_pct"),
+    by_age = F.col("g_age") == 0
+    rows = agg.select(
+        F.when(by_age, "age").otherwise("gender").alias("src"),
+        F.when(by_age, F.col("age_group")).otherwise(F.col("gender")).alias("label"),
+        F.col("n"),
+        F.when(by_age, F.col("score")).alias("score"),
     )
+    return _kpi_from_rows(rows)
 
 
 def gender_share(genders: DataFrame) -> DataFrame:
