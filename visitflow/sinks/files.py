@@ -41,6 +41,9 @@ def write_partitioned(
 class SilverBatchSink:
     """``foreachBatch`` callback: idempotent, partitioned, counted in one pass."""
 
+    # Row counts of the most recent batches kept for callers (bounded history).
+    KEEP_COUNTS = 1000
+
     def __init__(self, root: str, fmt: str = "parquet", files: int | None = None):
         self.root = root.rstrip("/")
         self.fmt = fmt
@@ -59,6 +62,8 @@ class SilverBatchSink:
         )
         rows = int(obs.get.get("rows", 0) or 0)
         self.counts[batch_id] = rows
+        if len(self.counts) > self.KEEP_COUNTS:
+            del self.counts[min(self.counts)]
         log.info("silver batch %d: %d rows written", batch_id, rows)
 
 
