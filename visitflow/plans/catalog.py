@@ -267,6 +267,20 @@ def stream_gold_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(GOLD_SCHEMAS["severity_summary"]).parquet(out)
 
 
+def stream_gold_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nine gold tables maintained by one streaming GROUPING SETS aggregate."""
+    out = scratch_path(spark, "stream-gold-all")
+    _run_waves(
+        spark,
+        sf_dir,
+        "stream-gold-all",
+        lambda messages, ckpt: streams.start_live_gold_all(
+            streams.silver_stream(messages), out, ckpt, trigger={"availableNow": True}
+        ),
+    )
+    return gold.stack(streams.read_live_gold(spark, out, ordered=False))
+
+
 def stream_daily_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "stream-daily-trends")
     _run_waves(
@@ -311,5 +325,6 @@ QUERIES: dict[str, Query] = {
     "stream_silver": stream_silver,
     "stream_silver_bounded": stream_silver_bounded,
     "stream_gold_severity": stream_gold_severity,
+    "stream_gold_all": stream_gold_all,
     "stream_daily_trends": stream_daily_trends,
 }

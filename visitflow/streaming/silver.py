@@ -5,6 +5,8 @@
   idempotent ``foreachBatch`` sink (a replayed batch id overwrites itself).
 * ``start_live_gold`` — a streaming aggregate over the silver stream in
   ``complete`` mode; each trigger replaces the small result table.
+  ``start_live_gold_all`` keeps all nine gold tables this way, from one
+  GROUPING SETS state.
 * ``start_daily_trends`` — per-day aggregate in ``update`` mode; each trigger
   overwrites only the days it changed (dynamic partition overwrite), so the
   table is always the latest value per day.
@@ -125,6 +127,28 @@ def start_live_gold(
     )
 
 
+def start_live_gold_all(
+    silver: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """All nine gold tables kept current by one stateful aggregate.
+
+    The state is the GROUPING SETS aggregate of ``operators.gold.aggregate_all``
+    (counts and sums per group, so it grows with the number of groups, not with
+    the data); each trigger rewrites that table and ``read_live_gold`` cuts the
+    nine tables from it. This replaces re-scanning all of silver per gold run.
+    """
+    from visitflow.operators import gold
+
+    return start_live_gold(silver, gold.aggregate_all, path, checkpoint, trigger)
+
+
+def read_live_gold(spark: SparkSession, path: str, ordered: bool = True) -> dict[str, DataFrame]:
+    """The nine gold tables from the table written by ``start_live_gold_all``."""
+    from visitflow.operators import gold
+
+    return gold.split(spark.read.parquet(path), ordered=ordered)
+
+
 def live_severity(silver: DataFrame) -> DataFrame:
     """Severity summary as a streaming aggregate (sorting happens at read time)."""
     return silver.groupBy("severity").agg(
