@@ -46,6 +46,21 @@ def dedupe_first_delivery(
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 
 
+def dedupe_stream_salted(df: DataFrame, salt_buckets: int, key: str = "id") -> DataFrame:
+    """Stream dedupe for streams where one id may carry a large share of a micro-batch.
+
+    Stage 1 dedupes on ``(id, salt)``, with the salt taken from the delivery's
+    arrival order, so the deliveries of a hot id are spread over
+    ``salt_buckets`` state partitions; stage 2 dedupes on ``id`` and receives
+    at most ``salt_buckets`` rows per id. The result is the same as one
+    ``dropDuplicates([id])`` (the first micro-batch holding an id wins), at the
+    cost of a second, smaller state.
+    """
+    salt = "__dedupe_salt"
+    salted = df.withColumn(salt, F.pmod(F.xxhash64(F.col(DELIVERY_SEQ)), F.lit(salt_buckets)))
+    return salted.dropDuplicates([key, salt]).dropDuplicates([key]).drop(salt)
+
+
 def dedupe_within_watermark(
     df: DataFrame, time_col: str, delay: str, key: str = "id"
 ) -> DataFrame:
@@ -95,16 +110,24 @@ def clean(
     df: DataFrame,
     dedupe: str = "before_validation",
     order_by: Sequence[str | Column] = (DELIVERY_SEQ,),
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """Bronze (decoded) rows -> silver rows.
 
     ``dedupe``: ``"before_validation"`` (reference order), ``"after_validation"``
-    or ``"none"``.
+    or ``"none"``. ``salt_buckets`` (streams only) switches to the salted
+    two-stage dedupe for hot ids.
     """
+
+    def first(d: DataFrame) -> DataFrame:
+        if salt_buckets and d.isStreaming:
+            return dedupe_stream_salted(d, salt_buckets)
+        return dedupe_first_delivery(d, order_by=order_by)
+
     if dedupe == "before_validation":
-        df = quality_filter(dedupe_first_delivery(df, order_by=order_by))
+        df = quality_filter(first(df))
     elif dedupe == "after_validation":
-        df = dedupe_first_delivery(quality_filter(df), order_by=order_by)
+        df = first(quality_filter(df))
     elif dedupe == "none":
         df = quality_filter(df)
     else:

@@ -16,6 +16,7 @@ variable                          meaning                     default
 ``SILVER_SOURCE``                 ``kafka`` or ``files``      ``kafka``
 ``SILVER_INPUT_PATH``             replay files (``files``)    —
 ``SILVER_FORMAT``                 silver file format          ``parquet``
+``DEDUPE_SALT_BUCKETS``           salted stream dedupe        off
 ================================  ==========================  =======================
 
 Run with ``spark-submit --py-files visitflow.zip visitflow/__main__.py silver|gold|kpi``
@@ -59,6 +60,9 @@ class JobConfig:
     source: str = field(default_factory=lambda: _env("SILVER_SOURCE", "kafka"))
     input_path: str | None = field(default_factory=lambda: _env("SILVER_INPUT_PATH"))
     silver_format: str = field(default_factory=lambda: _env("SILVER_FORMAT", "parquet"))
+    salt_buckets: int | None = field(
+        default_factory=lambda: int(_env("DEDUPE_SALT_BUCKETS", "0")) or None
+    )
     bounded_delay: str | None = None
     rocksdb_state: bool = True
 
@@ -100,6 +104,7 @@ def silver_job(
         bounded_delay=cfg.bounded_delay,
         decode_fn=decode_fn,
         query_name="silver",
+        salt_buckets=cfg.salt_buckets,
     )
     log.info("silver stream started: %s -> %s", cfg.source, cfg.silver_path)
     if wait:

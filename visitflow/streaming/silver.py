@@ -42,16 +42,18 @@ def silver_stream(
     messages: DataFrame,
     decode_fn: Callable[[DataFrame], DataFrame] = decode_envelope,
     bounded_delay: str | None = None,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """Streaming silver rows from a stream of JSON messages (column ``json_data``).
 
-    ``bounded_delay=None``: unbounded dedupe on ``id`` (reference semantics).
+    ``bounded_delay=None``: unbounded dedupe on ``id`` (reference semantics);
+    ``salt_buckets`` spreads hot ids over that many state partitions first.
     Otherwise dedupe within a watermark on the record's own time; rows without
     a parsable time cannot be bounded and are left out of this variant.
     """
     bronze = decode_fn(messages)
     if bounded_delay is None:
-        return silver_ops.clean(bronze)
+        return silver_ops.clean(bronze, salt_buckets=salt_buckets)
     timed = bronze.withColumn("visit_time", rules.visit_time("timestamp")).filter(
         F.col("visit_time").isNotNull()
     )
@@ -67,9 +69,12 @@ def start_silver(
     bounded_delay: str | None = None,
     decode_fn: Callable[[DataFrame], DataFrame] = decode_envelope,
     query_name: str | None = None,
+    salt_buckets: int | None = None,
 ) -> StreamingQuery:
     """Start the silver stream into ``sink`` (default trigger: every 10 seconds)."""
-    stream = silver_stream(messages, decode_fn=decode_fn, bounded_delay=bounded_delay)
+    stream = silver_stream(
+        messages, decode_fn=decode_fn, bounded_delay=bounded_delay, salt_buckets=salt_buckets
+    )
     writer = (
         stream.writeStream.foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
