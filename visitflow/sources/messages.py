@@ -51,10 +51,16 @@ def kafka_stream(spark: SparkSession, **options) -> DataFrame:
     )
 
 
-def kafka_batch(spark: SparkSession, **options) -> DataFrame:
-    """Batch read of a topic (e.g. for a backfill), same columns as ``kafka_stream``."""
-    options.pop("max_offsets_per_trigger", None)
-    opts = kafka_options(max_offsets_per_trigger=None, **options)
+def kafka_batch(
+    spark: SparkSession, bootstrap_servers: str, topic: str, starting_offsets: str = "earliest"
+) -> DataFrame:
+    """Batch read of a topic (e.g. for a backfill), same columns as ``kafka_stream``.
+
+    Offsets order deliveries within one topic partition only; a backfill that
+    needs a cross-partition order can pass ``order_by`` to the batch dedupe
+    (e.g. the Kafka ``timestamp`` first).
+    """
+    opts = kafka_options(bootstrap_servers, topic, starting_offsets, max_offsets_per_trigger=None)
     raw = spark.read.format("kafka").options(**opts).load()
     return raw.select(
         F.col("value").cast("string").alias("json_data"),
@@ -85,10 +91,11 @@ def decode(
     decoded_names = {f.name for f in schema.fields}
     carried = [c for c in messages.columns if c != text_col and c not in decoded_names]
     names = schema.fieldNames()
-    out = messages.select(*carried, F.from_json(F.col(text_col), schema).alias("data")).select(
-        *[F.col(f"data.{c}").alias(c) for c in names if c == DELIVERY_SEQ],
+    parsed = "__decoded"
+    out = messages.select(*carried, F.from_json(F.col(text_col), schema).alias(parsed)).select(
+        *[F.col(parsed)[c].alias(c) for c in names if c == DELIVERY_SEQ],
         *carried,
-        *[F.col(f"data.{c}").alias(c) for c in names if c != DELIVERY_SEQ],
+        *[F.col(parsed)[c].alias(c) for c in names if c != DELIVERY_SEQ],
     )
     if stamp:
         out = out.withColumn("event_time", F.current_timestamp())
