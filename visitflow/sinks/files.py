@@ -73,13 +73,15 @@ def write_gold(
     """One gold table as a single ordered file, replacing the previous version.
 
     Gold tables are aggregates (a handful of rows per label), so one file is
-    cheap. With ``order`` the rows are sorted inside that single partition — the
-    same file order as a global sort, without its sampling job and shuffle;
-    without it, ``coalesce(1)`` keeps the order of an already sorted frame.
+    cheap. With ``order`` the frame is computed in parallel, its (small) rows
+    are moved to one partition and sorted there — the file order of a global
+    sort, without its sampling job. Without ``order`` the frame must already be
+    sorted, and ``coalesce(1)`` keeps that order.
     """
-    out = df.coalesce(1)
     if order:
-        out = out.sortWithinPartitions(*order)
+        out = df.repartition(1).sortWithinPartitions(*order)
+    else:
+        out = df.coalesce(1)
     out.write.mode("overwrite").format(fmt).save(f"{root.rstrip('/')}/{name}")
 
 
