@@ -74,3 +74,4 @@ def test_kafka_options():
         "failOnDataLoss": "false",
         "maxOffsetsPerTrigger": "200",
     }
+    assert kafka_options("b:1", "t", min_partitions=64)["minPartitions"] == "64"

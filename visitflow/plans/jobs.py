@@ -17,6 +17,7 @@ variable                          meaning                     default
 ``SILVER_INPUT_PATH``             replay files (``files``)    —
 ``SILVER_FORMAT``                 silver file format          ``parquet``
 ``DEDUPE_SALT_BUCKETS``           salted stream dedupe        off
+``KAFKA_MIN_PARTITIONS``          split hot topic partitions  off
 ================================  ==========================  =======================
 
 Run with ``spark-submit --py-files visitflow.zip visitflow/__main__.py silver|gold|kpi``
@@ -63,6 +64,9 @@ class JobConfig:
     salt_buckets: int | None = field(
         default_factory=lambda: int(_env("DEDUPE_SALT_BUCKETS", "0")) or None
     )
+    kafka_min_partitions: int | None = field(
+        default_factory=lambda: int(_env("KAFKA_MIN_PARTITIONS", "0")) or None
+    )
     bounded_delay: str | None = None
     rocksdb_state: bool = True
 
@@ -79,6 +83,7 @@ def _messages(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, object]:
             bootstrap_servers=cfg.kafka_bootstrap_servers,
             topic=cfg.kafka_topic,
             max_offsets_per_trigger=cfg.max_offsets_per_trigger,
+            min_partitions=cfg.kafka_min_partitions,
         )
         return stream, messages.decode
     if cfg.source == "files":

@@ -24,8 +24,14 @@ def kafka_options(
     starting_offsets: str = "earliest",
     max_offsets_per_trigger: int | None = 200,
     fail_on_data_loss: bool = False,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
-    """Reader options of the reference's topic subscription."""
+    """Reader options of the topic subscription.
+
+    ``min_partitions`` lets Spark split a large topic partition over several
+    tasks, so one hot partition (a third of the traffic, say) does not become
+    one straggler task per micro-batch.
+    """
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topic,
@@ -34,6 +40,8 @@ def kafka_options(
     }
     if max_offsets_per_trigger is not None:
         opts["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
+    if min_partitions:
+        opts["minPartitions"] = str(int(min_partitions))
     return opts
 
 
