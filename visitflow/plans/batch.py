@@ -51,6 +51,11 @@ def write_gold_tables(
     if one_pass and "timestamp" in silver_df.columns:
         # One scan of silver; the small aggregate is checkpointed and read nine times.
         agg = materialize(gold.aggregate_all(silver_df))
+        # Silver's row count, read off the small aggregate instead of a silver scan.
+        silver_rows = (
+            agg.filter(F.col("grain") == "severity_summary").agg(F.sum("n")).first()[0] or 0
+        )
+        log.info("silver rows: %d", silver_rows)
         return _write_all(gold.split(agg, ordered=False), root, fmt, sort_in_writer=True)
     return _write_all(build_gold(silver_df, one_pass=False), root, fmt)
 
