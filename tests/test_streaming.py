@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from conftest import SMALL, valid_row
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from visitflow.operators import silver
@@ -132,3 +134,35 @@ def test_salted_stream_dedupe_equals_plain(spark):
         results.append((got.count(), sorted(r["id"] for r in got.collect())))
     assert results[0] == results[1]
     assert results[0][0] == 21
+
+
+class _CrashAfterWrite(SilverBatchSink):
+    """Writes the batch, then fails once: the commit never happens, as after a driver loss."""
+
+    crashed = False
+
+    def __call__(self, batch, batch_id):
+        super().__call__(batch, batch_id)
+        if not _CrashAfterWrite.crashed:
+            _CrashAfterWrite.crashed = True
+            raise RuntimeError("simulated failure after the write")
+
+
+def test_batch_replayed_after_failure_is_not_duplicated(spark):
+    bronze = read_bronze(spark, SMALL)
+    inbox = scratch_path(spark, "t-crash-inbox")
+    out = scratch_path(spark, "t-crash-out")
+    ckpt = scratch_path(spark, "t-crash-ckpt")
+    write_replay_files(bronze, inbox)
+    q = streams.start_silver(
+        replay_stream(spark, inbox, 16), _CrashAfterWrite(out), ckpt, trigger={"availableNow": True}
+    )
+    with pytest.raises(StreamingQueryException, match="simulated failure"):
+        q.awaitTermination(300)  # the first attempt failed after writing batch 0
+    q = streams.start_silver(
+        replay_stream(spark, inbox, 16), SilverBatchSink(out), ckpt, trigger={"availableNow": True}
+    )
+    streams.run_to_end(q, 300)
+    streamed = read_silver(spark, out)
+    assert streamed.count() == 693
+    assert _stable_rows(streamed) == _stable_rows(silver.clean(bronze))

@@ -1,10 +1,10 @@
 """Batch plans: bronze -> silver table, silver -> nine gold tables -> report.
 
-``build_gold`` computes all nine tables from one scan of silver (GROUPING SETS)
-and cuts the nine tables from that small aggregate; the
-reference scans silver eighteen times (nine writes plus nine recounts). The
-aggregate is checkpointed (reliable storage under ``spark.checkpoint.dir``),
-and row counts come from observations on the writes, not from recounts.
+``write_gold_tables`` computes all nine tables from one scan of silver (one
+GROUPING SETS aggregate), checkpoints that small aggregate (reliable storage
+under ``spark.checkpoint.dir``) and cuts the nine tables from it; the
+reference scans silver eighteen times (nine writes plus nine recounts). Row
+counts come from observations on the writes, not from recounts.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from visitflow.operators import gold, report, silver
+from visitflow.schema import GOLD_SCHEMAS
 from visitflow.sinks.files import write_gold, write_partitioned
 from visitflow.session import materialize
 from visitflow.sources.tables import MissingInputError, read_gold, read_silver
@@ -27,7 +28,14 @@ def build_silver(bronze: DataFrame, dedupe: str = "before_validation") -> DataFr
     return silver.clean(bronze, dedupe=dedupe)
 
 
-def write_silver(silver_df: DataFrame, path: str, fmt: str = "parquet", files: int | None = None) -> None:
+def write_silver(
+    silver_df: DataFrame, path: str, fmt: str = "parquet", files: int | None = None
+) -> None:
+    """Append batch silver rows under ``path/age_group=<band>/``.
+
+    Use a different root than the stream sink (which adds ``batch_id=<n>/``
+    above the band), so partition discovery sees one layout per table.
+    """
     write_partitioned(silver_df, path, fmt=fmt, mode="append", files=files)
 
 
@@ -82,19 +90,13 @@ def run_gold(spark: SparkSession, silver_path: str, gold_root: str, silver_fmt:
 def kpis_from_gold(spark: SparkSession, gold_root: str) -> DataFrame:
     """KPI row from written gold tables; an absent table contributes zeros."""
     tables = read_gold(spark, gold_root, ["age_group_summary", "gender_summary"])
-    empty_ag = spark.createDataFrame([], gold_schema("age_group_summary"))
-    empty_gd = spark.createDataFrame([], gold_schema("gender_summary"))
+    empty_ag = spark.createDataFrame([], GOLD_SCHEMAS["age_group_summary"])
+    empty_gd = spark.createDataFrame([], GOLD_SCHEMAS["gender_summary"])
     return report.kpi_summary(
         tables.get("age_group_summary", empty_ag), tables.get("gender_summary", empty_gd)
     )
 
 
-def gold_schema(name: str):
-    from visitflow.schema import GOLD_SCHEMAS
-
-    return GOLD_SCHEMAS[name]
-
-
 __all__ = [
     "MissingInputError",
     "build_gold",
