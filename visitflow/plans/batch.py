@@ -10,6 +10,7 @@ counts come from observations on the writes, not from recounts.
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -72,8 +73,9 @@ def _write_all(
     tables: dict[str, DataFrame], root: str, fmt: str, sort_in_writer: bool = False
 ) -> dict[str, int]:
     counts = {}
+    tag = uuid.uuid4().hex[:12]
     for name, df in tables.items():
-        obs = Observation(f"gold_{name}")
+        obs = Observation(f"gold_{tag}_{name}")
         order = gold.table_order(name) if sort_in_writer and name not in gold.LIMITED else None
         write_gold(df.observe(obs, F.count(F.lit(1)).alias("rows")), root, name, fmt=fmt, order=order)
         counts[name] = int(obs.get.get("rows", 0) or 0)

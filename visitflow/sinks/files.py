@@ -11,6 +11,7 @@ by the write itself.
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -49,9 +50,10 @@ class SilverBatchSink:
         self.fmt = fmt
         self.files = files
         self.counts: dict[int, int] = {}
+        self._tag = uuid.uuid4().hex[:12]  # observation names stay unique per sink
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        obs = Observation(f"silver_batch_{batch_id}")
+        obs = Observation(f"silver_{self._tag}_{batch_id}")
         observed = batch.observe(obs, F.count(F.lit(1)).alias("rows"))
         write_partitioned(
             observed,
