@@ -44,3 +44,14 @@ def test_gold_job_without_silver_fails(spark):
 def test_missing_settings_are_reported():
     with pytest.raises(ValueError, match="silver_path"):
         JobConfig(silver_path=None, gold_path=None).require("silver_path")
+
+
+def test_cli_gold_without_silver_exits_1(spark, monkeypatch):
+    from visitflow.plans import jobs
+
+    monkeypatch.setenv("SILVER_OUTPUT_PATH", scratch_path(spark, "cli-absent"))
+    monkeypatch.setenv("GOLD_OUTPUT_PATH", scratch_path(spark, "cli-gold"))
+    # main() stops the session it gets; give it a throwaway handle to the shared one.
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    assert jobs.main(["gold"]) == 1
+    assert jobs.main([]) == 2

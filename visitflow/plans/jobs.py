@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from visitflow.plans.batch import kpis_from_gold, run_gold
 from visitflow.sinks.files import SilverBatchSink
 from visitflow.sources import messages
+from visitflow.sources.tables import MissingInputError
 from visitflow.streaming import silver as streams
 
 log = logging.getLogger(__name__)
@@ -154,6 +155,9 @@ def main(argv: list[str] | None = None) -> int:
         else:
             for row in kpi_job(spark).collect():  # one row
                 print(row.asDict())
+    except MissingInputError as exc:
+        log.error("%s; run the silver job first, then retry", exc)
+        return 1
     finally:
         spark.stop()
     return 0
