@@ -22,6 +22,8 @@ CASES = [
     ('{"id":"b","age":"45","wbc":7.5}', ("b", None, 7.5)),
     ('{"id":"c","age":45.5,"wbc":7.5}', ("c", None, 7.5)),
     ('{"id":"e","age":3000000000,"wbc":1}', ("e", None, 1.0)),
+    ('{"id":"d2","age":45.0,"wbc":2}', ("d2", None, 2.0)),
+    ('[{"id":"g","age":1,"wbc":1}]', (None, None, None)),
     ('{"id":7,"age":20,"wbc":1,"extra":1}', ("7", 20, 1.0)),
     ('{"id":"f","age":20,"wbc":"x"}', ("f", 20, None)),
     ('{"ID":"i","age":22}', (None, 22, None)),
