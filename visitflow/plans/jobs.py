@@ -18,6 +18,7 @@ variable                          meaning                     default
 ``SILVER_FORMAT``                 silver file format          ``parquet``
 ``DEDUPE_SALT_BUCKETS``           salted stream dedupe        off
 ``KAFKA_MIN_PARTITIONS``          split hot topic partitions  off
+``DEDUPE_WATERMARK_DELAY``        bounded dedupe (e.g. 7 days) off (unbounded)
 ================================  ==========================  =======================
 
 Run with ``spark-submit --py-files visitflow.zip visitflow/__main__.py silver|gold|kpi``
@@ -68,7 +69,7 @@ class JobConfig:
     kafka_min_partitions: int | None = field(
         default_factory=lambda: int(_env("KAFKA_MIN_PARTITIONS", "0")) or None
     )
-    bounded_delay: str | None = None
+    bounded_delay: str | None = field(default_factory=lambda: _env("DEDUPE_WATERMARK_DELAY"))
     rocksdb_state: bool = True
 
     def require(self, *names: str) -> None:
