@@ -90,3 +90,33 @@ def test_count_tables_sum_to_silver_rows(spark):
     for name in ("severity_summary", "age_group_summary", "gender_summary", "wbc_summary", "hgb_summary", "allergy_summary"):
         assert sum(r["patient_count"] for r in gold.BUILDERS[name](s).collect()) == n, name
     assert sum(r["patient_per_day"] for r in gold.daily_trends(s).collect()) == n
+
+
+def test_golden_tables_sf001(spark):
+    """The golden outputs listed for sf0.01 in FIXTURES.md section 3."""
+    s = _silver(spark)
+    ag = {r["age_group"]: (r["patient_count"], r["avg_severity_score"], r["avg_wbc"], r["avg_hgb"])
+          for r in gold.age_group_summary(s).collect()}
+    assert ag == {
+        "YOUNG_ADULT": (1692, 1.45, 14.97, 14.98),
+        "MIDDLE_AGED": (1140, 1.54, 14.83, 14.94),
+        "SENIOR": (1137, 1.49, 15.10, 14.94),
+        "ELDERLY": (2846, 2.65, 15.02, 15.06),
+    }
+    sev = {r["severity"]: tuple(r)[1:] for r in gold.severity_summary(s).collect()}
+    assert sev == {
+        "SEVERE": (3714, 73.7, 15.1, 15.1),
+        "UNKNOWN": (789, 43.3, 14.6, 14.8),
+        "CRITICAL": (789, 43.0, 15.2, 15.2),
+        "MODERATE": (787, 43.5, 14.6, 14.7),
+        "MILD": (736, 41.8, 15.2, 14.8),
+    }
+    assert {r[0]: r[1] for r in gold.gender_summary(s).collect()} == {
+        "FEMALE": 2813, "MALE": 2760, "UNKNOWN": 1242}
+    assert {r[0]: (r[1], r[2]) for r in gold.wbc_summary(s).collect()} == {
+        "HIGH": (4526, 59.8), "NORMAL": (1395, 59.6), "LOW": (894, 59.2)}
+    assert {r[0]: r[1] for r in gold.hgb_summary(s).collect()} == {
+        "HIGH": 3393, "LOW": 2362, "NORMAL": 1060}
+    assert {r[0]: r[1] for r in gold.allergy_summary(s).collect()} == {
+        "LATEX": 1957, "PEANUTS": 974, "PENICILLIN": 972, "UNKNOWN": 972, "NONE": 972,
+        "NO ALLERGY": 968}
