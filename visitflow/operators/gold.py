@@ -217,45 +217,43 @@ def table_order(name: str) -> list[Column]:
 LIMITED = {"top_doctors", "diagnosis_summary"}
 
 
+# Per table: name of its count column, and each average as (sum, count, digits).
+_COUNT_NAME = {"daily_trends": "patient_per_day", "top_doctors": "patients_treated"}
+_MEANS: dict[str, dict[str, tuple[str, str, int]]] = {
+    "severity_summary": {
+        "avg_age": ("sum_age", "n_age", 1),
+        "avg_wbc": ("sum_wbc", "n_wbc", 1),
+        "avg_hgb": ("sum_hgb", "n_hgb", 1),
+    },
+    "age_group_summary": {
+        "avg_severity_score": ("sum_score", "n_score", 2),
+        "avg_wbc": ("sum_wbc", "n_wbc", 2),
+        "avg_hgb": ("sum_hgb", "n_hgb", 2),
+    },
+    "wbc_summary": {"avg_age": ("sum_age", "n_age", 1)},
+    "daily_trends": {"avg_age": ("sum_age", "n_age", 1)},
+}
+_EXTRA = {"daily_trends": {"severe_cases": "severe"}}
+
+
+def _table_columns(name: str) -> list[Column]:
+    cols = [F.col(k) for k in GRAINS[name]]
+    cols.append(F.col("n").alias(_COUNT_NAME.get(name, "patient_count")))
+    cols += [_mean(*spec).alias(out) for out, spec in _MEANS.get(name, {}).items()]
+    cols += [F.col(src).alias(out) for out, src in _EXTRA.get(name, {}).items()]
+    return cols
+
+
 def split(agg: DataFrame, ordered: bool = True) -> dict[str, DataFrame]:
     """Cut the ``aggregate_all`` result into the nine gold tables.
 
     ``ordered=False`` skips the sorts of the tables without a limit (for
-    consumers that ignore row order, such as ``stack``); the top-10 tables
-    always keep their ordered limit.
+    consumers that ignore row order); the top-10 tables always keep their
+    ordered limit.
     """
-    n = F.col("n").alias("patient_count")
-    projections = {
-        "severity_summary": [
-            "severity",
-            n,
-            _mean("sum_age", "n_age", 1).alias("avg_age"),
-            _mean("sum_wbc", "n_wbc", 1).alias("avg_wbc"),
-            _mean("sum_hgb", "n_hgb", 1).alias("avg_hgb"),
-        ],
-        "age_group_summary": [
-            "age_group",
-            n,
-            _mean("sum_score", "n_score", 2).alias("avg_severity_score"),
-            _mean("sum_wbc", "n_wbc", 2).alias("avg_wbc"),
-            _mean("sum_hgb", "n_hgb", 2).alias("avg_hgb"),
-        ],
-        "gender_summary": ["gender", n],
-        "wbc_summary": ["wbc_status", n, _mean("sum_age", "n_age", 1).alias("avg_age")],
-        "hgb_summary": ["hgb_status", n],
-        "daily_trends": [
-            "date",
-            F.col("n").alias("patient_per_day"),
-            _mean("sum_age", "n_age", 1).alias("avg_age"),
-            F.col("severe").alias("severe_cases"),
-        ],
-        "top_doctors": ["doctor_id", "doctor_name", F.col("n").alias("patients_treated")],
-        "diagnosis_summary": ["diagnosis_code", "diagnosis_desc", n],
-        "allergy_summary": ["allergy", n],
-    }
     tables = {}
-    for name, cols in projections.items():
-        df = agg.filter(F.col("grain") == name).select(*cols)
+    for name in GRAINS:
+        df = agg.filter(F.col("grain") == name).select(*_table_columns(name))
         if name in LIMITED:
             df = df.orderBy(*table_order(name)).limit(TOP_N)
         elif ordered:
@@ -264,6 +262,43 @@ def split(agg: DataFrame, ordered: bool = True) -> dict[str, DataFrame]:
     return tables
 
 
+def stacked(agg: DataFrame) -> DataFrame:
+    """All nine tables in the long form of ``stack``, straight from ``aggregate_all``.
+
+    Every aggregate row belongs to exactly one grain, so the seven tables
+    without a limit are one projection of the aggregate (a column takes its
+    table's rounding, and is null for other tables); only the two top-10
+    tables need their own (distributed top-k) branches.
+    """
+    grain = F.col("grain")
+    cols = []
+    for col_name, col_type in STACKED_COLUMNS:
+        if col_name == "table_name":
+            expr = grain
+        elif col_name == "patient_count":
+            expr = F.col("n")
+        elif col_name in _ALL_KEYS:
+            expr = F.col(col_name)
+        else:
+            expr = None
+            for name in GRAINS:
+                spec = _MEANS.get(name, {}).get(col_name)
+                src = _EXTRA.get(name, {}).get(col_name)
+                value = _mean(*spec) if spec else (F.col(src) if src else None)
+                if value is None:
+                    continue
+                expr = (
+                    F.when(grain == name, value)
+                    if expr is None
+                    else expr.when(grain == name, value)
+                )
+            expr = expr if expr is not None else F.lit(None)
+        cols.append(expr.cast(col_type).alias(col_name))
+    unlimited = agg.filter(~grain.isin(*LIMITED)).select(*cols)
+    tops = split(agg, ordered=False)
+    return unlimited.unionByName(stack({name: tops[name] for name in sorted(LIMITED)}))
+
+
 # Column layout of the stacked (long) form of all nine tables.
 STACKED_COLUMNS: list[tuple[str, str]] = [
     ("table_name", "string"),

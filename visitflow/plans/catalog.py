@@ -159,7 +159,7 @@ def gold_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     branches would prune it differently and recompute silver nine times.
     """
     agg = materialize(gold.aggregate_all(_silver(spark, sf_dir)))
-    return gold.stack(gold.split(agg, ordered=False))
+    return gold.stacked(agg)
 
 
 def gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,7 +278,7 @@ def stream_gold_all(spark: SparkSession, sf_dir: str) -> DataFrame:
             streams.silver_stream(messages), out, ckpt, trigger={"availableNow": True}
         ),
     )
-    return gold.stack(streams.read_live_gold(spark, out, ordered=False))
+    return gold.stacked(spark.read.parquet(out))
 
 
 def stream_daily_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
