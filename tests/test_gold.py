@@ -120,3 +120,10 @@ def test_golden_tables_sf001(spark):
     assert {r[0]: r[1] for r in gold.allergy_summary(s).collect()} == {
         "LATEX": 1957, "PEANUTS": 974, "PENICILLIN": 972, "UNKNOWN": 972, "NONE": 972,
         "NO ALLERGY": 968}
+
+
+def test_stacked_equals_stack_of_split(spark):
+    agg = gold.aggregate_all(_silver(spark))
+    direct = sorted(map(tuple, gold.stacked(agg).collect()), key=repr)
+    via_split = sorted(map(tuple, gold.stack(gold.split(agg, ordered=False)).collect()), key=repr)
+    assert direct == via_split and len(direct) == 75
