@@ -155,8 +155,9 @@ def _gold(name: str) -> Query:
 def gold_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All nine tables stacked, cut from one GROUPING SETS aggregate over one silver scan.
 
-    The aggregate is checkpointed once; without that, each of the nine union
-    branches would prune it differently and recompute silver nine times.
+    The aggregate is checkpointed once; without that, each branch of the
+    stacked result (one projection plus two top-k) would prune it differently
+    and recompute silver per branch.
     """
     agg = materialize(gold.aggregate_all(_silver(spark, sf_dir)))
     return gold.stacked(agg)
