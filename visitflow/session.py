@@ -33,7 +33,7 @@ def local_session(
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", os.environ.get("VISITFLOW_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("VISITFLOW_DRIVER_MEMORY", "4g"))
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
