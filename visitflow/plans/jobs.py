@@ -51,6 +51,8 @@ def _env(name: str, default: str | None = None) -> str | None:
 
 @dataclass
 class JobConfig:
+    # The defaults below (broker, topic, 10 s trigger, 200 messages per
+    # trigger) are those of the pipeline this replaces, so existing setups keep working.
     kafka_bootstrap_servers: str = field(default_factory=lambda: _env("KAFKA_BOOTSTRAP_SERVERS", "localhost:9092"))
     kafka_topic: str = field(default_factory=lambda: _env("KAFKA_TOPIC", "test_Topic"))
     silver_path: str | None = field(default_factory=lambda: _env("SILVER_OUTPUT_PATH"))
