@@ -149,6 +149,7 @@ class _CrashAfterWrite(SilverBatchSink):
 
 
 def test_batch_replayed_after_failure_is_not_duplicated(spark):
+    _CrashAfterWrite.crashed = False
     bronze = read_bronze(spark, SMALL)
     inbox = scratch_path(spark, "t-crash-inbox")
     out = scratch_path(spark, "t-crash-out")
