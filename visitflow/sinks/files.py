@@ -112,6 +112,21 @@ def publish_kafka(bronze: DataFrame, bootstrap_servers: str, topic: str) -> None
     )
 
 
+def start_publish_kafka(
+    bronze_stream: DataFrame, bootstrap_servers: str, topic: str, checkpoint: str
+):
+    """Publish a stream of bronze rows as JSON messages, checkpointed (at-least-once)."""
+    return (
+        encode(bronze_stream)
+        .select("value")
+        .writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", bootstrap_servers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+        .start()
+    )
+
+
 def write_replay_files(bronze: DataFrame, path: str) -> None:
     """Write bronze rows as replay files (JSON lines carrying ``delivery_seq``)."""
     encode(bronze, with_delivery_seq=True).select("value").write.mode("append").text(path)
