@@ -56,10 +56,12 @@ def _stable(df: DataFrame) -> DataFrame:
 
 
 def bronze_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows as JSON message text (null fields left out) with their arrival order."""
     return encode(read_bronze(spark, sf_dir))
 
 
 def bronze_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded messages decoded back with the fixed bronze schema."""
     messages = encode(read_bronze(spark, sf_dir)).withColumnRenamed("value", "json_data")
     return decode(messages, BRONZE_SCHEMA, stamp=False).select(DELIVERY_SEQ, *BRONZE_COLUMNS)
 
@@ -68,28 +70,33 @@ def bronze_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First delivery per id, over all bronze rows (null and empty ids are groups)."""
     return silver.dedupe_first_delivery(read_bronze(spark, sf_dir))
 
 
 def silver_quality_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """bronze rows that pass the range and required-string checks."""
     return silver.quality_filter(read_bronze(spark, sf_dir)).select(
         DELIVERY_SEQ, "id", "first_name", "age", "wbc", "hgb"
     )
 
 
 def silver_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gender code -> label on every bronze row."""
     return read_bronze(spark, sf_dir).select(
         DELIVERY_SEQ, F.col("gender").alias("gender_raw"), rules.gender_label("gender").alias("gender")
     )
 
 
 def silver_uppercase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upper-cased names and severity on every bronze row."""
     return read_bronze(spark, sf_dir).select(
         DELIVERY_SEQ, *[F.upper(F.col(c)).alias(c) for c in rules.UPPERCASE_COLUMNS]
     )
 
 
 def silver_allergy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: allergy label on every bronze row (null stays null before defaults)."""
     return read_bronze(spark, sf_dir).select(
         DELIVERY_SEQ,
         F.col("allergy").alias("allergy_raw"),
@@ -98,18 +105,22 @@ def silver_allergy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_age_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Age band on every bronze row (a null age falls to the top band)."""
     return read_bronze(spark, sf_dir).select(DELIVERY_SEQ, "age", rules.age_band("age").alias("age_group"))
 
 
 def silver_wbc_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """White-cell class on every bronze row."""
     return read_bronze(spark, sf_dir).select(DELIVERY_SEQ, "wbc", rules.wbc_class("wbc").alias("wbc_status"))
 
 
 def silver_hgb_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Haemoglobin class on every bronze row."""
     return read_bronze(spark, sf_dir).select(DELIVERY_SEQ, "hgb", rules.hgb_class("hgb").alias("hgb_status"))
 
 
 def silver_severity_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upper-cased severity and its score on every bronze row."""
     upper = F.upper(F.col("severity"))
     return read_bronze(spark, sf_dir).select(
         DELIVERY_SEQ,
@@ -127,10 +138,12 @@ def silver_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver table (dedupe, validate, standardise), stamps left out."""
     return _stable(_silver(spark, sf_dir))
 
 
 def silver_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: number of silver rows."""
     return _silver(spark, sf_dir).agg(F.count(F.lit(1)).alias("silver_rows"))
 
 
@@ -179,18 +192,22 @@ def kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gender_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each gender's share of all patients."""
     return report.gender_share(gold.gender_summary(_silver(spark, sf_dir)))
 
 
 def severity_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean severity score per band against the reference line at 2."""
     return report.severity_risk(gold.age_group_summary(_silver(spark, sf_dir)))
 
 
 def top_doctors_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top doctors with display labels as column names."""
     return report.labelled(gold.top_doctors(_silver(spark, sf_dir)))
 
 
 def age_group_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Age-group table restricted to its count and score columns."""
     return report.numeric_view(gold.age_group_summary(_silver(spark, sf_dir)))
 
 
@@ -220,6 +237,7 @@ def _run_waves(
 
 
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver from a checkpointed, restarted stream of replay files."""
     out = scratch_path(spark, "stream-silver")
     sink = SilverBatchSink(out)
     _run_waves(
@@ -234,6 +252,7 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_silver_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver with the watermark-bounded dedupe (rows without a time left out)."""
     out = scratch_path(spark, "stream-silver-bounded")
     sink = SilverBatchSink(out)
     _run_waves(
@@ -252,6 +271,7 @@ def stream_silver_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_gold_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severity table kept by a streaming aggregate in complete mode."""
     out = scratch_path(spark, "stream-gold-severity")
     _run_waves(
         spark,
@@ -283,6 +303,7 @@ def stream_gold_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_daily_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily table kept by a streaming aggregate with per-day upserts."""
     out = scratch_path(spark, "stream-daily-trends")
     _run_waves(
         spark,
