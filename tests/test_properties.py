@@ -52,3 +52,50 @@ def test_cleaning_is_not_idempotent(spark):
     twice = silver.clean(once.drop(*[c for c in once.columns if c not in bronze_rows(spark, []).columns]))
     assert once.collect()[0]["gender"] == "MALE"
     assert twice.collect()[0]["gender"] == "UNKNOWN"
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(st.floats(0.05, 0.95), max_size=2),
+    st.lists(st.floats(0.05, 0.95), max_size=1),
+)
+def test_stream_equals_batch_for_any_wave_boundaries(spark, first_cuts, second_cuts):
+    """Micro-batch boundaries do not change silver, as long as no micro-batch holds
+    two deliveries of one id (first deliveries and redeliveries never share a wave)."""
+    from conftest import SMALL
+    from pyspark.sql import functions as F
+
+    from visitflow.schema import DELIVERY_SEQ, SILVER_STABLE_COLUMNS
+    from visitflow.session import scratch_path
+    from visitflow.sinks.files import SilverBatchSink, write_replay_files
+    from visitflow.sources.fixture import REDELIVERY_OFFSET, read_bronze
+    from visitflow.sources.messages import replay_stream
+    from visitflow.sources.tables import read_silver
+    from visitflow.streaming import silver as streams
+
+    bronze = read_bronze(spark, SMALL)
+    seqs = sorted(r[0] for r in bronze.select(DELIVERY_SEQ).collect())
+    firsts = [q for q in seqs if q < REDELIVERY_OFFSET]
+    agains = [q for q in seqs if q >= REDELIVERY_OFFSET]
+
+    def bounds(values, cuts):
+        edges = sorted({values[int(c * (len(values) - 1))] for c in cuts})
+        return [values[0], *edges, values[-1] + 1]
+
+    waves = []
+    for values, cuts in ((firsts, first_cuts), (agains, second_cuts)):
+        b = bounds(values, cuts)
+        waves += [(lo, hi) for lo, hi in zip(b, b[1:]) if lo < hi]
+    inbox, out, ckpt = (scratch_path(spark, f"p-{x}") for x in ("inbox", "out", "ckpt"))
+    sink = SilverBatchSink(out)
+    for lo, hi in waves:
+        write_replay_files(
+            bronze.filter((F.col(DELIVERY_SEQ) >= lo) & (F.col(DELIVERY_SEQ) < hi)), inbox
+        )
+        q = streams.start_silver(replay_stream(spark, inbox, 1), sink, ckpt, trigger={"availableNow": True})
+        streams.run_to_end(q, 300)
+
+    def rows(df):
+        return sorted(map(tuple, df.select(*SILVER_STABLE_COLUMNS).collect()), key=repr)
+
+    assert rows(read_silver(spark, out)) == rows(silver.clean(bronze))
