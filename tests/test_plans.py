@@ -40,3 +40,18 @@ def test_no_python_in_plans(spark, name):
     p = _plan(QUERIES[name](spark, SMALL))
     for op in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
         assert op not in p
+
+
+def test_kpi_from_silver_scans_once(spark):
+    from visitflow.operators import report
+
+    p = _plan(report.kpi_from_silver(silver.clean(read_bronze(spark, SMALL))))
+    assert p.count("FileScan parquet") == 1 and "Expand" in p
+
+
+def test_stacked_one_pass_has_three_branches(spark):
+    agg = gold.aggregate_all(silver.clean(read_bronze(spark, SMALL)))
+    p = _plan(gold.stacked(agg))
+    # One projection for the seven unlimited tables, one top-k per limited table.
+    assert p.count("TakeOrderedAndProject") == 2
+    assert p.count("Expand [") == 3  # the (uncheckpointed) aggregate under each branch
