@@ -19,6 +19,7 @@ variable                          meaning                     default
 ``DEDUPE_SALT_BUCKETS``           salted stream dedupe        off
 ``KAFKA_MIN_PARTITIONS``          split hot topic partitions  off
 ``DEDUPE_WATERMARK_DELAY``        bounded dedupe (e.g. 7 days) off (unbounded)
+``SILVER_FILES_PER_BATCH``        writers per micro-batch     off (one per state partition)
 ================================  ==========================  =======================
 
 Run with ``spark-submit --py-files visitflow.zip visitflow/__main__.py silver|gold|kpi``
@@ -72,6 +73,9 @@ class JobConfig:
         default_factory=lambda: int(_env("KAFKA_MIN_PARTITIONS", "0")) or None
     )
     bounded_delay: str | None = field(default_factory=lambda: _env("DEDUPE_WATERMARK_DELAY"))
+    files_per_batch: int | None = field(
+        default_factory=lambda: int(_env("SILVER_FILES_PER_BATCH", "0")) or None
+    )
     rocksdb_state: bool = True
 
     def require(self, *names: str) -> None:
@@ -107,7 +111,7 @@ def silver_job(
     stream, decode_fn = _messages(spark, cfg)
     query = streams.start_silver(
         stream,
-        SilverBatchSink(cfg.silver_path, fmt=cfg.silver_format),
+        SilverBatchSink(cfg.silver_path, fmt=cfg.silver_format, files=cfg.files_per_batch),
         cfg.checkpoint_path,
         trigger=trigger or {"processingTime": cfg.trigger_interval},
         bounded_delay=cfg.bounded_delay,
