@@ -50,7 +50,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     folder and register it, as a test session needs; on a cluster a missing
     setting is an error, because a machine-local folder is not shared.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the context lives on the server
+        configured = spark.conf.get(_CHECKPOINT_KEY, None)
+        if not configured:
+            raise RuntimeError(f"{_CHECKPOINT_KEY} is not set on the server session")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
