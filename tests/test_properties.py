@@ -99,3 +99,27 @@ def test_stream_equals_batch_for_any_wave_boundaries(spark, first_cuts, second_c
         return sorted(map(tuple, df.select(*SILVER_STABLE_COLUMNS).collect()), key=repr)
 
     assert rows(read_silver(spark, out)) == rows(silver.clean(bronze))
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(
+        st.tuples(st.integers(0, 10**12), st.integers(0, 10**12)), min_size=1, max_size=200
+    ),
+    st.sampled_from([1, 100]),
+)
+def test_round1_ratio_is_exact_half_up(spark, pairs, scale):
+    """KPI rounding equals exact rational half-up rounding to one decimal."""
+    import math
+    from fractions import Fraction
+
+    from visitflow.operators.report import round1_ratio
+
+    pairs = [(min(n, d), d) for n, d in pairs]  # KPI ratios: part <= whole
+    df = spark.createDataFrame(pairs, "n long, d long")
+    got = [r[0] for r in df.select(round1_ratio("n", "d", scale=scale)).collect()]
+    want = [
+        math.floor(Fraction(scale * n, d) * 10 + Fraction(1, 2)) / 10 if d else 0.0
+        for n, d in pairs
+    ]
+    assert got == want
