@@ -104,7 +104,7 @@ def test_stream_equals_batch_for_any_wave_boundaries(spark, first_cuts, second_c
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(
-        st.tuples(st.integers(0, 10**12), st.integers(0, 10**12)), min_size=1, max_size=200
+        st.tuples(st.integers(0, 10**15), st.integers(0, 10**15)), min_size=1, max_size=200
     ),
     st.sampled_from([1, 100]),
 )

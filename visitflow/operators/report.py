@@ -7,7 +7,7 @@ bounded by their label sets (four age bands, three genders). From silver, one
 two-set GROUPING SETS aggregate produces the same stacked rows in one scan.
 
 Percentages and the band-midpoint average are rounded to one decimal, half up,
-in exact integer arithmetic: ``floor((2*10*num + den) / (2*den)) / 10``.
+in exact integer arithmetic: ``((20*num + den) div (2*den)) / 10``.
 This gives the same digits in every engine and on every partitioning; it
 equals the reference's float rounding except on exact decimal ties.
 """
@@ -24,9 +24,8 @@ def round1_ratio(num: Column | str, den: Column | str, scale: int = 1) -> Column
     """round_half_up(scale * num / den, 1) for non-negative integers; 0 when den is 0."""
     num = (F.col(num) if isinstance(num, str) else num).cast("bigint")
     den = (F.col(den) if isinstance(den, str) else den).cast("bigint")
-    tenths = F.floor(
-        (F.lit(20 * scale) * num + den).cast("double") / (F.lit(2) * den).cast("double")
-    )
+    # Integer division of non-negative bigints: exact while 20*scale*num fits in 63 bits.
+    tenths = F.call_function("div", F.lit(20 * scale) * num + den, F.lit(2) * den)
     return F.when(den > 0, tenths.cast("double") / 10.0).otherwise(F.lit(0.0))
 
 

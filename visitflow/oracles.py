@@ -67,8 +67,8 @@ silver AS ({_standardised('valid')}){ctes}
 
 def _round1_ratio(num: str, den: str, scale: int = 1) -> str:
     return (
-        f"CASE WHEN ({den}) > 0 THEN CAST(floor(CAST({20 * scale} * ({num}) + ({den}) AS DOUBLE) "
-        f"/ CAST(2 * ({den}) AS DOUBLE)) AS DOUBLE) / 10.0 ELSE CAST(0.0 AS DOUBLE) END"
+        f"CASE WHEN ({den}) > 0 THEN CAST(({20 * scale} * ({num}) + ({den})) // (2 * ({den})) "
+        f"AS DOUBLE) / 10.0 ELSE CAST(0.0 AS DOUBLE) END"
     )
 
 
