@@ -1,4 +1,4 @@
-"""``python -m visitflow silver|gold|kpi``."""
+"""``python -m visitflow silver|gold|gold-live|kpi``."""
 
 import sys
 

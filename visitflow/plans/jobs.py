@@ -1,4 +1,4 @@
-"""Job entry points: the silver stream, the gold batch and the KPI report.
+"""Job entry points: the silver stream, the gold batch (full or incremental), the KPIs.
 
 Configuration comes from environment variables (same names as the pipeline
 they replace) and can be overridden by keyword arguments:
@@ -20,9 +20,11 @@ variable                          meaning                     default
 ``KAFKA_MIN_PARTITIONS``          split hot topic partitions  off
 ``DEDUPE_WATERMARK_DELAY``        bounded dedupe (e.g. 7 days) off (unbounded)
 ``SILVER_FILES_PER_BATCH``        writers per micro-batch     off (one per state partition)
+``GOLD_CHECKPOINT_PATH``          live gold checkpoint        (required for gold-live)
+``GOLD_TRIGGER_INTERVAL``         live gold refresh interval  ``1 minute``
 ================================  ==========================  =======================
 
-Run with ``spark-submit --py-files visitflow.zip visitflow/__main__.py silver|gold|kpi``
+Run with ``spark-submit --py-files visitflow.zip visitflow/__main__.py silver|gold|gold-live|kpi``
 or ``python -m visitflow …``.
 The session comes from ``SparkSession.builder.getOrCreate()``, so the master
 and cluster settings are those of the submit command.
@@ -73,6 +75,10 @@ class JobConfig:
         default_factory=lambda: int(_env("KAFKA_MIN_PARTITIONS", "0")) or None
     )
     bounded_delay: str | None = field(default_factory=lambda: _env("DEDUPE_WATERMARK_DELAY"))
+    gold_checkpoint_path: str | None = field(default_factory=lambda: _env("GOLD_CHECKPOINT_PATH"))
+    gold_trigger_interval: str = field(
+        default_factory=lambda: _env("GOLD_TRIGGER_INTERVAL", "1 minute")
+    )
     files_per_batch: int | None = field(
         default_factory=lambda: int(_env("SILVER_FILES_PER_BATCH", "0")) or None
     )
@@ -138,6 +144,29 @@ def gold_job(spark: SparkSession, cfg: JobConfig | None = None) -> dict[str, int
     return counts
 
 
+def gold_live_job(
+    spark: SparkSession, cfg: JobConfig | None = None, trigger: dict | None = None, wait: bool = True
+):
+    """Keep the nine gold tables current from the silver table's new files.
+
+    Same output layout as ``gold_job``, but each refresh reads only the silver
+    files added since the last one; the running sums live in streaming state.
+    """
+    from visitflow.sources.tables import read_silver_stream
+
+    cfg = cfg or JobConfig()
+    cfg.require("silver_path", "gold_path", "gold_checkpoint_path")
+    query = streams.start_gold_tables_stream(
+        read_silver_stream(spark, cfg.silver_path, fmt=cfg.silver_format),
+        cfg.gold_path,
+        cfg.gold_checkpoint_path,
+        trigger=trigger or {"processingTime": cfg.gold_trigger_interval},
+    )
+    if wait:
+        query.awaitTermination()
+    return query
+
+
 def kpi_job(spark: SparkSession, cfg: JobConfig | None = None) -> DataFrame:
     """The KPI row from the written gold tables."""
     cfg = cfg or JobConfig()
@@ -149,8 +178,8 @@ def main(argv: list[str] | None = None) -> int:
     import sys
 
     args = list(sys.argv[1:] if argv is None else argv)
-    if not args or args[0] not in ("silver", "gold", "kpi"):
-        print("usage: python -m visitflow silver|gold|kpi", file=sys.stderr)
+    if not args or args[0] not in ("silver", "gold", "gold-live", "kpi"):
+        print("usage: python -m visitflow silver|gold|gold-live|kpi", file=sys.stderr)
         return 2
     logging.basicConfig(level=logging.INFO, format="%(asctime)s [%(levelname)s] %(message)s")
     spark = SparkSession.builder.appName(f"visitflow-{args[0]}").getOrCreate()
@@ -159,6 +188,8 @@ def main(argv: list[str] | None = None) -> int:
             silver_job(spark)
         elif args[0] == "gold":
             gold_job(spark)
+        elif args[0] == "gold-live":
+            gold_live_job(spark)
         else:
             for row in kpi_job(spark).collect():  # one row
                 print(row.asDict())

@@ -147,6 +147,46 @@ def start_live_gold_all(
     return start_live_gold(silver, gold.aggregate_all, path, checkpoint, trigger)
 
 
+class GoldTablesSink:
+    """``foreachBatch`` callback (complete mode over ``aggregate_all``): rewrite the
+    nine gold tables each trigger, in the layout of the batch gold job.
+
+    The aggregate batch is written once to ``<root>/_aggregate``; the nine small
+    tables are then cut from that file, so the stateful plan runs once per trigger.
+    """
+
+    def __init__(self, root: str, fmt: str = "json"):
+        self.root = root.rstrip("/")
+        self.fmt = fmt
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        from visitflow.operators import gold
+        from visitflow.sinks.files import write_gold
+
+        agg_path = f"{self.root}/_aggregate"
+        batch.write.mode("overwrite").parquet(agg_path)
+        tables = gold.split(batch.sparkSession.read.parquet(agg_path), ordered=False)
+        for name, df in tables.items():
+            order = None if name in gold.LIMITED else gold.table_order(name)
+            write_gold(df, self.root, name, fmt=self.fmt, order=order)
+
+
+def start_gold_tables_stream(
+    silver: DataFrame, root: str, checkpoint: str, trigger: dict | None = None, fmt: str = "json"
+) -> StreamingQuery:
+    """Keep the nine gold tables under ``root`` current from a silver stream."""
+    from visitflow.operators import gold
+
+    return (
+        gold.aggregate_all(silver)
+        .writeStream.outputMode("complete")
+        .foreachBatch(GoldTablesSink(root, fmt))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "1 minute"}))
+        .start()
+    )
+
+
 def read_live_gold(spark: SparkSession, path: str, ordered: bool = True) -> dict[str, DataFrame]:
     """The nine gold tables from the table written by ``start_live_gold_all``."""
     from visitflow.operators import gold
