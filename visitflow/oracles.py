@@ -262,6 +262,7 @@ FROM ({GOLD_BODIES['age_group_summary']})"""
     q["stream_silver"] = q["silver_visits"]
     q["stream_gold_severity"] = q["gold_severity_summary"]
     q["stream_gold_all"] = q["gold_one_pass"]
+    q["stream_gold_tables"] = q["gold_one_pass"]
     # Bounded dedupe leaves out rows without a parsable time (on both sides).
     q["stream_silver_bounded"] = _with(
         f"SELECT {silver_cols} FROM silver",

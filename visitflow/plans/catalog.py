@@ -32,7 +32,7 @@ from visitflow.session import materialize, scratch_path
 from visitflow.sinks.files import SilverBatchSink, encode, write_partitioned, write_replay_files
 from visitflow.sources.fixture import REDELIVERY_OFFSET, read_bronze
 from visitflow.sources.messages import decode, replay_stream
-from visitflow.sources.tables import read_gold, read_silver
+from visitflow.sources.tables import read_gold, read_silver, read_silver_stream
 from visitflow.streaming import silver as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -302,6 +302,33 @@ def stream_gold_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.stacked(spark.read.parquet(out))
 
 
+def stream_gold_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incremental gold: the nine JSON tables kept from the silver table's new files.
+
+    Silver is written by the micro-batch sink in two batches that together hold
+    every silver row (patients under 50, then the rest; silver has no null age);
+    after each, the gold stream reads only the new files.
+    """
+    silver_root = scratch_path(spark, "stream-gold-tables-silver")
+    gold_root = scratch_path(spark, "stream-gold-tables-gold")
+    checkpoint = scratch_path(spark, "stream-gold-tables-checkpoint")
+    sink = SilverBatchSink(silver_root)
+    s = _silver(spark, sf_dir)
+    halves = [s.filter(F.col("age") < 50), s.filter(F.col("age") >= 50)]
+    for batch_id, part in enumerate(halves):
+        sink(part, batch_id)
+        streams.run_to_end(
+            streams.start_gold_tables_stream(
+                read_silver_stream(spark, silver_root),
+                gold_root,
+                checkpoint,
+                trigger={"availableNow": True},
+            ),
+            STREAM_TIMEOUT_S,
+        )
+    return gold.stack(read_gold(spark, gold_root))
+
+
 def stream_daily_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily table kept by a streaming aggregate with per-day upserts."""
     out = scratch_path(spark, "stream-daily-trends")
@@ -348,5 +375,6 @@ QUERIES: dict[str, Query] = {
     "stream_silver_bounded": stream_silver_bounded,
     "stream_gold_severity": stream_gold_severity,
     "stream_gold_all": stream_gold_all,
+    "stream_gold_tables": stream_gold_tables,
     "stream_daily_trends": stream_daily_trends,
 }
