@@ -208,3 +208,17 @@ def test_live_gold_from_silver_table_is_incremental(spark):
     live = sorted(map(tuple, gold.stacked(spark.read.parquet(out)).collect()), key=repr)
     batch = sorted(map(tuple, gold.stacked(gold.aggregate_all(s)).collect()), key=repr)
     assert live == batch
+
+
+def test_append_layout_without_batch_dirs(spark):
+    from conftest import bronze_rows
+
+    out = scratch_path(spark, "t-append")
+    sink = SilverBatchSink(out, fmt="json", per_batch_dirs=False)
+    sink(silver.clean(bronze_rows(spark, [valid_row(id="a")])), 0)
+    sink(silver.clean(bronze_rows(spark, [valid_row(id="b", age=80)])), 1)
+    import os
+
+    dirs = sorted(d for d in os.listdir(out.replace("file:", "")) if d.startswith("age_group="))
+    assert dirs == ["age_group=ELDERLY", "age_group=MIDDLE_AGED"]  # no batch_id level
+    assert sorted(r["id"] for r in read_silver(spark, out, fmt="json").collect()) == ["a", "b"]

@@ -45,23 +45,31 @@ class SilverBatchSink:
     # Row counts of the most recent batches kept for callers (bounded history).
     KEEP_COUNTS = 1000
 
-    def __init__(self, root: str, fmt: str = "parquet", files: int | None = None):
+    def __init__(
+        self,
+        root: str,
+        fmt: str = "parquet",
+        files: int | None = None,
+        per_batch_dirs: bool = True,
+    ):
+        """``per_batch_dirs=False`` appends straight under ``<root>/age_group=<band>/``
+        (the layout of the pipeline this replaces); that is *not* idempotent: a
+        replayed batch is appended twice."""
         self.root = root.rstrip("/")
         self.fmt = fmt
         self.files = files
+        self.per_batch_dirs = per_batch_dirs
         self.counts: dict[int, int] = {}
         self._tag = uuid.uuid4().hex[:12]  # observation names stay unique per sink
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         obs = Observation(f"silver_{self._tag}_{batch_id}")
         observed = batch.observe(obs, F.count(F.lit(1)).alias("rows"))
-        write_partitioned(
-            observed,
-            f"{self.root}/batch_id={batch_id}",
-            fmt=self.fmt,
-            mode="overwrite",
-            files=self.files,
-        )
+        if self.per_batch_dirs:
+            path, mode = f"{self.root}/batch_id={batch_id}", "overwrite"
+        else:
+            path, mode = self.root, "append"
+        write_partitioned(observed, path, fmt=self.fmt, mode=mode, files=self.files)
         rows = int(obs.get.get("rows", 0) or 0)
         self.counts[batch_id] = rows
         if len(self.counts) > self.KEEP_COUNTS:
