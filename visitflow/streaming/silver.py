@@ -1,12 +1,15 @@
 """Structured Streaming: silver from a message stream, live gold aggregates.
 
 * ``start_silver`` — decode, dedupe (state store, unbounded as in the
-  reference, or bounded by a watermark), validate, standardise, then an
-  idempotent ``foreachBatch`` sink (a replayed batch id overwrites itself).
+  reference, bounded by a watermark, or salted for hot ids), validate,
+  standardise, then an idempotent ``foreachBatch`` sink (a replayed batch id
+  overwrites itself).
 * ``start_live_gold`` — a streaming aggregate over the silver stream in
   ``complete`` mode; each trigger replaces the small result table.
   ``start_live_gold_all`` keeps all nine gold tables this way, from one
-  GROUPING SETS state.
+  GROUPING SETS state; ``start_gold_tables_stream`` also rewrites the nine JSON
+  gold tables each trigger (fed by the silver stream or by the silver table's
+  new files).
 * ``start_daily_trends`` — per-day aggregate in ``update`` mode; each trigger
   overwrites only the days it changed (dynamic partition overwrite), so the
   table is always the latest value per day.
