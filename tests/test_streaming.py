@@ -222,3 +222,27 @@ def test_append_layout_without_batch_dirs(spark):
     dirs = sorted(d for d in os.listdir(out.replace("file:", "")) if d.startswith("age_group="))
     assert dirs == ["age_group=ELDERLY", "age_group=MIDDLE_AGED"]  # no batch_id level
     assert sorted(r["id"] for r in read_silver(spark, out, fmt="json").collect()) == ["a", "b"]
+
+
+def test_daily_trends_late_record_updates_its_day(spark):
+    import datetime as dt
+
+    root = scratch_path(spark, "t-late")
+    inbox, out, ckpt = root.replace("file:", "") + "/inbox", root + "/out", root + "/ckpt"
+
+    def run():
+        q = streams.start_daily_trends(
+            streams.silver_stream(replay_stream(spark, inbox, 1)), out, ckpt,
+            trigger={"availableNow": True},
+        )
+        streams.run_to_end(q, 300)
+
+    _write_lines(inbox, [
+        valid_row(id="a", timestamp="2024-01-01T08:00:00", delivery_seq=1),
+        valid_row(id="b", timestamp="2024-03-01T08:00:00", delivery_seq=2),
+    ])
+    run()
+    _write_lines(inbox, [valid_row(id="c", timestamp="2024-01-01T09:00:00", delivery_seq=3)])
+    run()  # two months late: still counted on its own day
+    days = {r["date"]: r["patient_per_day"] for r in spark.read.parquet(out).collect()}
+    assert days == {dt.date(2024, 1, 1): 2, dt.date(2024, 3, 1): 1}
