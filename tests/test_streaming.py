@@ -246,3 +246,21 @@ def test_daily_trends_late_record_updates_its_day(spark):
     run()  # two months late: still counted on its own day
     days = {r["date"]: r["patient_per_day"] for r in spark.read.parquet(out).collect()}
     assert days == {dt.date(2024, 1, 1): 2, dt.date(2024, 3, 1): 1}
+
+
+def test_rocksdb_state_gives_same_silver(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    try:
+        streams.use_rocksdb_state(spark)
+        bronze = read_bronze(spark, SMALL)
+        inbox, out, ckpt = (scratch_path(spark, f"t-rocks-{x}") for x in ("in", "out", "ck"))
+        write_replay_files(bronze, inbox)
+        q = streams.start_silver(
+            replay_stream(spark, inbox, 16), SilverBatchSink(out), ckpt,
+            trigger={"availableNow": True},
+        )
+        streams.run_to_end(q, 300)
+        assert _stable_rows(read_silver(spark, out)) == _stable_rows(silver.clean(bronze))
+    finally:
+        spark.conf.set(key, before)
