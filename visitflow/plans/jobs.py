@@ -174,6 +174,20 @@ def kpi_job(spark: SparkSession, cfg: JobConfig | None = None) -> DataFrame:
     return kpis_from_gold(spark, cfg.gold_path)
 
 
+def _stop_streams_on_signal(spark: SparkSession) -> None:
+    """On SIGTERM / SIGINT stop the running streams, so the job ends cleanly; the
+    checkpoint keeps the last committed batch and a restart resumes from it."""
+    import signal
+
+    def stop(signum, _frame):
+        log.warning("signal %d: stopping %d stream(s)", signum, len(spark.streams.active))
+        for query in spark.streams.active:
+            query.stop()
+
+    for sig in (signal.SIGTERM, signal.SIGINT):
+        signal.signal(sig, stop)
+
+
 def main(argv: list[str] | None = None) -> int:
     import sys
 
@@ -183,6 +197,7 @@ def main(argv: list[str] | None = None) -> int:
         return 2
     logging.basicConfig(level=logging.INFO, format="%(asctime)s [%(levelname)s] %(message)s")
     spark = SparkSession.builder.appName(f"visitflow-{args[0]}").getOrCreate()
+    _stop_streams_on_signal(spark)
     try:
         if args[0] == "silver":
             silver_job(spark)
