@@ -53,6 +53,7 @@ def test_cli_gold_without_silver_exits_1(spark, monkeypatch):
     monkeypatch.setenv("GOLD_OUTPUT_PATH", scratch_path(spark, "cli-gold"))
     # main() stops the session it gets; give it a throwaway handle to the shared one.
     monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    monkeypatch.setattr(jobs, "_stop_streams_on_signal", lambda spark: None)
     assert jobs.main(["gold"]) == 1
     assert jobs.main([]) == 2
 
