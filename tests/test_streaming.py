@@ -264,3 +264,19 @@ def test_rocksdb_state_gives_same_silver(spark):
         assert _stable_rows(read_silver(spark, out)) == _stable_rows(silver.clean(bronze))
     finally:
         spark.conf.set(key, before)
+
+
+def test_malformed_lines_in_stream_are_dropped(spark):
+    root = scratch_path(spark, "t-junk")
+    inbox, out, ckpt = root.replace("file:", "") + "/inbox", root + "/out", root + "/ckpt"
+    import os
+
+    os.makedirs(inbox, exist_ok=True)
+    good = json.dumps(valid_row(id="ok", delivery_seq=1))
+    with open(f"{inbox}/part-000.json", "w") as fh:
+        fh.write("not json\n" + good + "\n" + '{"id": "cut", "age": 4' + "\n\n[1, 2]\n")
+    q = streams.start_silver(
+        replay_stream(spark, inbox, 1), SilverBatchSink(out), ckpt, trigger={"availableNow": True}
+    )
+    streams.run_to_end(q, 300)
+    assert [r["id"] for r in read_silver(spark, out).collect()] == ["ok"]

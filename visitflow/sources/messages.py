@@ -45,18 +45,26 @@ def kafka_options(
     return opts
 
 
+def from_kafka_rows(raw: DataFrame) -> DataFrame:
+    """Kafka rows -> ``json_data`` (binary value cast to text) + ``delivery_seq`` (offset).
+
+    Key, topic, partition and timestamp are not used, as in the pipeline this replaces.
+    """
+    return raw.select(
+        F.col("value").cast("string").alias("json_data"),
+        F.col("offset").alias(DELIVERY_SEQ),
+    )
+
+
 def kafka_stream(spark: SparkSession, **options) -> DataFrame:
     """Streaming Kafka scan, with the envelope reduced to ``json_data`` + arrival order.
 
     ``delivery_seq`` is the Kafka offset, which orders deliveries within one
-    topic partition (the reference producer sets no key, so there is no
+    topic partition (the producer sets no message key, so there is no
     cross-partition order to keep).
     """
     raw = spark.readStream.format("kafka").options(**kafka_options(**options)).load()
-    return raw.select(
-        F.col("value").cast("string").alias("json_data"),
-        F.col("offset").alias(DELIVERY_SEQ),
-    )
+    return from_kafka_rows(raw)
 
 
 def kafka_batch(
@@ -69,11 +77,7 @@ def kafka_batch(
     (e.g. the Kafka ``timestamp`` first).
     """
     opts = kafka_options(bootstrap_servers, topic, starting_offsets, max_offsets_per_trigger=None)
-    raw = spark.read.format("kafka").options(**opts).load()
-    return raw.select(
-        F.col("value").cast("string").alias("json_data"),
-        F.col("offset").alias(DELIVERY_SEQ),
-    )
+    return from_kafka_rows(spark.read.format("kafka").options(**opts).load())
 
 
 def replay_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
