@@ -123,3 +123,17 @@ def test_round1_ratio_is_exact_half_up(spark, pairs, scale):
         for n, d in pairs
     ]
     assert got == want
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(ROW, min_size=1, max_size=25))
+def test_one_pass_gold_equals_builders(spark, rows):
+    """On any silver, the one-pass tables equal the nine separate aggregations."""
+    from visitflow.plans.batch import build_gold
+
+    rows = [dict(r, doctor_id=1000 + i % 3, diagnosis_code=r["gender"]) for i, r in enumerate(rows)]
+    s = silver.clean(bronze_rows(spark, rows))
+    one = build_gold(s, one_pass=True)
+    sep = build_gold(s, one_pass=False)
+    for name in sep:
+        assert one[name].collect() == sep[name].collect(), name
