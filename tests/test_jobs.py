@@ -83,3 +83,25 @@ def test_gold_live_job_matches_batch_gold(spark):
     assert set(live) == set(batch) == set(gold.BUILDERS)
     for name in batch:
         assert live[name].collect() == batch[name].collect(), name  # same rows, same order
+
+
+def test_report_job_writes_dashboard_tables(spark):
+    from visitflow.operators import report as report_ops
+    from visitflow.plans.batch import REPORT_TABLES
+    from visitflow.plans.jobs import report_job
+
+    s = silver.clean(read_bronze(spark, SMALL))
+    silver_path, gold_root = scratch_path(spark, "rep-silver"), scratch_path(spark, "rep-gold")
+    from visitflow.plans.batch import write_silver
+
+    write_silver(s, silver_path)
+    gold_job(spark, JobConfig(silver_path=silver_path, gold_path=gold_root))
+    root = report_job(spark, JobConfig(gold_path=gold_root))
+    for name in REPORT_TABLES:
+        assert spark.read.json(f"{root}/{name}").count() > 0, name
+    kpi = spark.read.json(f"{root}/kpi_summary").collect()[0]
+    expected = report_ops.kpi_from_silver(s).collect()[0]
+    assert kpi["total_patients"] == expected["total_patients"]
+    assert kpi["severe_pct"] == expected["severe_pct"]
+    labels = spark.read.json(f"{root}/top_doctors_labelled").columns
+    assert set(labels) == {"Doctor Id", "Doctor Name", "Patients Treated"}

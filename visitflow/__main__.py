@@ -1,4 +1,4 @@
-"""``python -m visitflow silver|gold|gold-live|kpi``."""
+"""``python -m visitflow silver|gold|gold-live|kpi|report``."""
 
 import sys
 

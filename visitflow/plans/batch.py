@@ -89,6 +89,34 @@ def run_gold(spark: SparkSession, silver_path: str, gold_root: str, silver_fmt:
     return write_gold_tables(silver_df, gold_root)
 
 
+REPORT_TABLES = ("kpi_summary", "gender_share", "severity_risk", "top_doctors_labelled",
+                 "age_group_numeric")
+
+
+def report_tables(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
+    """The data behind the dashboard, from written gold tables (absent tables -> empty)."""
+    tables = read_gold(spark, gold_root)
+
+    def table(name: str) -> DataFrame:
+        if name in tables:
+            return tables[name]
+        return spark.createDataFrame([], GOLD_SCHEMAS[name])
+
+    return {
+        "kpi_summary": kpis_from_gold(spark, gold_root),
+        "gender_share": report.gender_share(table("gender_summary")),
+        "severity_risk": report.severity_risk(table("age_group_summary")),
+        "top_doctors_labelled": report.labelled(table("top_doctors")),
+        "age_group_numeric": report.numeric_view(table("age_group_summary")),
+    }
+
+
+def write_report(spark: SparkSession, gold_root: str, report_root: str, fmt: str = "json") -> None:
+    """Write the report tables, one small file each (overwriting the previous ones)."""
+    for name, df in report_tables(spark, gold_root).items():
+        write_gold(df, report_root, name, fmt=fmt)
+
+
 def kpis_from_gold(spark: SparkSession, gold_root: str) -> DataFrame:
     """KPI row from written gold tables; an absent table contributes zeros."""
     tables = read_gold(spark, gold_root, ["age_group_summary", "gender_summary"])
@@ -104,6 +132,8 @@ __all__ = [
     "build_gold",
     "build_silver",
     "kpis_from_gold",
+    "report_tables",
+    "write_report",
     "run_gold",
     "write_gold_tables",
     "write_silver",

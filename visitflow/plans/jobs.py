@@ -22,6 +22,7 @@ variable                          meaning                     default
 ``SILVER_FILES_PER_BATCH``        writers per micro-batch     off (one per state partition)
 ``GOLD_CHECKPOINT_PATH``          live gold checkpoint        (required for gold-live)
 ``GOLD_TRIGGER_INTERVAL``         live gold refresh interval  ``1 minute``
+``REPORT_OUTPUT_PATH``            dashboard data tables       ``<GOLD_OUTPUT_PATH>/_report``
 ================================  ==========================  =======================
 
 Run with ``spark-submit --py-files visitflow.zip visitflow/__main__.py silver|gold|gold-live|kpi``
@@ -38,7 +39,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from visitflow.plans.batch import kpis_from_gold, run_gold
+from visitflow.plans.batch import kpis_from_gold, run_gold, write_report
 from visitflow.sinks.files import SilverBatchSink
 from visitflow.sources import messages
 from visitflow.sources.tables import MissingInputError
@@ -79,6 +80,7 @@ class JobConfig:
     gold_trigger_interval: str = field(
         default_factory=lambda: _env("GOLD_TRIGGER_INTERVAL", "1 minute")
     )
+    report_path: str | None = field(default_factory=lambda: _env("REPORT_OUTPUT_PATH"))
     files_per_batch: int | None = field(
         default_factory=lambda: int(_env("SILVER_FILES_PER_BATCH", "0")) or None
     )
@@ -188,12 +190,22 @@ def _stop_streams_on_signal(spark: SparkSession) -> None:
         signal.signal(sig, stop)
 
 
+def report_job(spark: SparkSession, cfg: JobConfig | None = None) -> str:
+    """Write the dashboard's data tables from the gold tables; returns their folder."""
+    cfg = cfg or JobConfig()
+    cfg.require("gold_path")
+    root = cfg.report_path or f"{cfg.gold_path.rstrip('/')}/_report"
+    write_report(spark, cfg.gold_path, root)
+    log.info("report tables written to %s", root)
+    return root
+
+
 def main(argv: list[str] | None = None) -> int:
     import sys
 
     args = list(sys.argv[1:] if argv is None else argv)
-    if not args or args[0] not in ("silver", "gold", "gold-live", "kpi"):
-        print("usage: python -m visitflow silver|gold|gold-live|kpi", file=sys.stderr)
+    if not args or args[0] not in ("silver", "gold", "gold-live", "kpi", "report"):
+        print("usage: python -m visitflow silver|gold|gold-live|kpi|report", file=sys.stderr)
         return 2
     logging.basicConfig(level=logging.INFO, format="%(asctime)s [%(levelname)s] %(message)s")
     spark = SparkSession.builder.appName(f"visitflow-{args[0]}").getOrCreate()
@@ -205,6 +217,8 @@ def main(argv: list[str] | None = None) -> int:
             gold_job(spark)
         elif args[0] == "gold-live":
             gold_live_job(spark)
+        elif args[0] == "report":
+            report_job(spark)
         else:
             for row in kpi_job(spark).collect():  # one row
                 print(row.asDict())
