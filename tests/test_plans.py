@@ -55,3 +55,9 @@ def test_stacked_one_pass_has_three_branches(spark):
     # One projection for the seven unlimited tables, one top-k per limited table.
     assert p.count("TakeOrderedAndProject") == 2
     assert p.count("Expand [") == 3  # the (uncheckpointed) aggregate under each branch
+
+
+def test_gold_prunes_columns_through_the_dedupe(spark):
+    s = silver.clean(read_bronze(spark, SMALL))
+    assert "ReadSchema: struct<event_id:bigint,user_id:bigint>" in _plan(gold.severity_summary(s))
+    assert "ts:timestamp_ntz" in _plan(gold.daily_trends(s))  # only the daily table needs it
