@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import logging
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,9 @@ from visitflow.sources.tables import MissingInputError, read_gold, read_silver
 
 log = logging.getLogger(__name__)
 
+# Gold tables are written as concurrent jobs from this many driver threads.
+GOLD_WRITE_THREADS = 9
+
 
 def build_silver(bronze: DataFrame, dedupe: str = "before_validation") -> DataFrame:
     """Decoded bronze rows -> silver rows (see ``operators.silver.clean``)."""
@@ -72,14 +76,20 @@ def write_gold_tables(
 def _write_all(
     tables: dict[str, DataFrame], root: str, fmt: str, sort_in_writer: bool = False
 ) -> dict[str, int]:
-    counts = {}
+    """Write the tables as concurrent Spark jobs (each is small and latency-bound)."""
     tag = uuid.uuid4().hex[:12]
-    for name, df in tables.items():
+
+    def write_one(name: str) -> int:
+        df = tables[name]
         obs = Observation(f"gold_{tag}_{name}")
         order = gold.table_order(name) if sort_in_writer and name not in gold.LIMITED else None
         write_gold(df.observe(obs, F.count(F.lit(1)).alias("rows")), root, name, fmt=fmt, order=order)
-        counts[name] = int(obs.get.get("rows", 0) or 0)
-        log.info("gold table %s: %d rows", name, counts[name])
+        rows = int(obs.get.get("rows", 0) or 0)
+        log.info("gold table %s: %d rows", name, rows)
+        return rows
+
+    with ThreadPoolExecutor(max_workers=min(len(tables), GOLD_WRITE_THREADS) or 1) as pool:
+        counts = dict(zip(tables, pool.map(write_one, tables)))
     return counts
 
 
