@@ -10,22 +10,18 @@ counts come from observations on the writes, not from recounts.
 from __future__ import annotations
 
 import logging
-import uuid
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitflow.operators import gold, report, silver
 from visitflow.schema import GOLD_SCHEMAS
-from visitflow.sinks.files import write_gold, write_partitioned
+from visitflow.sinks.files import write_partitioned, write_tables
 from visitflow.session import materialize
 from visitflow.sources.tables import MissingInputError, read_gold, read_silver
 
 log = logging.getLogger(__name__)
 
-# Gold tables are written as concurrent jobs from this many driver threads.
-GOLD_WRITE_THREADS = 9
 
 
 def build_silver(bronze: DataFrame, dedupe: str = "before_validation") -> DataFrame:
@@ -76,21 +72,10 @@ def write_gold_tables(
 def _write_all(
     tables: dict[str, DataFrame], root: str, fmt: str, sort_in_writer: bool = False
 ) -> dict[str, int]:
-    """Write the tables as concurrent Spark jobs (each is small and latency-bound)."""
-    tag = uuid.uuid4().hex[:12]
-
-    def write_one(name: str) -> int:
-        df = tables[name]
-        obs = Observation(f"gold_{tag}_{name}")
-        order = gold.table_order(name) if sort_in_writer and name not in gold.LIMITED else None
-        write_gold(df.observe(obs, F.count(F.lit(1)).alias("rows")), root, name, fmt=fmt, order=order)
-        rows = int(obs.get.get("rows", 0) or 0)
-        log.info("gold table %s: %d rows", name, rows)
-        return rows
-
-    with ThreadPoolExecutor(max_workers=min(len(tables), GOLD_WRITE_THREADS) or 1) as pool:
-        counts = dict(zip(tables, pool.map(write_one, tables)))
-    return counts
+    orders = (
+        {n: gold.table_order(n) for n in tables if n not in gold.LIMITED} if sort_in_writer else {}
+    )
+    return write_tables(tables, root, fmt=fmt, orders=orders)
 
 
 def run_gold(spark: SparkSession, silver_path: str, gold_root: str, silver_fmt: str = "parquet") -> dict[str, int]:
@@ -123,8 +108,7 @@ def report_tables(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
 
 def write_report(spark: SparkSession, gold_root: str, report_root: str, fmt: str = "json") -> None:
     """Write the report tables, one small file each (overwriting the previous ones)."""
-    for name, df in report_tables(spark, gold_root).items():
-        write_gold(df, report_root, name, fmt=fmt)
+    write_tables(report_tables(spark, gold_root), report_root, fmt=fmt)
 
 
 def kpis_from_gold(spark: SparkSession, gold_root: str) -> DataFrame:

@@ -164,14 +164,13 @@ class GoldTablesSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         from visitflow.operators import gold
-        from visitflow.sinks.files import write_gold
+        from visitflow.sinks.files import write_tables
 
         agg_path = f"{self.root}/_aggregate"
         batch.write.mode("overwrite").parquet(agg_path)
         tables = gold.split(batch.sparkSession.read.parquet(agg_path), ordered=False)
-        for name, df in tables.items():
-            order = None if name in gold.LIMITED else gold.table_order(name)
-            write_gold(df, self.root, name, fmt=self.fmt, order=order)
+        orders = {n: gold.table_order(n) for n in tables if n not in gold.LIMITED}
+        write_tables(tables, self.root, fmt=self.fmt, orders=orders)
 
 
 def start_gold_tables_stream(
