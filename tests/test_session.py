@@ -37,14 +37,14 @@ class _Session:
 
 
 def test_uses_directory_already_set():
-    sc = _Context("yarn", checkpoint_dir="hdfs://nn/ckpt/abc")
-    assert checkpoint_root(_Session(sc)) == "hdfs://nn/ckpt/abc"
+    sc = _Context("yarn", checkpoint_dir="hdfs://namenode/checkpoints/app")
+    assert checkpoint_root(_Session(sc)) == "hdfs://namenode/checkpoints/app"
 
 
 def test_uses_configured_shared_folder():
-    sc = _Context("k8s://x", conf={"spark.checkpoint.dir": "s3a://bucket/ckpt"})
-    assert checkpoint_root(_Session(sc)) == "s3a://bucket/ckpt"
-    assert sc.getCheckpointDir() == "s3a://bucket/ckpt"
+    sc = _Context("k8s://x", conf={"spark.checkpoint.dir": "file:///shared/checkpoints"})
+    assert checkpoint_root(_Session(sc)) == "file:///shared/checkpoints"
+    assert sc.getCheckpointDir() == "file:///shared/checkpoints"
 
 
 def test_refuses_local_folder_on_a_cluster():
