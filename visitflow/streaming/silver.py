@@ -50,7 +50,8 @@ def silver_stream(
     """Streaming silver rows from a stream of JSON messages (column ``json_data``).
 
     ``bounded_delay=None``: unbounded dedupe on ``id`` (reference semantics);
-    ``salt_buckets`` spreads hot ids over that many state partitions first.
+    ``salt_buckets`` spreads hot ids over that many state partitions first
+    (unbounded variant only).
     Otherwise dedupe within a watermark on the record's own time; rows without
     a parsable time cannot be bounded and are left out of this variant.
     """
