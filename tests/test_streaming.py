@@ -250,7 +250,8 @@ def test_daily_trends_late_record_updates_its_day(spark):
 
 def test_rocksdb_state_gives_same_silver(spark):
     key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key)
+    changelog = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+    before, before_changelog = spark.conf.get(key), spark.conf.get(changelog)
     try:
         streams.use_rocksdb_state(spark)
         bronze = read_bronze(spark, SMALL)
@@ -264,6 +265,7 @@ def test_rocksdb_state_gives_same_silver(spark):
         assert _stable_rows(read_silver(spark, out)) == _stable_rows(silver.clean(bronze))
     finally:
         spark.conf.set(key, before)
+        spark.conf.set(changelog, before_changelog)
 
 
 def test_malformed_lines_in_stream_are_dropped(spark):
