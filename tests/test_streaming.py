@@ -251,7 +251,7 @@ def test_daily_trends_late_record_updates_its_day(spark):
 def test_rocksdb_state_gives_same_silver(spark):
     key = "spark.sql.streaming.stateStore.providerClass"
     changelog = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
-    before, before_changelog = spark.conf.get(key), spark.conf.get(changelog)
+    before, before_changelog = spark.conf.get(key), spark.conf.get(changelog, None)
     try:
         streams.use_rocksdb_state(spark)
         bronze = read_bronze(spark, SMALL)
@@ -265,7 +265,10 @@ def test_rocksdb_state_gives_same_silver(spark):
         assert _stable_rows(read_silver(spark, out)) == _stable_rows(silver.clean(bronze))
     finally:
         spark.conf.set(key, before)
-        spark.conf.set(changelog, before_changelog)
+        if before_changelog is None:
+            spark.conf.unset(changelog)
+        else:
+            spark.conf.set(changelog, before_changelog)
 
 
 def test_malformed_lines_in_stream_are_dropped(spark):
