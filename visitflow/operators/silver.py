@@ -16,7 +16,8 @@ Scale notes
   pushes it below the window: null and empty ids never reach the shuffle.
   The age/lab checks stay above the dedupe, which is what keeps the order rule.
 * On a stream the dedupe is the state-store ``dropDuplicates(["id"])``; arrival
-  order across micro-batches decides which delivery wins.
+  order across micro-batches decides which delivery wins. ``salt_buckets``
+  adds a first ``(id, salt)`` stage so a hot id is spread over several tasks.
 * All standardisation is one ``select`` of built-in expressions.
 """
 
