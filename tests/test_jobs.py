@@ -105,3 +105,15 @@ def test_report_job_writes_dashboard_tables(spark):
     assert kpi["severe_pct"] == expected["severe_pct"]
     labels = spark.read.json(f"{root}/top_doctors_labelled").columns
     assert set(labels) == {"Doctor Id", "Doctor Name", "Patients Treated"}
+
+
+def test_report_job_without_gold_tables_gives_zero_kpis(spark):
+    import os
+
+    from visitflow.plans.jobs import report_job
+
+    gold_root = scratch_path(spark, "rep-empty-gold")
+    os.makedirs(gold_root.replace("file:", ""), exist_ok=True)
+    root = report_job(spark, JobConfig(gold_path=gold_root))
+    kpi = spark.read.json(f"{root}/kpi_summary").collect()
+    assert len(kpi) == 1 and kpi[0]["total_patients"] == 0 and kpi[0]["male_pct"] == 0.0
