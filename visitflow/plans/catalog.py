@@ -157,11 +157,25 @@ def silver_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- gold
 
 
+_GOLD_IDS = {
+    "severity_summary": "A1",
+    "age_group_summary": "A2",
+    "gender_summary": "A3",
+    "wbc_summary": "A4",
+    "hgb_summary": "A5",
+    "daily_trends": "A6, P12",
+    "top_doctors": "A7, O4",
+    "diagnosis_summary": "A8, O4",
+    "allergy_summary": "A9",
+}
+
+
 def _gold(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return gold.BUILDERS[name](_silver(spark, sf_dir))
 
     run.__name__ = f"gold_{name}"
+    run.__doc__ = f"{_GOLD_IDS[name]}: the {name} gold table, one aggregate over silver."
     return run
 
 
