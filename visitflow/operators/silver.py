@@ -68,8 +68,10 @@ def dedupe_within_watermark(
     """Stream dedupe with bounded state: ids are forgotten once the watermark passes.
 
     A redelivery that arrives more than ``delay`` after the watermark has moved
-    past its first delivery is *not* suppressed. Rows whose event time is null
-    are never late and are emitted; filter them first if that matters.
+    past its first delivery is *not* suppressed. A record whose event time is
+    older than the watermark (latest event time seen minus ``delay``) is dropped
+    as late, so ``delay`` must exceed the stream's disorder. Rows whose event
+    time is null are never late and are emitted; filter them first if that matters.
     """
     return df.withWatermark(time_col, delay).dropDuplicatesWithinWatermark([key])
 
