@@ -196,6 +196,11 @@ FROM sums"""
 
 
 def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL per registered query, same column names and types as the Spark result.
+
+    Stream queries share the batch texts (a stream must end with the batch result);
+    the bounded stream leaves out rows without a parsable time on both sides.
+    """
     silver_cols = (
         "delivery_seq, " + BRONZE_COLS + ", age_group, wbc_status, hgb_status, severity_score, "
         "data_quality_status"
