@@ -125,7 +125,7 @@ def test_round1_ratio_is_exact_half_up(spark, pairs, scale):
     assert got == want
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(ROW, min_size=1, max_size=25))
 def test_one_pass_gold_equals_builders(spark, rows):
     """On any silver, the one-pass tables equal the nine separate aggregations."""
