@@ -3,29 +3,30 @@
 Configuration comes from environment variables (same names as the pipeline
 they replace) and can be overridden by keyword arguments:
 
-================================  ==========================  =======================
-variable                          meaning                     default
-================================  ==========================  =======================
-``KAFKA_BOOTSTRAP_SERVERS``       Kafka brokers               ``localhost:9092``
-``KAFKA_TOPIC``                   topic of visit messages     ``test_Topic``
-``SILVER_OUTPUT_PATH``            silver table                (required)
-``CHECKPOINT_PATH``               silver stream checkpoint    (required)
-``TRIGGER_INTERVAL``              micro-batch interval        ``10 seconds``
-``MAX_OFFSETS_PER_TRIGGER``       messages per micro-batch    ``200``
-``GOLD_OUTPUT_PATH``              gold tables root            (required)
-``SILVER_SOURCE``                 ``kafka`` or ``files``      ``kafka``
-``SILVER_INPUT_PATH``             replay files (``files``)    —
-``SILVER_FORMAT``                 silver file format          ``parquet``
-``DEDUPE_SALT_BUCKETS``           salted stream dedupe        off
-``KAFKA_MIN_PARTITIONS``          split hot topic partitions  off
-``DEDUPE_WATERMARK_DELAY``        bounded dedupe (e.g. 7 days) off (unbounded)
-``SILVER_FILES_PER_BATCH``        writers per micro-batch     off (one per state partition)
-``GOLD_CHECKPOINT_PATH``          live gold checkpoint        (required for gold-live)
-``GOLD_TRIGGER_INTERVAL``         live gold refresh interval  ``1 minute``
-``REPORT_OUTPUT_PATH``            dashboard data tables       ``<GOLD_OUTPUT_PATH>/_report``
-================================  ==========================  =======================
-
-Run with ``spark-submit --py-files visitflow.zip visitflow/__main__.py silver|gold|gold-live|kpi``
+===========================  ==========================  ==============================
+variable                     meaning                     default
+===========================  ==========================  ==============================
+``KAFKA_BOOTSTRAP_SERVERS``  Kafka brokers               ``localhost:9092``
+``KAFKA_TOPIC``              topic of visit messages     ``test_Topic``
+``SILVER_OUTPUT_PATH``       silver table                (required)
+``CHECKPOINT_PATH``          silver stream checkpoint    (required)
+``TRIGGER_INTERVAL``         micro-batch interval        ``10 seconds``
+``MAX_OFFSETS_PER_TRIGGER``  messages per micro-batch    ``200``
+``GOLD_OUTPUT_PATH``         gold tables root            (required)
+``SILVER_SOURCE``            ``kafka`` or ``files``      ``kafka``
+``SILVER_INPUT_PATH``        replay files (``files``)    -
+``SILVER_FORMAT``            silver file format          ``parquet``
+``SILVER_FILES_PER_BATCH``   writers per micro-batch     off (one per state partition)
+``DEDUPE_WATERMARK_DELAY``   bounded dedupe delay        off (unbounded)
+``DEDUPE_SALT_BUCKETS``      salted stream dedupe        off
+``KAFKA_MIN_PARTITIONS``     split hot topic partitions  off
+``GOLD_CHECKPOINT_PATH``     live gold checkpoint        (required for gold-live)
+``GOLD_TRIGGER_INTERVAL``    live gold refresh interval  ``1 minute``
+``REPORT_OUTPUT_PATH``       dashboard data tables       ``<GOLD_OUTPUT_PATH>/_report``
+===========================  ==========================  ==============================
+
+Run with ``spark-submit --py-files visitflow.zip visitflow/__main__.py <job>`` (jobs:
+``silver``, ``gold``, ``gold-live``, ``kpi``, ``report``)
 or ``python -m visitflow …``.
 The session comes from ``SparkSession.builder.getOrCreate()``, so the master
 and cluster settings are those of the submit command.
