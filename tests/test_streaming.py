@@ -285,3 +285,18 @@ def test_malformed_lines_in_stream_are_dropped(spark):
     )
     streams.run_to_end(q, 300)
     assert [r["id"] for r in read_silver(spark, out).collect()] == ["ok"]
+
+
+def test_empty_batch_writes_no_data_files(spark, caplog):
+    import glob
+    import logging
+
+    from conftest import bronze_rows
+
+    out = scratch_path(spark, "t-empty")
+    sink = SilverBatchSink(out)
+    empty = silver.clean(bronze_rows(spark, [valid_row(id="x", age=None)]))  # filtered out
+    with caplog.at_level(logging.INFO, logger="visitflow.sinks.files"):
+        sink(empty, 3)
+    assert sink.counts[3] == 0 and "empty" in caplog.text
+    assert glob.glob(out.replace("file:", "") + "/batch_id=3/**/*.parquet", recursive=True) == []

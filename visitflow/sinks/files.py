@@ -75,7 +75,12 @@ class SilverBatchSink:
         self.counts[batch_id] = rows
         if len(self.counts) > self.KEEP_COUNTS:
             del self.counts[min(self.counts)]
-        log.info("silver batch %d: %d rows written", batch_id, rows)
+        if rows == 0:
+            # An empty partitioned write leaves no data files; probing emptiness
+            # first would run the batch (and its state lookups) a second time.
+            log.info("silver batch %d: empty, nothing written", batch_id)
+        else:
+            log.info("silver batch %d: %d rows written", batch_id, rows)
 
 
 def write_gold(
