@@ -148,3 +148,12 @@ def test_silver_schema_order(spark):
     df = silver.clean(decode(msgs))
     assert df.columns == SILVER_COLUMNS
     assert dict(df.dtypes)["severity_score"] == "int"
+
+
+def test_nan_lab_value_orders_above_all_numbers(spark):
+    """Spark orders NaN above every number: a NaN wbc classifies as HIGH, and the
+    range check (wbc < 30) drops the row, so NaN never reaches silver."""
+    row = valid_row(id="n", wbc=float("nan"))
+    std = silver.standardise(bronze_rows(spark, [row])).collect()[0]
+    assert std["wbc_status"] == "HIGH"
+    assert silver.clean(bronze_rows(spark, [row])).count() == 0
