@@ -12,6 +12,17 @@ from __spark_entry__ import oracle_sql, queries
 
 TABLES = ["events"]
 
+# Spark simple type -> DuckDB type name.
+TYPE_NAMES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+    "timestamp": "TIMESTAMP WITH TIME ZONE",
+}
+
 
 @pytest.fixture(scope="module")
 def duck():
@@ -45,6 +56,8 @@ def test_query_matches_oracle(spark, duck, name):
     rel = duck.sql(sql)
     o_cols, o_rows = rel.columns, rel.fetchall()
     assert sorted(df.columns) == sorted(o_cols)
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert {c: TYPE_NAMES.get(t, t) for c, t in df.dtypes} == duck_types
     assert len(s_rows) == len(o_rows)
     assert _rows(df.columns, s_rows) == _rows(o_cols, o_rows)
 
