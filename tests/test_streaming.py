@@ -43,7 +43,7 @@ def test_stream_equals_batch_over_many_microbatches(spark):
     assert streamed.count() == 693
 
 
-def test_replayed_batch_id_overwrites_itself(spark):
+def test_replayed_batch_id_is_left_as_it_is(spark):
     from conftest import bronze_rows
 
     out = scratch_path(spark, "t-idem")
@@ -180,7 +180,7 @@ def test_json_sink_with_bounded_files(spark):
     sink(batch, 0)
     back = read_silver(spark, out, fmt="json")
     assert _stable_rows(back) == _stable_rows(batch)
-    parts = glob.glob(out.replace("file:", "") + "/batch_id=0/age_group=*/part-*")
+    parts = glob.glob(out.replace("file:", "") + "/stream=manual/batch_id=0/age_group=*/part-*")
     assert 0 < len(parts) <= 2 * 4  # at most one file per writer and age band
 
 
@@ -299,4 +299,4 @@ def test_empty_batch_writes_no_data_files(spark, caplog):
     with caplog.at_level(logging.INFO, logger="visitflow.sinks.files"):
         sink(empty, 3)
     assert sink.counts[3] == 0 and "empty" in caplog.text
-    assert glob.glob(out.replace("file:", "") + "/batch_id=3/**/*.parquet", recursive=True) == []
+    assert glob.glob(out.replace("file:", "") + "/stream=manual/batch_id=3/**/*.parquet", recursive=True) == []

@@ -85,6 +85,12 @@ def severity_score(c: str | Column = "severity") -> Column:
     return expr.otherwise(SEVERITY_OTHER_SCORE).cast("int")
 
 
+def present(name: str) -> Column:
+    """The text is neither null nor empty."""
+    c = F.col(name)
+    return c.isNotNull() & (c != "")
+
+
 def quality_predicate() -> Column:
     """Row-level validity: lab values and age in range, id and first name present."""
 
@@ -92,10 +98,6 @@ def quality_predicate() -> Column:
         c = F.col(name)
         return c.isNotNull() & (c > bounds[0]) & (c < bounds[1])
 
-    def present(name: str) -> Column:
-        c = F.col(name)
-        return c.isNotNull() & (c != "")
-
     return (
         in_range("age", AGE_RANGE)
         & in_range("wbc", WBC_RANGE)
@@ -117,3 +119,8 @@ def visit_date(c: str | Column = "timestamp") -> Column:
 def visit_time(c: str | Column = "timestamp") -> Column:
     """Event time of the record's own timestamp text; unparsable text -> null."""
     return _col(c).try_cast("timestamp")
+
+
+def event_time(c: str | Column = "timestamp") -> Column:
+    """Event time, or the start of the visit date where only the date can be read; else null."""
+    return F.coalesce(visit_time(c), visit_date(c).cast("timestamp"))

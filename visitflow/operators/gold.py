@@ -17,8 +17,12 @@ ascending, nulls last, so top-10 results are deterministic.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from visitflow.functions import rules
 
@@ -29,113 +33,86 @@ def _by_count(count_col: str, *keys: str) -> list[Column]:
     return [F.col(count_col).desc(), *[F.col(k).asc_nulls_last() for k in keys]]
 
 
-def severity_summary(silver: DataFrame) -> DataFrame:
-    return (
-        silver.groupBy("severity")
-        .agg(
-            F.count(F.lit(1)).alias("patient_count"),
-            F.round(F.avg("age"), 1).alias("avg_age"),
-            F.round(F.avg("wbc"), 1).alias("avg_wbc"),
-            F.round(F.avg("hgb"), 1).alias("avg_hgb"),
-        )
-        .orderBy(*_by_count("patient_count", "severity"))
-    )
+# Each table once: key columns, name of its count, averages as (column, digits), and
+# whether it also counts severe cases.
+@dataclass(frozen=True)
+class Table:
+    keys: tuple[str, ...]
+    count: str = "patient_count"
+    means: tuple[tuple[str, str, int], ...] = ()  # (output, averaged column, digits)
+    severe: bool = False
+    limit: bool = False  # only the TOP_N largest
+    by_key: str = ""  # "asc" or "desc": ordered by the key instead of the count
+
+
+TABLES: dict[str, Table] = {
+    "severity_summary": Table(
+        ("severity",), means=(("avg_age", "age", 1), ("avg_wbc", "wbc", 1), ("avg_hgb", "hgb", 1))
+    ),
+    "age_group_summary": Table(
+        ("age_group",),
+        means=(("avg_severity_score", "severity_score", 2), ("avg_wbc", "wbc", 2), ("avg_hgb", "hgb", 2)),
+        by_key="asc",
+    ),
+    "gender_summary": Table(("gender",)),
+    "wbc_summary": Table(("wbc_status",), means=(("avg_age", "age", 1),)),
+    "hgb_summary": Table(("hgb_status",)),
+    "daily_trends": Table(
+        ("date",), count="patient_per_day", means=(("avg_age", "age", 1),), severe=True, by_key="desc"
+    ),
+    # A doctor is the (id, name) pair: one id with two names is two rows.
+    "top_doctors": Table(("doctor_id", "doctor_name"), count="patients_treated", limit=True),
+    "diagnosis_summary": Table(("diagnosis_code", "diagnosis_desc"), limit=True),
+    "allergy_summary": Table(("allergy",)),
+}
+LIMITED = {name for name, t in TABLES.items() if t.limit}
 
 
-def age_group_summary(silver: DataFrame) -> DataFrame:
-    return (
-        silver.groupBy("age_group")
-        .agg(
-            F.count(F.lit(1)).alias("patient_count"),
-            F.round(F.avg("severity_score"), 2).alias("avg_severity_score"),
-            F.round(F.avg("wbc"), 2).alias("avg_wbc"),
-            F.round(F.avg("hgb"), 2).alias("avg_hgb"),
-        )
-        .orderBy(F.col("age_group").asc())
-    )
+def available(silver: DataFrame) -> list[str]:
+    """The tables that can be built: the daily one needs silver's ``timestamp``."""
+    return [n for n in TABLES if n != "daily_trends" or "timestamp" in silver.columns]
 
 
-def gender_summary(silver: DataFrame) -> DataFrame:
-    return (
-        silver.groupBy("gender")
-        .agg(F.count(F.lit(1)).alias("patient_count"))
-        .orderBy(*_by_count("patient_count", "gender"))
-    )
+def _dated(silver: DataFrame) -> DataFrame:
+    return silver.withColumn("date", rules.visit_date("timestamp")) if "timestamp" in silver.columns else silver
 
 
-def wbc_summary(silver: DataFrame) -> DataFrame:
-    return (
-        silver.groupBy("wbc_status")
-        .agg(
-            F.count(F.lit(1)).alias("patient_count"),
-            F.round(F.avg("age"), 1).alias("avg_age"),
-        )
-        .orderBy(*_by_count("patient_count", "wbc_status"))
-    )
+def table_aggregate(silver: DataFrame, name: str) -> DataFrame:
+    """One table's aggregate, unordered (also as a streaming aggregate)."""
+    t = TABLES[name]
+    cols = [F.count(F.lit(1)).alias(t.count)]
+    cols += [F.round(F.avg(c), digits).alias(out) for out, c, digits in t.means]
+    if t.severe:
+        cols.append(F.count_if(F.col("severity") == "SEVERE").alias("severe_cases"))
+    return _dated(silver).groupBy(*t.keys).agg(*cols)
 
 
-def hgb_summary(silver: DataFrame) -> DataFrame:
-    return (
-        silver.groupBy("hgb_status")
-        .agg(F.count(F.lit(1)).alias("patient_count"))
-        .orderBy(*_by_count("patient_count", "hgb_status"))
-    )
+def table_order(name: str) -> list[Column]:
+    """Row order of a gold table: count desc, then keys ascending, nulls last (or by key)."""
+    t = TABLES[name]
+    if t.by_key:
+        return [F.col(t.keys[0]).asc() if t.by_key == "asc" else F.col(t.keys[0]).desc()]
+    return _by_count(t.count, *t.keys)
 
 
-def daily_trends(silver: DataFrame) -> DataFrame | None:
-    """Per visit date; None when silver has no ``timestamp`` column (table skipped)."""
-    if "timestamp" not in silver.columns:
+def build(silver: DataFrame, name: str) -> DataFrame | None:
+    """One ordered gold table; None if silver lacks what it needs (the table is skipped)."""
+    if name not in available(silver):
         return None
-    return (
-        silver.withColumn("date", rules.visit_date("timestamp"))
-        .groupBy("date")
-        .agg(
-            F.count(F.lit(1)).alias("patient_per_day"),
-            F.round(F.avg("age"), 1).alias("avg_age"),
-            F.count_if(F.col("severity") == "SEVERE").alias("severe_cases"),
-        )
-        .orderBy(F.col("date").desc())
-    )
-
-
-def top_doctors(silver: DataFrame, n: int = TOP_N) -> DataFrame:
-    """A doctor is the (id, name) pair: one id with two names is two rows."""
-    return (
-        silver.groupBy("doctor_id", "doctor_name")
-        .agg(F.count(F.lit(1)).alias("patients_treated"))
-        .orderBy(*_by_count("patients_treated", "doctor_id", "doctor_name"))
-        .limit(n)
-    )
+    out = table_aggregate(silver, name).orderBy(*table_order(name))
+    return out.limit(TOP_N) if TABLES[name].limit else out
 
 
-def diagnosis_summary(silver: DataFrame, n: int = TOP_N) -> DataFrame:
-    return (
-        silver.groupBy("diagnosis_code", "diagnosis_desc")
-        .agg(F.count(F.lit(1)).alias("patient_count"))
-        .orderBy(*_by_count("patient_count", "diagnosis_code", "diagnosis_desc"))
-        .limit(n)
-    )
-
-
-def allergy_summary(silver: DataFrame) -> DataFrame:
-    return (
-        silver.groupBy("allergy")
-        .agg(F.count(F.lit(1)).alias("patient_count"))
-        .orderBy(*_by_count("patient_count", "allergy"))
-    )
-
-
-BUILDERS = {
-    "severity_summary": severity_summary,
-    "age_group_summary": age_group_summary,
-    "gender_summary": gender_summary,
-    "wbc_summary": wbc_summary,
-    "hgb_summary": hgb_summary,
-    "daily_trends": daily_trends,
-    "top_doctors": top_doctors,
-    "diagnosis_summary": diagnosis_summary,
-    "allergy_summary": allergy_summary,
-}
+BUILDERS = {name: partial(build, name=name) for name in TABLES}
+severity_summary = BUILDERS["severity_summary"]
+age_group_summary = BUILDERS["age_group_summary"]
+gender_summary = BUILDERS["gender_summary"]
+wbc_summary = BUILDERS["wbc_summary"]
+hgb_summary = BUILDERS["hgb_summary"]
+daily_trends = BUILDERS["daily_trends"]
+top_doctors = BUILDERS["top_doctors"]
+diagnosis_summary = BUILDERS["diagnosis_summary"]
+allergy_summary = BUILDERS["allergy_summary"]
 
 
 # --------------------------------------------------------------------------
@@ -143,17 +120,7 @@ BUILDERS = {
 # --------------------------------------------------------------------------
 
 # grain -> key columns of that grouping set
-GRAINS: dict[str, tuple[str, ...]] = {
-    "severity_summary": ("severity",),
-    "age_group_summary": ("age_group",),
-    "gender_summary": ("gender",),
-    "wbc_summary": ("wbc_status",),
-    "hgb_summary": ("hgb_status",),
-    "daily_trends": ("date",),
-    "top_doctors": ("doctor_id", "doctor_name"),
-    "diagnosis_summary": ("diagnosis_code", "diagnosis_desc"),
-    "allergy_summary": ("allergy",),
-}
+GRAINS: dict[str, tuple[str, ...]] = {name: t.keys for name, t in TABLES.items()}
 
 _ALL_KEYS: list[str] = list(dict.fromkeys(k for keys in GRAINS.values() for k in keys))
 
@@ -164,11 +131,13 @@ def aggregate_all(silver: DataFrame) -> DataFrame:
     Output: ``grain`` plus every key column (null outside its own set) plus
     ``n``, ``n_age``, ``sum_age``, ``n_wbc``, ``sum_wbc``, ``n_hgb``, ``sum_hgb``,
     ``n_score``, ``sum_score``, ``severe`` — enough to derive each table's
-    averages with the same arithmetic as ``avg``.
+    averages with the same arithmetic as ``avg``. Without ``timestamp`` in silver
+    the daily set is left out; the others still share one scan.
     """
-    base = silver.withColumn("date", rules.visit_date("timestamp"))
-    sets = [[F.col(k) for k in keys] for keys in GRAINS.values()]
-    agg = base.groupingSets(sets, *[F.col(k) for k in _ALL_KEYS]).agg(
+    names = available(silver)
+    keys_used = [k for k in _ALL_KEYS if any(k in GRAINS[n] for n in names)]
+    sets = [[F.col(k) for k in GRAINS[n]] for n in names]
+    agg = _dated(silver).groupingSets(sets, *[F.col(k) for k in keys_used]).agg(
         F.count(F.lit(1)).alias("n"),
         F.count("age").alias("n_age"),
         F.sum(F.col("age").cast("double")).alias("sum_age"),
@@ -179,16 +148,27 @@ def aggregate_all(silver: DataFrame) -> DataFrame:
         F.count("severity_score").alias("n_score"),
         F.sum(F.col("severity_score").cast("double")).alias("sum_score"),
         F.count_if(F.col("severity") == "SEVERE").alias("severe"),
-        *[F.grouping(k).alias(f"__g_{k}") for k in _ALL_KEYS],
+        *[F.grouping(k).alias(f"__g_{k}") for k in keys_used],
     )
-    grain = None
-    for name, keys in GRAINS.items():
-        cond = None
-        for k in _ALL_KEYS:
-            bit = F.col(f"__g_{k}") == (0 if k in keys else 1)
-            cond = bit if cond is None else cond & bit
-        grain = F.when(cond, name) if grain is None else grain.when(cond, name)
-    return agg.withColumn("grain", grain).drop(*[f"__g_{k}" for k in _ALL_KEYS])
+    grain = F.lit(None).cast("string")
+    for name in names:
+        cond = F.lit(True)
+        for k in keys_used:
+            cond = cond & (F.col(f"__g_{k}") == (0 if k in GRAINS[name] else 1))
+        grain = F.when(cond, name).otherwise(grain)
+    missing = [F.lit(None).cast("date").alias(k) for k in _ALL_KEYS if k not in keys_used]
+    kept = [c for c in agg.columns if not c.startswith("__g_")]
+    return agg.withColumn("grain", grain).select(*kept, *missing, "grain")
+
+
+def store_aggregate(agg: DataFrame, path: str) -> DataFrame:
+    """Write the aggregate by grain and read it back: a table then reads only its own part.
+
+    The doctor set can hold millions of (id, name) pairs; the other parts are small.
+    """
+    agg.write.partitionBy("grain").parquet(path)
+    schema = T.StructType([f for f in agg.schema.fields if f.name != "grain"] + [agg.schema["grain"]])
+    return agg.sparkSession.read.schema(schema).parquet(path)
 
 
 def _mean(sum_col: str, n_col: str, digits: int) -> Column:
@@ -198,47 +178,17 @@ def _mean(sum_col: str, n_col: str, digits: int) -> Column:
     )
 
 
-def table_order(name: str) -> list[Column]:
-    """Row order of a gold table: count desc, then keys ascending, nulls last."""
-    orders = {
-        "severity_summary": _by_count("patient_count", "severity"),
-        "age_group_summary": [F.col("age_group").asc()],
-        "gender_summary": _by_count("patient_count", "gender"),
-        "wbc_summary": _by_count("patient_count", "wbc_status"),
-        "hgb_summary": _by_count("patient_count", "hgb_status"),
-        "daily_trends": [F.col("date").desc()],
-        "top_doctors": _by_count("patients_treated", "doctor_id", "doctor_name"),
-        "diagnosis_summary": _by_count("patient_count", "diagnosis_code", "diagnosis_desc"),
-        "allergy_summary": _by_count("patient_count", "allergy"),
-    }
-    return orders[name]
-
-
-LIMITED = {"top_doctors", "diagnosis_summary"}
-
-
-# Per table: name of its count column, and each average as (sum, count, digits).
-_COUNT_NAME = {"daily_trends": "patient_per_day", "top_doctors": "patients_treated"}
+_SUMS = {"age": "age", "wbc": "wbc", "hgb": "hgb", "severity_score": "score"}
 _MEANS: dict[str, dict[str, tuple[str, str, int]]] = {
-    "severity_summary": {
-        "avg_age": ("sum_age", "n_age", 1),
-        "avg_wbc": ("sum_wbc", "n_wbc", 1),
-        "avg_hgb": ("sum_hgb", "n_hgb", 1),
-    },
-    "age_group_summary": {
-        "avg_severity_score": ("sum_score", "n_score", 2),
-        "avg_wbc": ("sum_wbc", "n_wbc", 2),
-        "avg_hgb": ("sum_hgb", "n_hgb", 2),
-    },
-    "wbc_summary": {"avg_age": ("sum_age", "n_age", 1)},
-    "daily_trends": {"avg_age": ("sum_age", "n_age", 1)},
+    name: {out: (f"sum_{_SUMS[c]}", f"n_{_SUMS[c]}", digits) for out, c, digits in t.means}
+    for name, t in TABLES.items()
 }
-_EXTRA = {"daily_trends": {"severe_cases": "severe"}}
+_EXTRA = {name: {"severe_cases": "severe"} for name, t in TABLES.items() if t.severe}
 
 
 def _table_columns(name: str) -> list[Column]:
     cols = [F.col(k) for k in GRAINS[name]]
-    cols.append(F.col("n").alias(_COUNT_NAME.get(name, "patient_count")))
+    cols.append(F.col("n").alias(TABLES[name].count))
     cols += [_mean(*spec).alias(out) for out, spec in _MEANS.get(name, {}).items()]
     cols += [F.col(src).alias(out) for out, src in _EXTRA.get(name, {}).items()]
     return cols

@@ -4,12 +4,12 @@ The KPI row combines two gold tables. Instead of joining two one-row frames,
 both tables are stacked with ``unionByName`` and reduced by one global
 aggregate of conditional sums; the inputs are gold tables whose row counts are
 bounded by their label sets (four age bands, three genders). From silver, one
-two-set GROUPING SETS aggregate produces the same stacked rows in one scan.
+aggregate by (age band, gender) — twelve groups at most — holds all five KPIs.
 
-Percentages and the band-midpoint average are rounded to one decimal, half up,
-in exact integer arithmetic: ``((20*num + den) div (2*den)) / 10``.
-This gives the same digits in every engine and on every partitioning; it
-equals the reference's float rounding except on exact decimal ties.
+Percentages and the band-midpoint average are rounded to one decimal, ties to the
+even digit (1 of 16 is 6.2 %), in exact integer arithmetic, so the digits do not
+depend on engine or partitioning. Float rounding of the same ratio agrees wherever
+a tie is exact in binary (6.25, 18.75, ...).
 """
 
 from __future__ import annotations
@@ -21,12 +21,16 @@ from visitflow.functions import rules
 
 
 def round1_ratio(num: Column | str, den: Column | str, scale: int = 1) -> Column:
-    """round_half_up(scale * num / den, 1) for non-negative integers; 0 when den is 0."""
+    """scale * num / den for non-negative integers, to one decimal, ties to even; 0 when den is 0."""
     num = (F.col(num) if isinstance(num, str) else num).cast("bigint")
     den = (F.col(den) if isinstance(den, str) else den).cast("bigint")
-    # Integer division of non-negative bigints: exact while 20*scale*num fits in 63 bits.
-    tenths = F.call_function("div", F.lit(20 * scale) * num + den, F.lit(2) * den)
-    return F.when(den > 0, tenths.cast("double") / 10.0).otherwise(F.lit(0.0))
+    # Exact while 20*scale*num fits in 63 bits. A null divisor stands in for 0.
+    tenth = F.lit(10 * scale) * num
+    safe = F.nullif(den, F.lit(0))
+    down = F.call_function("div", tenth, safe)
+    twice = F.lit(2) * (tenth - down * safe)
+    up = (twice > safe) | ((twice == safe) & (down % 2 == 1))
+    return F.when(den > 0, (down + F.when(up, 1).otherwise(0)).cast("double") / 10.0).otherwise(F.lit(0.0))
 
 
 def _midpoint(label: Column) -> Column:
@@ -55,6 +59,11 @@ def _kpi_from_rows(rows: DataFrame) -> DataFrame:
         total(is_gender & (label_up == "MALE"), F.col("n")).alias("male"),
         total(is_gender & (label_up == "FEMALE"), F.col("n")).alias("female"),
     )
+    return _kpi_row(sums)
+
+
+def _kpi_row(sums: DataFrame) -> DataFrame:
+    """The five KPIs from their sums (one row)."""
     return sums.select(
         F.col("total").cast("bigint").alias("total_patients"),
         F.col("severe").cast("bigint").alias("severe_count"),
@@ -91,23 +100,61 @@ def kpi_summary(age_groups: DataFrame, genders: DataFrame) -> DataFrame:
 def kpi_from_silver(silver: DataFrame) -> DataFrame:
     """The same KPI row straight from silver, in one scan.
 
-    One GROUPING SETS aggregate ((age_group), (gender)) yields exactly the rows
-    of the two gold tables the KPIs read, with the band score rounded as the
-    gold table stores it; a global aggregate then folds them into one row.
+    The aggregate by (age_group, gender) has at most twelve groups; folded by band it
+    gives the band's score, rounded as the gold table stores it, and its genders.
     """
-    agg = silver.groupingSets([[F.col("age_group")], [F.col("gender")]], "age_group", "gender").agg(
+    pairs = silver.groupBy("age_group", "gender").agg(
         F.count(F.lit(1)).alias("n"),
-        F.round(F.avg("severity_score"), 2).alias("score"),
-        F.grouping("age_group").alias("g_age"),
+        F.count("severity_score").alias("n_score"),
+        F.sum(F.col("severity_score").cast("double")).alias("sum_score"),
+    )
+    gender = F.upper(F.coalesce(F.col("gender"), F.lit("")))
+    n = F.col("n")
+    bands = pairs.groupBy("age_group").agg(
+        F.sum("n").alias("n"),
+        F.round(F.try_divide(F.sum("sum_score"), F.sum("n_score")), 2).alias("score"),
+        F.sum(F.when(gender == "MALE", n).otherwise(0)).alias("male"),
+        F.sum(F.when(gender == "FEMALE", n).otherwise(0)).alias("female"),
     )
-    by_age = F.col("g_age") == 0
-    rows = agg.select(
-        F.when(by_age, "age").otherwise("gender").alias("src"),
-        F.when(by_age, F.col("age_group")).otherwise(F.col("gender")).alias("label"),
-        F.col("n"),
-        F.when(by_age, F.col("score")).alias("score"),
+    severe = F.coalesce(F.col("score"), F.lit(0.0)) > rules.SEVERE_SCORE_THRESHOLD
+    sums = bands.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum(F.when(severe, n)), F.lit(0)).alias("severe"),
+        F.coalesce(F.sum(_midpoint(F.col("age_group")) * n), F.lit(0)).alias("age_sum"),
+        F.coalesce(F.sum("male"), F.lit(0)).alias("male"),
+        F.coalesce(F.sum("female"), F.lit(0)).alias("female"),
     )
-    return _kpi_from_rows(rows)
+    return _kpi_row(sums)
+
+
+# The dashboard's charts — gold table, axis column, value column, detail column.
+CHARTS: dict[str, tuple[str, str, str, str | None]] = {
+    "age_group_distribution": ("age_group_summary", "age_group", "patient_count", None),
+    "severity_score_by_age_group": ("age_group_summary", "age_group", "avg_severity_score", None),
+    "gender_distribution": ("gender_summary", "gender", "patient_count", None),
+    "wbc_status": ("wbc_summary", "wbc_status", "patient_count", None),
+    "severity_breakdown": ("severity_summary", "severity", "patient_count", None),
+    "top_diagnoses": ("diagnosis_summary", "diagnosis_code", "patient_count", "diagnosis_desc"),
+}
+
+
+def chart_series(tables: dict[str, DataFrame]) -> DataFrame:
+    """The six charts' points in one long table: chart, x, y, detail.
+
+    Each chart is a projection of one gold table; an absent table leaves its chart out.
+    """
+    out = None
+    for chart, (table, x, y, detail) in CHARTS.items():
+        if tables.get(table) is None:
+            continue
+        points = tables[table].select(
+            F.lit(chart).alias("chart"),
+            F.col(x).alias("x"),
+            F.col(y).cast("double").alias("y"),
+            (F.col(detail) if detail else F.lit(None).cast("string")).alias("detail"),
+        )
+        out = points if out is None else out.unionByName(points)
+    return out
 
 
 def gender_share(genders: DataFrame) -> DataFrame:

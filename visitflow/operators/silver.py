@@ -16,8 +16,9 @@ Scale notes
   pushes it below the window: null and empty ids never reach the shuffle.
   The age/lab checks stay above the dedupe, which is what keeps the order rule.
 * On a stream the dedupe is the state-store ``dropDuplicates(["id"])``; arrival
-  order across micro-batches decides which delivery wins. ``salt_buckets``
-  adds a first ``(id, salt)`` stage so a hot id is spread over several tasks.
+  order across micro-batches decides which delivery wins. Rows without an id are
+  filtered before it, so they are no hot key. ``salt_buckets`` adds a first
+  ``(id, salt)`` stage so a hot id is spread over several tasks.
 * All standardisation is one ``select`` of built-in expressions.
 """
 
@@ -70,8 +71,8 @@ def dedupe_within_watermark(
     A redelivery that arrives more than ``delay`` after the watermark has moved
     past its first delivery is *not* suppressed. A record whose event time is
     older than the watermark (latest event time seen minus ``delay``) is dropped
-    as late, so ``delay`` must exceed the stream's disorder. Rows whose event
-    time is null are never late and are emitted; filter them first if that matters.
+    as late, so ``delay`` must exceed the stream's disorder; the query's progress
+    counts such rows (``streaming.silver.late_rows``).
     """
     return df.withWatermark(time_col, delay).dropDuplicatesWithinWatermark([key])
 
@@ -128,6 +129,10 @@ def clean(
         return dedupe_first_delivery(d, order_by=order_by)
 
     if dedupe == "before_validation":
+        if df.isStreaming:
+            # Rows without an id can't survive validation; left in, they would all be one
+            # key of the state store. (In batch Catalyst pushes this below the window.)
+            df = df.filter(rules.present("id"))
         df = quality_filter(first(df))
     elif dedupe == "after_validation":
         df = first(quality_filter(df))

@@ -8,7 +8,7 @@ written here again in plain SQL, independently of the DataFrame code.
 
 from __future__ import annotations
 
-from visitflow.sources.fixture import bronze_sql
+from visitflow.sources.fixture import MALFORMED, MALFORMED_EVERY, bronze_sql
 
 BRONZE_COLS = (
     "id, timestamp, first_name, last_name, dob, age, gender, phone, address, doctor_id, "
@@ -67,8 +67,8 @@ silver AS ({_standardised('valid')}){ctes}
 
 def _round1_ratio(num: str, den: str, scale: int = 1) -> str:
     return (
-        f"CASE WHEN ({den}) > 0 THEN CAST(({20 * scale} * ({num}) + ({den})) // (2 * ({den})) "
-        f"AS DOUBLE) / 10.0 ELSE CAST(0.0 AS DOUBLE) END"
+        f"CASE WHEN ({den}) > 0 THEN round_even({scale} * CAST(({num}) AS DOUBLE) / CAST(({den}) AS DOUBLE), 1) "
+        f"ELSE CAST(0.0 AS DOUBLE) END"
     )
 
 
@@ -85,7 +85,7 @@ FROM silver GROUP BY age_group""",
     "wbc_summary": """SELECT wbc_status, count(*) AS patient_count, round(avg(age), 1) AS avg_age
 FROM silver GROUP BY wbc_status""",
     "hgb_summary": "SELECT hgb_status, count(*) AS patient_count FROM silver GROUP BY hgb_status",
-    "daily_trends": """SELECT TRY_CAST(timestamp AS DATE) AS date, count(*) AS patient_per_day,
+    "daily_trends": """SELECT TRY_CAST(substr(timestamp, 1, 10) AS DATE) AS date, count(*) AS patient_per_day,
   round(avg(age), 1) AS avg_age, count(*) FILTER (WHERE severity = 'SEVERE') AS severe_cases
 FROM silver GROUP BY 1""",
     "top_doctors": """SELECT doctor_id, doctor_name, count(*) AS patients_treated
@@ -172,6 +172,59 @@ def _bronze_only(body: str) -> str:
     return f"WITH bronze AS (\n{bronze_sql()}\n)\n{body}"
 
 
+def _decoded_sql() -> str:
+    """Decoded messages: nulls where the text isn't an object, and in fields of a wrong type."""
+    nothing = ", ".join(str(at) for at, text in MALFORMED.items() if not text.startswith("{\"id\":7"))
+    partly = next(at for at, text in MALFORMED.items() if text.startswith("{\"id\":7"))
+    kept = {"id": "'7'", "first_name": "'Ann'"}
+    cols = [
+        f"CASE WHEN delivery_seq % {MALFORMED_EVERY} IN ({nothing}) THEN NULL "
+        f"WHEN delivery_seq % {MALFORMED_EVERY} = {partly} THEN {kept.get(c, 'NULL')} ELSE {c} END AS {c}"
+        for c in BRONZE_COLS.split(", ")
+    ]
+    return f"SELECT delivery_seq, {', '.join(cols)} FROM bronze"
+
+
+# table -> (key columns, order of its rows)
+_ORDERS = {
+    "severity_summary": (["severity"], "patient_count DESC, severity ASC NULLS LAST"),
+    "age_group_summary": (["age_group"], "age_group ASC"),
+    "gender_summary": (["gender"], "patient_count DESC, gender ASC NULLS LAST"),
+    "wbc_summary": (["wbc_status"], "patient_count DESC, wbc_status ASC NULLS LAST"),
+    "hgb_summary": (["hgb_status"], "patient_count DESC, hgb_status ASC NULLS LAST"),
+    "daily_trends": (["date"], "date DESC NULLS LAST"),
+    "top_doctors": (["doctor_id", "doctor_name"], "patients_treated DESC, doctor_id ASC NULLS LAST, doctor_name ASC NULLS LAST"),
+    "diagnosis_summary": (["diagnosis_code", "diagnosis_desc"], "patient_count DESC, diagnosis_code ASC NULLS LAST, diagnosis_desc ASC NULLS LAST"),
+    "allergy_summary": (["allergy"], "patient_count DESC, allergy ASC NULLS LAST"),
+}
+
+
+def _order_body() -> str:
+    parts = []
+    for name, (keys, order) in _ORDERS.items():
+        key = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '-')" for k in keys)
+        parts.append(
+            f"SELECT '{name}' AS table_name, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS position, "
+            f"{key} AS row_key FROM g_{name}"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+def _chart_body() -> str:
+    charts = [
+        ("age_group_distribution", "age_group_summary", "age_group", "patient_count", "NULL"),
+        ("severity_score_by_age_group", "age_group_summary", "age_group", "avg_severity_score", "NULL"),
+        ("gender_distribution", "gender_summary", "gender", "patient_count", "NULL"),
+        ("wbc_status", "wbc_summary", "wbc_status", "patient_count", "NULL"),
+        ("severity_breakdown", "severity_summary", "severity", "patient_count", "NULL"),
+        ("top_diagnoses", "diagnosis_summary", "diagnosis_code", "patient_count", "diagnosis_desc"),
+    ]
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS chart, {x} AS x, CAST({y} AS DOUBLE) AS y, CAST({d} AS VARCHAR) AS detail FROM g_{t}"
+        for c, t, x, y, d in charts
+    )
+
+
 def _kpi_ctes() -> str:
     return f""",
 ag AS ({GOLD_BODIES['age_group_summary']}),
@@ -198,8 +251,7 @@ FROM sums"""
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per registered query, same column names and types as the Spark result.
 
-    Stream queries share the batch texts (a stream must end with the batch result);
-    the bounded stream leaves out rows without a parsable time on both sides.
+    Stream queries share the batch texts (a stream must end with the batch result).
     """
     silver_cols = (
         "delivery_seq, " + BRONZE_COLS + ", age_group, wbc_status, hgb_status, severity_score, "
@@ -207,7 +259,7 @@ def oracle_sql() -> dict[str, str]:
     )
     q: dict[str, str] = {
         "bronze_encode": _encode_sql(),
-        "bronze_decode": _bronze_only(f"SELECT delivery_seq, {BRONZE_COLS} FROM bronze"),
+        "bronze_decode": _bronze_only(_decoded_sql()),
         "silver_dedupe": _bronze_only(f"SELECT delivery_seq, {BRONZE_COLS} FROM ({DEDUPED})"),
         "silver_quality_filter": _bronze_only(
             f"SELECT delivery_seq, id, first_name, age, wbc, hgb FROM bronze WHERE {VALID}"
@@ -236,6 +288,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "silver_visits": _with(f"SELECT {silver_cols} FROM silver"),
         "silver_row_count": _with("SELECT count(*) AS silver_rows FROM silver"),
+        "silver_stamps": _with(
+            "SELECT count(*) AS silver_rows, count(*) AS event_times, count(*) AS processed_dates FROM silver"
+        ),
+        "kafka_rows_dedupe": _with(f"SELECT {silver_cols.removeprefix('delivery_seq, ')} FROM silver"),
         "silver_partitioned_roundtrip": _with(f"SELECT {silver_cols} FROM silver"),
     }
     for name, body in GOLD_BODIES.items():
@@ -243,6 +299,9 @@ def oracle_sql() -> dict[str, str]:
     stack_ctes, stack_body = _stacked()
     q["gold_one_pass"] = _with(stack_body, ctes=stack_ctes)
     q["gold_roundtrip"] = q["gold_one_pass"]
+    q["gold_without_timestamp"] = _with(f"SELECT * FROM ({stack_body}) WHERE table_name <> 'daily_trends'", ctes=stack_ctes)
+    q["gold_order"] = _with(_order_body(), ctes=stack_ctes)
+    q["chart_series"] = _with(_chart_body(), ctes=stack_ctes)
     q["kpi_summary"] = _with(_kpi_body(), ctes=_kpi_ctes())
     q["gender_share"] = _with(
         f"""SELECT gender, patient_count,
@@ -268,11 +327,7 @@ FROM ({GOLD_BODIES['age_group_summary']})"""
     q["stream_gold_severity"] = q["gold_severity_summary"]
     q["stream_gold_all"] = q["gold_one_pass"]
     q["stream_gold_tables"] = q["gold_one_pass"]
-    # Bounded dedupe leaves out rows without a parsable time (on both sides).
-    q["stream_silver_bounded"] = _with(
-        f"SELECT {silver_cols} FROM silver",
-        deduped="SELECT * FROM bronze WHERE TRY_CAST(timestamp AS TIMESTAMP) IS NOT NULL "
-        "QUALIFY row_number() OVER (PARTITION BY id ORDER BY delivery_seq) = 1",
-    )
+    q["stream_gold_replay"] = q["gold_one_pass"]
+    q["stream_silver_bounded"] = q["silver_visits"]
     q["stream_daily_trends"] = q["gold_daily_trends"]
     return q

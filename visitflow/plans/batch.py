@@ -1,8 +1,8 @@
 """Batch plans: bronze -> silver table, silver -> nine gold tables -> report.
 
 ``write_gold_tables`` computes all nine tables from one scan of silver (one
-GROUPING SETS aggregate), checkpoints that small aggregate (reliable storage
-under ``spark.checkpoint.dir``) and cuts the nine tables from it; the
+GROUPING SETS aggregate), writes that aggregate by table under
+``spark.checkpoint.dir``, cuts the nine tables from it and removes it; the
 reference scans silver eighteen times (nine writes plus nine recounts). Row
 counts come from observations on the writes, not from recounts.
 """
@@ -12,13 +12,13 @@ from __future__ import annotations
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from visitflow.operators import gold, report, silver
 from visitflow.schema import GOLD_SCHEMAS
 from visitflow.sinks.files import write_partitioned, write_tables
-from visitflow.session import materialize
+from visitflow.session import scratch_path
 from visitflow.sources.tables import MissingInputError, read_gold, read_silver
+from visitflow.storage import delete
 
 log = logging.getLogger(__name__)
 
@@ -44,29 +44,33 @@ def build_gold(silver_df: DataFrame, one_pass: bool = True) -> dict[str, DataFra
     """The nine gold tables (``daily_trends`` only when silver has ``timestamp``).
 
     With ``one_pass`` the tables are cut from one GROUPING SETS aggregate; when
-    several of them are executed, checkpoint the aggregate first (as
+    several of them are executed, store the aggregate first (as
     ``write_gold_tables`` does) so silver is scanned once.
     """
-    if not one_pass or "timestamp" not in silver_df.columns:
+    if not one_pass:
         tables = {name: fn(silver_df) for name, fn in gold.BUILDERS.items()}
         return {k: v for k, v in tables.items() if v is not None}
-    return gold.split(gold.aggregate_all(silver_df))
+    return _only(gold.split(gold.aggregate_all(silver_df)), silver_df)
+
+
+def _only(tables: dict[str, DataFrame], silver_df: DataFrame) -> dict[str, DataFrame]:
+    return {name: tables[name] for name in gold.available(silver_df)}
 
 
 def write_gold_tables(
     silver_df: DataFrame, root: str, fmt: str = "json", one_pass: bool = True
 ) -> dict[str, int]:
     """Build and write all gold tables; returns rows written per table."""
-    if one_pass and "timestamp" in silver_df.columns:
-        # One scan of silver; the small aggregate is checkpointed and read nine times.
-        agg = materialize(gold.aggregate_all(silver_df))
-        # Silver's row count, read off the small aggregate instead of a silver scan.
-        silver_rows = (
-            agg.filter(F.col("grain") == "severity_summary").agg(F.sum("n")).first()[0] or 0
-        )
-        log.info("silver rows: %d", silver_rows)
-        return _write_all(gold.split(agg, ordered=False), root, fmt, sort_in_writer=True)
-    return _write_all(build_gold(silver_df, one_pass=False), root, fmt)
+    if not one_pass:
+        return _write_all(build_gold(silver_df, one_pass=False), root, fmt)
+    spark = silver_df.sparkSession
+    path = scratch_path(spark, "gold-aggregate")
+    try:
+        agg = gold.store_aggregate(gold.aggregate_all(silver_df), path)
+        tables = _only(gold.split(agg, ordered=False), silver_df)
+        return _write_all(tables, root, fmt, sort_in_writer=True)
+    finally:
+        delete(spark, path)
 
 
 def _write_all(
@@ -85,24 +89,34 @@ def run_gold(spark: SparkSession, silver_path: str, gold_root: str, silver_fmt:
 
 
 REPORT_TABLES = ("kpi_summary", "gender_share", "severity_risk", "top_doctors_labelled",
-                 "age_group_numeric")
+                 "age_group_numeric", "chart_series")
 
 
-def report_tables(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
-    """The data behind the dashboard, from written gold tables (absent tables -> empty)."""
+def _loaded(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
+    """Written gold tables; one that isn't there is empty.
+
+    If some tables exist but one the KPIs need doesn't, the gold job is at work or has
+    failed: that is an error, not a report of zeros.
+    """
     tables = read_gold(spark, gold_root)
+    absent = [n for n in ("age_group_summary", "gender_summary") if n not in tables]
+    if tables and absent:
+        raise MissingInputError(f"gold tables missing under {gold_root}: {', '.join(absent)}")
+    if absent:
+        log.warning("no gold tables under %s: the report is empty", gold_root)
+    return {n: tables[n] if n in tables else spark.createDataFrame([], GOLD_SCHEMAS[n]) for n in GOLD_SCHEMAS}
 
-    def table(name: str) -> DataFrame:
-        if name in tables:
-            return tables[name]
-        return spark.createDataFrame([], GOLD_SCHEMAS[name])
 
+def report_tables(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
+    """The data behind the dashboard, from written gold tables (no tables at all -> empty)."""
+    tables = _loaded(spark, gold_root)
     return {
-        "kpi_summary": kpis_from_gold(spark, gold_root),
-        "gender_share": report.gender_share(table("gender_summary")),
-        "severity_risk": report.severity_risk(table("age_group_summary")),
-        "top_doctors_labelled": report.labelled(table("top_doctors")),
-        "age_group_numeric": report.numeric_view(table("age_group_summary")),
+        "kpi_summary": report.kpi_summary(tables["age_group_summary"], tables["gender_summary"]),
+        "gender_share": report.gender_share(tables["gender_summary"]),
+        "severity_risk": report.severity_risk(tables["age_group_summary"]),
+        "top_doctors_labelled": report.labelled(tables["top_doctors"]),
+        "age_group_numeric": report.numeric_view(tables["age_group_summary"]),
+        "chart_series": report.chart_series(tables),
     }
 
 
@@ -112,13 +126,9 @@ def write_report(spark: SparkSession, gold_root: str, report_root: str, fmt: str
 
 
 def kpis_from_gold(spark: SparkSession, gold_root: str) -> DataFrame:
-    """KPI row from written gold tables; an absent table contributes zeros."""
-    tables = read_gold(spark, gold_root, ["age_group_summary", "gender_summary"])
-    empty_ag = spark.createDataFrame([], GOLD_SCHEMAS["age_group_summary"])
-    empty_gd = spark.createDataFrame([], GOLD_SCHEMAS["gender_summary"])
-    return report.kpi_summary(
-        tables.get("age_group_summary", empty_ag), tables.get("gender_summary", empty_gd)
-    )
+    """KPI row from written gold tables (zeros if there are none at all)."""
+    tables = _loaded(spark, gold_root)
+    return report.kpi_summary(tables["age_group_summary"], tables["gender_summary"])
 
 
 __all__ = [

@@ -15,12 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from visitflow.functions import rules
 from visitflow.operators import gold, report, silver
-from visitflow.plans.batch import write_gold_tables
+from visitflow.plans.batch import run_gold, write_gold_tables
 from visitflow.schema import (
     BRONZE_COLUMNS,
     BRONZE_SCHEMA,
@@ -28,10 +28,10 @@ from visitflow.schema import (
     GOLD_SCHEMAS,
     SILVER_STABLE_COLUMNS,
 )
-from visitflow.session import materialize, scratch_path
+from visitflow.session import scratch_path
 from visitflow.sinks.files import SilverBatchSink, encode, write_partitioned, write_replay_files
-from visitflow.sources.fixture import REDELIVERY_OFFSET, read_bronze
-from visitflow.sources.messages import decode, replay_stream
+from visitflow.sources.fixture import REDELIVERY_OFFSET, kafka_rows, read_bronze, read_events
+from visitflow.sources.messages import KAFKA_ORDER, decode, from_kafka_rows, replay_stream
 from visitflow.sources.tables import read_gold, read_silver, read_silver_stream
 from visitflow.streaming import silver as streams
 
@@ -39,9 +39,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Replay settings of the streaming queries.
 REPLAY_FILES_PER_TRIGGER = 16
-# Longer than the fixture's date span, so no record of a replay is late.
-REPLAY_WATERMARK_DELAY = "31 days"
-STREAM_TIMEOUT_S = 900
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,11 +58,28 @@ def bronze_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Encoded messages decoded back with the fixed bronze schema."""
-    messages = encode(read_bronze(spark, sf_dir)).withColumnRenamed("value", "json_data")
+    """Message bytes in Kafka's row layout decoded with the fixed bronze schema.
+
+    Cut-off, empty, array and wrong-typed messages are among them.
+    """
+    messages = from_kafka_rows(kafka_rows(read_bronze(spark, sf_dir), malformed=True))
     return decode(messages, BRONZE_SCHEMA, stamp=False).select(DELIVERY_SEQ, *BRONZE_COLUMNS)
 
 
+def _topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze messages as a backfill reads them from a topic: stored bytes with their envelope."""
+    path = scratch_path(spark, "topic")
+    kafka_rows(read_bronze(spark, sf_dir)).write.parquet(path)
+    return from_kafka_rows(spark.read.parquet(path))
+
+
+def kafka_rows_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver from a two-partition topic; the earliest delivery over both wins."""
+    bronze = decode(_topic(spark, sf_dir), stamp=False)
+    cleaned = _stable(silver.clean(bronze, order_by=KAFKA_ORDER))
+    return cleaned.drop(DELIVERY_SEQ)
+
+
 # ---------------------------------------------------------------- silver rules
 
 
@@ -147,6 +161,16 @@ def silver_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver(spark, sf_dir).agg(F.count(F.lit(1)).alias("silver_rows"))
 
 
+def silver_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ingest and processing stamps are on every silver row."""
+    bronze = decode(_topic(spark, sf_dir))
+    return silver.clean(bronze, order_by=KAFKA_ORDER).agg(
+        F.count(F.lit(1)).alias("silver_rows"),
+        F.count("event_time").alias("event_times"),
+        F.count("processed_date").alias("processed_dates"),
+    )
+
+
 def silver_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write silver as JSON partitioned by age band, read it back with the schema."""
     path = scratch_path(spark, "silver-json")
@@ -182,12 +206,12 @@ def _gold(name: str) -> Query:
 def gold_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All nine tables stacked, cut from one GROUPING SETS aggregate over one silver scan.
 
-    The aggregate is checkpointed once; without that, each branch of the
+    The aggregate is stored once, by table; without that, each branch of the
     stacked result (one projection plus two top-k) would prune it differently
     and recompute silver per branch.
     """
-    agg = materialize(gold.aggregate_all(_silver(spark, sf_dir)))
-    return gold.stacked(agg)
+    path = scratch_path(spark, "gold-aggregate")
+    return gold.stacked(gold.store_aggregate(gold.aggregate_all(_silver(spark, sf_dir)), path))
 
 
 def gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,9 +221,41 @@ def gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.stack(read_gold(spark, root))
 
 
+def gold_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1-O3: position of every row in the written gold tables, as their files hold them."""
+    root = scratch_path(spark, "gold-order")
+    write_gold_tables(_silver(spark, sf_dir), root)
+    out = None
+    for name, df in read_gold(spark, root).items():
+        at = Window.partitionBy("table_name").orderBy("file", "line")
+        rows = df.select(
+            F.lit(name).alias("table_name"),
+            F.col("_metadata.file_name").alias("file"),
+            F.monotonically_increasing_id().alias("line"),
+            F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in gold.GRAINS[name]]).alias("row_key"),
+        )
+        rows = rows.select("table_name", F.row_number().over(at).alias("position"), "row_key")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def gold_without_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver files without ``timestamp`` give every gold table but the daily one."""
+    path, root = scratch_path(spark, "silver-untimed"), scratch_path(spark, "gold-untimed")
+    write_partitioned(_silver(spark, sf_dir).drop("timestamp"), path)
+    run_gold(spark, path, root)
+    return gold.stack(read_gold(spark, root))
+
+
 # ---------------------------------------------------------------- report
 
 
+def chart_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The points of the dashboard's six charts."""
+    s = _silver(spark, sf_dir)
+    return report.chart_series({name: build(s) for name, build in gold.BUILDERS.items()})
+
+
 def kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """KPI row from silver in one scan (same values as from the two gold tables)."""
     return report.kpi_from_silver(_silver(spark, sf_dir))
@@ -247,7 +303,7 @@ def _run_waves(
     for wave in _replay_waves(spark, sf_dir):
         write_replay_files(wave, inbox)
         messages = replay_stream(spark, inbox, max_files_per_trigger=REPLAY_FILES_PER_TRIGGER)
-        streams.run_to_end(start(messages, checkpoint), STREAM_TIMEOUT_S)
+        streams.run_to_end(start(messages, checkpoint))
 
 
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,7 +322,11 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_silver_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver with the watermark-bounded dedupe (rows without a time left out)."""
+    """Silver with the watermark-bounded dedupe; rows without a time are kept beside it.
+
+    The replay's files are not in time order, so the delay is the table's whole span.
+    """
+    span = read_events(spark, sf_dir).agg(F.datediff(F.max("ts"), F.min("ts"))).first()[0] or 0
     out = scratch_path(spark, "stream-silver-bounded")
     sink = SilverBatchSink(out)
     _run_waves(
@@ -278,7 +338,7 @@ def stream_silver_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
             sink,
             ckpt,
             trigger={"availableNow": True},
-            bounded_delay=REPLAY_WATERMARK_DELAY,
+            bounded_delay=f"{span + 2} days",
         ),
     )
     return _stable(read_silver(spark, out))
@@ -319,27 +379,32 @@ def stream_gold_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_gold_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incremental gold: the nine JSON tables kept from the silver table's new files.
 
-    Silver is written by the micro-batch sink in two batches that together hold
-    every silver row (patients under 50, then the rest; silver has no null age);
-    after each, the gold stream reads only the new files.
+    Silver is computed once and fed to the micro-batch sink in two batches that
+    together hold every row (patients under 50, then the rest; silver has no null
+    age); after each, the gold stream reads only the new files.
     """
-    silver_root = scratch_path(spark, "stream-gold-tables-silver")
-    gold_root = scratch_path(spark, "stream-gold-tables-gold")
-    checkpoint = scratch_path(spark, "stream-gold-tables-checkpoint")
+    return _live_gold(spark, sf_dir, "stream-gold-tables", replay=False)
+
+
+def stream_gold_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with every batch delivered again, as after a failure before its commit."""
+    return _live_gold(spark, sf_dir, "stream-gold-replay", replay=True)
+
+
+def _live_gold(spark: SparkSession, sf_dir: str, label: str, replay: bool) -> DataFrame:
+    whole, silver_root, gold_root, checkpoint = (
+        scratch_path(spark, f"{label}-{part}") for part in ("whole", "silver", "gold", "checkpoint")
+    )
+    _silver(spark, sf_dir).write.parquet(whole)
+    s = spark.read.parquet(whole)
     sink = SilverBatchSink(silver_root)
-    s = _silver(spark, sf_dir)
-    halves = [s.filter(F.col("age") < 50), s.filter(F.col("age") >= 50)]
-    for batch_id, part in enumerate(halves):
-        sink(part, batch_id)
-        streams.run_to_end(
-            streams.start_gold_tables_stream(
-                read_silver_stream(spark, silver_root),
-                gold_root,
-                checkpoint,
-                trigger={"availableNow": True},
-            ),
-            STREAM_TIMEOUT_S,
-        )
+    for batch_id, part in enumerate([s.filter(F.col("age") < 50), s.filter(F.col("age") >= 50)]):
+        for _ in range(2 if replay else 1):
+            sink(part, batch_id)
+            stream = read_silver_stream(spark, silver_root)
+            streams.run_to_end(
+                streams.start_gold_tables_stream(stream, gold_root, checkpoint, trigger={"availableNow": True})
+            )
     return gold.stack(read_gold(spark, gold_root))
 
 
@@ -364,6 +429,7 @@ def stream_daily_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "bronze_encode": bronze_encode,
     "bronze_decode": bronze_decode,
+    "kafka_rows_dedupe": kafka_rows_dedupe,
     "silver_dedupe": silver_dedupe,
     "silver_quality_filter": silver_quality_filter,
     "silver_gender": silver_gender,
@@ -376,10 +442,14 @@ QUERIES: dict[str, Query] = {
     "silver_defaults": silver_defaults,
     "silver_visits": silver_visits,
     "silver_row_count": silver_row_count,
+    "silver_stamps": silver_stamps,
     "silver_partitioned_roundtrip": silver_partitioned_roundtrip,
     **{f"gold_{name}": _gold(name) for name in gold.BUILDERS},
     "gold_one_pass": gold_one_pass,
     "gold_roundtrip": gold_roundtrip,
+    "gold_order": gold_order,
+    "gold_without_timestamp": gold_without_timestamp,
+    "chart_series": chart_series,
     "kpi_summary": kpi_summary,
     "gender_share": gender_share,
     "severity_risk": severity_risk,
@@ -390,5 +460,6 @@ QUERIES: dict[str, Query] = {
     "stream_gold_severity": stream_gold_severity,
     "stream_gold_all": stream_gold_all,
     "stream_gold_tables": stream_gold_tables,
+    "stream_gold_replay": stream_gold_replay,
     "stream_daily_trends": stream_daily_trends,
 }

@@ -11,7 +11,8 @@ variable                     meaning                     default
 ``SILVER_OUTPUT_PATH``       silver table                (required)
 ``CHECKPOINT_PATH``          silver stream checkpoint    (required)
 ``TRIGGER_INTERVAL``         micro-batch interval        ``10 seconds``
-``MAX_OFFSETS_PER_TRIGGER``  messages per micro-batch    ``200``
+``MAX_OFFSETS_PER_TRIGGER``  messages per micro-batch    ``200`` (0: no limit)
+``MAX_FILES_PER_TRIGGER``    files per micro-batch       ``1`` (0: no limit)
 ``GOLD_OUTPUT_PATH``         gold tables root            (required)
 ``SILVER_SOURCE``            ``kafka`` or ``files``      ``kafka``
 ``SILVER_INPUT_PATH``        replay files (``files``)    -
@@ -25,6 +26,10 @@ variable                     meaning                     default
 ``REPORT_OUTPUT_PATH``       dashboard data tables       ``<GOLD_OUTPUT_PATH>/_report``
 ===========================  ==========================  ==============================
 
+200 messages every 10 seconds are 20 a second: a topic that gets more, or a large
+backlog, never drains at the default. Set ``MAX_OFFSETS_PER_TRIGGER`` to what one
+trigger can work off, or to 0.
+
 Run with ``spark-submit --py-files visitflow.zip visitflow/__main__.py <job>`` (jobs:
 ``silver``, ``gold``, ``gold-live``, ``kpi``, ``report``)
 or ``python -m visitflow …``.
@@ -66,6 +71,9 @@ class JobConfig:
     max_offsets_per_trigger: int = field(
         default_factory=lambda: int(_env("MAX_OFFSETS_PER_TRIGGER", "200"))
     )
+    max_files_per_trigger: int = field(
+        default_factory=lambda: int(_env("MAX_FILES_PER_TRIGGER", "1"))
+    )
     gold_path: str | None = field(default_factory=lambda: _env("GOLD_OUTPUT_PATH"))
     source: str = field(default_factory=lambda: _env("SILVER_SOURCE", "kafka"))
     input_path: str | None = field(default_factory=lambda: _env("SILVER_INPUT_PATH"))
@@ -102,10 +110,11 @@ def _messages(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, object]:
             max_offsets_per_trigger=cfg.max_offsets_per_trigger,
             min_partitions=cfg.kafka_min_partitions,
         )
-        return stream, messages.decode
+        return stream, messages.decode_kafka
     if cfg.source == "files":
         cfg.require("input_path")
-        return messages.replay_stream(spark, cfg.input_path), messages.decode_envelope
+        stream = messages.replay_stream(spark, cfg.input_path, cfg.max_files_per_trigger)
+        return stream, messages.decode_envelope
     raise ValueError(f"unknown silver source {cfg.source!r}")
 
 
@@ -159,6 +168,8 @@ def gold_live_job(
 
     cfg = cfg or JobConfig()
     cfg.require("silver_path", "gold_path", "gold_checkpoint_path")
+    if cfg.rocksdb_state:  # the state holds every (doctor id, name) pair
+        streams.use_rocksdb_state(spark)
     query = streams.start_gold_tables_stream(
         read_silver_stream(spark, cfg.silver_path, fmt=cfg.silver_format),
         cfg.gold_path,

@@ -1,11 +1,15 @@
 """Sinks: silver micro-batch writer, gold writer, bronze encode/publish.
 
-Silver micro-batches go to ``<root>/batch_id=<n>/age_group=<band>/``. A replayed
-batch id (Spark re-runs the last batch after a failure) overwrites its own
-directory, so the table never holds a batch twice; the reference's plain
-append would. Each batch is written by one job: no emptiness probe and no
-second ``count()`` pass — the row count comes from an ``Observation`` filled
-by the write itself.
+Silver micro-batches go to ``<root>/stream=<query id>/batch_id=<n>/age_group=<band>/``.
+The query id lives in the checkpoint, so a stream that starts over with a new
+checkpoint (and counts its batches from 0 again) writes beside the old rows, not
+over them. A batch whose directory is already committed (``_SUCCESS``) is not
+written again: Spark re-runs the last batch after a failure, and files that never
+change keep streams that read the table (live gold) from counting them twice.
+Each batch is written by one job: no emptiness probe and no second ``count()``
+pass — the row count comes from an ``Observation`` filled by the write itself.
+
+Gold tables are written beside their final place and moved there when complete.
 """
 
 from __future__ import annotations
@@ -17,7 +21,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from visitflow.functions import rules
 from visitflow.schema import BRONZE_COLUMNS, DELIVERY_SEQ
+from visitflow.storage import delete, exists, replace
 
 log = logging.getLogger(__name__)
 
@@ -41,7 +47,7 @@ def write_partitioned(
 
 
 class SilverBatchSink:
-    """``foreachBatch`` callback: idempotent, partitioned, counted in one pass."""
+    """``foreachBatch`` callback: exactly once per stream and batch, partitioned, counted in one pass."""
 
     # Row counts of the most recent batches kept for callers (bounded history).
     KEEP_COUNTS = 1000
@@ -55,26 +61,44 @@ class SilverBatchSink:
     ):
         """``per_batch_dirs=False`` appends straight under ``<root>/age_group=<band>/``
         (the layout of the pipeline this replaces); that is *not* idempotent: a
-        replayed batch is appended twice."""
+        replayed batch is appended twice. Outside a stream, batches go under
+        ``stream=manual``."""
         self.root = root.rstrip("/")
         self.fmt = fmt
         self.files = files
         self.per_batch_dirs = per_batch_dirs
         self.counts: dict[int, int] = {}
+        self.untimed: dict[int, int] = {}
         self._tag = uuid.uuid4().hex[:12]  # observation names stay unique per sink
 
+    def batch_path(self, batch: DataFrame, batch_id: int) -> str:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "manual"
+        return f"{self.root}/stream={stream}/batch_id={batch_id}"
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         obs = Observation(f"silver_{self._tag}_{batch_id}")
-        observed = batch.observe(obs, F.count(F.lit(1)).alias("rows"))
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        if "timestamp" in batch.columns:
+            metrics.append(F.count_if(rules.event_time("timestamp").isNull()).alias("untimed"))
+        observed = batch.observe(obs, *metrics)
         if self.per_batch_dirs:
-            path, mode = f"{self.root}/batch_id={batch_id}", "overwrite"
+            path, mode = self.batch_path(batch, batch_id), "overwrite"
+            if exists(batch.sparkSession, f"{path}/_SUCCESS"):
+                # Its rows are there; the plan still runs, so that the state stores move on.
+                observed.write.format("noop").mode("overwrite").save()
+                log.info("silver batch %d: already committed, left as it is", batch_id)
+                return
         else:
             path, mode = self.root, "append"
         write_partitioned(observed, path, fmt=self.fmt, mode=mode, files=self.files)
         rows = int(obs.get.get("rows", 0) or 0)
         self.counts[batch_id] = rows
-        if len(self.counts) > self.KEEP_COUNTS:
-            del self.counts[min(self.counts)]
+        self.untimed[batch_id] = int(obs.get.get("untimed", 0) or 0)
+        for kept in (self.counts, self.untimed):
+            if len(kept) > self.KEEP_COUNTS:
+                del kept[min(kept)]
+        if self.untimed[batch_id]:
+            log.info("silver batch %d: %d rows without a time", batch_id, self.untimed[batch_id])
         if rows == 0:
             # An empty partitioned write leaves no data files; probing emptiness
             # first would run the batch (and its state lookups) a second time.
@@ -84,23 +108,35 @@ class SilverBatchSink:
 
 
 def write_gold(
-    df: DataFrame, root: str, name: str, fmt: str = "json", order: list | None = None
+    df: DataFrame,
+    root: str,
+    name: str,
+    fmt: str = "json",
+    order: list | None = None,
+    rows: int | None = None,
 ) -> None:
-    """One gold table as a single ordered file, replacing the previous version.
+    """One gold table in the given order, replacing the previous version when complete.
 
-    Gold tables are aggregates (a handful of rows per label), so one file is
-    cheap. With ``order`` the frame is computed in parallel, its (small) rows
-    are moved to one partition and sorted there — the file order of a global
-    sort, without its sampling job. Without ``order`` the frame must already be
-    sorted, and ``coalesce(1)`` keeps that order.
+    ``rows``, the table's size, decides its files: up to ``ONE_FILE_ROWS`` rows are one
+    sorted file; a larger table (labels are free text) is range-partitioned and sorted,
+    so its part files in name order are the ordered table. Without ``order`` the
+    frame must already be sorted and small (a top 10). The new version is written under ``_staging`` and moved into place, so a reader
+    never sees half a table, and a crash while writing leaves the old one.
     """
-    if order:
+    root = root.rstrip("/")
+    if not order:
+        out = df.coalesce(1)
+    elif rows is not None and rows <= ONE_FILE_ROWS:
         out = df.repartition(1).sortWithinPartitions(*order)
     else:
-        out = df.coalesce(1)
-    out.write.mode("overwrite").format(fmt).save(f"{root.rstrip('/')}/{name}")
+        out = df.orderBy(*order)
+    staged = f"{root}/_staging/{name}-{uuid.uuid4().hex}"
+    out.write.format(fmt).save(staged)
+    replace(df.sparkSession, staged, f"{root}/{name}")
 
 
+# Tables of up to this many rows are one file.
+ONE_FILE_ROWS = 100_000
 # Small tables are written as concurrent jobs from at most this many driver threads.
 WRITE_THREADS = 9
 
@@ -114,23 +150,23 @@ def write_tables(
     """Write several small tables (one file each) as concurrent Spark jobs.
 
     Each write is latency-bound, so running them side by side shortens the
-    whole step; row counts come from an observation on each write.
+    whole step. A table's rows are counted first (of a stored aggregate that is read
+    off the file footers); the count decides how many files it gets.
     """
-    tag = uuid.uuid4().hex[:12]
     orders = orders or {}
 
     def write_one(name: str) -> int:
-        obs = Observation(f"table_{tag}_{name}")
-        observed = tables[name].observe(obs, F.count(F.lit(1)).alias("rows"))
-        write_gold(observed, root, name, fmt=fmt, order=orders.get(name))
-        rows = int(obs.get.get("rows", 0) or 0)
+        rows = tables[name].count()
+        write_gold(tables[name], root, name, fmt=fmt, order=orders.get(name), rows=rows)
         log.info("table %s: %d rows", name, rows)
         return rows
 
     if not tables:
         return {}
     with ThreadPoolExecutor(max_workers=min(len(tables), WRITE_THREADS)) as pool:
-        return dict(zip(tables, pool.map(write_one, tables)))
+        counts = dict(zip(tables, pool.map(write_one, tables)))
+    delete(next(iter(tables.values())).sparkSession, f"{root.rstrip('/')}/_staging")
+    return counts
 
 
 def encode(bronze: DataFrame, with_delivery_seq: bool = False) -> DataFrame:

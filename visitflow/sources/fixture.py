@@ -23,7 +23,7 @@ from visitflow.schema import DELIVERY_SEQ
 RECIPE_COLUMNS: list[tuple[str, str]] = [
     (DELIVERY_SEQ, "CASE WHEN redelivered THEN k + 1000000000 ELSE k END"),
     ("id", "CASE WHEN k % 107 = 0 THEN NULL WHEN k % 109 = 0 THEN '' ELSE 'v' || CAST(k AS STRING) END"),
-    ("timestamp", "CASE WHEN k % 113 = 0 THEN NULL ELSE CAST(d AS STRING) || 'T08:00:00.000001' END"),
+    ("timestamp", "CASE WHEN k % 113 = 0 THEN NULL WHEN k % 127 = 0 THEN 'not a date' WHEN k % 131 = 0 THEN CAST(d AS STRING) || 'T25:99' ELSE CAST(d AS STRING) || 'T08:00:00.000001' END"),
     ("first_name", "CASE WHEN k % 97 = 0 THEN '' WHEN k % 89 = 0 THEN NULL ELSE 'First' || CAST(u % 50 AS STRING) END"),
     ("last_name", "CASE WHEN k % 17 = 0 THEN NULL ELSE 'Last' || CAST(k % 31 AS STRING) END"),
     ("dob", "'1980-01-01'"),
@@ -32,7 +32,7 @@ RECIPE_COLUMNS: list[tuple[str, str]] = [
     ("phone", "'555-' || CAST(k AS STRING)"),
     ("address", "'Street ' || CAST(k % 100 AS STRING)"),
     ("doctor_id", "CAST(1000 + u % 40 AS INT)"),
-    ("doctor_name", "'Dr. Name' || CAST(u % 40 AS STRING)"),
+    ("doctor_name", "'Dr. Name' || CAST((u + k) % 7 AS STRING)"),
     ("ward", "CAST(1 + k % 20 AS INT)"),
     ("room", "CAST(1 + k % 30 AS INT)"),
     ("wbc", "CASE WHEN redelivered THEN CAST(5 AS DOUBLE) WHEN k % 103 = 0 THEN NULL ELSE CAST(k * 37 % 340 AS DOUBLE) / 10 END"),
@@ -70,6 +70,45 @@ def bronze_from_events(events: DataFrame) -> DataFrame:
     return src.select(*[F.expr(sql).alias(name) for name, sql in RECIPE_COLUMNS])
 
 
+# Messages that don't decode, by arrival order modulo MALFORMED_EVERY.
+MALFORMED_EVERY = 211
+MALFORMED = {
+    5: '{"id":"v',
+    6: "",
+    7: "[1, 2]",
+    8: '{"id":7,"age":"old","wbc":[1],"first_name":"Ann"}',
+}
+
+
+def kafka_rows(bronze: DataFrame, malformed: bool = False) -> DataFrame:
+    """Bronze rows in the row layout of a Kafka read, in two topic partitions.
+
+    A redelivery comes later, on the other partition and with a smaller offset.
+    ``malformed`` replaces some values, and then all rows are one partition whose
+    offsets are ``delivery_seq``.
+    """
+    seq = F.col(DELIVERY_SEQ)
+    text = F.to_json(F.struct(*[c for c in bronze.columns if c != DELIVERY_SEQ]))
+    if malformed:
+        partition, offset = F.lit(0), seq
+        for at, value in MALFORMED.items():
+            text = F.when(seq % MALFORMED_EVERY == at, F.lit(value)).otherwise(text)
+    else:
+        again = seq >= REDELIVERY_OFFSET
+        key = F.when(again, seq - REDELIVERY_OFFSET).otherwise(seq)
+        partition = F.when(again, 1 - key % 2).otherwise(key % 2)
+        offset = F.when(again, F.floor(key / REDELIVERY_EVERY)).otherwise(REDELIVERY_OFFSET + F.floor(key / 2))
+    return bronze.select(
+        F.lit(None).cast("binary").alias("key"),
+        text.cast("binary").alias("value"),
+        F.lit("visits").alias("topic"),
+        partition.cast("int").alias("partition"),
+        offset.cast("long").alias("offset"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + seq).alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+
+
 def read_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze visit records for a test-data directory."""
     return bronze_from_events(read_events(spark, sf_dir))

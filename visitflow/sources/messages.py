@@ -38,7 +38,7 @@ def kafka_options(
         "startingOffsets": starting_offsets,
         "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
-    if max_offsets_per_trigger is not None:
+    if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
     if min_partitions:
         opts["minPartitions"] = str(int(min_partitions))
@@ -46,22 +46,34 @@ def kafka_options(
 
 
 def from_kafka_rows(raw: DataFrame) -> DataFrame:
-    """Kafka rows -> ``json_data`` (binary value cast to text) + ``delivery_seq`` (offset).
+    """Kafka rows -> ``json_data`` (binary value cast to text), ``delivery_seq`` (offset),
+    ``kafka_partition`` and ``kafka_timestamp``.
 
-    Key, topic, partition and timestamp are not used, as in the pipeline this replaces.
+    Offsets order the messages of one topic partition only; ``KAFKA_ORDER`` orders
+    those of a whole topic.
     """
     return raw.select(
         F.col("value").cast("string").alias("json_data"),
         F.col("offset").alias(DELIVERY_SEQ),
+        F.col("partition").alias("kafka_partition"),
+        F.col("timestamp").alias("kafka_timestamp"),
     )
 
 
+#: Arrival order over all partitions of a topic, for the batch dedupe's ``order_by``.
+KAFKA_ORDER = ("kafka_timestamp", "kafka_partition", DELIVERY_SEQ)
+
+
+def decode_kafka(messages: DataFrame, stamp: bool = True) -> DataFrame:
+    """Decode Kafka messages and drop the envelope but for ``delivery_seq`` (for streams)."""
+    return decode(messages, stamp=stamp).drop("kafka_partition", "kafka_timestamp")
+
+
 def kafka_stream(spark: SparkSession, **options) -> DataFrame:
     """Streaming Kafka scan, with the envelope reduced to ``json_data`` + arrival order.
 
-    ``delivery_seq`` is the Kafka offset, which orders deliveries within one
-    topic partition (the producer sets no message key, so there is no
-    cross-partition order to keep).
+    ``delivery_seq`` is the Kafka offset, which orders deliveries within one topic
+    partition; across partitions a stream takes them as they arrive.
     """
     raw = spark.readStream.format("kafka").options(**kafka_options(**options)).load()
     return from_kafka_rows(raw)
@@ -72,21 +84,22 @@ def kafka_batch(
 ) -> DataFrame:
     """Batch read of a topic (e.g. for a backfill), same columns as ``kafka_stream``.
 
-    Offsets order deliveries within one topic partition only; a backfill that
-    needs a cross-partition order can pass ``order_by`` to the batch dedupe
-    (e.g. the Kafka ``timestamp`` first).
+    Decode it and pass ``order_by=KAFKA_ORDER`` to ``operators.silver.clean``: the first
+    delivery over all partitions then wins.
     """
     opts = kafka_options(bootstrap_servers, topic, starting_offsets, max_offsets_per_trigger=None)
     return from_kafka_rows(spark.read.format("kafka").options(**opts).load())
 
 
-def replay_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Streaming scan of replay files: one JSON message per line, oldest file first."""
-    return (
-        spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
-        .text(path)
-        .select(F.col("value").alias("json_data"))
-    )
+def replay_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = 1) -> DataFrame:
+    """Streaming scan of replay files: one JSON message per line, oldest file first.
+
+    ``max_files_per_trigger=None`` (or 0) takes all files that are there.
+    """
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.text(path).select(F.col("value").alias("json_data"))
 
 
 def decode(

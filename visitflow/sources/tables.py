@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from visitflow.schema import GOLD_SCHEMAS, SILVER_SCHEMA
+from visitflow.storage import exists
 
 
 class MissingInputError(RuntimeError):
@@ -23,28 +24,47 @@ def _path_missing(exc: AnalysisException) -> bool:
     return cond == "PATH_NOT_FOUND" or "Path does not exist" in str(exc)
 
 
+def _silver_schema() -> StructType:
+    return StructType(
+        [f for f in SILVER_SCHEMA.fields if f.name != "age_group"]
+        + [StructField("age_group", StringType(), True)]
+    )
+
+
 def read_silver(
     spark: SparkSession, path: str, fmt: str = "parquet", require_rows: bool = False
 ) -> DataFrame:
     """Silver table written by the silver sinks (partition columns are discovered).
 
-    ``age_group`` (and ``batch_id`` for the idempotent stream sink) come back as
-    partition columns; their types are pinned by the schema.
+    ``age_group`` (and ``stream`` and ``batch_id`` for the stream sink) come back as
+    partition columns; their types are pinned by the schema. A Parquet table written
+    without ``timestamp`` (its files say so) comes back without it, and gold then has
+    no daily table; JSON lines name no columns, so there a missing field is null.
     """
-    schema = StructType(
-        [f for f in SILVER_SCHEMA.fields if f.name != "age_group"]
-        + [StructField("age_group", StringType(), True)]
-    )
+    schema = _silver_schema()
+    names = SILVER_SCHEMA.fieldNames()
     try:
         df = spark.read.schema(schema).option("basePath", path).format(fmt).load(path)
         df.schema  # resolve now, so a missing path fails here
+        if fmt == "parquet" and _lacks(spark, path, "timestamp"):
+            names = [n for n in names if n != "timestamp"]
     except AnalysisException as exc:
         if _path_missing(exc):
             raise MissingInputError(f"silver table not found at {path}") from exc
         raise
     if require_rows and df.isEmpty():
         raise MissingInputError(f"silver table at {path} has no rows")
-    return df.select(*[c for c in SILVER_SCHEMA.fieldNames()])
+    return df.select(*names)
+
+
+def _lacks(spark: SparkSession, path: str, column: str) -> bool:
+    """Whether a Parquet table's footer has no such column (no files at all: it isn't lacking)."""
+    try:
+        return column not in spark.read.option("basePath", path).parquet(path).columns
+    except AnalysisException as exc:
+        if exc.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return False
+        raise
 
 
 def read_silver_stream(
@@ -53,26 +73,28 @@ def read_silver_stream(
     """The silver table as a stream of its new files (for incremental gold).
 
     Each trigger picks up only files added since the last one, so a live gold
-    query over this stream never re-reads the whole table.
+    query over this stream never re-reads the whole table. A silver table that
+    isn't there raises ``MissingInputError``, as in batch.
     """
-    schema = StructType(
-        [f for f in SILVER_SCHEMA.fields if f.name != "age_group"]
-        + [StructField("age_group", StringType(), True)]
-    )
-    reader = spark.readStream.schema(schema).option("basePath", path).format(fmt)
+    if not exists(spark, path):
+        raise MissingInputError(f"silver table not found at {path}")
+    reader = spark.readStream.schema(_silver_schema()).option("basePath", path).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(path).select(*SILVER_SCHEMA.fieldNames())
 
 
 def read_gold(
-    spark: SparkSession, root: str, tables: list[str] | None = None, fmt: str = "json"
+    spark: SparkSession,
+    root: str,
+    tables: list[str] | None = None,
+    fmt: str = "json",
+    keep_empty: bool = False,
 ) -> dict[str, DataFrame]:
     """Gold tables under ``root/<table>``; tables that are absent are left out.
 
-    Part files of a table are read together (one multi-file scan). Empty
-    tables are kept as empty frames: they carry the schema, and a consumer can
-    test ``isEmpty()`` if it must skip them.
+    Part files of a table are read together (one multi-file scan). Tables without
+    rows are left out, too, unless ``keep_empty``.
     """
     found: dict[str, DataFrame] = {}
     for name in tables or list(GOLD_SCHEMAS):
@@ -84,5 +106,6 @@ def read_gold(
             if _path_missing(exc):
                 continue
             raise
-        found[name] = df
+        if keep_empty or not df.isEmpty():
+            found[name] = df
     return found

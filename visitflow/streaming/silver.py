@@ -21,6 +21,8 @@ local disk and in checkpoints, not on the JVM heap, or the bounded variant.
 
 from __future__ import annotations
 
+import logging
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +33,12 @@ from visitflow.functions import rules
 from visitflow.operators import silver as silver_ops
 from visitflow.sinks.files import SilverBatchSink
 from visitflow.sources.messages import decode_envelope
+from visitflow.storage import delete, replace
+
+log = logging.getLogger(__name__)
+
+#: How far a record's clock may run ahead and still move the watermark.
+FUTURE_SKEW = "1 DAY"
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
@@ -59,17 +67,24 @@ def silver_stream(
     ``bounded_delay=None``: unbounded dedupe on ``id`` (reference semantics);
     ``salt_buckets`` spreads hot ids over that many state partitions first
     (unbounded variant only).
-    Otherwise dedupe within a watermark on the record's own time; rows without
-    a parsable time cannot be bounded and are left out of this variant.
+    Otherwise dedupe within a watermark on the record's own time (the start of its
+    visit date, if only the date can be read). Records whose clock can't be
+    trusted — no time at all, or one more than ``FUTURE_SKEW`` ahead of the
+    micro-batch — must not move the watermark and can't be bounded by it: they are
+    deduped on ``id`` beside it, with a state of their own that holds only their ids.
+    The sink counts the rows without a time.
     """
     bronze = decode_fn(messages)
     if bounded_delay is None:
         return silver_ops.clean(bronze, salt_buckets=salt_buckets)
-    timed = bronze.withColumn("visit_time", rules.visit_time("timestamp")).filter(
-        F.col("visit_time").isNotNull()
+    timed = bronze.filter(rules.present("id")).withColumn("visit_time", rules.event_time("timestamp"))
+    trusted = F.coalesce(
+        F.col("visit_time") <= F.current_timestamp() + F.expr(f"INTERVAL {FUTURE_SKEW}"), F.lit(False)
     )
-    deduped = silver_ops.dedupe_within_watermark(timed, "visit_time", bounded_delay)
-    return silver_ops.standardise(silver_ops.quality_filter(deduped)).drop("visit_time")
+    bounded = silver_ops.dedupe_within_watermark(timed.filter(trusted), "visit_time", bounded_delay)
+    beside = timed.filter(~trusted).dropDuplicates(["id"])
+    deduped = bounded.drop("visit_time").unionByName(beside.drop("visit_time"))
+    return silver_ops.standardise(silver_ops.quality_filter(deduped))
 
 
 def start_silver(
@@ -104,7 +119,9 @@ class OverwriteTableSink:
         self.fmt = fmt
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").format(self.fmt).save(self.path)
+        staged = f"{self.path.rstrip('/')}-staged-{uuid.uuid4().hex}"
+        batch.write.format(self.fmt).save(staged)
+        replace(batch.sparkSession, staged, self.path)
 
 
 class UpsertPartitionsSink:
@@ -162,8 +179,9 @@ class GoldTablesSink:
     """``foreachBatch`` callback (complete mode over ``aggregate_all``): rewrite the
     nine gold tables each trigger, in the layout of the batch gold job.
 
-    The aggregate batch is written once to ``<root>/_aggregate``; the nine small
-    tables are then cut from that file, so the stateful plan runs once per trigger.
+    The aggregate batch is written once under ``<root>/_staging``, partitioned by
+    grain; each table is then cut from its own part, so the stateful plan runs once
+    per trigger and no table reads another's rows.
     """
 
     def __init__(self, root: str, fmt: str = "json"):
@@ -174,11 +192,10 @@ class GoldTablesSink:
         from visitflow.operators import gold
         from visitflow.sinks.files import write_tables
 
-        agg_path = f"{self.root}/_aggregate"
-        batch.write.mode("overwrite").parquet(agg_path)
-        tables = gold.split(batch.sparkSession.read.parquet(agg_path), ordered=False)
+        agg = gold.store_aggregate(batch, f"{self.root}/_staging/aggregate-{uuid.uuid4().hex}")
+        tables = gold.split(agg, ordered=False)
         orders = {n: gold.table_order(n) for n in tables if n not in gold.LIMITED}
-        write_tables(tables, self.root, fmt=self.fmt, orders=orders)
+        write_tables(tables, self.root, fmt=self.fmt, orders=orders)  # removes _staging
 
 
 def start_gold_tables_stream(
@@ -206,12 +223,9 @@ def read_live_gold(spark: SparkSession, path: str, ordered: bool = True) -> dict
 
 def live_severity(silver: DataFrame) -> DataFrame:
     """Severity summary as a streaming aggregate (sorting happens at read time)."""
-    return silver.groupBy("severity").agg(
-        F.count(F.lit(1)).alias("patient_count"),
-        F.round(F.avg("age"), 1).alias("avg_age"),
-        F.round(F.avg("wbc"), 1).alias("avg_wbc"),
-        F.round(F.avg("hgb"), 1).alias("avg_hgb"),
-    )
+    from visitflow.operators import gold
+
+    return gold.table_aggregate(silver, "severity_summary")
 
 
 def live_daily_trends(silver: DataFrame) -> DataFrame:
@@ -221,11 +235,9 @@ def live_daily_trends(silver: DataFrame) -> DataFrame:
     one row per calendar day (a few hundred a year), so it needs no watermark:
     a late record still lands on its own day and the day is rewritten.
     """
-    return silver.groupBy(rules.visit_date("timestamp").alias("date")).agg(
-        F.count(F.lit(1)).alias("patient_per_day"),
-        F.round(F.avg("age"), 1).alias("avg_age"),
-        F.count_if(F.col("severity") == "SEVERE").alias("severe_cases"),
-    )
+    from visitflow.operators import gold
+
+    return gold.table_aggregate(silver, "daily_trends")
 
 
 def start_daily_trends(
@@ -245,10 +257,26 @@ def start_daily_trends(
     )
 
 
-def run_to_end(query: StreamingQuery, timeout_s: float = 600) -> None:
-    """Wait for an ``availableNow`` query; fail if it errs or does not finish in time."""
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the query's last micro-batches dropped as later than the watermark."""
+    return sum(
+        int(op.get("numRowsDroppedByWatermark", 0) or 0)
+        for progress in query.recentProgress
+        for op in (progress.get("stateOperators", []) if isinstance(progress, dict) else progress.stateOperators)
+    )
+
+
+def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait for an ``availableNow`` query and report late rows; fail if it errs.
+
+    ``timeout_s`` (for tests) stops a query that takes longer; without it the
+    wait has no limit.
+    """
+    finished = query.awaitTermination() if timeout_s is None else query.awaitTermination(timeout_s)
+    late = late_rows(query)
+    if late:
+        log.warning("streaming query %s dropped %d late rows", query.id, late)
+    if timeout_s is not None and not finished:
         query.stop()
         raise TimeoutError(f"streaming query {query.id} did not finish within {timeout_s}s")
     exc = query.exception()
