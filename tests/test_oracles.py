@@ -8,7 +8,14 @@ import duckdb
 import pytest
 from conftest import SMALL
 
-from __spark_entry__ import oracle_sql, queries
+from visitflow.oracles import oracle_sql
+from visitflow.plans.catalog import QUERIES
+
+
+def queries():
+    """The library's own queries; those of the optional subpackage have their tests with it."""
+    return QUERIES
+
 
 TABLES = ["events"]
 

@@ -52,11 +52,11 @@ def test_kpi_unknown_band_and_missing_score(spark):
     assert row["male_pct"] == 100.0
 
 
-def test_round_half_up_on_exact_ties(spark):
+def test_exact_ties_round_to_even(spark):
     df = spark.createDataFrame([(1, 8), (1, 16), (0, 0), (2, 3)], "n long, d long")
     got = [r[0] for r in df.select(report.round1_ratio("n", "d", scale=100)).collect()]
-    # 12.5 exact; 6.25 -> 6.3 (half up); 0/0 -> 0; 66.66.. -> 66.7
-    assert got == [12.5, 6.3, 0.0, 66.7]
+    # 12.5 exact; 6.25 -> 6.2 (ties to even, as Python's round); 0/0 -> 0; 66.66.. -> 66.7
+    assert got == [12.5, 6.2, 0.0, 66.7]
 
 
 def test_gender_share(spark):
