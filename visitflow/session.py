@@ -64,7 +64,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):  # local-cluster isn't one machine's
         raise RuntimeError(
             f"{_CHECKPOINT_KEY} is not set; a cluster job needs a shared folder for "
             "checkpoints and scratch tables"
@@ -83,8 +83,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def materialize(df):
     """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
 
-    Used for small intermediate results that several outputs read (e.g. the
-    grouping-sets aggregate behind the nine gold tables): they are computed
+    For small intermediate results that several outputs read: they are computed
     once, and a lost executor does not force a recomputation from the source.
     """
     checkpoint_root(df.sparkSession)
