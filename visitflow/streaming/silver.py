@@ -33,7 +33,7 @@ from visitflow.functions import rules
 from visitflow.operators import silver as silver_ops
 from visitflow.sinks.files import SilverBatchSink
 from visitflow.sources.messages import decode_envelope
-from visitflow.storage import delete, replace
+from visitflow.storage import replace
 
 log = logging.getLogger(__name__)
 
