@@ -5,6 +5,9 @@ Each applies its operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +24,9 @@ from visitflow.llm import (
     toxicity_nb,
     warc,
 )
-from visitflow.llm.common import table
+from visitflow.llm.common import ship, table
+
+Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_ann_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,8 +81,17 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=40, law="bytes")
 
 
-QUERIES = {
-    q.__name__: q
+def _shipped(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES: dict[str, Query] = {
+    q.__name__: _shipped(q)
     for q in (
         op1_ann_tree,
         op2_quality_mil,
@@ -90,4 +104,4 @@ QUERIES = {
         op9_jaccard_join,
         op10_sharding,
     )
-} | {"pipeline": corpus_pipeline.run}
+} | {"pipeline": _shipped(corpus_pipeline.run)}
