@@ -16,8 +16,8 @@ followers. Leader-follower pairs are verified on the full sets and joined into
 components. Round 2 derives the followers' answers: two entries of one component need no
 comparison, so only entries outside a list's commonest component are probed again,
 against entries of other components. What round 2 verifies completes the links
-between components, so components are exact, and a list of m near copies costs m
-comparisons, not their square.
+between components, so components are exact, and a list of m near copies that
+hang together costs m comparisons, not their square.
 
 Lists longer than ``LIST_ROWS`` are dealt into block pairs, each a task's bounded work.
 """
@@ -38,9 +38,11 @@ from visitflow.llm.common import mix64, slices, stored, utf8_column, word_hashes
 SKETCH_BITS = 512
 LIST_ROWS = 20_000
 #: Rows of lists that are probed together.
-ENGINE_ROWS = 200_000
-PIECE_BYTES = 2 << 20
+ENGINE_ROWS = 100_000
+PIECE_BYTES = 1 << 20
 LOWEST = -(2**63)
+#: Bits of the filter that spares texts which no candidate pair names the shuffle (2 MB).
+FILTER_BITS = 1 << 24
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _STEPS = np.random.default_rng(77).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
@@ -132,6 +134,21 @@ def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
     return _text_rows(docs).mapInArrow(run, "d long, t long, n long, node long, prefix binary, bits binary")
 
 
+def _maybe(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` without most of those whose keys ``wanted`` doesn't hold.
+
+    A bitmap of hashes of the wanted keys is broadcast: FILTER_BITS bits at most,
+    however many are wanted. It lets some others pass, never one wanted less.
+    """
+    bit = F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS)) + 1
+    bits = wanted.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("_bucket"))
+    bits = stored(bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("_bits")), "join-filter")
+    keyed = rows.withColumn("_bucket", F.bitmap_bucket_number(bit)).withColumn("_at", F.bitmap_bit_position(bit))
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_at div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    named = keyed.join(F.broadcast(bits), "_bucket").where(F.getbit(byte, (F.col("_at") % 8).cast("int")) == 1)
+    return named.select(rows.columns)
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
     """(node, hashes) of the wanted classes (node, d, t), from their representatives' texts."""
 
@@ -144,7 +161,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
                 nodes = batch.column("node").slice(first, last - first)
                 yield pa.RecordBatch.from_arrays([nodes, pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "hashes"])
 
-    texts = _text_rows(docs).join(wanted, ["d", "t"]).dropDuplicates(["d", "t"])
+    texts = _maybe(_text_rows(docs), wanted, ["d", "t"]).join(wanted, ["d", "t"]).dropDuplicates(["d", "t"])
     return texts.select("node", "text").mapInArrow(run, "node long, hashes binary")
 
 
@@ -313,9 +330,10 @@ class Lists:
 def candidate_pairs(lists: DataFrame, classes: DataFrame, rule: Rule, comps: DataFrame | None = None) -> DataFrame:
     """Distinct pairs (a, b) that a round must verify; ``comps`` (node, root) makes it round 2."""
     long = lists.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > LIST_ROWS)
-    entries = lists.join(classes.select("node", "bits"), "node").join(long, "token", "left")
+    sketched = classes.select("node", "bits")
     if comps is not None:
-        entries = entries.join(comps, "node")
+        sketched = _maybe(sketched, comps, ["node"]).join(comps, "node")
+    entries = lists.join(sketched, "node").join(long, "token", "left")
     entries = (
         entries.withColumn("blocks", F.coalesce(F.ceil(F.col("rows") / LIST_ROWS), F.lit(1)).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -349,8 +367,8 @@ def _both(pairs: DataFrame, by_node: DataFrame, columns: list[str]) -> DataFrame
     return pairs
 
 
-def prefix_check(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
-    """Drop pairs whose prefixes alone differ in more hashes than a link allows."""
+def prefix_check(pairs: DataFrame, nodes: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """Drop pairs whose prefixes alone differ in more hashes than a link allows; ``nodes``: those of the pairs."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -364,7 +382,8 @@ def prefix_check(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
                 kept.append(len(x) + len(y) - 2 * common <= rule.differ(row.x_n + row.y_n))
             yield batch.loc[kept, ["a", "b"]]
 
-    return _both(pairs, classes, ["n", "prefix"]).mapInPandas(run, "a long, b long")
+    known = _maybe(classes.select("node", "n", "prefix"), nodes, ["node"])
+    return _both(pairs, known, ["n", "prefix"]).mapInPandas(run, "a long, b long")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -421,22 +440,28 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     classes = stored(classes.select("node", "rep.d", "rep.t", "n", "prefix", "bits"), "join-classes")
     lists = stored(shared_lists(classes, rule), "join-lists")
 
-    def links(pairs: DataFrame) -> DataFrame:
-        pairs = stored(prefix_check(pairs, classes, rule), "join-pairs")
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        sets = stored(full_sets(docs, classes.select("node", "d", "t").join(nodes, "node"), rule), "join-sets")
+    def nodes_of(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+    def links(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+        pairs = stored(prefix_check(pairs, nodes, classes, rule), "join-pairs")
+        nodes = _maybe(classes.select("node", "d", "t"), nodes_of(pairs), ["node"]).join(nodes_of(pairs), "node")
+        sets = stored(full_sets(docs, stored(nodes, "join-nodes"), rule), "join-sets")
         return stored(verify(pairs, sets, rule), "join-links")
 
-    first = stored(candidate_pairs(lists, classes, rule), "join-first")
-    found = links(first)
+    seen = stored(candidate_pairs(lists, classes, rule), "join-first")
+    # Every class that some pair may link; those without a link yet are components of their own.
+    marked = stored(nodes_of(seen), "join-marked")
+    found = links(seen, marked)
     comps = connected(found)
-    # Round 2: every class that some pair may link; those without a link yet are components of their own.
-    marked = first.select(F.col("a").alias("node")).union(first.select("b")).distinct()
-    known = stored(marked.join(comps, "node", "left").select("node", F.coalesce("root", "node").alias("root")), "join-known")
-    second = candidate_pairs(lists.join(known.select("node"), "node"), classes, rule, known)
-    more = links(second.join(first, ["a", "b"], "left_anti"))
-    if more.head(1):
-        comps = connected(found.union(more))
+    known = marked.join(comps, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    lists = _maybe(lists, marked, ["node"])
+    pairs = candidate_pairs(lists, classes, rule, stored(known, "join-known"))
+    pairs = stored(pairs.join(seen, ["a", "b"], "left_anti"), "join-later")
+    if pairs.head(1):
+        more = links(pairs, nodes_of(pairs))
+        if more.head(1):
+            comps = connected(found.union(more))
 
     own = F.struct("d", "t")
     rooted = classes.select("node", "d", "t").join(comps, "node", "left").withColumn("root", F.coalesce("root", "node"))
