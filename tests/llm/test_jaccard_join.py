@@ -130,6 +130,8 @@ def test_bounds_rule_out_no_link():
             assert np.intersect1d(x[: rule.prefix(n)], y[: rule.prefix(len(y))]).size
             bits = [np.unpackbits(np.frombuffer(jj.sketch(s), np.uint8)) for s in (x, y)]
             assert (bits[0] != bits[1]).sum() <= rule.differ(n + len(y))
+            wide = [np.unpackbits(np.frombuffer(jj.sketch(s, jj.WIDE_BITS), np.uint8)) for s in (x, y)]
+            assert (wide[0] != wide[1]).sum() <= rule.differ(n + len(y))
 
 
 def test_shingles_do_not_depend_on_neighbours():

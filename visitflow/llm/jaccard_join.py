@@ -8,7 +8,8 @@ each, in hash order; these prefixes are the index. A list (all classes with one
 hash) is ordered by set size and skipped by position: a probe reads only the block
 of sizes that can link, and of these only entries whose positions leave room for
 enough common hashes and whose parity sketches (512 bits) differ in few enough bits.
-Each bound is exact: it rules out no pair that links.
+Pairs found are tested by wider sketches, then by their prefixes, before full sets
+are fetched. Each bound is exact: it rules out no pair that links.
 
 Set relations. Round 1 probes each list with leaders only: the first entry not yet
 close to a leader is the next leader, and the entries close to it become its
@@ -36,6 +37,8 @@ from pyspark.sql import functions as F
 from visitflow.llm.common import mix64, slices, stored, utf8_column, word_hashes, word_spans
 
 SKETCH_BITS = 512
+#: Sets of more hashes than WIDE_FROM have a second sketch, which their pairs are tested with.
+WIDE_BITS, WIDE_FROM = 8192, 600
 LIST_ROWS = 20_000
 #: Rows of lists that are probed together.
 ENGINE_ROWS = 100_000
@@ -98,10 +101,10 @@ def set_name(own: np.ndarray) -> int:
     return int(mix64(total ^ mix64(np.array([len(own)], np.uint64))).view(np.int64)[0])
 
 
-def sketch(own: np.ndarray) -> bytes:
-    """Parity of the number of hashes that fall on each bit."""
-    counts = np.bincount((own & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS)
-    return np.packbits(counts.astype(np.uint8) & 1).tobytes()
+def sketch(own: np.ndarray, bits: int = SKETCH_BITS) -> bytes:
+    """Parity of the number of hashes that fall on each of ``bits`` bits."""
+    counts = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
 
 def _text_rows(docs: DataFrame) -> DataFrame:
@@ -112,7 +115,7 @@ def _text_rows(docs: DataFrame) -> DataFrame:
 
 
 def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(d, t, n, node, prefix, bits) of every row; node is null for an empty set."""
+    """(d, t, n, node, prefix, bits, wide) of every row; node is null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,10 +131,11 @@ def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
                     "node": pa.array([set_name(s) if len(s) else None for s in sets], pa.int64()),
                     "prefix": pa.array([s[: rule.prefix(len(s))].tobytes() if len(s) else b"" for s in sets], pa.binary()),
                     "bits": pa.array([sketch(s) if len(s) else b"" for s in sets], pa.binary()),
+                    "wide": pa.array([sketch(s, WIDE_BITS) if len(s) > WIDE_FROM else b"" for s in sets], pa.binary()),
                 }
                 yield pa.RecordBatch.from_pydict(columns)
 
-    return _text_rows(docs).mapInArrow(run, "d long, t long, n long, node long, prefix binary, bits binary")
+    return _text_rows(docs).mapInArrow(run, "d long, t long, n long, node long, prefix binary, bits binary, wide binary")
 
 
 def _maybe(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
@@ -367,6 +371,24 @@ def _both(pairs: DataFrame, by_node: DataFrame, columns: list[str]) -> DataFrame
     return pairs
 
 
+def wide_check(pairs: DataFrame, nodes: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """Drop pairs of large sets whose wide sketches differ in more bits than a link allows."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            kept = []
+            for row in batch.itertuples(index=False):
+                unlike = 0
+                if row.x_wide and row.y_wide:
+                    x, y = np.frombuffer(row.x_wide, np.uint64), np.frombuffer(row.y_wide, np.uint64)
+                    unlike = int(np.bitwise_count(x ^ y).sum())
+                kept.append(unlike <= rule.differ(row.x_n + row.y_n))
+            yield batch.loc[kept, ["a", "b"]]
+
+    known = _maybe(classes.select("node", "n", "wide"), nodes, ["node"])
+    return _both(pairs, known, ["n", "wide"]).mapInPandas(run, "a long, b long")
+
+
 def prefix_check(pairs: DataFrame, nodes: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """Drop pairs whose prefixes alone differ in more hashes than a link allows; ``nodes``: those of the pairs."""
 
@@ -436,15 +458,17 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         F.first("n").alias("n"),
         F.first("prefix").alias("prefix"),
         F.first("bits").alias("bits"),
+        F.first("wide").alias("wide"),
     )
-    classes = stored(classes.select("node", "rep.d", "rep.t", "n", "prefix", "bits"), "join-classes")
+    classes = stored(classes.select("node", "rep.d", "rep.t", "n", "prefix", "bits", "wide"), "join-classes")
     lists = stored(shared_lists(classes, rule), "join-lists")
 
     def nodes_of(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
 
     def links(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-        pairs = stored(prefix_check(pairs, nodes, classes, rule), "join-pairs")
+        pairs = stored(wide_check(pairs, nodes, classes, rule), "join-wide")
+        pairs = stored(prefix_check(pairs, nodes_of(pairs), classes, rule), "join-pairs")
         nodes = _maybe(classes.select("node", "d", "t"), nodes_of(pairs), ["node"]).join(nodes_of(pairs), "node")
         sets = stored(full_sets(docs, stored(nodes, "join-nodes"), rule), "join-sets")
         return stored(verify(pairs, sets, rule), "join-links")
