@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitflow.llm.common import stored
+from visitflow.llm.common import bounded_sample, stored
 from visitflow.llm.vectors import grouped, matrix, usable
 
 SAMPLE_ROWS = 20_000
@@ -174,8 +174,7 @@ def search(
     )
     wanted = stored(usable(queries, id_col, vector_col).where(nonzero).distinct(), "ann-queries")
     asked = stored(wanted.groupBy("v").agg(F.min("id").alias("q")), "ann-asked")
-    order = F.xxhash64("v", F.lit(seed))
-    drawn = classes.orderBy(order, "c").limit(sample_rows).select("v").toPandas()
+    drawn = bounded_sample(classes, sample_rows, "c").select("v").toPandas()
     if not len(drawn):
         return spark.createDataFrame([], schema)
     sample = unit(matrix(drawn["v"]))

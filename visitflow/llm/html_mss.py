@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from visitflow.llm.common import bounded_sample
+
 #: Pages of the table that are learned from: those of smallest xxhash64(page_id).
 SAMPLE_PAGES = 400
 #: An element kind is left out if less than this share of its words is content.
@@ -250,7 +252,7 @@ def extract_pages(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFra
     out. Repeated rows and null ids are kept. Other columns are not read.
     """
     rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
-    drawn = rows.where("html is not null").orderBy(F.xxhash64("page_id", "html"), "page_id").limit(sample_pages)
+    drawn = bounded_sample(rows.where("html is not null"), sample_pages, "page_id", "html")
     weights = fit([r["html"] for r in drawn.select("html").collect()])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
