@@ -77,6 +77,23 @@ def test_long_texts_score_alike_in_any_batch():
         assert np.allclose(whole, apart)
 
 
+def test_training_reads_the_end_of_long_texts(monkeypatch):
+    """Bags of over 400 passages, told apart by the last one alone; also in pieces of a step."""
+    rng = np.random.default_rng(3)
+    vocabulary = np.array([f"{a}{b}" for a in ("ga", "lo", "mi") for b in ("ren", "sta", "tul", "ve")])
+    size = quality_mil.PASSAGE_WORDS
+    texts, labels = [], np.arange(20) % 2
+    for label in labels:
+        words = list(rng.choice(vocabulary, size * int(rng.integers(401, 405))))
+        texts.append(" ".join(words + ["word" if label else "###9"] * size))
+    models = [quality_mil.fit(pa.array(texts), labels, rounds=120)]
+    monkeypatch.setattr(quality_mil, "STEP_PASSAGES", 1000, raising=False)
+    models.append(quality_mil.fit(pa.array(texts), labels, rounds=120))
+    scores = [m.score(pa.array(texts)) for m in models]
+    assert ((scores[0] >= 0.5) == labels).all()
+    assert np.allclose(*scores, atol=1e-3)
+
+
 def test_passages_cover_every_word():
     texts = ["", "one", " ".join(map(str, range(130))), "\n\n"]
     body, offsets = utf8_column(pa.array(texts))

@@ -11,8 +11,9 @@ is learned from the document labels alone; the document's score is the logistic
 of the weighted representation ``sum(a h)``.
 
 The sums over a bag are kept as running totals, so a text of any length is
-read piece by piece and whole. Training takes one bounded sample of labelled rows
-(``SAMPLE_ROWS``) in one task.
+read piece by piece and whole, in training as in scoring: a step goes over all passages
+of its bags, ``STEP_PASSAGES`` at a time. Training takes one bounded sample of labelled
+rows (``SAMPLE_ROWS``) in one task.
 """
 
 from __future__ import annotations
@@ -41,6 +42,8 @@ ROUNDS = 400
 THRESHOLD = 0.5
 SEED = 5
 PIECE_BYTES = 2 << 20
+#: Passages whose layers are held together in a training step.
+STEP_PASSAGES = 1 << 15
 #: Sum of exp(attention) is kept relative to this bound of the attention's size.
 _CLIP = 15.0
 
@@ -169,6 +172,14 @@ def constant(score: float) -> Model:
     return Model(p | {"c0": np.array([np.log(score / (1 - score))])})
 
 
+def _layers(f: np.ndarray, p: dict[str, np.ndarray]) -> tuple[np.ndarray, ...]:
+    """Encoded passages, the two gates, attention, its exponential, and each passage's value."""
+    h = np.tanh(f @ p["W"] + p["b"])
+    t, s = np.tanh(h @ p["V"]), sigmoid(h @ p["U"])
+    a = _CLIP * np.tanh((t * s) @ p["w"] / _CLIP)
+    return h, t, s, a, np.exp(a), h @ p["c"]
+
+
 def fit(texts: pa.Array, labels: np.ndarray, rounds: int = ROUNDS) -> Model:
     """Fit all layers together from document labels, by Adam on random batches of bags."""
     n, good = len(labels), float(labels.sum())
@@ -195,24 +206,33 @@ def fit(texts: pa.Array, labels: np.ndarray, rounds: int = ROUNDS) -> Model:
     v2 = {k: np.zeros_like(v) for k, v in p.items()}
     for step in range(1, rounds + 1):
         docs = rng.choice(n, min(n, 256), replace=False)
-        at = np.concatenate([np.arange(first[d], first[d + 1])[:400] for d in docs])
-        own = np.repeat(np.arange(len(docs)), [min(400, first[d + 1] - first[d]) for d in docs])
-        f, k = x[at], len(docs)
-        h = np.tanh(f @ p["W"] + p["b"])
-        t, s = np.tanh(h @ p["V"]), sigmoid(h @ p["U"])
-        a = _CLIP * np.tanh((t * s) @ p["w"] / _CLIP)
-        e = np.exp(a)
-        share = e / np.bincount(own, e, k)[own]
-        value = h @ p["c"]
-        z = np.bincount(own, share * value, k)
+        k = len(docs)
+        at = np.concatenate([np.arange(first[d], first[d + 1]) for d in docs])
+        own_bag = np.repeat(np.arange(k), first[docs + 1] - first[docs])
+        pieces = [slice(i, i + STEP_PASSAGES) for i in range(0, len(at), STEP_PASSAGES)]
+        top, norm = np.zeros(k), np.zeros(k)
+        for piece in pieces:
+            f, own = x[at[piece]], own_bag[piece]
+            h, t, s, a, e, value = layers = _layers(f, p)
+            top += np.bincount(own, e * value, k)
+            norm += np.bincount(own, e, k)
+        z = top / norm
         off = (sigmoid(z + p["c0"][0]) - labels[docs]) * class_weight[docs] / k
-        d_value = share * off[own]
-        d_a = share * (value - z[own]) * off[own]  # through the softmax
-        d_g = d_a * (1 - (a / _CLIP) ** 2)
-        d_ts = d_g[:, None] * p["w"]
-        d_t, d_s = d_ts * s * (1 - t * t), d_ts * t * s * (1 - s)
-        d_h = (d_value[:, None] * p["c"] + d_t @ p["V"].T + d_s @ p["U"].T) * (1 - h * h)
-        grads = {"W": f.T @ d_h, "b": d_h.sum(axis=0), "V": h.T @ d_t, "U": h.T @ d_s, "w": (t * s).T @ d_g, "c": h.T @ d_value, "c0": np.array([off.sum()])}
+        grads = {key: np.zeros_like(v) for key, v in p.items()}
+        grads["c0"] += off.sum()
+        for piece in pieces:
+            f, own = x[at[piece]], own_bag[piece]
+            h, t, s, a, e, value = layers if len(pieces) == 1 else _layers(f, p)
+            share = e / norm[own]
+            d_value = share * off[own]
+            d_a = share * (value - z[own]) * off[own]  # through the softmax
+            d_g = d_a * (1 - (a / _CLIP) ** 2)
+            d_ts = d_g[:, None] * p["w"]
+            d_t, d_s = d_ts * s * (1 - t * t), d_ts * t * s * (1 - s)
+            d_h = (d_value[:, None] * p["c"] + d_t @ p["V"].T + d_s @ p["U"].T) * (1 - h * h)
+            some = {"W": f.T @ d_h, "b": d_h.sum(axis=0), "V": h.T @ d_t, "U": h.T @ d_s, "w": (t * s).T @ d_g, "c": h.T @ d_value}
+            for key, g in some.items():
+                grads[key] += g
         rate = 0.01 * (1 - step / (rounds + 1))
         for key, g in grads.items():
             if key in ("W", "V", "U", "w", "c"):
