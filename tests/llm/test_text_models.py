@@ -58,6 +58,14 @@ def test_held_out_labels_are_never_learned(spark):
     assert labelled_sample(docs, labels, "quality", 17).count() == 17
 
 
+def test_labels_of_absent_documents_take_no_room(spark):
+    docs = spark.createDataFrame([(i * 1000, "t") for i in range(60)], "doc_id long, text string")
+    labels = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    ids = {r["doc_id"] for r in labelled_sample(docs, labels, "quality", 40).collect()}
+    may = {i * 1000 for i in range(60) if zlib.crc32(str(i * 1000).encode()) % 3 != 1}
+    assert len(ids) == min(40, len(may)) and ids <= may
+
+
 def test_filters_keep_columns(spark):
     docs = spark.createDataFrame([(1, "a b", "en", 3.5), (2, None, "de", None)], "doc_id long, text string, lang string, x double")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")

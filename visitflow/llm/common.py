@@ -86,15 +86,17 @@ def bounded_sample(rows: DataFrame, n: int, *keys: str) -> DataFrame:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> DataFrame:
     """(doc_id, text, label) of at most ``max_rows`` labelled rows that may be learned from.
 
-    The rows are those with the smallest ``xxhash64(doc_id)``, so a sample does
-    not depend on partitioning. A doc_id labelled twice counts with its larger
-    label; null ids and null labels are left out. The sample is bounded, so the
-    join broadcasts it.
+    The rows are those with the smallest ``xxhash64(doc_id)`` among the ids that
+    ``docs`` holds, so a sample does not depend on partitioning, and labels of
+    absent documents take no room in it. A doc_id labelled twice counts with its
+    larger label; null ids and null labels are left out. The sample is bounded, so
+    the join broadcasts it.
     """
     ids = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy(F.col("doc_id").alias("doc_id"))
         .agg(F.max(F.col(label).cast("int")).alias("label"))
+        .join(docs.select("doc_id"), "doc_id", "left_semi")
     )
     return docs.select("doc_id", "text").join(F.broadcast(bounded_sample(ids, max_rows, "doc_id")), "doc_id")
 
