@@ -52,6 +52,26 @@ def test_cases(weights, source, want):
     assert html_mss.extract(source, weights) == want
 
 
+WRAPPED = "<h1>A title</h1><p>The words of the article stand here.</p>"
+WRAPPERS = [
+    f"<body class='right-sidebar'><nav>Home</nav><article>{WRAPPED}</article></body>",
+    f"<body class='sidebar'><nav>Home</nav><main>{WRAPPED}</main></body>",
+    f"<div id='page' class='site'><nav>Home</nav><article>{WRAPPED}</article></div>",
+    f"<div class='banner notice'><div class='sidebar'><main>{WRAPPED}</main></div><footer>All rights</footer></div>",
+    f"<article class='post has-comments'>{WRAPPED}</article>",
+    f"<article class='comments'>{WRAPPED}<div class='comments'>Nice one</div></article>",
+    f"<article><div class='share'>{WRAPPED}</div><div class='ad'>Buy it</div></article>",
+    f"<div class='header'><div class='content-with-sidebar'>{WRAPPED}</div></div>",
+    f"<form class='social'><nav>Home</nav><div class='sidebar'>{WRAPPED}</div></form>",
+    f"<body class='sidebar'><div class='right-sidebar'>{WRAPPED}</div><div class='sidebar'>Most read story</div></body>",
+]
+
+
+@pytest.mark.parametrize("source", WRAPPERS)
+def test_wrappers_of_the_content_stay(weights, source):
+    assert html_mss.extract(source, weights) == "A title\nThe words of the article stand here."
+
+
 def test_labelled_pages_give_their_content(weights):
     for source in html_mss.LABELLED:
         inside = re.search(r"<content>(.*)</content>", source)[1]

@@ -10,6 +10,9 @@ the table that mark their article themselves (``<article>`` or ``<main>``), at m
 content; a tag's cost is the log odds of standing outside. Elements whose words
 are hardly ever content (menus, adverts, comments ...) are learned as well: such an
 element scores nothing, neither its words nor its tags, and is left out of the result.
+Classes, ids and roles count as whole tokens (``right-sidebar`` is not ``sidebar``), and an
+element that may hold the content itself stays: body, main and article, whatever contains
+one of these two, and a wrapper of more than ``WRAPPER_SHARE`` of the page's words.
 """
 
 from __future__ import annotations
@@ -30,6 +33,9 @@ from visitflow.llm.common import bounded_sample
 SAMPLE_PAGES = 400
 #: An element kind is left out if less than this share of its words is content.
 CONTENT_SHARE = 0.05
+#: A form, or an element known by its class, id or role, is not left out if it holds more than this
+#: share of the words (of those in closed article and main elements, if any are there).
+WRAPPER_SHARE = 0.5
 #: Score of a word; tags cost at least MIN_COST and at most MAX_COST words.
 WORD_SCORE = 1.0
 MIN_COST, MAX_COST = 0.2, 12.0
@@ -60,7 +66,6 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_PART = re.compile(r"[a-z]+")
 
 # Elements by their part in a page's flow.
 INLINE = frozenset(
@@ -72,14 +77,17 @@ IMPLIED_END = {"p": "p", "li": "li", "dt": "dt", "dd": "dt", "tr": "tr", "td": "
 SECTIONS = frozenset("article main".split())
 #: Elements that may be left out as wholes, if learned to be; others need a class, id or role.
 STRUCTURE = frozenset("nav header footer aside form button select dialog menu".split())
+#: Never left out; of STRUCTURE, only these may wrap a page's content.
+KEPT = SECTIONS | {"html", "body"}
+WRAPPERS = frozenset({"form"})
 
 
 def kinds(name: str, attributes: str) -> list[str]:
-    """Kinds of an element that carry weights: its name and, of its class, id and role, the words."""
+    """Kinds of an element that carry weights: its name and, of its class, id and role, the tokens."""
     found = [name]
     if attributes and name not in INLINE:
         for groups in _NAMES.findall(attributes):
-            found += ["." + part for part in _PART.findall("".join(groups).lower())]
+            found += ["." + part for part in "".join(groups).lower().split()]
     return found
 
 
@@ -114,6 +122,36 @@ class Page:
                 stack.append(element)
         if at < len(source):
             self.tokens.append(("text", source[at:]))
+        self._measure()
+
+    def _measure(self) -> None:
+        """Set ``holds`` (closed sections in an element) and ``share`` of closed elements.
+
+        The share is of the words inside closed sections, or of all if there are none.
+        """
+        n = len(self.names)
+        section = [name in SECTIONS and closed for name, closed in zip(self.names, self.closed)]
+        sofar = [0, 0, 0]  # words, words in sections, sections
+        at_open: list[tuple[int, ...]] = [(0, 0, 0)] * n
+        inside: list[tuple[int, ...]] = [(0, 0, 0)] * n
+        depth = 0
+        for token in self.tokens:
+            if token[0] == "text":
+                words = len(token[1].split())
+                sofar[0] += words
+                sofar[1] += words if depth else 0
+                continue
+            _, element, closing = token
+            if closing:
+                inside[element] = tuple(b - a for a, b in zip(at_open[element], sofar))
+                depth -= section[element]
+            else:
+                depth += section[element]
+                sofar[2] += section[element]
+                at_open[element] = tuple(sofar)
+        base = 1 if sofar[1] else 0
+        self.holds = [found[2] for found in inside]
+        self.share = [found[base] / (sofar[base] or 1) for found in inside]
 
     def _end_implied(self, stack: list[int], name: str) -> None:
         group = IMPLIED_END[name]
@@ -185,10 +223,17 @@ class Weights:
         return max([MIN_COST, *(self.costs.get(k, MIN_COST) for k in kinds_)])
 
     def drops(self, page: Page, element: int, in_article: bool) -> bool:
-        """Whether an element's words are left out; an article's own header is kept."""
-        if in_article and page.names[element] == "header":
+        """Whether an element's words are left out.
+
+        An article's own header is kept, and so is what may hold the content: see the module's text.
+        """
+        name = page.names[element]
+        if not page.closed[element] or name in KEPT or page.holds[element] or (in_article and name == "header"):
             return False
-        return page.closed[element] and not self.dropped.isdisjoint(page.kinds[element])
+        found = self.dropped.intersection(page.kinds[element])
+        if not found or not found.isdisjoint(STRUCTURE - WRAPPERS):
+            return bool(found)
+        return page.share[element] <= WRAPPER_SHARE
 
 
 def extract(source: str, weights: Weights) -> str:
