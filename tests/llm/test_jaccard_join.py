@@ -49,6 +49,21 @@ def result(spark, rows, rule):
     return sorted(map(tuple, jj.components(docs, rule).collect()), key=str)
 
 
+def brute_links(rows, rule):
+    """Every two rows that link, and each row's number of links."""
+    sets = sets_of(rows, rule.words)
+    links = {
+        (a, b)
+        for a, b in combinations(range(len(rows)), 2)
+        if sets[a] and sets[b] and rule.den * len(sets[a] & sets[b]) >= rule.num * len(sets[a] | sets[b])
+    }
+    counts = [0] * len(rows)
+    for pair in links:
+        for i in pair:
+            counts[i] += 1
+    return links, sorted(((rows[i][0], len(sets[i]), counts[i]) for i in range(len(rows))), key=str)
+
+
 def edited(rng, words, edits):
     words = list(words)
     for at in rng.integers(0, len(words), edits):
@@ -77,6 +92,54 @@ def test_copies_and_shared_passages(spark, rule):
     assert result(spark, rows, rule) == brute(rows, rule)
 
 
+@pytest.mark.parametrize("rule", RULES)
+@pytest.mark.parametrize("list_rows", [20_000, 16])
+def test_every_link_is_given(spark, monkeypatch, rule, list_rows):
+    """Pairs of classes, and counts, against all pairs; links between two followers of one leader too."""
+    monkeypatch.setattr(jj, "LIST_ROWS", list_rows)
+    rng = np.random.default_rng(10 + rule.words)
+    vocabulary = [f"w{i}" for i in range(400)]
+    rows = []
+    for _ in range(4):
+        base = list(rng.choice(vocabulary, int(rng.integers(60, 200))))
+        for _ in range(20):  # a star of copies, then a chain
+            rows.append((len(rows), edited(rng, base, int(rng.integers(0, 6)))))
+        for _ in range(8):
+            base = edited(rng, base, int(rng.integers(1, 4))).split()
+            rows.append((len(rows), " ".join(base)))
+    rows += [(len(rows) + i, t.upper()) for i, (_, t) in enumerate(rows[:5])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    links, counts = brute_links(rows, rule)
+    members, pairs = jj.similar_pairs(docs, rule)
+    of_class = {}
+    for r in members.collect():
+        of_class.setdefault(r["class_id"], []).append(r["doc_id"])
+    got = [tuple(sorted(p)) for ids in of_class.values() for p in combinations(ids, 2)]
+    for r in pairs.collect():
+        got += [tuple(sorted((x, y))) for x in of_class[r["a"]] for y in of_class[r["b"]]]
+    assert len(got) == len(set(got)) and set(got) == links
+    assert sorted(map(tuple, jj.link_counts(docs, rule).collect()), key=str) == counts
+
+
+def test_links_are_derived_without_the_sets(spark, monkeypatch):
+    """Copies of one text with one edit each: every link between two copies follows from the original."""
+    rng = np.random.default_rng(11)
+    base = [f"w{i}" for i in range(400)]
+    rows = [(0, " ".join(base[:-1]))] + [(i, edited(rng, base, 1)) for i in range(1, 25)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    join = jj.Join(docs, jj.Rule())
+    calls = []
+    monkeypatch.setattr(join, "links", lambda pairs, nodes: calls.append(1))
+    assert jj.linked_classes(join).count() == 25 * 24 // 2 and not calls
+
+
+def test_link_counts_of_odd_rows(spark):
+    rows = [(1, None), (2, ""), (4, "a"), (5, "A"), (6, "a b"), (None, "a b"), (6, "a b"), (7, "x y z w"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, jj.link_counts(docs).collect()), key=str) == brute_links(rows, jj.Rule())[1]
+    assert jj.link_counts(docs.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("rule", RULES[:2])
 def test_odd_rows(spark, rule):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a"), (5, "A"), (6, "a b"), (7, "a b"), (None, "a b"), (None, None)]

@@ -1,4 +1,4 @@
-"""N-gram Jaccard join: near-duplicate components by set-relation skipping.
+"""N-gram Jaccard join: linked pairs and near-duplicate components by set-relation skipping.
 
 A document's set is its distinct word shingles, as 64-bit hashes. Documents with equal
 sets form one class, and only classes are joined.
@@ -13,12 +13,19 @@ are fetched. Each bound is exact: it rules out no pair that links.
 
 Set relations. Round 1 probes each list with leaders only: the first entry not yet
 close to a leader is the next leader, and the entries close to it become its
-followers. Leader-follower pairs are verified on the full sets and joined into
-components. Round 2 derives the followers' answers: two entries of one component need no
-comparison, so only entries outside a list's commonest component are probed again,
-against entries of other components. What round 2 verifies completes the links
-between components, so components are exact, and a list of m near copies that
-hang together costs m comparisons, not their square.
+followers. Leader-follower pairs are verified on the full sets, which also gives the
+number of hashes they differ in.
+
+Answers (``linked_classes``). Every list is probed again, by all its entries, and a
+pair's answer is derived from the leader both were verified with: if A and B differ from it
+in x and y hashes, they differ from each other in at most x + y and at least |x - y|. A sum
+within a link's allowance is a link, a difference beyond it is none, and no set is
+fetched for either. Only the other pairs, and those without a common leader, are verified.
+
+Components (``near_duplicates``) need no answers inside a component: round 2 probes only
+entries outside a list's commonest component, against entries of other components.
+What round 2 verifies completes the links between components, so components are exact,
+and a list of m near copies that hang together costs m comparisons, not their square.
 
 Lists longer than ``LIST_ROWS`` are dealt into block pairs, each a task's bounded work.
 """
@@ -331,12 +338,29 @@ class Lists:
         return np.concatenate(xs), np.concatenate(ys)
 
 
-def candidate_pairs(lists: DataFrame, classes: DataFrame, rule: Rule, comps: DataFrame | None = None) -> DataFrame:
-    """Distinct pairs (a, b) that a round must verify; ``comps`` (node, root) makes it round 2."""
+    def answers(self, lead: np.ndarray, gap: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Close pairs (x, y) and whether their differences ``gap`` from a common ``lead`` prove the link.
+
+        Pairs which these differences rule out are left out.
+        """
+        work = np.cumsum((self.ends - self.starts)[self.list_of])
+        for some in np.split(np.arange(len(work)), np.flatnonzero(np.diff(work // ENGINE_ROWS)) + 1):
+            x, y = self.window(some)
+            once = self.node[x] < self.node[y]
+            x, y = x[once], y[once]
+            common, differ = lead[x] == lead[y], self.rule.differ(self.n[x] + self.n[y])
+            ok = ~(common & (np.abs(gap[x] - gap[y]) > differ))
+            ok[ok] = self.close(x[ok], y[ok])
+            sure = common & (gap[x] + gap[y] <= differ)
+            yield x[ok], y[ok], sure[ok]
+
+
+def _entries(lists: DataFrame, classes: DataFrame, known: DataFrame | None) -> DataFrame:
+    """Entries of the lists with sketches and what is ``known`` of a node, dealt by block pair, in order."""
     long = lists.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > LIST_ROWS)
     sketched = classes.select("node", "bits")
-    if comps is not None:
-        sketched = _maybe(sketched, comps, ["node"]).join(comps, "node")
+    if known is not None:
+        sketched = _maybe(sketched, known, ["node"]).join(known, "node")
     entries = lists.join(sketched, "node").join(long, "token", "left")
     entries = (
         entries.withColumn("blocks", F.coalesce(F.ceil(F.col("rows") / LIST_ROWS), F.lit(1)).cast("int"))
@@ -346,6 +370,11 @@ def candidate_pairs(lists: DataFrame, classes: DataFrame, rule: Rule, comps: Dat
         .withColumn("j", F.greatest("block", "other"))
         .drop("blocks", "other", "rows")
     )
+    return entries.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "node")
+
+
+def candidate_pairs(lists: DataFrame, classes: DataFrame, rule: Rule, comps: DataFrame | None = None) -> DataFrame:
+    """Distinct pairs (a, b) that a round must verify; ``comps`` (node, root) makes it round 2."""
     has_comps = comps is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,8 +385,21 @@ def candidate_pairs(lists: DataFrame, classes: DataFrame, rule: Rule, comps: Dat
             pairs = np.unique(np.stack([a, b], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
-    dealt = entries.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "node")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return _entries(lists, classes, comps).mapInArrow(run, "a long, b long").distinct()
+
+
+def answer_pairs(lists: DataFrame, classes: DataFrame, rule: Rule, leads: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) that may link, and ``sure`` if ``leads`` (node, lead, gap) prove it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _runs(batches, ["token", "i", "j"]):
+            found = Lists(table, rule)
+            for x, y, sure in found.answers(table.column("lead").to_numpy(), table.column("gap").to_numpy()):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found.node[x]), pa.array(found.node[y]), pa.array(sure)], ["a", "b", "sure"]
+                )
+
+    return _entries(lists, classes, leads).mapInArrow(run, "a long, b long, sure boolean").distinct()
 
 
 # ------------------------------------------------------------------ verification
@@ -409,23 +451,24 @@ def prefix_check(pairs: DataFrame, nodes: DataFrame, classes: DataFrame, rule: R
 
 
 def verify(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs that link, on their full sets."""
+    """(a, b, gap) of the pairs that link, on their full sets; ``gap`` hashes are in one set only."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            kept = []
+            kept, gaps = [], []
             for x, y in zip(batch["x_hashes"], batch["y_hashes"]):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 kept.append(common * rule.den >= (len(x) + len(y) - common) * rule.num)
-            yield batch.loc[kept, ["a", "b"]]
+                gaps.append(len(x) + len(y) - 2 * common)
+            yield batch[["a", "b"]].assign(gap=gaps).loc[kept]
 
-    return _both(pairs, sets, ["hashes"]).mapInPandas(run, "a long, b long")
+    return _both(pairs, sets, ["hashes"]).mapInPandas(run, "a long, b long, gap long")
 
 
 def connected(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node reachable, by minimum labels and pointer jumping."""
-    both = stored(edges.union(edges.select("b", "a")).toDF("u", "v"), "join-edges")
+    both = stored(edges.select("a", "b").union(edges.select("b", "a")).toDF("u", "v"), "join-edges")
     labels = both.groupBy("u").agg(F.min("v").alias("low"))
     labels = stored(labels.select(F.col("u").alias("node"), F.least("u", "low").alias("root")), "join-labels")
     while True:
@@ -445,45 +488,112 @@ def connected(edges: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ the join
 
 
+def nodes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+
+class Join:
+    """Sets, classes and index lists of ``docs``, and what round 1 found.
+
+    ``rows``: (d, t, n, node, ...) of every row; ``classes``: one row a node, with its representative's
+    (d, t); ``lists``: the index; ``seen``: pairs verified; ``found``: those that link, with their
+    gap; ``marked``: every class that some pair may link.
+    """
+
+    def __init__(self, docs: DataFrame, rule: Rule):
+        self.docs, self.rule = docs, rule
+        self.rows = stored(sketches(docs, rule), "join-sketches")
+        named = self.rows.where("node is not null")
+        classes = named.groupBy("node").agg(
+            F.min(F.struct("d", "t")).alias("rep"),
+            F.first("n").alias("n"),
+            F.first("prefix").alias("prefix"),
+            F.first("bits").alias("bits"),
+            F.first("wide").alias("wide"),
+        )
+        self.classes = stored(classes.select("node", "rep.d", "rep.t", "n", "prefix", "bits", "wide"), "join-classes")
+        self.lists = stored(shared_lists(self.classes, rule), "join-lists")
+        self.seen = stored(candidate_pairs(self.lists, self.classes, rule), "join-first")
+        self.marked = stored(nodes_of(self.seen), "join-marked")
+        self.found = self.links(self.seen, self.marked)
+
+    def links(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+        """(a, b, gap) of the ``pairs`` that link; ``nodes``: those of the pairs."""
+        pairs = stored(wide_check(pairs, nodes, self.classes, self.rule), "join-wide")
+        pairs = stored(prefix_check(pairs, nodes_of(pairs), self.classes, self.rule), "join-pairs")
+        nodes = _maybe(self.classes.select("node", "d", "t"), nodes_of(pairs), ["node"]).join(nodes_of(pairs), "node")
+        sets = stored(full_sets(self.docs, stored(nodes, "join-nodes"), self.rule), "join-sets")
+        return stored(verify(pairs, sets, self.rule), "join-links")
+
+
+def linked_classes(join: Join) -> DataFrame:
+    """Every pair (a, b) of classes that links, once: derived from a common leader, or verified."""
+    ends = join.found.select(F.col("a").alias("lead"), F.col("b").alias("node"), "gap")
+    ends = ends.union(join.found.select("b", "a", "gap"))
+    ends = stored(ends.union(ends.select("lead", "lead", F.lit(0).cast("long")).distinct()), "join-ends")
+    # Of the sets a class was verified with, the one most classes were verified with is its leader.
+    degree = ends.groupBy("lead").agg(F.count(F.lit(1)).alias("degree"))
+    best = F.max_by(F.struct("lead", "gap"), F.struct("degree", "lead"))
+    leads = ends.join(degree, "lead").groupBy("node").agg(best.alias("best"))
+    leads = join.marked.join(leads.select("node", "best.lead", "best.gap"), "node", "left").select(
+        "node", F.coalesce("lead", "node").alias("lead"), F.coalesce("gap", F.lit(0)).alias("gap")
+    )
+    lists = _maybe(join.lists, join.marked, ["node"])
+    answers = stored(answer_pairs(lists, join.classes, join.rule, stored(leads, "join-leads")), "join-answers")
+    # a < b holds in all of them.
+    rest = stored(answers.where("not sure").select("a", "b").join(join.seen, ["a", "b"], "left_anti"), "join-rest")
+    linked = answers.where("sure").select("a", "b").union(join.found.select("a", "b"))
+    if rest.head(1):
+        linked = linked.union(join.links(rest, nodes_of(rest)).select("a", "b"))
+    return linked.distinct()
+
+
+def similar_pairs(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFrame]:
+    """The join: every link of ``docs`` (doc_id, text), as (members, pairs).
+
+    ``members`` has doc_id, n_shingles and class_id of every row; rows of one class_id have
+    equal sets and link with each other. ``pairs`` has every two classes (a, b) whose
+    sets link, a < b, once. Rows without shingles have a null class_id and no links.
+    """
+    join = Join(docs, rule)
+    members = join.rows.select(
+        F.nullif(F.col("d"), F.lit(LOWEST)).alias("doc_id"), F.col("n").alias("n_shingles"), F.col("node").alias("class_id")
+    )
+    return members, stored(linked_classes(join), "join-answer-links")
+
+
+def link_counts(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """doc_id, n_shingles and n_links of every row of ``docs`` (doc_id, text): how many other rows it links with."""
+    members, pairs = similar_pairs(docs, rule)
+    size = members.where("class_id is not null").groupBy("class_id").agg(F.count(F.lit(1)).alias("size"))
+    size = stored(size, "join-sizes")
+    both = pairs.union(pairs.select("b", "a")).toDF("class_id", "other")
+    others = size.select(F.col("class_id").alias("other"), F.col("size").alias("more"))
+    more = both.join(others, "other").groupBy("class_id").agg(F.sum("more").alias("more"))
+    per_class = size.join(more, "class_id", "left").select(
+        "class_id", (F.col("size") - 1 + F.coalesce("more", F.lit(0))).alias("n_links")
+    )
+    return members.join(per_class, "class_id", "left").select(
+        "doc_id", "n_shingles", F.coalesce("n_links", F.lit(0)).alias("n_links")
+    )
+
+
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """(d, t, n, component) of every row of ``docs`` (doc_id, text).
 
     ``d`` is the doc_id (null: the lowest long), ``t`` a hash of the text, ``n`` the set's
     size and ``component`` the smallest (d, t) reachable by links, itself included.
     """
-    rows = stored(sketches(docs, rule), "join-sketches")
-    named = rows.where("node is not null")
-    classes = named.groupBy("node").agg(
-        F.min(F.struct("d", "t")).alias("rep"),
-        F.first("n").alias("n"),
-        F.first("prefix").alias("prefix"),
-        F.first("bits").alias("bits"),
-        F.first("wide").alias("wide"),
-    )
-    classes = stored(classes.select("node", "rep.d", "rep.t", "n", "prefix", "bits", "wide"), "join-classes")
-    lists = stored(shared_lists(classes, rule), "join-lists")
-
-    def nodes_of(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-
-    def links(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-        pairs = stored(wide_check(pairs, nodes, classes, rule), "join-wide")
-        pairs = stored(prefix_check(pairs, nodes_of(pairs), classes, rule), "join-pairs")
-        nodes = _maybe(classes.select("node", "d", "t"), nodes_of(pairs), ["node"]).join(nodes_of(pairs), "node")
-        sets = stored(full_sets(docs, stored(nodes, "join-nodes"), rule), "join-sets")
-        return stored(verify(pairs, sets, rule), "join-links")
-
-    seen = stored(candidate_pairs(lists, classes, rule), "join-first")
-    # Every class that some pair may link; those without a link yet are components of their own.
-    marked = stored(nodes_of(seen), "join-marked")
-    found = links(seen, marked)
+    join = Join(docs, rule)
+    rows, classes, seen, marked, found = join.rows, join.classes, join.seen, join.marked, join.found
+    # Marked classes without a link yet are components of their own.
     comps = connected(found)
     known = marked.join(comps, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
-    lists = _maybe(lists, marked, ["node"])
+    lists = _maybe(join.lists, marked, ["node"])
     pairs = candidate_pairs(lists, classes, rule, stored(known, "join-known"))
     pairs = stored(pairs.join(seen, ["a", "b"], "left_anti"), "join-later")
     if pairs.head(1):
-        more = links(pairs, nodes_of(pairs))
+        more = join.links(pairs, nodes_of(pairs))
         if more.head(1):
             comps = connected(found.union(more))
 
