@@ -119,6 +119,19 @@ def test_ngrams_stay_inside_texts():
     assert grams == {0: 4, 1: 2, 2: 0}
 
 
+def test_ngrams_are_of_characters(monkeypatch):
+    def buckets(*texts):
+        parts = toxicity_nb._pieces(*utf8_column(pa.array(texts)))
+        return [(at, bucket) for part, ends, _ in parts for at, bucket in toxicity_nb.ngram_buckets(part, ends)]
+
+    plain, cyrillic = buckets("ab cde", "", "fg"), buckets("аб вгд", "", "жз")
+    assert [list(at) for at, _ in plain] == [list(at) for at, _ in cyrillic]
+    text = "дурак é 漢字 word " * 40
+    whole = {b for _, bucket in buckets(text) for b in bucket.tolist()}
+    monkeypatch.setattr(toxicity_nb, "PIECE_BYTES", 101)  # cuts inside characters
+    assert whole <= {b for _, bucket in buckets(text) for b in bucket.tolist()}
+
+
 def test_word_hashes_depend_on_the_word_alone():
     texts = ["the cat the", "cat", "x" * 70_000 + " the", "the " + "x" * 70_000]
     body, offsets = utf8_column(pa.array(texts))

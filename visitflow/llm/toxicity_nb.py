@@ -1,7 +1,7 @@
 """Toxicity: a character n-gram linear classifier on naive Bayes features.
 
-The features are the distinct character n-grams (``ORDERS`` bytes of the lower-cased
-text) in hashed buckets. Each is scaled by its naive Bayes log-count ratio
+The features are the distinct character n-grams (``ORDERS`` code points of the
+lower-cased text) in hashed buckets. Each is scaled by its naive Bayes log-count ratio
 
     r = log((1 + toxic texts with it) / total) - log((1 + other texts with it) / total)
 
@@ -9,7 +9,7 @@ and a logistic regression is fitted on the scaled features. Buckets seen in fewe
 ``MIN_TEXTS`` training texts, or with a ratio near 0, carry no weight.
 
 Training takes one bounded sample of labelled rows (``SAMPLE_ROWS``) in one task;
-scoring runs over the bytes of every whole text, a slice of a batch at a time.
+scoring runs over every whole text, a slice of a batch at a time.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ ROUNDS = 120
 THRESHOLD = 0.7
 #: Bytes of text worked on at a time; a longer text is read in overlapping pieces.
 PIECE_BYTES = 1 << 20
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _lowered(column: pa.Array) -> pa.Array:
@@ -42,14 +43,14 @@ def _lowered(column: pa.Array) -> pa.Array:
 
 
 def ngram_buckets(body: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each order: (position, bucket) of the n-grams that lie inside one text.
+    """For each order: (position, bucket) of the n-grams that lie inside one text; ``body`` holds code points.
 
     Every text gets a space at both ends, so a word's first and last letters show.
     """
     n_rows = len(offsets) - 1
     lengths = np.diff(offsets)
     starts = offsets[:-1] + 2 * np.arange(n_rows) + 1
-    padded = np.full(len(body) + 2 * n_rows, 32, np.uint8)
+    padded = np.full(len(body) + 2 * n_rows, 32, body.dtype)
     padded[np.arange(len(body)) + np.repeat(starts - offsets[:-1], lengths)] = body
     last = np.zeros(len(padded), bool)  # closing space of each text
     last[starts + lengths] = True
@@ -60,7 +61,7 @@ def ngram_buckets(body: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.nd
         m = len(padded) - order + 1
         if m <= 0:
             return
-        gram = (gram[:m] << np.uint64(8)) | code[order - 1 :]
+        gram = gram[:m] * _STEP + code[order - 1 :]
         if order > 2:
             crossing = crossing[:m] | last[order - 2 : order - 2 + m]
         else:
@@ -70,16 +71,31 @@ def ngram_buckets(body: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.nd
             yield at, (mix64(gram[at] ^ (np.uint64(order) << np.uint64(56))) >> shift).astype(np.int64)
 
 
+def _points(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes and offsets as code points and theirs."""
+    if not len(body) or body.max() < 128:
+        return body, offsets
+    points = np.frombuffer(body.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+    return points, np.concatenate([[0], np.cumsum((body & 0xC0) != 0x80)])[offsets]
+
+
 def _pieces(body: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(bytes, offsets, rows) of at most about PIECE_BYTES; long texts in pieces that overlap by an n-gram."""
+    """(code points, offsets, rows) of at most about PIECE_BYTES bytes; long texts in pieces that overlap by an n-gram."""
+
+    def edge(at: int, end: int) -> int:
+        while at < end and body[at] & 0xC0 == 0x80:  # inside a character
+            at += 1
+        return min(at, end)
+
     for first, last in slices(offsets, PIECE_BYTES):
         own = offsets[first : last + 1]
         if own[-1] - own[0] <= PIECE_BYTES or last - first > 1:
-            yield body[own[0] : own[-1]], own - own[0], np.arange(first, last)
+            yield *_points(body[own[0] : own[-1]], own - own[0]), np.arange(first, last)
             continue
-        for at in range(int(own[0]), int(own[-1]), PIECE_BYTES):
-            part = body[at : min(at + PIECE_BYTES + max(ORDERS) - 1, own[-1])]
-            yield part, np.array([0, len(part)]), np.array([first])
+        end = int(own[-1])
+        for at in range(int(own[0]), end, PIECE_BYTES):
+            part = body[edge(at, end) : edge(at + PIECE_BYTES + 4 * (max(ORDERS) - 1), end)]
+            yield *_points(part, np.array([0, len(part)])), np.array([first])
 
 
 def _features(column: pa.Array, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
