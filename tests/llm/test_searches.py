@@ -132,3 +132,16 @@ def test_equal_vectors_of_a_third_of_the_rows(spark):
     df = vectors(spark, rows)
     got = ann_tree.search(df.where(F.col("vec_id") == 50), df, 5).orderBy("rank").collect()
     assert [r["vec_id"] for r in got] == [0, 1, 2, 3, 4]
+
+
+def test_calibration_queries_are_held_out(monkeypatch, spark):
+    fitted, asked = [], []
+    fit, calibrate = ann_tree.fit_tree, ann_tree.calibrate
+    monkeypatch.setattr(ann_tree, "CALIBRATION_QUERIES", 20)
+    monkeypatch.setattr(ann_tree, "fit_tree", lambda x, **more: fitted.append(x) or fit(x, **more))
+    monkeypatch.setattr(ann_tree, "calibrate", lambda *a: asked.extend(a[5:]) or calibrate(*a))
+    x = np.random.default_rng(6).normal(size=(300, 4))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    assert ann_tree.search(rows.limit(5), rows, k=3).count() == 15
+    assert len(asked) == 1 and 20 <= len(asked[0]) <= 21 and len(asked[0]) + len(fitted[0]) == 300
+    assert not {tuple(v) for v in asked[0]} & {tuple(v) for v in fitted[0]}

@@ -7,8 +7,9 @@ stored as blocks of vectors.
 
 A query keeps a priority queue of branches by their centre's distance. It opens
 the nearest, pushes its children, and goes on until it has visited ``visits`` leaves.
-``visits`` is widened on held-out sample vectors until their true neighbours are
-found with ``target_recall``; that is the calibration.
+``visits`` is widened on sample vectors until their true neighbours are found with
+``target_recall``; that is the calibration. These vectors are set aside before the tree is
+fitted, except from a sample too small to spare them.
 
 Rows with equal vectors form one class that carries its ``k + 1`` smallest ids; no
 more can be among a query's k nearest. A vector that a third of all rows share is
@@ -122,11 +123,26 @@ def fit_tree(sample: np.ndarray, branches: int = BRANCHES, leaf_rows: int = LEAF
     return tree
 
 
-def calibrate(tree: Tree, sample: np.ndarray, k: int, target: float, queries: int) -> int:
-    """The fewest leaf visits that find ``target`` of the sample's true neighbours."""
-    chosen = sample[:: max(1, len(sample) // queries)]
+def set_aside(sample: np.ndarray, queries: int) -> tuple[np.ndarray | None, np.ndarray]:
+    """About ``queries`` rows to calibrate with, and the rest; none if they are a quarter of the sample or more."""
+    if len(sample) <= 4 * queries:
+        return None, sample
+    held = np.zeros(len(sample), bool)
+    held[:: len(sample) // queries] = True
+    return sample[held], sample[~held]
+
+
+def calibrate(
+    tree: Tree, sample: np.ndarray, k: int, target: float, queries: int, held: np.ndarray | None = None
+) -> int:
+    """The fewest leaf visits that find ``target`` of the true neighbours in the sample.
+
+    The queries are ``held``, or about ``queries`` rows of the sample itself.
+    """
+    chosen = sample[:: max(1, len(sample) // queries)] if held is None else held
     leaf = tree.descend(sample)
-    order = np.argsort(-(chosen @ sample.T), axis=1)[:, 1 : k + 1]  # without the query itself
+    skip = int(held is None)  # the query itself
+    order = np.argsort(-(chosen @ sample.T), axis=1)[:, skip : k + skip]
     needed = []
     for q, near in zip(chosen, order):
         place = {at: i + 1 for i, at in enumerate(tree.visit(q, tree.leaves))}
@@ -177,9 +193,9 @@ def search(
     drawn = bounded_sample(classes, sample_rows, "c").select("v").toPandas()
     if not len(drawn):
         return spark.createDataFrame([], schema)
-    sample = unit(matrix(drawn["v"]))
+    held, sample = set_aside(unit(matrix(drawn["v"])), CALIBRATION_QUERIES)
     tree = fit_tree(sample, seed=seed)
-    visits = calibrate(tree, sample, k, target_recall, CALIBRATION_QUERIES)
+    visits = calibrate(tree, sample, k, target_recall, CALIBRATION_QUERIES, held)
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
