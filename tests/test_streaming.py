@@ -97,6 +97,24 @@ def test_bounded_dedupe_forgets_after_watermark(spark):
     assert seqs == [1, 3, 4, 5]
 
 
+def test_bounded_dedupe_keeps_an_id_once_a_clock_state(spark):
+    """Known limit: deliveries of an id with and without a trusted clock are deduped apart."""
+    root = scratch_path(spark, "t-clocks")
+    inbox = root.replace("file:", "") + "/inbox"
+    sink = SilverBatchSink(root + "/out")
+    timed = valid_row(id="a", timestamp="2024-01-01T08:00:00", delivery_seq=1)
+    for rows in ([timed, dict(timed, id="b", timestamp="2999-01-01T08:00:00", delivery_seq=2)],
+                 [dict(timed, timestamp=None, delivery_seq=3), dict(timed, id="b", delivery_seq=4)],
+                 [dict(timed, delivery_seq=5), dict(timed, timestamp=None, delivery_seq=6)]):
+        _write_lines(inbox, rows)
+        q = streams.start_silver(
+            replay_stream(spark, inbox, 1), sink, root + "/ckpt", trigger={"availableNow": True}, bounded_delay="1 day"
+        )
+        streams.run_to_end(q, 300)
+    seqs = sorted(r[DELIVERY_SEQ] for r in read_silver(spark, root + "/out").collect())
+    assert seqs == [1, 2, 3, 4]
+
+
 def test_live_gold_and_daily_trends_match_batch(spark):
     from visitflow.operators import gold
     from visitflow.plans.catalog import stream_daily_trends, stream_gold_severity

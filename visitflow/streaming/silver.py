@@ -73,6 +73,9 @@ def silver_stream(
     micro-batch — must not move the watermark and can't be bounded by it: they are
     deduped on ``id`` beside it, with a state of their own that holds only their ids.
     The sink counts the rows without a time.
+
+    The two states do not see each other: an id delivered once with a trusted clock and
+    once without (no time, or a time too far ahead when it came) stays twice in silver.
     """
     bronze = decode_fn(messages)
     if bounded_delay is None:
