@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitflow.session import scratch_path
+from visitflow.storage import delete
 
 #: Bytes ``[\x20\x09-\x0D]``: the white space that separates words.
 SPACES = b" \t\n\v\f\r"
@@ -59,6 +60,24 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of one run in the shared folder; ``drop`` removes them once the result is stored."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def stored(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(self.spark, label)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        for path in self.paths:
+            delete(self.spark, path)
+        self.paths = []
+
+
 def word_count(text: Column) -> Column:
     """Number of words ``[^\\x20\\x09-\\x0D]+``; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
@@ -131,12 +150,14 @@ _SPACE = np.zeros(256, bool)
 _SPACE[list(SPACES)] = True
 
 
-def word_spans(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every word of the rows' bytes, in order."""
+def word_spans(
+    body: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every word of the rows' bytes, in order; ``space`` says which bytes separate words."""
     if len(body) == 0:
         none = np.zeros(0, np.int64)
         return none, none, none
-    inside = ~_SPACE[body]
+    inside = ~space[body]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     closes = inside.copy()

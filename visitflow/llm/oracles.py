@@ -152,3 +152,57 @@ reach AS (
 SELECT r.doc_id, CAST(any_value(s.n) AS BIGINT) AS n_shingles, min(r.other) AS component_id
 FROM reach r JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id
 """
+
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _terms(table: str, key: str) -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"SELECT {key}, unnest(regexp_extract_all({lower}, '{TERM}')) AS term FROM {table}"
+
+
+ORACLES["op12_lexical"] = f"""
+WITH postings AS (
+    SELECT doc_id, term, count(*) AS tf FROM ({_terms("documents", "doc_id")}) GROUP BY doc_id, term
+),
+lengths AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM postings GROUP BY doc_id),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+normed AS (SELECT doc_id, 75 + ((25 * n * docs) // terms) AS m FROM lengths, corpus),
+asked AS (SELECT item_id, term, count(*) AS times FROM ({_terms("benchmark", "item_id")}) GROUP BY item_id, term),
+weighed AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), corpus
+),
+scored AS (
+    SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+    FROM asked JOIN weighed USING (term) JOIN postings USING (term) JOIN normed USING (doc_id)
+    GROUP BY item_id, doc_id
+),
+ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+ORACLES["op13_epsilon_grid"] = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS size
+    FROM (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+          WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0)
+),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+    WHERE list_dot_product(a.v, b.v) >= 0.95 * a.size * b.size
+),
+reach AS (
+    SELECT vec_id, vec_id AS other FROM embeddings
+    UNION
+    SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.other
+),
+counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT r.vec_id, CAST(coalesce(any_value(c.n), 0) AS BIGINT) AS n_links, min(r.other) AS component_id,
+       r.vec_id = min(r.other) AS kept
+FROM reach r LEFT JOIN counted c ON c.vec_id = r.vec_id GROUP BY r.vec_id
+"""

@@ -15,11 +15,14 @@ import corpus_pipeline
 from visitflow.llm import (
     ann_tree,
     bpe,
+    epsilon_grid,
     html_mss,
     jaccard_join,
+    lexical,
     mixing,
     quality_mil,
     sharding,
+    token_align,
     topk_histogram,
     toxicity_nb,
     warc,
@@ -81,6 +84,21 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=40, law="bytes")
 
 
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's alignment under two tokenizers, with corpus-wide pair counts."""
+    return token_align.alignments(table(spark, sf_dir, "documents"))
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest-scoring documents for every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), k=20)
+
+
+def op13_epsilon_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector: cosine 0.95 or more."""
+    return epsilon_grid.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def _shipped(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,5 +121,8 @@ QUERIES: dict[str, Query] = {
         op8_bpe,
         op9_jaccard_join,
         op10_sharding,
+        op11_token_align,
+        op12_lexical,
+        op13_epsilon_grid,
     )
 } | {"pipeline": _shipped(corpus_pipeline.run)}
