@@ -6,6 +6,8 @@ whole rule set runs inside a single whole-stage-codegen span.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -91,20 +93,30 @@ def present(name: str) -> Column:
     return c.isNotNull() & (c != "")
 
 
+def _in_range(name: str, bounds: tuple[float, float]) -> Column:
+    c = F.col(name)
+    return c.isNotNull() & (c > bounds[0]) & (c < bounds[1])
+
+
+def quality_checks() -> dict[str, Column]:
+    """The row-level checks by the column they look at; each is true or false, never null."""
+    return {
+        "age": _in_range("age", AGE_RANGE),
+        "wbc": _in_range("wbc", WBC_RANGE),
+        "hgb": _in_range("hgb", HGB_RANGE),
+        "id": present("id"),
+        "first_name": present("first_name"),
+    }
+
+
 def quality_predicate() -> Column:
     """Row-level validity: lab values and age in range, id and first name present."""
+    return reduce(lambda a, b: a & b, quality_checks().values())
+
 
-    def in_range(name: str, bounds: tuple[float, float]) -> Column:
-        c = F.col(name)
-        return c.isNotNull() & (c > bounds[0]) & (c < bounds[1])
-
-    return (
-        in_range("age", AGE_RANGE)
-        & in_range("wbc", WBC_RANGE)
-        & in_range("hgb", HGB_RANGE)
-        & present("id")
-        & present("first_name")
-    )
+def reject_reasons() -> Column:
+    """Names of the checks a row fails, in the order of ``quality_checks``; empty for a valid row."""
+    return F.array_compact(F.array(*[F.when(~check, name) for name, check in quality_checks().items()]))
 
 
 def visit_date(c: str | Column = "timestamp") -> Column:

@@ -20,11 +20,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitflow.functions import rules
+from visitflow.schema import SILVER_SCHEMA
 
 TOP_N = 10  # Fixed value: size of the top-doctor and top-diagnosis tables.
 
@@ -125,8 +126,8 @@ GRAINS: dict[str, tuple[str, ...]] = {name: t.keys for name, t in TABLES.items()
 _ALL_KEYS: list[str] = list(dict.fromkeys(k for keys in GRAINS.values() for k in keys))
 
 
-def aggregate_all(silver: DataFrame) -> DataFrame:
-    """One GROUPING SETS aggregate holding the sums and counts of all nine tables.
+def aggregate_all(silver: DataFrame, tables: list[str] | None = None) -> DataFrame:
+    """One GROUPING SETS aggregate holding the sums and counts of all nine tables (or of ``tables``).
 
     Output: ``grain`` plus every key column (null outside its own set) plus
     ``n``, ``n_age``, ``sum_age``, ``n_wbc``, ``sum_wbc``, ``n_hgb``, ``sum_hgb``,
@@ -134,7 +135,7 @@ def aggregate_all(silver: DataFrame) -> DataFrame:
     averages with the same arithmetic as ``avg``. Without ``timestamp`` in silver
     the daily set is left out; the others still share one scan.
     """
-    names = available(silver)
+    names = [n for n in available(silver) if tables is None or n in tables]
     keys_used = [k for k in _ALL_KEYS if any(k in GRAINS[n] for n in names)]
     sets = [[F.col(k) for k in GRAINS[n]] for n in names]
     agg = _dated(silver).groupingSets(sets, *[F.col(k) for k in keys_used]).agg(
@@ -156,11 +157,23 @@ def aggregate_all(silver: DataFrame) -> DataFrame:
         for k in keys_used:
             cond = cond & (F.col(f"__g_{k}") == (0 if k in GRAINS[name] else 1))
         grain = F.when(cond, name).otherwise(grain)
-    missing = [F.lit(None).cast("date").alias(k) for k in _ALL_KEYS if k not in keys_used]
+    types = dict(STACKED_COLUMNS)
+    missing = [F.lit(None).cast(types[k]).alias(k) for k in _ALL_KEYS if k not in keys_used]
     kept = [c for c in agg.columns if not c.startswith("__g_")]
     return agg.withColumn("grain", grain).select(*kept, *missing, "grain")
 
 
+#: Key columns and sums of ``aggregate_all``'s rows. Rows of one key from different parts of silver add up.
+AGGREGATE_KEYS = ("grain", *_ALL_KEYS)
+AGGREGATE_SUMS = ("n", "n_age", "sum_age", "n_wbc", "sum_wbc", "n_hgb", "sum_hgb", "n_score", "sum_score", "severe")
+
+
+def aggregate_schema(spark: SparkSession) -> T.StructType:
+    """Schema of ``aggregate_all``, keys first."""
+    agg = aggregate_all(spark.createDataFrame([], SILVER_SCHEMA))
+    return agg.select(*AGGREGATE_KEYS, *AGGREGATE_SUMS).schema
+
+
 def store_aggregate(agg: DataFrame, path: str) -> DataFrame:
     """Write the aggregate by grain and read it back: a table then reads only its own part.
 
@@ -171,6 +184,12 @@ def store_aggregate(agg: DataFrame, path: str) -> DataFrame:
     return agg.sparkSession.read.schema(schema).parquet(path)
 
 
+def stored_sizes(agg: DataFrame) -> dict[str, int]:
+    """Rows of each table in a stored aggregate: one small job (the count is read off the file footers)."""
+    found = {r["grain"]: r["count"] for r in agg.groupBy("grain").count().collect()}  # nine rows at most
+    return {n: min(found.get(n, 0), TOP_N) if n in LIMITED else found.get(n, 0) for n in TABLES}
+
+
 def _mean(sum_col: str, n_col: str, digits: int) -> Column:
     # Same arithmetic as avg(): double sum / count, null when the count is 0.
     return F.round(

@@ -28,6 +28,20 @@ VALID = (
     "AND first_name IS NOT NULL AND first_name <> ''"
 )
 
+# First delivery of each id; rows without an id are no one's duplicates.
+_FIRST = (
+    "SELECT * FROM bronze QUALIFY id IS NULL OR id = '' "
+    "OR row_number() OVER (PARTITION BY id ORDER BY delivery_seq) = 1"
+)
+_CHECKS = {
+    "age": "coalesce(age > 0 AND age < 120, FALSE)",
+    "wbc": "coalesce(wbc > 0 AND wbc < 30, FALSE)",
+    "hgb": "coalesce(hgb > 5 AND hgb < 25, FALSE)",
+    "id": "coalesce(id <> '', FALSE)",
+    "first_name": "coalesce(first_name <> '', FALSE)",
+}
+_REASONS = "concat_ws(',', " + ", ".join(f"CASE WHEN NOT ({c}) THEN '{n}' END" for n, c in _CHECKS.items()) + ")"
+
 GENDER = "CASE WHEN gender = 'M' THEN 'MALE' WHEN gender = 'F' THEN 'FEMALE' ELSE 'UNKNOWN' END"
 ALLERGY = "CASE WHEN allergy = 'None' THEN 'NO ALLERGY' ELSE upper(allergy) END"
 AGE_GROUP = (
@@ -330,4 +344,23 @@ FROM ({GOLD_BODIES['age_group_summary']})"""
     q["stream_gold_replay"] = q["gold_one_pass"]
     q["stream_silver_bounded"] = q["silver_visits"]
     q["stream_daily_trends"] = q["gold_daily_trends"]
+    q["stream_gold_upsert"] = q["gold_one_pass"]
+    q["stream_gold_top"] = _with(
+        f"SELECT * FROM ({stack_body}) WHERE table_name IN ('top_doctors', 'diagnosis_summary')", ctes=stack_ctes
+    )
+    q["gold_incremental"] = q["gold_one_pass"]
+    q["stream_silver_indexed"] = q["silver_visits"]
+    q["stream_silver_horizon"] = q["silver_visits"]
+    q["stream_late_repair"] = q["silver_visits"]
+    q["stream_rejects"] = _bronze_only(f"SELECT delivery_seq, id, {_REASONS} AS reasons FROM ({_FIRST}) WHERE NOT ({VALID})")
+    verdicts = [
+        ("verdict:clean", f"SELECT count(*) FROM firsts WHERE {VALID}"),
+        ("verdict:rejected", f"SELECT count(*) FROM firsts WHERE NOT ({VALID})"),
+        ("verdict:duplicate", "SELECT (SELECT count(*) FROM bronze) - (SELECT count(*) FROM firsts)"),
+        ("verdict:late", "SELECT 0"),
+        *[(f"reason:{name}", f"SELECT count(*) FROM firsts WHERE NOT ({check})") for name, check in _CHECKS.items()],
+    ]
+    q["stream_verdicts"] = f"WITH bronze AS (\n{bronze_sql()}\n),\nfirsts AS ({_FIRST})\n" + "\nUNION ALL\n".join(
+        f"SELECT '{what}' AS what, CAST(({body}) AS BIGINT) AS messages" for what, body in verdicts
+    )
     return q

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from visitflow.functions import rules
 from visitflow.operators import gold, report, silver
-from visitflow.plans.batch import run_gold, write_gold_tables
+from visitflow.plans.batch import run_gold, run_gold_incremental, write_gold_tables
 from visitflow.schema import (
     BRONZE_COLUMNS,
     BRONZE_SCHEMA,
@@ -33,6 +33,7 @@ from visitflow.sinks.files import SilverBatchSink, encode, write_partitioned, wr
 from visitflow.sources.fixture import REDELIVERY_OFFSET, kafka_rows, read_bronze, read_events
 from visitflow.sources.messages import KAFKA_ORDER, decode, from_kafka_rows, replay_stream
 from visitflow.sources.tables import read_gold, read_silver, read_silver_stream
+from visitflow.streaming import seen, upsert
 from visitflow.streaming import silver as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -426,6 +427,105 @@ def stream_daily_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).parquet(out).select(*schema.fieldNames())
 
 
+def stream_gold_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nine tables kept in update mode; a trigger rewrites the buckets it changed."""
+    out = scratch_path(spark, "stream-gold-upsert")
+    _run_waves(
+        spark,
+        sf_dir,
+        "stream-gold-upsert",
+        lambda messages, ckpt: upsert.start_gold_upsert(
+            streams.silver_stream(messages), out, ckpt, trigger={"availableNow": True}, buckets=16
+        ),
+    )
+    return gold.stacked(upsert.read_store(spark, out))
+
+
+def stream_gold_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7, A8, O4 on a stream: the two top-10 tables from the old ten and the groups that changed."""
+    out = scratch_path(spark, "stream-gold-top")
+    _run_waves(
+        spark,
+        sf_dir,
+        "stream-gold-top",
+        lambda messages, ckpt: upsert.start_top(
+            streams.silver_stream(messages), out, ckpt, trigger={"availableNow": True}
+        ),
+    )
+    return gold.stack(upsert.read_top(spark, out))
+
+
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nine tables from stored sums, to which each gold run adds the new silver batches.
+
+    Silver comes in two batches that together hold every row; a gold run follows each.
+    """
+    whole, silver_root, store, gold_root = (
+        scratch_path(spark, f"gold-incremental-{part}") for part in ("whole", "silver", "store", "gold")
+    )
+    _silver(spark, sf_dir).write.parquet(whole)
+    s = spark.read.parquet(whole)
+    sink = SilverBatchSink(silver_root)
+    for batch_id, part in enumerate([s.filter(F.col("age") < 50), s.filter(F.col("age") >= 50)]):
+        sink(part, batch_id)
+        run_gold_incremental(spark, silver_root, store, gold_root, buckets=16)
+    return gold.stack(read_gold(spark, gold_root))
+
+
+def _indexed(spark: SparkSession, sf_dir: str, label: str, horizon: int | None) -> tuple[seen.IndexedSilverSink, str]:
+    """Replay both waves through the indexed sink; the sink and the folder of its tables."""
+    root = scratch_path(spark, label)
+    sink = seen.IndexedSilverSink(
+        SilverBatchSink(f"{root}/silver"), seen.SeenIds(f"{root}/index", horizon), f"{root}/rejects", f"{root}/late"
+    )
+    _run_waves(
+        spark,
+        sf_dir,
+        label,
+        lambda messages, ckpt: seen.start_indexed_silver(messages, sink, ckpt, trigger={"availableNow": True}),
+    )
+    return sink, root
+
+
+def stream_silver_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact dedupe for ever from an id index on disk; the query has no streaming state."""
+    _, root = _indexed(spark, sf_dir, "stream-indexed", None)
+    return _stable(read_silver(spark, f"{root}/silver"))
+
+
+def stream_silver_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dedupe bounded by a horizon, in one index and one scan, also for records without a clock."""
+    span = read_events(spark, sf_dir).agg(F.datediff(F.max("ts"), F.min("ts"))).first()[0] or 0
+    _, root = _indexed(spark, sf_dir, "stream-horizon", span + 2)
+    return _stable(read_silver(spark, f"{root}/silver"))
+
+
+def stream_late_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A horizon of one day sends most of the replay to the late rows; the repair merges them."""
+    sink, root = _indexed(spark, sf_dir, "stream-late", 1)
+    seen.repair_late(spark, sink.silver, sink.rejects, sink.late, f"{root}/ledger")
+    return _stable(read_silver(spark, f"{root}/silver"))
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1, F2, Q3: the rejected first deliveries with their reasons."""
+    _, root = _indexed(spark, sf_dir, "stream-rejects", None)
+    rows = seen.read_rejects(spark, f"{root}/rejects")
+    return rows.select(DELIVERY_SEQ, "id", F.array_join("reasons", ",").alias("reasons"))
+
+
+def stream_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages by verdict and rejected ones by reason, from the passes that wrote them."""
+    sink, _ = _indexed(spark, sf_dir, "stream-verdicts", None)
+    total: dict[str, int] = {}
+    for counts in sink.counts.values():
+        for kind, found in (("verdict", counts.verdicts), ("reason", counts.reasons)):
+            for name, n in found.items():
+                total[f"{kind}:{name}"] = total.get(f"{kind}:{name}", 0) + n
+    rows = [(name, n) for name, n in sorted(total.items())]
+    return spark.createDataFrame(rows, "what string, messages long")
+
+
 QUERIES: dict[str, Query] = {
     "bronze_encode": bronze_encode,
     "bronze_decode": bronze_decode,
@@ -462,4 +562,12 @@ QUERIES: dict[str, Query] = {
     "stream_gold_tables": stream_gold_tables,
     "stream_gold_replay": stream_gold_replay,
     "stream_daily_trends": stream_daily_trends,
+    "stream_gold_upsert": stream_gold_upsert,
+    "stream_gold_top": stream_gold_top,
+    "gold_incremental": gold_incremental,
+    "stream_silver_indexed": stream_silver_indexed,
+    "stream_silver_horizon": stream_silver_horizon,
+    "stream_late_repair": stream_late_repair,
+    "stream_rejects": stream_rejects,
+    "stream_verdicts": stream_verdicts,
 }

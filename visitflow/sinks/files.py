@@ -58,8 +58,9 @@ class SilverBatchSink:
         fmt: str = "parquet",
         files: int | None = None,
         per_batch_dirs: bool = True,
+        stream: str | None = None,
     ):
-        """``per_batch_dirs=False`` appends straight under ``<root>/age_group=<band>/``
+        """``stream`` names the batches' folder instead of the running query. ``per_batch_dirs=False`` appends straight under ``<root>/age_group=<band>/``
         (the layout of the pipeline this replaces); that is *not* idempotent: a
         replayed batch is appended twice. Outside a stream, batches go under
         ``stream=manual``."""
@@ -67,12 +68,14 @@ class SilverBatchSink:
         self.fmt = fmt
         self.files = files
         self.per_batch_dirs = per_batch_dirs
+        self.stream = stream
         self.counts: dict[int, int] = {}
         self.untimed: dict[int, int] = {}
         self._tag = uuid.uuid4().hex[:12]  # observation names stay unique per sink
 
     def batch_path(self, batch: DataFrame, batch_id: int) -> str:
-        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "manual"
+        running = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        stream = self.stream or running or "manual"
         return f"{self.root}/stream={stream}/batch_id={batch_id}"
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -146,18 +149,22 @@ def write_tables(
     root: str,
     fmt: str = "json",
     orders: dict[str, list] | None = None,
+    sizes: dict[str, int] | None = None,
 ) -> dict[str, int]:
-    """Write several small tables (one file each) as concurrent Spark jobs.
+    """Write several small tables (one file each) as concurrent Spark jobs; returns their rows.
 
     Each write is latency-bound, so running them side by side shortens the
-    whole step. A table's rows are counted first (of a stored aggregate that is read
-    off the file footers); the count decides how many files it gets.
+    whole step. ``sizes``, known from the stored aggregate, decide how many files an ordered
+    table gets; rows are counted by the writes themselves.
     """
-    orders = orders or {}
+    orders, sizes = orders or {}, sizes or {}
+    tag = uuid.uuid4().hex[:12]
 
     def write_one(name: str) -> int:
-        rows = tables[name].count()
-        write_gold(tables[name], root, name, fmt=fmt, order=orders.get(name), rows=rows)
+        obs = Observation(f"table_{tag}_{name}")
+        out = tables[name].observe(obs, F.count(F.lit(1)).alias("rows"))
+        write_gold(out, root, name, fmt=fmt, order=orders.get(name), rows=sizes.get(name))
+        rows = int(obs.get.get("rows", 0) or 0)
         log.info("table %s: %d rows", name, rows)
         return rows
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from visitflow.schema import GOLD_SCHEMAS, SILVER_SCHEMA
-from visitflow.storage import exists
+from visitflow.storage import exists, names
 
 
 class MissingInputError(RuntimeError):
@@ -67,6 +67,27 @@ def _lacks(spark: SparkSession, path: str, column: str) -> bool:
         raise
 
 
+def committed_batches(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(stream, batch number) of every batch that a ``SilverBatchSink`` has committed under ``path``.
+
+    Folder names only; a batch without its ``_SUCCESS`` isn't there yet.
+    """
+    found = []
+    for stream in names(spark, path):
+        if stream.startswith("stream="):
+            for batch in names(spark, f"{path}/{stream}"):
+                if batch.startswith("batch_id=") and exists(spark, f"{path}/{stream}/{batch}/_SUCCESS"):
+                    found.append((stream.removeprefix("stream="), int(batch.removeprefix("batch_id="))))
+    return sorted(found)
+
+
+def read_silver_batches(spark: SparkSession, path: str, batches: list[tuple[str, int]], fmt: str = "parquet") -> DataFrame:
+    """The rows of the named batches alone."""
+    paths = [f"{path}/stream={stream}/batch_id={number}" for stream, number in batches]
+    df = spark.read.schema(_silver_schema()).option("basePath", path).format(fmt).load(paths)
+    return df.select(*SILVER_SCHEMA.fieldNames())
+
+
 def read_silver_stream(
     spark: SparkSession, path: str, fmt: str = "parquet", max_files_per_trigger: int | None = None
 ) -> DataFrame:

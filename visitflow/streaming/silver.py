@@ -198,7 +198,7 @@ class GoldTablesSink:
         agg = gold.store_aggregate(batch, f"{self.root}/_staging/aggregate-{uuid.uuid4().hex}")
         tables = gold.split(agg, ordered=False)
         orders = {n: gold.table_order(n) for n in tables if n not in gold.LIMITED}
-        write_tables(tables, self.root, fmt=self.fmt, orders=orders)  # removes _staging
+        write_tables(tables, self.root, fmt=self.fmt, orders=orders, sizes=gold.stored_sizes(agg))  # removes _staging
 
 
 def start_gold_tables_stream(
