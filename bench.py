@@ -38,6 +38,10 @@ HEADLINE = [
     "stream_silver",
     "stream_gold_severity",
     "stream_gold_all",
+    "stream_gold_upsert",
+    "stream_gold_top",
+    "gold_incremental",
+    "stream_silver_indexed",
 ]
 
 

@@ -176,3 +176,23 @@ def test_runs_are_merged_and_nothing_is_forgotten(spark, monkeypatch):
     assert run.ids() == sorted(f"v{i}" for i in range(9))
     state = run.sink.index.versions.current(spark)[1]
     assert len(state["runs"]) <= 3 and max(r["level"] for r in state["runs"]) >= 2
+
+
+def test_state_goes_on_in_the_index_with_other_partitions(spark):
+    """Four state partitions before, sixteen tasks after: no id passes twice, none is lost."""
+    from visitflow.streaming import silver as streams
+
+    run = Run(spark)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        run.feed([valid_row(id=f"v{i}") for i in range(30)] + [valid_row(id="dirty", age=None)])
+        old = streams.start_silver(replay_stream(spark, run.inbox), run.sink.silver, f"{run.root}/old", trigger=NOW)
+        streams.run_to_end(old, 300)
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        assert seen.seed_from_state(spark, f"{run.root}/old", run.sink.index) == 31
+        run.feed([valid_row(id=f"v{i}") for i in range(20, 40)] + [valid_row(id="dirty")])
+        run.run()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert run.ids() == sorted(f"v{i}" for i in range(40))

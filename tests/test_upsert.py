@@ -165,6 +165,40 @@ def test_crash_before_publishing_counts_a_batch_once(spark, visits, monkeypatch)
     assert rows(gold.stacked(upsert.read_store(spark, store))) == rows(gold.stacked(gold.aggregate_all(visits)))
 
 
+def test_readers_see_tables_of_one_run(spark, visits, monkeypatch):
+    """Whatever table is being written, a reader gets nine tables of the run before; a failed run changes nothing."""
+    from visitflow.sinks import files
+
+    root = scratch_path(spark, "u-version")
+    young = visits.where("age < 40")
+    write_gold_tables(young, root, versioned=True)
+    before, seen = rows(gold.stack(read_gold(spark, root))), []
+    write = files.write_gold
+
+    def looking(*args, **kwargs):
+        seen.append(rows(gold.stack(read_gold(spark, root))))
+        write(*args, **kwargs)
+
+    monkeypatch.setattr(files, "write_gold", looking)
+    write_gold_tables(visits, root, versioned=True)
+    assert len(seen) == 9 and all(x == before for x in seen)
+    after = rows(gold.stack(read_gold(spark, root)))
+    assert after == rows(gold.stacked(gold.aggregate_all(visits)))
+
+    def failing(df, path, name, **kwargs):
+        if name == "hgb_summary":
+            raise RuntimeError("lost")
+        write(df, path, name, **kwargs)
+
+    monkeypatch.setattr(files, "write_gold", failing)
+    with pytest.raises(RuntimeError):
+        write_gold_tables(young, root, versioned=True)
+    assert rows(gold.stack(read_gold(spark, root))) == after
+    monkeypatch.setattr(files, "write_gold", write)
+    write_gold_tables(visits.drop("timestamp"), root, versioned=True)
+    assert "daily_trends" not in read_gold(spark, root) and len(read_gold(spark, root)) == 8
+
+
 def test_ledger_ranges():
     held = upsert._with([], [0, 1, 2, 7])
     assert held == [[0, 2], [7, 7]]

@@ -349,6 +349,8 @@ FROM ({GOLD_BODIES['age_group_summary']})"""
         f"SELECT * FROM ({stack_body}) WHERE table_name IN ('top_doctors', 'diagnosis_summary')", ctes=stack_ctes
     )
     q["gold_incremental"] = q["gold_one_pass"]
+    q["gold_versioned"] = q["gold_one_pass"]
+    q["stream_state_to_index"] = q["silver_visits"]
     q["stream_silver_indexed"] = q["silver_visits"]
     q["stream_silver_horizon"] = q["silver_visits"]
     q["stream_late_repair"] = q["silver_visits"]

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from visitflow.operators import gold, report, silver
 from visitflow.schema import GOLD_SCHEMAS
-from visitflow.sinks.files import write_partitioned, write_tables
+from visitflow.sinks.files import publish_tables, write_partitioned, write_tables
 from visitflow.session import scratch_path
 from visitflow.sources.tables import MissingInputError, read_gold, read_silver
 from visitflow.storage import delete, exists
@@ -59,36 +59,43 @@ def _only(tables: dict[str, DataFrame], silver_df: DataFrame) -> dict[str, DataF
 
 
 def write_gold_tables(
-    silver_df: DataFrame, root: str, fmt: str = "json", one_pass: bool = True
+    silver_df: DataFrame, root: str, fmt: str = "json", one_pass: bool = True, versioned: bool = False
 ) -> dict[str, int]:
-    """Build and write all gold tables; returns rows written per table."""
+    """Build and write all gold tables; returns rows written per table.
+
+    ``versioned`` publishes them together as one version of ``root``; otherwise each table
+    replaces its old one by itself.
+    """
     if not one_pass:
-        return _write_all(build_gold(silver_df, one_pass=False), root, fmt)
+        return _write_all(build_gold(silver_df, one_pass=False), root, fmt, versioned=versioned)
     spark = silver_df.sparkSession
     path = scratch_path(spark, "gold-aggregate")
     try:
         agg = gold.store_aggregate(gold.aggregate_all(silver_df), path)
         tables = _only(gold.split(agg, ordered=False), silver_df)
-        return _write_all(tables, root, fmt, sizes=gold.stored_sizes(agg))
+        return _write_all(tables, root, fmt, gold.stored_sizes(agg), versioned)
     finally:
         delete(spark, path)
 
 
 def _write_all(
-    tables: dict[str, DataFrame], root: str, fmt: str, sizes: dict[str, int] | None = None
+    tables: dict[str, DataFrame], root: str, fmt: str, sizes: dict[str, int] | None = None, versioned: bool = False
 ) -> dict[str, int]:
     orders = {n: gold.table_order(n) for n in tables if n not in gold.LIMITED} if sizes else {}
-    return write_tables(tables, root, fmt=fmt, orders=orders, sizes=sizes)
+    write = publish_tables if versioned else write_tables
+    return write(tables, root, fmt=fmt, orders=orders, sizes=sizes)
 
 
-def run_gold(spark: SparkSession, silver_path: str, gold_root: str, silver_fmt: str = "parquet") -> dict[str, int]:
-    """The gold job: read silver (must exist and hold rows), write nine tables."""
+def run_gold(
+    spark: SparkSession, silver_path: str, gold_root: str, silver_fmt: str = "parquet", versioned: bool = False
+) -> dict[str, int]:
+    """The gold job: read silver (must exist and hold rows), write nine tables (``versioned``: together)."""
     silver_df = read_silver(spark, silver_path, fmt=silver_fmt, require_rows=True)
-    return write_gold_tables(silver_df, gold_root)
+    return write_gold_tables(silver_df, gold_root, versioned=versioned)
 
 
 def run_gold_incremental(
-    spark: SparkSession, silver_path: str, store: str, gold_root: str, buckets: int = 64
+    spark: SparkSession, silver_path: str, store: str, gold_root: str, buckets: int = 64, versioned: bool = False
 ) -> dict[str, int]:
     """The gold job without a rescan: add the new silver batches to the stored sums, then write nine tables.
 
@@ -100,7 +107,7 @@ def run_gold_incremental(
     if not merge_batches(spark, silver_path, store, buckets):
         return {}
     agg = read_store(spark, store)
-    return _write_all(gold.split(agg, ordered=False), gold_root, "json", sizes=gold.stored_sizes(agg))
+    return _write_all(gold.split(agg, ordered=False), gold_root, "json", gold.stored_sizes(agg), versioned)
 
 
 REPORT_TABLES = ("kpi_summary", "gender_share", "severity_risk", "top_doctors_labelled",

@@ -472,6 +472,33 @@ def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.stack(read_gold(spark, gold_root))
 
 
+def gold_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nine tables published as one version, twice; readers follow to the second."""
+    root, whole = scratch_path(spark, "gold-versioned"), scratch_path(spark, "gold-versioned-silver")
+    _silver(spark, sf_dir).write.parquet(whole)
+    s = spark.read.parquet(whole)
+    for part in (s.filter(F.col("age") < 50), s):
+        write_gold_tables(part, root, versioned=True)
+    return gold.stack(read_gold(spark, root))
+
+
+def stream_state_to_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream whose ids are in a state store goes on with the id index; no id passes twice."""
+    root = scratch_path(spark, "stream-seeded")
+    sink = SilverBatchSink(f"{root}/silver")
+    first, again = _replay_waves(spark, sf_dir)
+    write_replay_files(first, f"{root}/inbox")
+    messages = replay_stream(spark, f"{root}/inbox", max_files_per_trigger=REPLAY_FILES_PER_TRIGGER)
+    streams.run_to_end(streams.start_silver(messages, sink, f"{root}/old", trigger={"availableNow": True}))
+    index = seen.SeenIds(f"{root}/index")
+    seen.seed_from_state(spark, f"{root}/old", index)
+    write_replay_files(again, f"{root}/inbox")
+    indexed = seen.IndexedSilverSink(sink, index, f"{root}/rejects", f"{root}/late")
+    messages = replay_stream(spark, f"{root}/inbox", max_files_per_trigger=REPLAY_FILES_PER_TRIGGER)
+    streams.run_to_end(seen.start_indexed_silver(messages, indexed, f"{root}/new", trigger={"availableNow": True}))
+    return _stable(read_silver(spark, f"{root}/silver"))
+
+
 def _indexed(spark: SparkSession, sf_dir: str, label: str, horizon: int | None) -> tuple[seen.IndexedSilverSink, str]:
     """Replay both waves through the indexed sink; the sink and the folder of its tables."""
     root = scratch_path(spark, label)
@@ -570,4 +597,6 @@ QUERIES: dict[str, Query] = {
     "stream_late_repair": stream_late_repair,
     "stream_rejects": stream_rejects,
     "stream_verdicts": stream_verdicts,
+    "gold_versioned": gold_versioned,
+    "stream_state_to_index": stream_state_to_index,
 }

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from visitflow.functions import rules
 from visitflow.schema import BRONZE_COLUMNS, DELIVERY_SEQ
+from visitflow.sinks.versions import FolderVersions
 from visitflow.storage import delete, exists, replace
 
 log = logging.getLogger(__name__)
@@ -176,6 +177,24 @@ def write_tables(
     return counts
 
 
+def publish_tables(
+    tables: dict[str, DataFrame],
+    root: str,
+    fmt: str = "json",
+    orders: dict[str, list] | None = None,
+    sizes: dict[str, int] | None = None,
+) -> dict[str, int]:
+    """``write_tables`` into a new version of ``root``: all tables become current together.
+
+    ``sources.tables.read_gold`` follows the pointer, so a reader never sees tables of two runs. The
+    versions that readers may still hold are kept; a table that this run lacks is absent.
+    """
+    if not tables:
+        return {}
+    spark = next(iter(tables.values())).sparkSession
+    return FolderVersions(root).write(spark, lambda folder: write_tables(tables, folder, fmt, orders, sizes))
+
+
 def encode(bronze: DataFrame, with_delivery_seq: bool = False) -> DataFrame:
     """Bronze rows -> JSON message text in ``value`` (null fields are omitted).
 

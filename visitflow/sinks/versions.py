@@ -58,6 +58,32 @@ class Versions:
                 delete(spark, f"{data}/{folder}")
 
 
+class FolderVersions:
+    """Whole folders published one after another: readers follow the pointer to the current one."""
+
+    def __init__(self, root: str):
+        self.root = root.rstrip("/")
+        self.versions = Versions(self.root)
+
+    def current(self, spark: SparkSession) -> str | None:
+        """The current folder, or None before the first one."""
+        number, state = self.versions.current(spark)
+        return f"{self.root}/{state['folder']}" if number else None
+
+    def write(self, spark: SparkSession, fill: Callable[[str], dict]) -> dict:
+        """Let ``fill`` write a new folder and make it current; what ``fill`` returns is kept with it.
+
+        Until then readers see the folder before; what a failed run has left is removed first.
+        """
+        number = self.versions.current(spark)[0] + 1
+        folder = f"data/v={number}"
+        delete(spark, f"{self.root}/{folder}")
+        notes = fill(f"{self.root}/{folder}")
+        self.versions.publish(spark, number, {"folder": folder, "notes": notes})
+        self.versions.retire(spark, f"{self.root}/data", lambda s: {s["folder"].rpartition("/")[2]})
+        return notes
+
+
 def newest(keys: Sequence[str], values: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
     """Of the rows of a key, the one that came last replaces the others."""
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from visitflow.schema import GOLD_SCHEMAS, SILVER_SCHEMA
+from visitflow.sinks.versions import FolderVersions
 from visitflow.storage import exists, names
 
 
@@ -115,8 +116,10 @@ def read_gold(
     """Gold tables under ``root/<table>``; tables that are absent are left out.
 
     Part files of a table are read together (one multi-file scan). Tables without
-    rows are left out, too, unless ``keep_empty``.
+    rows are left out, too, unless ``keep_empty``. If tables were published under
+    ``root`` as versions, all come from the version that is current now.
     """
+    root = FolderVersions(root).current(spark) or root
     found: dict[str, DataFrame] = {}
     for name in tables or list(GOLD_SCHEMAS):
         path = f"{root.rstrip('/')}/{name}"

@@ -248,6 +248,22 @@ class IndexedSilverSink:
         return Counts(verdicts={v: int(got.get(v, 0) or 0) for v in VERDICTS}, reasons=reasons)
 
 
+def seed_from_state(spark: SparkSession, checkpoint: str, index: SeenIds) -> int:
+    """Remember the ids in the dedupe state of a stopped query (its checkpoint); returns how many.
+
+    The state store's partitions are fixed when a query starts; the index has none. So a stream that kept
+    its ids in state goes on with the indexed sink and any number of partitions, and no id passes
+    again: start it with a new checkpoint at the old one's offsets, or from the beginning, where what
+    silver has is found to be a duplicate. Ids whose first delivery was rejected are in the state, too.
+    """
+    state = spark.read.format("statestore").option("path", checkpoint).load()
+    ids = state.select(F.col("key.id").alias("id"), F.current_date().alias("day"), F.lit(False).alias("timed"))
+    ids = ids.where(rules.present("id"))
+    count = ids.count()
+    index.add(ids, {}, f"seed-{uuid.uuid4().hex}")
+    return count
+
+
 def with_raw(messages: DataFrame, decode_fn=decode_envelope) -> DataFrame:
     """Decoded messages that keep their text as ``RAW``."""
     return decode_fn(messages.withColumn(RAW, F.col("json_data")))
