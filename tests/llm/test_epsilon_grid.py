@@ -72,8 +72,8 @@ def test_threshold_is_met_exactly(spark):
 
 def test_roots():
     rng = np.random.default_rng(1)
-    for _ in range(50):
-        a, b = rng.integers(0, 30, (2, rng.integers(1, 40)))
+    for size in [30] * 50 + [200] * 5:
+        a, b = rng.integers(0, size, (2, rng.integers(1, size)))
         node, root = roots(a, b)
         low = {int(n): int(n) for n in node}
         for _ in node:

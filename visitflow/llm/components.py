@@ -21,11 +21,9 @@ def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     x, y = at[: len(a)], at[len(a) :]
     root = np.arange(len(nodes))
     while len(x):
-        low = np.minimum(root[x], root[y])
-        before = root.copy()
-        for end in (x, y):
-            np.minimum.at(root, end, low)
-            np.minimum.at(root, before[end], low)
+        # Only roots move; an edge that another one outdoes is still there in the next turn.
+        high, low = np.maximum(root[x], root[y]), np.minimum(root[x], root[y])
+        np.minimum.at(root, high, low)
         while (jumped := root[root] != root).any():
             root[jumped] = root[root[jumped]]
         keep = root[x] != root[y]
