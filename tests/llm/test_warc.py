@@ -62,3 +62,24 @@ def test_damage_is_noticed():
             warc.parse(bad)
     with pytest.raises(ValueError):
         list(warc.members([warc.gzip_member(whole)[:-5]]))
+
+
+def test_archives_are_read_as_streams(spark):
+    """One archive of many pieces, and one cut inside a member: an error, not fewer records."""
+    import pyarrow.fs as pafs
+
+    folder = scratch_path(spark, "warc-stream")
+    rng = __import__("random").Random(5)
+    rows = [(i, "u", "".join(rng.choices("abcdefgh ", k=30_000))) for i in range(60)]
+    manifest = warc.write_archives(pages(spark, rows).coalesce(1), folder).collect()
+    assert len(manifest) == 1 and manifest[0]["bytes"] > 8 * warc._PIECE
+    assert {bytes(r["payload"]).decode() for r in warc.read_archives(spark, folder).collect()} == {h for _, _, h in rows}
+    (path,) = warc.archive_names(folder)
+    fs, _ = pafs.FileSystem.from_uri(folder)
+    with fs.open_input_stream(path, compression=None) as stream:
+        data = stream.read()
+    with fs.open_output_stream(path, compression=None) as out:
+        out.write(data[: len(data) - 1000])
+    with pytest.raises(Exception, match="inside a gzip member"):
+        warc.read_archives(spark, folder).collect()
+    assert warc.read_archives(spark, scratch_path(spark, "warc-none")).count() == 0

@@ -4,7 +4,8 @@ Writing: each partition writes its records, in page_id order, to archives of its
 a folder that all executors share; a file gets its name only when it is complete,
 and a task that runs again writes the same bytes under the same name.
 
-Reading: the archives' bytes are inflated piece by piece, record by record; headers
+Reading: each archive is opened as a stream in a task; its bytes are fetched and
+inflated piece by piece, record by record, so a task holds one record of an archive of any size. Headers
 frame the block by Content-Length, and block and payload digests are verified.
 
 Equal payloads of at least ``min_revisit_bytes`` are written once, as the response
@@ -137,30 +138,48 @@ def parse(member: bytes) -> dict:
     }
 
 
+def _pieces(stream) -> Iterator[bytes]:
+    while piece := stream.read(_PIECE):
+        yield piece
+
+
+def archive_names(folder: str) -> list[str]:
+    """Paths of the archives in ``folder``, by name."""
+    fs, root = pafs.FileSystem.from_uri(folder)
+    found = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
+    return sorted(f.path for f in found if f.path.endswith(".warc.gz"))
+
+
 def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
-    """The records of all archives in ``folder``: record_id, record_type, url,
-    payload_bytes, payload_digest (hex SHA-1 of the full payload), refers_to and,
-    if asked for, payload (null for revisits). A damaged record raises an error.
+    """The records of all archives in ``folder`` (a URI that ``pyarrow.fs`` opens): record_id,
+    record_type, url, payload_bytes, payload_digest (hex SHA-1 of the full payload), refers_to
+    and, if asked for, payload (null for revisits). A damaged record raises an error.
+
+    Only names pass the driver, one an archive. An archive of any size is read as a stream; a record is
+    held whole. No archives: an empty result.
     """
     names = ["record_id", "record_type", "url", "payload_bytes", "payload_digest", "refers_to"]
     names += ["payload"] * payloads
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, _ = pafs.FileSystem.from_uri(folder)
         for batch in batches:
-            for content in batch["content"]:
-                view = memoryview(content)
-                found = []
-                for member in members(bytes(view[at : at + _PIECE]) for at in range(0, len(view), _PIECE)):
-                    row = parse(member)
-                    found.append([row[n] for n in names])
-                    if len(found) == 200:
-                        yield pd.DataFrame(found, columns=names)
-                        found = []
+            for path in batch["path"]:
+                found, size = [], 0
+                with fs.open_input_stream(path, compression=None) as stream:
+                    for member in members(_pieces(stream)):
+                        row = parse(member)
+                        found.append([row[n] for n in names])
+                        size += len(member) if payloads else 0
+                        if len(found) == 200 or size > ARCHIVE_BYTES:
+                            yield pd.DataFrame(found, columns=names)
+                            found, size = [], 0
                 if found:
                     yield pd.DataFrame(found, columns=names)
 
     schema = "record_id string, record_type string, url string, payload_bytes long, payload_digest string, refers_to string"
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("content")
+    paths = archive_names(folder)
+    files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)))
     return files.mapInPandas(read, schema + ", payload binary" * payloads)
 
 
@@ -189,7 +208,7 @@ def write_archives(
 
     A null html is an empty payload. A null url leaves out the target. Rows with a
     null page_id are always responses. Rows that repeat the largest page_id of a group of
-    equal payloads are all responses. Other columns are not read. An empty table
+    equal payloads are all responses. A very long html is one record, whole. Other columns are not read. An empty table
     writes no archive.
     """
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
@@ -240,7 +259,8 @@ def write_archives(
 def round_trip(pages: DataFrame) -> DataFrame:
     """Write ``pages`` to new archives in the shared folder and read their records back.
 
-    Returns page_id, payload_bytes, payload_digest, record_type, refers_to.
+    Returns page_id, payload_bytes, payload_digest, record_type, refers_to. Nulls, repeated
+    rows and long pages: see ``write_archives``. An empty table gives an empty result.
     """
     spark = pages.sparkSession
     folder = scratch_path(spark, "warc")
