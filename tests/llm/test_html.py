@@ -72,6 +72,28 @@ def test_wrappers_of_the_content_stay(weights, source):
     assert html_mss.extract(source, weights) == "A title\nThe words of the article stand here."
 
 
+COMMENT = "<article><p>Nice one, I liked it</p></article>"
+ARTICLES = [
+    f"<article>{WRAPPED}</article><section><h2>Comments</h2>{COMMENT}{COMMENT}</section>",
+    f"<main><article>{WRAPPED}</article>{COMMENT}</main>",
+    f"<article>{WRAPPED}<div class='replies'>{COMMENT}{COMMENT}{COMMENT}</div></article>",
+    f"<article class='wrapper'><article>{WRAPPED}</article></article>",
+    f"<article>{COMMENT}{WRAPPED}</article>",
+]
+
+
+@pytest.mark.parametrize("source", ARTICLES)
+def test_articles_that_are_comments_go(weights, source):
+    assert html_mss.extract(source, weights) == "A title\nThe words of the article stand here."
+
+
+def test_a_list_of_articles_stays(weights):
+    words = "Some words of the post " * 12
+    posts = [f"<article><h2>Post {i}</h2><p>{words}number {i}.</p></article>" for i in range(4)]
+    want = "\n".join(f"Post {i}\n{words}number {i}." for i in range(4))
+    assert html_mss.extract("".join(posts), weights) == want
+
+
 def test_labelled_pages_give_their_content(weights):
     for source in html_mss.LABELLED:
         inside = re.search(r"<content>(.*)</content>", source)[1]

@@ -13,6 +13,11 @@ element scores nothing, neither its words nor its tags, and is left out of the r
 Classes, ids and roles count as whole tokens (``right-sidebar`` is not ``sidebar``), and an
 element that may hold the content itself stays: body, main and article, whatever contains
 one of these two, and a wrapper of more than ``WRAPPER_SHARE`` of the page's words.
+
+Of several articles, the one with the most words of its own (not in articles inside it) is the
+page's; those inside it are left out, whatever their class (comments are marked up
+so), and so are those beside it if it has over half of all articles' words. A page whose
+articles are of like size is a list, which stays whole.
 """
 
 from __future__ import annotations
@@ -149,10 +154,34 @@ class Page:
                 depth += section[element]
                 sofar[2] += section[element]
                 at_open[element] = tuple(sofar)
+        self._choose(section)
         base = 1 if sofar[1] else 0
         self.holds = [found[2] for found in inside]
         self.share = [found[base] / (sofar[base] or 1) for found in inside]
 
+    def _choose(self, section: list[bool]) -> None:
+        """Set ``other``: the articles that aren't the page's own."""
+        own, above, open_ = Counter(), {}, []
+        for token in self.tokens:
+            if token[0] == "text":
+                if open_:
+                    own[open_[-1]] += len(token[1].split())
+            elif section[token[1]]:
+                if token[2]:
+                    open_.remove(token[1])
+                else:
+                    above[token[1]] = tuple(open_)
+                    open_.append(token[1])
+        self.other: set[int] = set()
+        articles = [e for e in above if self.names[e] == "article"]
+        if len(articles) < 2:
+            return
+        best = max(articles, key=lambda e: (own[e], -e))
+        alone = 2 * own[best] > sum(own[e] for e in articles)
+        for e in articles:
+            if e != best and e not in above[best] and (alone or best in above[e]):
+                self.other.add(e)
+
     def _end_implied(self, stack: list[int], name: str) -> None:
         group = IMPLIED_END[name]
         for i in range(len(stack) - 1, -1, -1):
@@ -228,6 +257,8 @@ class Weights:
         An article's own header is kept, and so is what may hold the content: see the module's text.
         """
         name = page.names[element]
+        if element in page.other:
+            return True
         if not page.closed[element] or name in KEPT or page.holds[element] or (in_article and name == "header"):
             return False
         found = self.dropped.intersection(page.kinds[element])
@@ -294,7 +325,7 @@ def extract_pages(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFra
 
     A null or empty html gives "". Unclosed tags, stray end tags and pages cut off
     anywhere are read as far as they go; an element that is never closed is not left
-    out. Repeated rows and null ids are kept. Other columns are not read.
+    out. A page of any length is read whole, in one piece. Repeated rows and null ids are kept. Other columns are not read.
     """
     rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
     drawn = bounded_sample(rows.where("html is not null"), sample_pages, "page_id", "html")
