@@ -31,7 +31,7 @@ def brute(rows, shards, law):
     at, start, slots, out = 0, {}, defaultdict(int), []
     for h, _, i, size, crc, w in keyed:
         start.setdefault(h, at)
-        heavy = group[h] > total // (shards * sharding.GROUP_SHARE)
+        heavy = law == "rows" or group[h] > total // (shards * sharding.GROUP_SHARE)
         shard = (at if heavy else start[h]) * shards // total
         out.append((i, size, crc, law, shard, slots[shard], None))
         slots[shard] += 1
@@ -62,6 +62,17 @@ def test_a_hot_group_is_split_and_evened_out(spark):
     assert max(sizes.values()) - min(sizes.values()) < 0.02 * sum(sizes.values())
 
 
+def test_rows_law_holds_on_groups_of_copies(spark):
+    rows = [(i, f"text {i // 9}") for i in range(7000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = result(sharding.shard(docs, shards=40, law="rows"))
+    assert got == brute(rows, 40, "rows")
+    counts = defaultdict(int)
+    for r in got:
+        counts[r[4]] += 1
+    assert max(counts.values()) - min(counts.values()) <= 1 and len(counts) == 40
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (None, "x"), (2, ""), (1, None), (3, "é" * 50_000), (None, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

@@ -10,9 +10,10 @@ Records are range-partitioned by ``(hash of the text, doc_id)``:
 4. exact weights of the ranges place every record on one global weight line,
    which is cut into equal shards.
 
-Equal texts are neighbours on that line. Copies of one text stay in one shard
-unless together they weigh more than an eighth of a shard; such a hot group is
-split by doc_id like any other run of records.
+Equal texts are neighbours on that line. Under the law ``bytes``, copies of one text stay in
+one shard unless together they weigh more than an eighth of a shard; such a hot group is
+split by doc_id like any other run of records. Under the law ``rows``, shards are cut at
+exact ranks of the line, through groups of copies where they fall there.
 
 What passes the driver: the sampled keys and one row for each range, both
 bounded by the number of ranges (``rows / max_range_rows``, or
@@ -89,14 +90,15 @@ def shard(
 ) -> DataFrame:
     """Put every row of ``docs`` (doc_id, text) into one of ``shards`` shards.
 
-    ``law="bytes"`` evens out UTF-8 bytes plus 16 a record, ``law="rows"`` evens
-    out counts. Returns doc_id, size, text_crc32, law, shard, slot (gapless from 0
+    ``law="bytes"`` evens out UTF-8 bytes plus 16 a record, ``law="rows"`` makes counts
+    differ by at most one. Returns doc_id, size, text_crc32, law, shard, slot (gapless from 0
     in each shard, in key order) and grown_shard (null: neither law depends on
     the doc_id and shard count alone).
 
     Null texts weigh 16 bytes and lie beside empty ones. A null doc_id sorts as
-    the lowest. Rows that repeat doc_id and text take neighbouring slots. Other
-    columns of ``docs`` are not read. An empty table gives an empty result.
+    the lowest. Rows that repeat doc_id and text take neighbouring slots. A text of any length is
+    one record, never split: a shard that holds one larger than its share is overfull by it.
+    Other columns of ``docs`` are not read. An empty table gives an empty result.
     """
     if law not in ("bytes", "rows"):
         raise ValueError(f"unknown law {law!r}")
@@ -157,6 +159,7 @@ def shard(
     in_range = Window.partitionBy("range").orderBy("h", "d")
     before = start_of + F.sum("w").over(in_range.rowsBetween(Window.unboundedPreceding, 0)) - F.col("w")
     is_heavy = F.col("h").isin(list(heavy)) if heavy else F.lit(False)
+    is_heavy = F.lit(True) if law == "rows" else is_heavy  # every record has its own place
     placed = (
         rows.withColumn("range", _locate(key, bounds))
         .withColumn("at", before)
