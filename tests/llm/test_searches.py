@@ -145,3 +145,16 @@ def test_calibration_queries_are_held_out(monkeypatch, spark):
     assert ann_tree.search(rows.limit(5), rows, k=3).count() == 15
     assert len(asked) == 1 and 20 <= len(asked[0]) <= 21 and len(asked[0]) + len(fitted[0]) == 300
     assert not {tuple(v) for v in asked[0]} & {tuple(v) for v in fitted[0]}
+
+
+def test_length_is_the_candidates(spark):
+    """Queries of another common length than the candidates': only those of the candidates' length are asked."""
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=3).tolist()) for i in range(1, 30)]
+    rows += [(100, [1.0, 2.0]), (150, [2.0, 1.0]), (50, [0.3, -0.2, 0.9])]
+    frame = vectors(spark, rows)
+    asked = frame.where("vec_id % 50 = 0")
+    near = ann_tree.search(asked, frame, k=3).collect()
+    assert {r["query_id"] for r in near} == {50} and len(near) == 3
+    top = sorted(map(tuple, topk_histogram.top_k(asked, frame, k=4).collect()))
+    assert top == brute_top(rows, 4, lambda i: i % 50 == 0)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitflow.llm.common import bounded_sample, stored
-from visitflow.llm.vectors import grouped, matrix, usable
+from visitflow.llm.vectors import common_length, grouped, matrix, usable
 
 SAMPLE_ROWS = 20_000
 BRANCHES = 8
@@ -170,13 +170,14 @@ def search(
     of them.
 
     Rows with a null id, a vector that is null, zero, of another length than the
-    commonest, or holding null or non-finite components take no part. Rows that
+    candidates' commonest, or holding null or non-finite components take no part. Rows that
     repeat a query's id and vector are one query. Empty tables give an empty result.
     """
     spark = candidates.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
     nonzero = F.exists("v", lambda x: x != 0)
-    rows = usable(candidates, id_col, vector_col).where(nonzero)
+    length = common_length(candidates, id_col, vector_col)
+    rows = usable(candidates, id_col, vector_col, length).where(nonzero)
     # Classes of equal vectors with their k + 1 smallest ids; the window keeps no more.
     first = Window.partitionBy("v").orderBy("id")
     classes = stored(
@@ -188,7 +189,7 @@ def search(
         .withColumn("c", F.element_at("ids", 1)),
         "ann-classes",
     )
-    wanted = stored(usable(queries, id_col, vector_col).where(nonzero).distinct(), "ann-queries")
+    wanted = stored(usable(queries, id_col, vector_col, length).where(nonzero).distinct(), "ann-queries")
     asked = stored(wanted.groupBy("v").agg(F.min("id").alias("q")), "ann-asked")
     drawn = bounded_sample(classes, sample_rows, "c").select("v").toPandas()
     if not len(drawn):

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitflow.llm.common import stored
-from visitflow.llm.vectors import grouped, usable
+from visitflow.llm.vectors import common_length, grouped, usable
 
 BINS = 512
 QUERY_BLOCK = 1024
@@ -148,15 +148,16 @@ def top_k(
     smaller vec_id. Fewer than k candidates: all of them.
 
     Rows with a null id, a null vector, null or non-finite components, or a
-    length other than the commonest take no part. Rows that repeat an id are
+    length other than the candidates' commonest take no part. Rows that repeat an id are
     separate candidates and, as queries, separate queries with ranks of their
     own. Zero vectors take part (score 0). Empty tables give an empty result.
     """
     cut = F.transform("v", lambda x: F.floor(x * scale).cast("long"))
-    c_rows = stored(usable(candidates, id_col, vector_col).select("id", cut.alias("v")), "topk-rows")
+    length = common_length(candidates, id_col, vector_col)
+    c_rows = stored(usable(candidates, id_col, vector_col, length).select("id", cut.alias("v")), "topk-rows")
     squares = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     n, dim, longest = c_rows.agg(F.count(F.lit(1)), F.max(F.size("v")), F.max(squares)).first()
-    q_rows = usable(queries, id_col, vector_col).select("id", cut.alias("v")).where(F.size("v") == (dim or 0))
+    q_rows = usable(queries, id_col, vector_col, length).select("id", cut.alias("v"))
     q_count, q_longest = q_rows.agg(F.count(F.lit(1)), F.max(squares)).first()
     spark = candidates.sparkSession
     if not n or not q_count:

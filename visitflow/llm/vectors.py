@@ -10,21 +10,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, v): rows that can be compared, ``v`` an array of doubles.
-
-    Left out: null ids, null vectors, vectors holding null or non-finite
-    components, and vectors whose length is not the table's commonest (the
-    shorter on a tie).
-    """
+def _finite(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     v = F.col(vector_col).cast("array<double>")
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).where(
         F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)
     )
-    rows = rows.where(~bad)
-    common = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return rows.where(F.size("v") == (common["d"] if common else 0))
+    return rows.where(~bad)
+
+
+def common_length(rows: DataFrame, id_col: str, vector_col: str) -> int:
+    """The commonest length among the vectors that can be compared (the shorter on a tie); 0 if there are none."""
+    sizes = _finite(rows, id_col, vector_col).groupBy(F.size("v").alias("d")).count()
+    first = sizes.orderBy(F.desc("count"), "d").first()
+    return first["d"] if first else 0
+
+
+def usable(rows: DataFrame, id_col: str, vector_col: str, length: int | None = None) -> DataFrame:
+    """(id, v): rows that can be compared, ``v`` an array of doubles.
+
+    Left out: null ids, null vectors, vectors holding null or non-finite components, and
+    vectors not of ``length``: that of the candidates, also for queries (by default the
+    commonest of ``rows`` themselves).
+    """
+    length = common_length(rows, id_col, vector_col) if length is None else length
+    return _finite(rows, id_col, vector_col).where(F.size("v") == length)
 
 
 def matrix(column: pd.Series) -> np.ndarray:
