@@ -58,6 +58,17 @@ def test_held_out_labels_are_never_learned(spark):
     assert labelled_sample(docs, labels, "quality", 17).count() == 17
 
 
+def test_sample_is_bounded_in_rows_and_bytes(spark):
+    may = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(may[0], f"row {i}") for i in range(500)] + [(i, "y" * 1000) for i in may[1:]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id").distinct().select("doc_id", F.lit(1).alias("quality"))
+    assert labelled_sample(docs, labels, "quality", 17).count() == 17
+    assert labelled_sample(docs, labels, "quality", 10_000).count() > 500
+    size = sum(len(r["text"]) for r in labelled_sample(docs, labels, "quality", 10_000, max_bytes=5000).collect())
+    assert 4000 <= size < 6000
+
+
 def test_labels_of_absent_documents_take_no_room(spark):
     docs = spark.createDataFrame([(i * 1000, "t") for i in range(60)], "doc_id long, text string")
     labels = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
@@ -116,20 +127,40 @@ def test_ngrams_stay_inside_texts():
     for at, bucket in toxicity_nb.ngram_buckets(body, offsets):
         grams[len(grams)] = len(at)
     # " ab " has two 3-grams, one 4-gram and no 5-gram; two spaces have none
-    assert grams == {0: 4, 1: 2, 2: 0}
+    assert len(grams) == len(toxicity_nb.ORDERS) and {k: n for k, n in grams.items() if n} == {0: 4, 1: 2}
 
 
 def test_ngrams_are_of_characters(monkeypatch):
     def buckets(*texts):
         parts = toxicity_nb._pieces(*utf8_column(pa.array(texts)))
-        return [(at, bucket) for part, ends, _ in parts for at, bucket in toxicity_nb.ngram_buckets(part, ends)]
+        return [(at, bucket) for part, ends, _, cut in parts for at, bucket in toxicity_nb.ngram_buckets(part, ends, cut)]
 
     plain, cyrillic = buckets("ab cde", "", "fg"), buckets("аб вгд", "", "жз")
     assert [list(at) for at, _ in plain] == [list(at) for at, _ in cyrillic]
     text = "дурак é 漢字 word " * 40
     whole = {b for _, bucket in buckets(text) for b in bucket.tolist()}
     monkeypatch.setattr(toxicity_nb, "PIECE_BYTES", 101)  # cuts inside characters
-    assert whole <= {b for _, bucket in buckets(text) for b in bucket.tolist()}
+    assert whole == {b for _, bucket in buckets(text) for b in bucket.tolist()}
+
+
+def test_long_texts_have_the_passages_of_uncut_ones(monkeypatch):
+    rng = np.random.default_rng(6)
+    text = "  " + " \n".join("".join(rng.choice(list("abcé9.!A"), rng.integers(1, 12))) for _ in range(3000)) + " "
+    whole = [(b, f) for body, offsets, _, after in quality_mil._pieces(pa.array([text])) for b, f in [quality_mil.passages(body, offsets, after)]]
+    monkeypatch.setattr(quality_mil, "PIECE_BYTES", 1500)
+    cut = [quality_mil.passages(body, offsets, after)[1] for body, offsets, _, after in quality_mil._pieces(pa.array([text]))]
+    assert len(cut) > 5 and np.array_equal(np.concatenate(cut), whole[0][1])
+    long_word = "x" * 9000 + " y"
+    assert sum(len(body) for body, *_ in quality_mil._pieces(pa.array([long_word]))) == len(long_word)
+
+
+def test_toxic_recall(spark):
+    """Held-out toxic rows that reach the threshold, and clean rows that do."""
+    rows = QUERIES["op4_toxicity_nb"](spark, "/root/testdata/sf0.1").join(table(spark, "/root/testdata/sf0.1", "labels"), "doc_id").toPandas()
+    unseen = rows[rows["held_out"]]
+    toxic = unseen["toxic"] == 1
+    assert (unseen["predicted"][toxic] == 1).mean() >= 0.75
+    assert (unseen["predicted"][~toxic] == 1).mean() <= 0.005
 
 
 def test_word_hashes_depend_on_the_word_alone():

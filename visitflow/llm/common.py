@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from visitflow.session import scratch_path
@@ -102,14 +102,21 @@ def bounded_sample(rows: DataFrame, n: int, *keys: str) -> DataFrame:
     return rows.orderBy(at, *keys).limit(n)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> DataFrame:
-    """(doc_id, text, label) of at most ``max_rows`` labelled rows that may be learned from.
+#: Bytes of text in a labelled sample, at most (one row's text may go beyond).
+SAMPLE_BYTES = 64 << 20
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, max_rows: int, max_bytes: int = SAMPLE_BYTES
+) -> DataFrame:
+    """(doc_id, text, label) of labelled rows that may be learned from: at most ``max_rows``, ``max_bytes`` of text.
 
     The rows are those with the smallest ``xxhash64(doc_id)`` among the ids that
-    ``docs`` holds, so a sample does not depend on partitioning, and labels of
-    absent documents take no room in it. A doc_id labelled twice counts with its
-    larger label; null ids and null labels are left out. The sample is bounded, so
-    the join broadcasts it.
+    ``docs`` holds, and of these the first by a hash of id and text, so a sample does not
+    depend on partitioning, and labels of absent documents take no room in it. Rows that
+    repeat an id are rows of their own and count. A doc_id labelled twice counts with its
+    larger label; null ids and null labels are left out. The sampled ids are bounded, so
+    the join broadcasts them; the bounds hold after it.
     """
     ids = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
@@ -117,7 +124,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
         .agg(F.max(F.col(label).cast("int")).alias("label"))
         .join(docs.select("doc_id"), "doc_id", "left_semi")
     )
-    return docs.select("doc_id", "text").join(F.broadcast(bounded_sample(ids, max_rows, "doc_id")), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(bounded_sample(ids, max_rows, "doc_id")), "doc_id")
+    rows = rows.withColumn("_at", F.xxhash64("doc_id", "text"))
+    first = rows.orderBy("_at", "doc_id", "text").limit(max_rows)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    upto = F.sum(size).over(Window.orderBy("_at", "doc_id", "text").rowsBetween(Window.unboundedPreceding, 0))
+    return first.withColumn("_upto", upto - size).where(F.col("_upto") < max_bytes).select("doc_id", "text", "label")
 
 
 # ------------------------------------------------------------------ text as bytes

@@ -62,8 +62,11 @@ _N_CLASSES = 12
 N_FEATURES = _N_CLASSES * _N_CLASSES + 6
 
 
-def passages(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, features) of every passage of the texts; a text without words has one of zeros."""
+def passages(body: np.ndarray, offsets: np.ndarray, after: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, features) of every passage of the texts; a text without words has one of zeros.
+
+    ``after``: the byte that follows, where the last text goes on in another piece.
+    """
     starts, ends, rows = word_spans(body, offsets)
     n_rows = len(offsets) - 1
     words = np.bincount(rows, minlength=n_rows)
@@ -83,6 +86,8 @@ def passages(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     ok = (owner[:-1] >= 0) & (pair_row[:-1] == pair_row[1:])
     ok &= rows[np.maximum(owner[:-1], 0)] == pair_row[:-1]
     flat = passage[owner[:-1][ok]] * (_N_CLASSES**2) + cls[:-1][ok] * _N_CLASSES + cls[1:][ok]
+    if after is not None:  # the pair across the cut is the last passage's
+        flat = np.append(flat, (n - 1) * (_N_CLASSES**2) + cls[-1] * _N_CLASSES + int(_CLASS[after]))
     pairs = np.bincount(flat, minlength=n * _N_CLASSES**2).reshape(n, -1)
     features[:, : _N_CLASSES**2] = np.sqrt(pairs / np.maximum(1, pairs.sum(axis=1, keepdims=True)))
     # Words: lengths, repeats of the word before, share of distinct words, most frequent word.
@@ -109,23 +114,32 @@ def passages(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return bag, features
 
 
-def _pieces(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(bytes, offsets, rows) of at most about PIECE_BYTES; a long text is cut at white space.
+def _cut(body: np.ndarray, at: int, end: int) -> int:
+    """Where a piece of a long text ends: before a word, after whole passages; ``end`` if there are none."""
+    size = PIECE_BYTES
+    while at + size < end:
+        starts, _, _ = word_spans(body[at : at + size], np.array([0, size]))
+        whole = (len(starts) - 1) // PASSAGE_WORDS * PASSAGE_WORDS  # the last word may go on
+        if whole > 0:
+            return at + int(starts[whole])
+        size *= 2
+    return end
+
+
+def _pieces(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int | None]]:
+    """(bytes, offsets, rows, byte after) of about PIECE_BYTES; a long text is cut between its passages.
 
-    The cuts of a text depend on the text alone, so do its passages.
+    So a text has the same passages however it is read.
     """
     body, offsets = utf8_column(column)
     for first, last in slices(offsets, PIECE_BYTES):
         a, b = int(offsets[first]), int(offsets[last])
         if last - first > 1 or b - a <= PIECE_BYTES:
-            yield body[a:b], offsets[first : last + 1] - a, np.arange(first, last)
+            yield body[a:b], offsets[first : last + 1] - a, np.arange(first, last), None
             continue
         while a < b:
-            to = min(a + PIECE_BYTES, b)
-            if to < b:
-                gaps = np.flatnonzero(_CLASS[body[a:to]] <= 1)
-                to = a + int(gaps[-1]) + 1 if len(gaps) else to
-            yield body[a:to], np.array([0, to - a]), np.array([first])
+            to = _cut(body, a, b)
+            yield body[a:to], np.array([0, to - a]), np.array([first]), int(body[to]) if to < b else None
             a = to
 
 
@@ -147,8 +161,8 @@ class Model:
     def score(self, column: pa.Array) -> np.ndarray:
         n = len(column)
         top, norm = np.zeros(n), np.zeros(n)
-        for body, offsets, rows in _pieces(column):
-            bag, features = passages(body, offsets)
+        for body, offsets, rows, after in _pieces(column):
+            bag, features = passages(body, offsets, after)
             h, a = self.encode(features)
             e, row = np.exp(a), rows[bag]
             top += np.bincount(row, e * (h @ self.p["c"]), n)
@@ -186,8 +200,8 @@ def fit(texts: pa.Array, labels: np.ndarray, rounds: int = ROUNDS) -> Model:
     if not 0 < good < n:
         return constant((good + 0.5) / (n + 1))
     bags, parts = [], []
-    for body, offsets, rows in _pieces(texts):
-        bag, features = passages(body, offsets)
+    for body, offsets, rows, after in _pieces(texts):
+        bag, features = passages(body, offsets, after)
         bags.append(rows[bag])
         parts.append(features)
     bag, x = np.concatenate(bags), np.concatenate(parts)

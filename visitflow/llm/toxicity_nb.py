@@ -23,12 +23,14 @@ from pyspark.sql import functions as F
 
 from visitflow.llm.common import held_out, labelled_sample, mix64, slices, utf8_column
 
-ORDERS = (3, 4, 5)
-BUCKET_BITS = 20
+ORDERS = (3, 4, 5, 6, 7, 8)
+BUCKET_BITS = 22
 SAMPLE_ROWS = 8192
 MIN_TEXTS = 4
-MIN_RATIO = 1.5
+MIN_RATIO = 2.0
 RIDGE = 0.002
+#: Most that a rare class's rows are weighed up.
+MOST_WEIGHT = 2.0
 ROUNDS = 120
 THRESHOLD = 0.7
 #: Bytes of text worked on at a time; a longer text is read in overlapping pieces.
@@ -42,10 +44,13 @@ def _lowered(column: pa.Array) -> pa.Array:
     return pc.utf8_lower(column.fill_null(""))
 
 
-def ngram_buckets(body: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def ngram_buckets(
+    body: np.ndarray, offsets: np.ndarray, cut: tuple[bool, bool] = (False, False)
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each order: (position, bucket) of the n-grams that lie inside one text; ``body`` holds code points.
 
-    Every text gets a space at both ends, so a word's first and last letters show.
+    Every text gets a space at both ends, so a word's first and last letters show. Where the
+    first text begins or the last one ends at a ``cut`` of a longer text, there is no such space.
     """
     n_rows = len(offsets) - 1
     lengths = np.diff(offsets)
@@ -68,6 +73,7 @@ def ngram_buckets(body: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.nd
             crossing = last[:m].copy()
         if order in ORDERS:
             at = np.flatnonzero(~crossing)
+            at = at[(at >= cut[0]) & (at + order <= len(padded) - cut[1])]
             yield at, (mix64(gram[at] ^ (np.uint64(order) << np.uint64(56))) >> shift).astype(np.int64)
 
 
@@ -79,8 +85,14 @@ def _points(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return points, np.concatenate([[0], np.cumsum((body & 0xC0) != 0x80)])[offsets]
 
 
-def _pieces(body: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(code points, offsets, rows) of at most about PIECE_BYTES bytes; long texts in pieces that overlap by an n-gram."""
+def _pieces(
+    body: np.ndarray, offsets: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, tuple[bool, bool]]]:
+    """(code points, offsets, rows, cut) of at most about PIECE_BYTES bytes.
+
+    A long text comes in pieces that overlap by an n-gram; ``cut`` says at which ends a piece is cut,
+    so together they hold the n-grams of the whole text, no more and no less.
+    """
 
     def edge(at: int, end: int) -> int:
         while at < end and body[at] & 0xC0 == 0x80:  # inside a character
@@ -90,12 +102,15 @@ def _pieces(body: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
     for first, last in slices(offsets, PIECE_BYTES):
         own = offsets[first : last + 1]
         if own[-1] - own[0] <= PIECE_BYTES or last - first > 1:
-            yield *_points(body[own[0] : own[-1]], own - own[0]), np.arange(first, last)
+            yield *_points(body[own[0] : own[-1]], own - own[0]), np.arange(first, last), (False, False)
             continue
-        end = int(own[-1])
-        for at in range(int(own[0]), end, PIECE_BYTES):
-            part = body[edge(at, end) : edge(at + PIECE_BYTES + 4 * (max(ORDERS) - 1), end)]
-            yield *_points(part, np.array([0, len(part)])), np.array([first])
+        begin, end = int(own[0]), int(own[-1])
+        for at in range(begin, end, PIECE_BYTES):
+            to = edge(at + PIECE_BYTES + 4 * max(ORDERS), end)
+            part = body[edge(at, end) : to]
+            yield *_points(part, np.array([0, len(part)])), np.array([first]), (at > begin, to < end)
+            if to == end:
+                break
 
 
 def _features(column: pa.Array, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,10 +118,10 @@ def _features(column: pa.Array, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     body, offsets = utf8_column(_lowered(column))
     rows, features = [], []
     width = int(of.max()) + 2
-    for part, ends, own in _pieces(body, offsets):
+    for part, ends, own, cut in _pieces(body, offsets):
         found = []
         starts = ends[:-1] + 2 * np.arange(len(ends) - 1)
-        for at, bucket in ngram_buckets(part, ends):
+        for at, bucket in ngram_buckets(part, ends, cut):
             feature = of[bucket]
             hit = np.flatnonzero(feature >= 0)
             row = np.searchsorted(starts, at[hit], "right") - 1
@@ -151,8 +166,8 @@ def fit(texts: pa.Array, labels: np.ndarray) -> Model:
     present = np.zeros(buckets, bool)
     for at, y in enumerate(labels.tolist()):
         body, offsets = utf8_column(_lowered(texts.slice(at, 1)))
-        for part, ends, _ in _pieces(body, offsets):
-            for _, bucket in ngram_buckets(part, ends):
+        for part, ends, _, cut in _pieces(body, offsets):
+            for _, bucket in ngram_buckets(part, ends, cut):
                 present[bucket] = True
         found = np.flatnonzero(present)
         counts[y, found] += 1
@@ -173,10 +188,12 @@ def fit(texts: pa.Array, labels: np.ndarray) -> Model:
         features.append(f)
     rows, features = np.concatenate(rows), np.concatenate(features)
     x = scale[features]
+    # Both classes weigh half, the rarer one at most MOST_WEIGHT times its rows.
+    class_weight = np.where(labels == 1, min(MOST_WEIGHT, n / (2 * toxic)), min(MOST_WEIGHT, n / (2 * (n - toxic))))
     w, b = np.zeros(len(used)), prior
     m_w, v_w, m_b, v_b, rate = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0, 0.05
     for step in range(1, ROUNDS + 1):  # Adam on the whole sample
-        off = sigmoid(b + np.bincount(rows, w[features] * x, n)) - labels
+        off = (sigmoid(b + np.bincount(rows, w[features] * x, n)) - labels) * class_weight
         g_w = np.bincount(features, off[rows] * x, len(used)) / n + RIDGE * w
         g_b = off.mean()
         m_w, v_w = 0.9 * m_w + 0.1 * g_w, 0.999 * v_w + 0.001 * g_w * g_w
@@ -217,7 +234,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
 
     Null and empty texts score as a text without features (the bias). Without
     labels of both classes every text gets one constant score. Repeated rows and null
-    ids are scored alike. Columns of ``docs`` other than doc_id and text are not read.
+    ids are scored alike. A text of any length is read whole, in overlapping pieces that hold
+    the n-grams of the uncut text. Columns of ``docs`` other than doc_id and text are not read.
     """
     model = train(docs, labels)
 
