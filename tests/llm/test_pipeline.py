@@ -53,3 +53,28 @@ def test_toxic_and_junk_documents_go(spark):
     bad = [i for i, r in labels.items() if r["quality"] == 0 or r["toxic"] == 1]
     assert sum(i in kept for i in clean) >= 0.98 * len(clean)
     assert sum(i in kept for i in bad) <= 0.05 * len(bad)
+
+
+def test_odd_tables_through_all_stages(spark):
+    """Nulls, repeats, clashing column names and empty tables, through ``run``."""
+    from visitflow.session import scratch_path
+
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words[i % 20 :] + [f"own{i}"] * 3), "en", "s1", 1, 0.5, "x") for i in range(40)]
+    rows += [rows[0], rows[0], (None, None, None, None, None, None, None), (70, "", "en", None, 0, None, "x")]
+    rows += [(71, None, "de", "s2", 0, 1.0, "x"), (None, "a null id", "en", "s1", 3, 1.0, "x"), (72, "long " * 30_000, "en", "s1", 9, 1.0, "x")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, node string"
+    docs = spark.createDataFrame(rows, schema)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(20)] + [(None, None, None), (3, 0, 1)], "doc_id long, quality int, toxic int")
+    for some in (docs, docs.limit(0)):
+        folder = scratch_path(spark, "odd-pipeline")
+        some.write.parquet(f"{folder}/documents.parquet")
+        labels.write.parquet(f"{folder}/labels.parquet")
+        given = some
+        for name, stage in cp.STAGES[:-1]:
+            given = stored(stage(spark, given, folder), "odd-stage")
+            assert given.columns == docs.columns, name
+        whole = cp.run(spark, folder).collect()
+        assert len(whole) == given.count()
+        assert Counter(r["doc_id"] for r in whole) == Counter(r["doc_id"] for r in given.collect())
+    assert not whole

@@ -271,8 +271,8 @@ def encode_documents(docs: DataFrame, path: str | None = None, keep: bool = Fals
     the installed one).
 
     Null and empty texts have no ids and decode to "". Rows are encoded one by
-    one: repeated rows and null doc_ids are kept as they are. Other columns
-    are not read.
+    one: repeated rows and null doc_ids are kept as they are. A text of any length is
+    encoded whole, in one task; only its words are cut apart. Other columns are not read.
     """
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 

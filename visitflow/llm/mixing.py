@@ -212,7 +212,8 @@ def mix(
     Null and empty texts hold no words: such a row is taken wherever its key lies
     in the part of an epoch that is taken. Rows alike in doc_id and text have one
     key and are taken together. A leaf without words gets no budget and yields no
-    rows. An empty table gives an empty result.
+    rows. A text of any length counts with all its words and is taken whole or not at all.
+    An empty table gives an empty result.
     """
     names = docs.columns
     cuts = epoch_cuts(docs, weights, total_share, max_epochs, seed).select(
