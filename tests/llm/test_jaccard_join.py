@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 
 from visitflow.llm import jaccard_join as jj
-from visitflow.llm.common import table, utf8_column
+from visitflow.llm.common import Scratch, table, utf8_column
 
 
 def sets_of(rows, k):
@@ -127,9 +127,9 @@ def test_links_are_derived_without_the_sets(spark, monkeypatch):
     base = [f"w{i}" for i in range(400)]
     rows = [(0, " ".join(base[:-1]))] + [(i, edited(rng, base, 1)) for i in range(1, 25)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    join = jj.Join(docs, jj.Rule())
+    join = jj.Join(docs, jj.Rule(), Scratch(spark))
     calls = []
-    monkeypatch.setattr(join, "links", lambda pairs, nodes: calls.append(1))
+    monkeypatch.setattr(join, "compared", lambda pairs, nodes: calls.append(1))
     assert jj.linked_classes(join).count() == 25 * 24 // 2 and not calls
 
 
@@ -191,10 +191,34 @@ def test_bounds_rule_out_no_link():
                 continue
             assert n + len(y) - 2 * common <= rule.differ(n + len(y))
             assert np.intersect1d(x[: rule.prefix(n)], y[: rule.prefix(len(y))]).size
-            bits = [np.unpackbits(np.frombuffer(jj.sketch(s), np.uint8)) for s in (x, y)]
-            assert (bits[0] != bits[1]).sum() <= rule.differ(n + len(y))
-            wide = [np.unpackbits(np.frombuffer(jj.sketch(s, jj.WIDE_BITS), np.uint8)) for s in (x, y)]
-            assert (wide[0] != wide[1]).sum() <= rule.differ(n + len(y))
+            assert folded_unlike(x, y) <= rule.differ(n + len(y))
+
+
+def folded_unlike(x, y):
+    """Bits in which the sketches differ, the longer one folded."""
+    bits = [np.unpackbits(np.frombuffer(jj.sketch(s), np.uint8)) for s in (x, y)]
+    while len(bits[0]) != len(bits[1]):
+        long = int(len(bits[1]) > len(bits[0]))
+        bits[long] = bits[long].reshape(2, -1).sum(axis=0) % 2
+    return (bits[0] != bits[1]).sum()
+
+
+def test_sketches_of_any_length_compare():
+    """``alike`` counts the folded difference of any two sketches, and stops only beyond the allowance."""
+    rng = np.random.default_rng(12)
+    sets = [np.unique(rng.integers(0, 2**62, n).astype(np.uint64)) for n in (3, 120, 130, 250, 260, 600, 2000, 3000)]
+    sets += [np.unique(np.concatenate([s[: len(s) * 9 // 10], s[:1] + np.uint64(5)])) for s in sets]
+    table = pa.table(
+        {
+            "token": [1] * len(sets), "node": list(range(len(sets))), "n": [len(s) for s in sets], "pos": [0] * len(sets),
+            "i": [0] * len(sets), "j": [0] * len(sets), "bits": [jj.sketch(s) for s in sets],
+        }
+    )
+    lists = jj.Lists(table, jj.Rule())
+    x, y = (a.ravel() for a in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    want = np.array([folded_unlike(sets[i], sets[j]) for i, j in zip(x, y)])
+    for off in (-1, 0, 1):
+        assert lists.alike(x, y, want + off).tolist() == [off >= 0] * len(x)
 
 
 def test_shingles_do_not_depend_on_neighbours():

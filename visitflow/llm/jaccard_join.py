@@ -4,28 +4,33 @@ A document's set is its distinct word shingles, as 64-bit hashes. Documents with
 sets form one class, and only classes are joined.
 
 Index lists. Two sets that link share a hash among the first ``n - ceil(t n) + 1`` of
-each, in hash order; these prefixes are the index. A list (all classes with one
+each, in any order that is the same for all; these prefixes are the index. The order is rare
+first: a hash's top bits are its rank, from how often its bucket (of ``2**RANK_BITS``) occurs in all
+texts, so that shingles which many documents share enter few prefixes, and the lists stay short. A list (all classes with one
 hash) is ordered by set size and skipped by position: a probe reads only the block
 of sizes that can link, and of these only entries whose positions leave room for
-enough common hashes and whose parity sketches (512 bits) differ in few enough bits.
-Pairs found are tested by wider sketches, then by their prefixes, before full sets
-are fetched. Each bound is exact: it rules out no pair that links.
-
-Set relations. Round 1 probes each list with leaders only: the first entry not yet
-close to a leader is the next leader, and the entries close to it become its
-followers. Leader-follower pairs are verified on the full sets, which also gives the
-number of hashes they differ in.
-
-Answers (``linked_classes``). Every list is probed again, by all its entries, and a
-pair's answer is derived from the leader both were verified with: if A and B differ from it
-in x and y hashes, they differ from each other in at most x + y and at least |x - y|. A sum
-within a link's allowance is a link, a difference beyond it is none, and no set is
-fetched for either. Only the other pairs, and those without a common leader, are verified.
-
-Components (``near_duplicates``) need no answers inside a component: round 2 probes only
-entries outside a list's commonest component, against entries of other components.
-What round 2 verifies completes the links between components, so components are exact,
-and a list of m near copies that hang together costs m comparisons, not their square.
+enough common hashes and whose parity sketches differ in few enough bits. In the first round a
+sketch is brief (512 bits); in the second, which has few entries, it has some four bits a
+hash, so that it also tells sets apart that just miss a link. Pairs found are tested by their prefixes before full sets are fetched. Each bound is exact: it rules
+out no pair that links.
+
+Set relations. Round 1 probes each list with leaders only: of the entries not yet close to a
+leader, the one of the highest priority (the same in every list) is the next, and the
+entries close to it become its followers. Leader-follower pairs are verified on the
+full sets, which also gives the number of hashes they differ in, whether they link or not.
+
+Answers are derived from the leader that both sets of a pair were verified with: if A and B
+differ from it in x and y hashes, they differ from each other in at most x + y and at
+least |x - y|. A sum within a link's allowance is a link, a difference beyond it is
+none, and no set is fetched for either. Only the other pairs, and those without a common
+leader, are verified.
+
+* ``linked_classes`` probes every list again, by all its entries, for every link.
+* ``near_duplicates`` needs no answers inside a component: its second round probes only entries
+  outside a list's commonest component, against entries of other components, and leaves out
+  what the leaders' answers rule out. What it verifies completes the links between
+  components, so components are exact, and a list of m near copies that hang together
+  costs m comparisons, not their square.
 
 Lists longer than ``LIST_ROWS`` are dealt into block pairs, each a task's bounded work.
 """
@@ -41,12 +46,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitflow.llm.common import mix64, slices, stored, utf8_column, word_hashes, word_spans
+from visitflow.llm.common import Scratch, mix64, slices, stored, utf8_column, word_hashes, word_spans
+from visitflow.llm.components import connected
 
-SKETCH_BITS = 512
-#: Sets of more hashes than WIDE_FROM have a second sketch, which their pairs are tested with.
-WIDE_BITS, WIDE_FROM = 8192, 600
+#: Least and most bits of a set's sketch, and bits a hash in between.
+LEAST_BITS, MOST_BITS, BITS_A_HASH = 512, 8192, 4
+#: Buckets that shingles are counted in (a bounded table, 1 MB as ranks), and bits of a rank.
+RANK_BITS, CLASS_BITS = 20, 5
+#: Ranks for counts about the mean.
+FINE = 20
 LIST_ROWS = 20_000
+#: First prefix hashes that go with an entry in round 2, to give a pair in one of its lists only.
+HEAD = 16
 #: Rows of lists that are probed together.
 ENGINE_ROWS = 100_000
 PIECE_BYTES = 1 << 20
@@ -77,18 +88,71 @@ class Rule:
 # ------------------------------------------------------------------ sets
 
 
-def shingle_sets(body: np.ndarray, offsets: np.ndarray, words: int) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each text."""
+def _grams(body: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of every run of ``words`` words (across texts too), hash of every word, first word of each text."""
     body = _LOWER[body]
     starts, ends, rows = word_spans(body, offsets)
     hashes = word_hashes(body, starts, ends)
-    n_rows = len(offsets) - 1
-    first = np.searchsorted(rows, np.arange(n_rows + 1))
+    first = np.searchsorted(rows, np.arange(len(offsets)))
     m = len(hashes) - words + 1
     grams = np.zeros(max(m, 0), np.uint64)
     for i in range(words if m > 0 else 0):
         grams += hashes[i : i + m] * _STEPS[i % len(_STEPS)] ^ np.uint64(i // len(_STEPS))
-    grams = mix64(grams)
+    return mix64(grams), hashes, first
+
+
+def shingle_ranks(docs: DataFrame, rule: Rule) -> np.ndarray:
+    """Rank of each bucket of shingles by its occurrences in all texts.
+
+    Ranks below FINE are steps of a quarter of the counts' usual spread (the square root of their mean),
+    so that buckets without a frequent shingle come first; above, ranks are doublings.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << RANK_BITS, np.int64)
+        for batch in batches:
+            body, offsets = utf8_column(batch.column("text"))
+            for first, last in slices(offsets, 4 * PIECE_BYTES):
+                part = body[offsets[first] : offsets[last]]
+                grams, _, start = _grams(part, offsets[first : last + 1] - offsets[first], rule.words)
+                inside = np.ones(len(grams), bool)
+                for back in range(1, rule.words):  # runs that reach into the next text
+                    cut = start[1:-1] - back
+                    inside[cut[(cut >= 0) & (cut < len(grams))]] = False
+                total += np.bincount((grams[inside] >> np.uint64(64 - RANK_BITS)).astype(np.int64), minlength=1 << RANK_BITS)
+        parts = [x.astype("<i4").tobytes() for x in np.split(total, 16)]
+        yield pa.RecordBatch.from_pydict({"part": list(range(16)), "counts": parts})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts")):
+                sums[part] = sums.get(part, 0) + np.frombuffer(counts.as_buffer(), "<i4").astype(np.int64)
+        if sums:
+            yield pa.RecordBatch.from_pydict({"part": list(sums), "counts": [x.tobytes() for x in sums.values()]})
+
+    counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "part long, counts binary")
+    total = np.zeros((16, (1 << RANK_BITS) // 16), np.int64)
+    for row in counted.repartition("part").mapInArrow(add, "part long, counts binary").collect():  # 8 MB
+        total[row["part"]] += np.frombuffer(row["counts"], np.int64)
+    total = total.ravel()
+    off = (total - total.mean()) / np.sqrt(max(1.0, total.mean()))
+    rank = np.where(off < FINE / 8, np.floor(4 * off) + FINE // 2, FINE + np.log2(np.maximum(8 * off / FINE, 1)))
+    return np.clip(rank, 0, (1 << CLASS_BITS) - 1).astype(np.uint8)
+
+
+def ranked(hashes: np.ndarray, ranks: np.ndarray | None) -> np.ndarray:
+    """Hashes whose top bits are their bucket's rank."""
+    if ranks is None:
+        return hashes
+    rank = ranks[(hashes >> np.uint64(64 - RANK_BITS)).astype(np.int64)].astype(np.uint64)
+    return rank << np.uint64(64 - CLASS_BITS) | hashes >> np.uint64(CLASS_BITS)
+
+
+def shingle_sets(body: np.ndarray, offsets: np.ndarray, words: int, ranks: np.ndarray | None = None) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text, the rarer first if ``ranks`` are given."""
+    grams, hashes, first = _grams(body, offsets, words)
+    grams = ranked(grams, ranks)
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
         if b - a >= words:
@@ -96,7 +160,7 @@ def shingle_sets(body: np.ndarray, offsets: np.ndarray, words: int) -> list[np.n
             out.append(own[np.concatenate([[True], own[1:] != own[:-1]])])
         elif b > a:  # fewer words than a shingle has: the whole sequence is one
             whole = (hashes[a:b] * _STEPS[: b - a]).sum(dtype=np.uint64) + np.uint64(b - a)
-            out.append(mix64(np.array([whole ^ np.uint64(0x5851F42D4C957F2D)])))
+            out.append(ranked(mix64(np.array([whole ^ np.uint64(0x5851F42D4C957F2D)])), ranks))
         else:
             out.append(np.zeros(0, np.uint64))
     return out
@@ -108,8 +172,11 @@ def set_name(own: np.ndarray) -> int:
     return int(mix64(total ^ mix64(np.array([len(own)], np.uint64))).view(np.int64)[0])
 
 
-def sketch(own: np.ndarray, bits: int = SKETCH_BITS) -> bytes:
-    """Parity of the number of hashes that fall on each of ``bits`` bits."""
+def sketch(own: np.ndarray, most: int = MOST_BITS) -> bytes:
+    """Parity of the number of hashes that fall on each bit; the more hashes, the more bits."""
+    bits = LEAST_BITS
+    while bits < min(most, BITS_A_HASH * len(own)):
+        bits *= 2
     counts = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
@@ -121,15 +188,15 @@ def _text_rows(docs: DataFrame) -> DataFrame:
     return docs.select(d.alias("d"), F.xxhash64(text).alias("t"), text.alias("text"))
 
 
-def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(d, t, n, node, prefix, bits, wide) of every row; node is null for an empty set."""
+def sketches(docs: DataFrame, rule: Rule, ranks: np.ndarray) -> DataFrame:
+    """(d, t, n, node, prefix, brief, bits) of every row; node is null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             body, offsets = utf8_column(batch.column("text"))
             for first, last in slices(offsets, PIECE_BYTES):
                 part = body[offsets[first] : offsets[last]]
-                sets = shingle_sets(part, offsets[first : last + 1] - offsets[first], rule.words)
+                sets = shingle_sets(part, offsets[first : last + 1] - offsets[first], rule.words, ranks)
                 rows = batch.slice(first, last - first)
                 columns = {
                     "d": rows.column("d"),
@@ -137,15 +204,15 @@ def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
                     "n": pa.array([len(s) for s in sets], pa.int64()),
                     "node": pa.array([set_name(s) if len(s) else None for s in sets], pa.int64()),
                     "prefix": pa.array([s[: rule.prefix(len(s))].tobytes() if len(s) else b"" for s in sets], pa.binary()),
+                    "brief": pa.array([sketch(s, LEAST_BITS) if len(s) else b"" for s in sets], pa.binary()),
                     "bits": pa.array([sketch(s) if len(s) else b"" for s in sets], pa.binary()),
-                    "wide": pa.array([sketch(s, WIDE_BITS) if len(s) > WIDE_FROM else b"" for s in sets], pa.binary()),
                 }
                 yield pa.RecordBatch.from_pydict(columns)
 
-    return _text_rows(docs).mapInArrow(run, "d long, t long, n long, node long, prefix binary, bits binary, wide binary")
+    return _text_rows(docs).mapInArrow(run, "d long, t long, n long, node long, prefix binary, brief binary, bits binary")
 
 
-def _maybe(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+def _maybe(rows: DataFrame, wanted: DataFrame, keys: list[str], scratch: Scratch) -> DataFrame:
     """``rows`` without most of those whose keys ``wanted`` doesn't hold.
 
     A bitmap of hashes of the wanted keys is broadcast: FILTER_BITS bits at most,
@@ -153,14 +220,14 @@ def _maybe(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
     """
     bit = F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS)) + 1
     bits = wanted.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("_bucket"))
-    bits = stored(bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("_bits")), "join-filter")
+    bits = scratch.stored(bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("_bits")), "join-filter")
     keyed = rows.withColumn("_bucket", F.bitmap_bucket_number(bit)).withColumn("_at", F.bitmap_bit_position(bit))
     byte = F.conv(F.hex(F.expr("substring(_bits, cast(_at div 8 as int) + 1, 1)")), 16, 10).cast("int")
     named = keyed.join(F.broadcast(bits), "_bucket").where(F.getbit(byte, (F.col("_at") % 8).cast("int")) == 1)
     return named.select(rows.columns)
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
+def full_sets(docs: DataFrame, wanted: DataFrame, rule: Rule, ranks: np.ndarray, scratch: Scratch) -> DataFrame:
     """(node, hashes) of the wanted classes (node, d, t), from their representatives' texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,11 +235,11 @@ def full_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
             body, offsets = utf8_column(batch.column("text"))
             for first, last in slices(offsets, PIECE_BYTES):
                 part = body[offsets[first] : offsets[last]]
-                sets = shingle_sets(part, offsets[first : last + 1] - offsets[first], rule.words)
+                sets = shingle_sets(part, offsets[first : last + 1] - offsets[first], rule.words, ranks)
                 nodes = batch.column("node").slice(first, last - first)
                 yield pa.RecordBatch.from_arrays([nodes, pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "hashes"])
 
-    texts = _maybe(_text_rows(docs), wanted, ["d", "t"]).join(wanted, ["d", "t"]).dropDuplicates(["d", "t"])
+    texts = _maybe(_text_rows(docs), wanted, ["d", "t"], scratch).join(wanted, ["d", "t"]).dropDuplicates(["d", "t"])
     return texts.select("node", "text").mapInArrow(run, "node long, hashes binary")
 
 
@@ -265,9 +332,18 @@ class Lists:
         self.starts = _starts([col("token"), col("i"), col("j")])
         self.ends = np.append(self.starts[1:], table.num_rows)
         self.list_of = np.repeat(np.arange(len(self.starts)), self.ends - self.starts)
-        bits = b"".join(table.column("bits").to_pylist())
-        self.bits = np.frombuffer(bits, np.uint64).reshape(table.num_rows, SKETCH_BITS // 64)
+        bits = table.column("bits").to_pylist()
+        self.words = np.array([len(x) // 8 for x in bits], np.int64)  # of each sketch
+        self.at = np.cumsum(self.words) - self.words
+        self.bits = np.frombuffer(b"".join(bits), np.uint64)
         self.key = self.list_of * (1 << 32) + self.n
+        self.token = col("token").view(np.uint64)
+        if "head" in table.column_names:
+            heads = table.column("head").to_pylist()
+            self.heads = np.zeros((table.num_rows, HEAD), np.uint64)
+            for at, head in enumerate(heads):
+                self.heads[at, : len(head) // 8] = np.frombuffer(head, np.uint64)
+            self.head_size = np.array([len(x) // 8 for x in heads], np.int64)
 
     def window(self, probes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(probe, entry) pairs: each probe with the block of its list whose sizes can link."""
@@ -287,19 +363,57 @@ class Lists:
         if self.side is not None:
             ok &= ~self.cross[x] | (self.side[x] != self.side[y])
         at = np.flatnonzero(ok)
-        unlike = np.zeros(len(at), np.int64)
-        for w in range(self.bits.shape[1]):
-            unlike += np.bitwise_count(self.bits[x[at], w] ^ self.bits[y[at], w])
-        ok[at] = unlike <= differ[at]
+        ok[at] = self.alike(x[at], y[at], differ[at])
         return ok
 
+    def alike(self, x: np.ndarray, y: np.ndarray, differ: np.ndarray) -> np.ndarray:
+        """Which pairs' sketches differ in at most ``differ`` bits, read 8 words at a time until one has more.
+
+        The longer sketch of a pair is folded to the shorter: its halves' parities add up.
+        """
+        words, unlike = np.minimum(self.words[x], self.words[y]), np.zeros(len(x), np.int64)
+        live = np.arange(len(x))
+        for word in range(int(words.max(initial=0))):
+            if word % 8 == 0:
+                live = live[(unlike[live] <= differ[live]) & (words[live] > word)]
+                if not len(live):
+                    break
+            parity = [self._word(z[live], word, words[live]) for z in (x, y)]
+            unlike[live] += np.bitwise_count(parity[0] ^ parity[1])
+        return unlike <= differ
+
+    def _word(self, z: np.ndarray, word: int, words: np.ndarray) -> np.ndarray:
+        out = self.bits[self.at[z] + word]
+        folds = self.words[z] // words
+        for fold in range(1, int(folds.max(initial=1))):
+            more = np.flatnonzero(folds > fold)
+            out[more] ^= self.bits[self.at[z[more]] + word + fold * words[more]]
+        return out
+
+    def first_of(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Pairs whose heads share no hash below this list's: the others are given in an earlier list."""
+        out = np.ones(len(x), bool)
+        places = np.arange(HEAD)
+        for at in range(0, len(x), 50_000):
+            i, j = x[at : at + 50_000], y[at : at + 50_000]
+            below = [(self.heads[z] < self.token[z, None]) & (places < self.head_size[z, None]) for z in (i, j)]
+            same = (self.heads[i][:, :, None] == self.heads[j][:, None, :]) & below[0][:, :, None] & below[1][:, None, :]
+            out[at : at + 50_000] = ~same.any(axis=(1, 2))
+        return out
+
     def leaders(self) -> tuple[np.ndarray, np.ndarray]:
-        """Round 1: (leader, entry) for every follower, and one pair for a leader that only followers are close to."""
+        """Round 1: (leader, entry) for every follower, and one pair for a leader that only followers are close to.
+
+        Leaders are taken by a priority that is the same in every list, so lists that share
+        entries mostly agree on their leaders.
+        """
+        order = np.lexsort((mix64(self.node.view(np.uint64)), self.list_of))
         covered = np.zeros(len(self.node), bool)
-        at = self.starts.copy()  # each list's next probe
+        at = self.starts.copy()  # each list's next probe, as a place in ``order``
         xs, ys = [], []
         while len(at):
-            x, y = self.window(at)
+            probes = order[at]
+            x, y = self.window(probes)
             ok = self.close(x, y)
             x, y = x[ok], y[ok]
             fresh = ~covered[y]
@@ -307,18 +421,17 @@ class Lists:
             xs += [x[fresh], old_x]
             ys += [y[fresh], y[~fresh][old_at]]
             covered[y[fresh]] = True
-            covered[at] = True
-            at = self._next(at, covered)
+            covered[probes] = True
+            free = np.append(np.flatnonzero(~covered[order]), len(order))
+            to = free[np.searchsorted(free, at + 1)]
+            at = to[to < self.ends[self.list_of[probes]]]
         return np.concatenate(xs), np.concatenate(ys)
 
-    def _next(self, at: np.ndarray, covered: np.ndarray) -> np.ndarray:
-        """The first entry after ``at`` in the same list that isn't covered."""
-        free = np.append(np.flatnonzero(~covered), len(covered))
-        to = free[np.searchsorted(free, at + 1)]
-        return to[to < self.ends[self.list_of[at]]]
+    def between(self, comp: np.ndarray, lead: np.ndarray, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Round 2: close pairs of different components, probed from outside each list's commonest one.
 
-    def between(self, comp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Round 2: close pairs of different components, probed from outside each list's commonest one."""
+        Pairs whose differences ``gap`` from a common ``lead`` rule a link out are left out.
+        """
         order = np.lexsort((comp, self.list_of))
         first = _starts([self.list_of[order], comp[order]])
         size = np.diff(np.append(first, len(order)))
@@ -330,14 +443,16 @@ class Lists:
         work = np.cumsum((self.ends - self.starts)[self.list_of[probes]])
         for some in np.split(probes, np.flatnonzero(np.diff(work // ENGINE_ROWS)) + 1):
             x, y = self.window(some)
-            other = comp[x] != comp[y]
+            apart = np.abs(gap[x] - gap[y]) > self.rule.differ(self.n[x] + self.n[y])
+            other = (comp[x] != comp[y]) & ~((lead[x] == lead[y]) & apart)
             x, y = x[other], y[other]
             ok = self.close(x, y)
+            x, y = x[ok], y[ok]
+            ok = self.first_of(x, y)
             xs.append(x[ok])
             ys.append(y[ok])
         return np.concatenate(xs), np.concatenate(ys)
 
-
     def answers(self, lead: np.ndarray, gap: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Close pairs (x, y) and whether their differences ``gap`` from a common ``lead`` prove the link.
 
@@ -355,40 +470,48 @@ class Lists:
             yield x[ok], y[ok], sure[ok]
 
 
-def _entries(lists: DataFrame, classes: DataFrame, known: DataFrame | None) -> DataFrame:
+def _entries(lists: DataFrame, classes: DataFrame, known: DataFrame | None, scratch: Scratch) -> DataFrame:
     """Entries of the lists with sketches and what is ``known`` of a node, dealt by block pair, in order."""
     long = lists.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > LIST_ROWS)
-    sketched = classes.select("node", "bits")
+    sketched = classes.select("node", F.col("brief").alias("bits"))
     if known is not None:
-        sketched = _maybe(sketched, known, ["node"]).join(known, "node")
-    entries = lists.join(sketched, "node").join(long, "token", "left")
-    entries = (
-        entries.withColumn("blocks", F.coalesce(F.ceil(F.col("rows") / LIST_ROWS), F.lit(1)).cast("int"))
+        sketched = classes.select("node", "bits", F.substring("prefix", 1, 8 * HEAD).alias("head"))
+        sketched = _maybe(sketched, known, ["node"], scratch).join(known, "node")
+    dealt = (
+        lists.join(long, "token", "left")
+        .withColumn("blocks", F.coalesce(F.ceil(F.col("rows") / LIST_ROWS), F.lit(1)).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .drop("rows")
+    )
+    # Sketches join last: they move once.
+    entries = (
+        dealt.join(sketched, "node")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("i", F.least("block", "other"))
         .withColumn("j", F.greatest("block", "other"))
-        .drop("blocks", "other", "rows")
+        .drop("blocks", "other")
     )
     return entries.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "node")
 
 
-def candidate_pairs(lists: DataFrame, classes: DataFrame, rule: Rule, comps: DataFrame | None = None) -> DataFrame:
-    """Distinct pairs (a, b) that a round must verify; ``comps`` (node, root) makes it round 2."""
-    has_comps = comps is not None
+def candidate_pairs(
+    lists: DataFrame, classes: DataFrame, rule: Rule, scratch: Scratch, known: DataFrame | None = None
+) -> DataFrame:
+    """Distinct pairs (a, b) that a round must verify; ``known`` (node, root, lead, gap) makes it round 2."""
+    second = known is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches, ["token", "i", "j"]):
             found = Lists(table, rule)
-            x, y = found.between(table.column("root").to_numpy()) if has_comps else found.leaders()
+            x, y = found.between(*(table.column(c).to_numpy() for c in ("root", "lead", "gap"))) if second else found.leaders()
             a, b = np.minimum(found.node[x], found.node[y]), np.maximum(found.node[x], found.node[y])
             pairs = np.unique(np.stack([a, b], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
-    return _entries(lists, classes, comps).mapInArrow(run, "a long, b long").distinct()
+    return _entries(lists, classes, known, scratch).mapInArrow(run, "a long, b long").distinct()
 
 
-def answer_pairs(lists: DataFrame, classes: DataFrame, rule: Rule, leads: DataFrame) -> DataFrame:
+def answer_pairs(lists: DataFrame, classes: DataFrame, rule: Rule, leads: DataFrame, scratch: Scratch) -> DataFrame:
     """Distinct pairs (a, b) that may link, and ``sure`` if ``leads`` (node, lead, gap) prove it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -399,7 +522,7 @@ def answer_pairs(lists: DataFrame, classes: DataFrame, rule: Rule, leads: DataFr
                     [pa.array(found.node[x]), pa.array(found.node[y]), pa.array(sure)], ["a", "b", "sure"]
                 )
 
-    return _entries(lists, classes, leads).mapInArrow(run, "a long, b long, sure boolean").distinct()
+    return _entries(lists, classes, leads, scratch).mapInArrow(run, "a long, b long, sure boolean").distinct()
 
 
 # ------------------------------------------------------------------ verification
@@ -413,25 +536,7 @@ def _both(pairs: DataFrame, by_node: DataFrame, columns: list[str]) -> DataFrame
     return pairs
 
 
-def wide_check(pairs: DataFrame, nodes: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
-    """Drop pairs of large sets whose wide sketches differ in more bits than a link allows."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            kept = []
-            for row in batch.itertuples(index=False):
-                unlike = 0
-                if row.x_wide and row.y_wide:
-                    x, y = np.frombuffer(row.x_wide, np.uint64), np.frombuffer(row.y_wide, np.uint64)
-                    unlike = int(np.bitwise_count(x ^ y).sum())
-                kept.append(unlike <= rule.differ(row.x_n + row.y_n))
-            yield batch.loc[kept, ["a", "b"]]
-
-    known = _maybe(classes.select("node", "n", "wide"), nodes, ["node"])
-    return _both(pairs, known, ["n", "wide"]).mapInPandas(run, "a long, b long")
-
-
-def prefix_check(pairs: DataFrame, nodes: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+def prefix_check(pairs: DataFrame, nodes: DataFrame, classes: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
     """Drop pairs whose prefixes alone differ in more hashes than a link allows; ``nodes``: those of the pairs."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -446,43 +551,24 @@ def prefix_check(pairs: DataFrame, nodes: DataFrame, classes: DataFrame, rule: R
                 kept.append(len(x) + len(y) - 2 * common <= rule.differ(row.x_n + row.y_n))
             yield batch.loc[kept, ["a", "b"]]
 
-    known = _maybe(classes.select("node", "n", "prefix"), nodes, ["node"])
+    known = _maybe(classes.select("node", "n", "prefix"), nodes, ["node"], scratch)
     return _both(pairs, known, ["n", "prefix"]).mapInPandas(run, "a long, b long")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """(a, b, gap) of the pairs that link, on their full sets; ``gap`` hashes are in one set only."""
+    """(a, b, gap, linked) of every pair, on the full sets; ``gap`` hashes are in one set only."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            kept, gaps = [], []
+            linked, gaps = [], []
             for x, y in zip(batch["x_hashes"], batch["y_hashes"]):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 common = len(np.intersect1d(x, y, assume_unique=True))
-                kept.append(common * rule.den >= (len(x) + len(y) - common) * rule.num)
+                linked.append(common * rule.den >= (len(x) + len(y) - common) * rule.num)
                 gaps.append(len(x) + len(y) - 2 * common)
-            yield batch[["a", "b"]].assign(gap=gaps).loc[kept]
-
-    return _both(pairs, sets, ["hashes"]).mapInPandas(run, "a long, b long, gap long")
+            yield batch[["a", "b"]].assign(gap=gaps, linked=linked)
 
-
-def connected(edges: DataFrame) -> DataFrame:
-    """(node, root): the smallest node reachable, by minimum labels and pointer jumping."""
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).toDF("u", "v"), "join-edges")
-    labels = both.groupBy("u").agg(F.min("v").alias("low"))
-    labels = stored(labels.select(F.col("u").alias("node"), F.least("u", "low").alias("root")), "join-labels")
-    while True:
-        near = both.join(labels, F.col("u") == F.col("node")).groupBy("v").agg(F.min("root").alias("near"))
-        lower = labels.join(near, F.col("node") == F.col("v")).select(
-            "node", "root", F.least("root", "near").alias("low")
-        )
-        lower = stored(lower, "join-low")
-        jump = lower.select(F.col("node").alias("low"), F.col("low").alias("far"))
-        moved = stored(lower.join(jump, "low").select("node", "root", F.least("low", "far").alias("new")), "join-labels")
-        changed = moved.where("new < root").limit(1).count()
-        labels = moved.select("node", F.col("new").alias("root"))
-        if not changed:
-            return labels
+    return _both(pairs, sets, ["hashes"]).mapInPandas(run, "a long, b long, gap long, linked boolean")
 
 
 # ------------------------------------------------------------------ the join
@@ -496,55 +582,63 @@ class Join:
     """Sets, classes and index lists of ``docs``, and what round 1 found.
 
     ``rows``: (d, t, n, node, ...) of every row; ``classes``: one row a node, with its representative's
-    (d, t); ``lists``: the index; ``seen``: pairs verified; ``found``: those that link, with their
-    gap; ``marked``: every class that some pair may link.
+    (d, t); ``lists``: the index; ``seen``: pairs tested; ``verified``: those compared on their full
+    sets, with their gap and whether they link; ``marked``: every class that some pair may link.
     """
 
-    def __init__(self, docs: DataFrame, rule: Rule):
-        self.docs, self.rule = docs, rule
-        self.rows = stored(sketches(docs, rule), "join-sketches")
+    def __init__(self, docs: DataFrame, rule: Rule, scratch: Scratch):
+        self.docs, self.rule, self.scratch = docs, rule, scratch
+        self.ranks = shingle_ranks(docs, rule)
+        self.rows = scratch.stored(sketches(docs, rule, self.ranks), "join-sketches")
         named = self.rows.where("node is not null")
         classes = named.groupBy("node").agg(
             F.min(F.struct("d", "t")).alias("rep"),
             F.first("n").alias("n"),
             F.first("prefix").alias("prefix"),
+            F.first("brief").alias("brief"),
             F.first("bits").alias("bits"),
-            F.first("wide").alias("wide"),
         )
-        self.classes = stored(classes.select("node", "rep.d", "rep.t", "n", "prefix", "bits", "wide"), "join-classes")
-        self.lists = stored(shared_lists(self.classes, rule), "join-lists")
-        self.seen = stored(candidate_pairs(self.lists, self.classes, rule), "join-first")
-        self.marked = stored(nodes_of(self.seen), "join-marked")
-        self.found = self.links(self.seen, self.marked)
-
-    def links(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-        """(a, b, gap) of the ``pairs`` that link; ``nodes``: those of the pairs."""
-        pairs = stored(wide_check(pairs, nodes, self.classes, self.rule), "join-wide")
-        pairs = stored(prefix_check(pairs, nodes_of(pairs), self.classes, self.rule), "join-pairs")
-        nodes = _maybe(self.classes.select("node", "d", "t"), nodes_of(pairs), ["node"]).join(nodes_of(pairs), "node")
-        sets = stored(full_sets(self.docs, stored(nodes, "join-nodes"), self.rule), "join-sets")
-        return stored(verify(pairs, sets, self.rule), "join-links")
+        classes = classes.select("node", "rep.d", "rep.t", "n", "prefix", "brief", "bits")
+        self.classes = scratch.stored(classes, "join-classes")
+        self.lists = scratch.stored(shared_lists(self.classes, rule), "join-lists")
+        self.seen = scratch.stored(candidate_pairs(self.lists, self.classes, rule, scratch), "join-first")
+        self.marked = scratch.stored(nodes_of(self.seen), "join-marked")
+        self.verified = self.compared(self.seen, self.marked)
+        self.found = self.verified.where("linked").select("a", "b", "gap")
+
+    def compared(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+        """(a, b, gap, linked) of the ``pairs`` whose prefixes allow a link; ``nodes``: those of the pairs."""
+        scratch = self.scratch
+        pairs = scratch.stored(prefix_check(pairs, nodes, self.classes, self.rule, scratch), "join-pairs")
+        wanted = scratch.stored(nodes_of(pairs), "join-wanted")
+        nodes = _maybe(self.classes.select("node", "d", "t"), wanted, ["node"], scratch).join(wanted, "node")
+        sets = scratch.stored(full_sets(self.docs, scratch.stored(nodes, "join-nodes"), self.rule, self.ranks, scratch), "join-sets")
+        return scratch.stored(verify(pairs, sets, self.rule), "join-verified")
+
+    def leads(self) -> DataFrame:
+        """(node, lead, gap) of every marked class: of the sets it was verified with, the one most were."""
+        ends = self.verified.select(F.col("a").alias("lead"), F.col("b").alias("node"), "gap")
+        ends = ends.union(self.verified.select("b", "a", "gap"))
+        ends = self.scratch.stored(ends.union(ends.select("lead", "lead", F.lit(0).cast("long")).distinct()), "join-ends")
+        degree = ends.groupBy("lead").agg(F.count(F.lit(1)).alias("degree"))
+        best = F.max_by(F.struct("lead", "gap"), F.struct("degree", "lead"))
+        leads = ends.join(degree, "lead").groupBy("node").agg(best.alias("best"))
+        return self.marked.join(leads.select("node", "best.lead", "best.gap"), "node", "left").select(
+            "node", F.coalesce("lead", "node").alias("lead"), F.coalesce("gap", F.lit(0)).alias("gap")
+        )
 
 
 def linked_classes(join: Join) -> DataFrame:
     """Every pair (a, b) of classes that links, once: derived from a common leader, or verified."""
-    ends = join.found.select(F.col("a").alias("lead"), F.col("b").alias("node"), "gap")
-    ends = ends.union(join.found.select("b", "a", "gap"))
-    ends = stored(ends.union(ends.select("lead", "lead", F.lit(0).cast("long")).distinct()), "join-ends")
-    # Of the sets a class was verified with, the one most classes were verified with is its leader.
-    degree = ends.groupBy("lead").agg(F.count(F.lit(1)).alias("degree"))
-    best = F.max_by(F.struct("lead", "gap"), F.struct("degree", "lead"))
-    leads = ends.join(degree, "lead").groupBy("node").agg(best.alias("best"))
-    leads = join.marked.join(leads.select("node", "best.lead", "best.gap"), "node", "left").select(
-        "node", F.coalesce("lead", "node").alias("lead"), F.coalesce("gap", F.lit(0)).alias("gap")
-    )
-    lists = _maybe(join.lists, join.marked, ["node"])
-    answers = stored(answer_pairs(lists, join.classes, join.rule, stored(leads, "join-leads")), "join-answers")
+    scratch = join.scratch
+    lists = _maybe(join.lists, join.marked, ["node"], scratch)
+    leads = scratch.stored(join.leads(), "join-leads")
+    answers = scratch.stored(answer_pairs(lists, join.classes, join.rule, leads, scratch), "join-answers")
     # a < b holds in all of them.
-    rest = stored(answers.where("not sure").select("a", "b").join(join.seen, ["a", "b"], "left_anti"), "join-rest")
+    rest = scratch.stored(answers.where("not sure").select("a", "b").join(join.seen, ["a", "b"], "left_anti"), "join-rest")
     linked = answers.where("sure").select("a", "b").union(join.found.select("a", "b"))
     if rest.head(1):
-        linked = linked.union(join.links(rest, nodes_of(rest)).select("a", "b"))
+        linked = linked.union(join.compared(rest, nodes_of(rest)).where("linked").select("a", "b"))
     return linked.distinct()
 
 
@@ -555,11 +649,14 @@ def similar_pairs(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, Data
     equal sets and link with each other. ``pairs`` has every two classes (a, b) whose
     sets link, a < b, once. Rows without shingles have a null class_id and no links.
     """
-    join = Join(docs, rule)
+    scratch = Scratch(docs.sparkSession)
+    join = Join(docs, rule, scratch)
     members = join.rows.select(
         F.nullif(F.col("d"), F.lit(LOWEST)).alias("doc_id"), F.col("n").alias("n_shingles"), F.col("node").alias("class_id")
     )
-    return members, stored(linked_classes(join), "join-answer-links")
+    out = stored(members, "join-members"), stored(linked_classes(join), "join-answer-links")
+    scratch.drop()
+    return out
 
 
 def link_counts(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -584,24 +681,28 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     ``d`` is the doc_id (null: the lowest long), ``t`` a hash of the text, ``n`` the set's
     size and ``component`` the smallest (d, t) reachable by links, itself included.
     """
-    join = Join(docs, rule)
-    rows, classes, seen, marked, found = join.rows, join.classes, join.seen, join.marked, join.found
+    scratch = Scratch(docs.sparkSession)
+    join = Join(docs, rule, scratch)
     # Marked classes without a link yet are components of their own.
-    comps = connected(found)
-    known = marked.join(comps, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
-    lists = _maybe(join.lists, marked, ["node"])
-    pairs = candidate_pairs(lists, classes, rule, stored(known, "join-known"))
-    pairs = stored(pairs.join(seen, ["a", "b"], "left_anti"), "join-later")
+    comps = connected(join.found, scratch)
+    known = join.leads().join(comps, "node", "left").select("node", "lead", "gap", F.coalesce("root", "node").alias("root"))
+    lists = _maybe(join.lists, join.marked, ["node"], scratch)
+    pairs = candidate_pairs(lists, join.classes, rule, scratch, scratch.stored(known, "join-known"))
+    pairs = scratch.stored(pairs.join(join.seen, ["a", "b"], "left_anti"), "join-later")
     if pairs.head(1):
-        more = join.links(pairs, nodes_of(pairs))
+        more = join.compared(pairs, nodes_of(pairs)).where("linked").select("a", "b")
         if more.head(1):
-            comps = connected(found.union(more))
+            # What is known so far, one edge a class, and the new links.
+            comps = connected(comps.select(F.col("root").alias("a"), F.col("node").alias("b")).union(more), scratch)
 
     own = F.struct("d", "t")
-    rooted = classes.select("node", "d", "t").join(comps, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = join.classes.select("node", "d", "t").join(comps, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = rooted.groupBy("root").agg(F.min(own).alias("component"))
     by_node = rooted.select("node", "root").join(lowest, "root").select("node", "component")
-    return rows.join(by_node, "node", "left").select("d", "t", "n", F.coalesce("component", own).alias("component"))
+    out = join.rows.join(by_node, "node", "left").select("d", "t", "n", F.coalesce("component", own).alias("component"))
+    out = stored(out, "join-components")
+    scratch.drop()
+    return out
 
 
 def components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -611,8 +712,9 @@ def components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     Null and empty texts, and texts of white space, have no shingles and link with
     nothing. A text with fewer words than a shingle has is one shingle. Repeated
     rows link with each other like any equal texts. A null doc_id counts as the
-    lowest id and is returned as null, also as a component_id. Other columns are
-    not read. An empty table gives an empty result.
+    lowest id and is returned as null, also as a component_id. A text of any length is
+    one set of all its shingles. Other columns are not read. An empty table gives an
+    empty result.
     """
     shown = lambda c: F.nullif(F.col(c), F.lit(LOWEST))
     return near_duplicates(docs, rule).select(
@@ -626,7 +728,7 @@ def keep_one(docs: DataFrame, rule: Rule) -> DataFrame:
     Rows alike in doc_id and text are one document, which stays once if it has words.
     Texts without words all stay. All columns are kept.
     """
-    found = stored(near_duplicates(docs, rule), "join-components")
+    found = near_duplicates(docs, rule)
     d = F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST))
     t = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     names = [F.col(f"`{c}`") for c in docs.columns]
