@@ -35,6 +35,29 @@ def test_jobs_end_to_end(spark, monkeypatch):
     assert kpi_job(spark, cfg).collect() == expected
 
 
+def test_indexed_and_incremental_jobs_end_to_end(spark, monkeypatch):
+    """The silver job on the id index, two incremental gold runs and a repair, all by their settings."""
+    from visitflow.plans.jobs import gold_incremental_job, repair_job
+    from visitflow.sources.tables import read_gold, read_silver
+
+    root = scratch_path(spark, "job-indexed")
+    paths = {"SILVER_OUTPUT_PATH": "silver", "CHECKPOINT_PATH": "ckpt", "GOLD_OUTPUT_PATH": "gold", "SILVER_INPUT_PATH": "in", "SILVER_INDEX_PATH": "index"}
+    for name, folder in paths.items():
+        monkeypatch.setenv(name, f"{root}/{folder}")
+    for name, value in {"SILVER_SOURCE": "files", "GOLD_VERSIONED": "1", "DEDUPE_HORIZON_DAYS": "1", "MAX_FILES_PER_TRIGGER": "0"}.items():
+        monkeypatch.setenv(name, value)
+    bronze = read_bronze(spark, SMALL)
+    for wave in (bronze.filter("delivery_seq % 2 = 0"), bronze.filter("delivery_seq % 2 = 1")):
+        write_replay_files(wave.filter("delivery_seq < 1000000000"), f"{root}/in")
+        run_to_end(silver_job(spark, JobConfig(), trigger={"availableNow": True}, wait=False), 300)
+        assert gold_incremental_job(spark, JobConfig())
+    assert repair_job(spark, JobConfig()) == 1 and gold_incremental_job(spark, JobConfig())
+    expected = silver.clean(bronze.filter("delivery_seq < 1000000000"))
+    assert read_silver(spark, f"{root}/silver").count() == expected.count()
+    got = gold.stack(read_gold(spark, f"{root}/gold"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, gold.stacked(gold.aggregate_all(expected)).collect()))
+
+
 def test_gold_job_without_silver_fails(spark):
     cfg = JobConfig(silver_path=scratch_path(spark, "absent"), gold_path=scratch_path(spark, "g"))
     with pytest.raises(MissingInputError):

@@ -24,6 +24,12 @@ variable                     meaning                     default
 ``GOLD_CHECKPOINT_PATH``     live gold checkpoint        (required for gold-live)
 ``GOLD_TRIGGER_INTERVAL``    live gold refresh interval  ``1 minute``
 ``REPORT_OUTPUT_PATH``       dashboard data tables       ``<GOLD_OUTPUT_PATH>/_report``
+``SILVER_INDEX_PATH``        id index of the dedupe      off (ids in streaming state)
+``REJECTS_OUTPUT_PATH``      rejected rows (with index)  ``<SILVER_INDEX_PATH>/rejects``
+``LATE_OUTPUT_PATH``         late rows (with index)      ``<SILVER_INDEX_PATH>/late``
+``DEDUPE_HORIZON_DAYS``      days an id is remembered    off (for ever; with index)
+``GOLD_STORE_PATH``          sums of gold-incremental    ``<GOLD_OUTPUT_PATH>/_store``
+``GOLD_VERSIONED``           nine tables as one version  off (``1``: on)
 ===========================  ==========================  ==============================
 
 200 messages every 10 seconds are 20 a second: a topic that gets more, or a large
@@ -31,7 +37,7 @@ backlog, never drains at the default. Set ``MAX_OFFSETS_PER_TRIGGER`` to what on
 trigger can work off, or to 0.
 
 Run with ``spark-submit --py-files visitflow.zip visitflow/__main__.py <job>`` (jobs:
-``silver``, ``gold``, ``gold-live``, ``kpi``, ``report``)
+``silver``, ``gold``, ``gold-incremental``, ``gold-live``, ``repair``, ``kpi``, ``report``)
 or ``python -m visitflow …``.
 The session comes from ``SparkSession.builder.getOrCreate()``, so the master
 and cluster settings are those of the submit command.
@@ -45,10 +51,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from visitflow.plans.batch import kpis_from_gold, run_gold, write_report
+from visitflow.plans.batch import kpis_from_gold, run_gold, run_gold_incremental, write_report
 from visitflow.sinks.files import SilverBatchSink
 from visitflow.sources import messages
 from visitflow.sources.tables import MissingInputError
+from visitflow.streaming import seen
 from visitflow.streaming import silver as streams
 
 log = logging.getLogger(__name__)
@@ -93,6 +100,12 @@ class JobConfig:
     files_per_batch: int | None = field(
         default_factory=lambda: int(_env("SILVER_FILES_PER_BATCH", "0")) or None
     )
+    index_path: str | None = field(default_factory=lambda: _env("SILVER_INDEX_PATH"))
+    rejects_path: str | None = field(default_factory=lambda: _env("REJECTS_OUTPUT_PATH"))
+    late_path: str | None = field(default_factory=lambda: _env("LATE_OUTPUT_PATH"))
+    horizon_days: int | None = field(default_factory=lambda: int(_env("DEDUPE_HORIZON_DAYS", "0")) or None)
+    gold_store_path: str | None = field(default_factory=lambda: _env("GOLD_STORE_PATH"))
+    gold_versioned: bool = field(default_factory=lambda: _env("GOLD_VERSIONED", "0") == "1")
     rocksdb_state: bool = True
 
     def require(self, *names: str) -> None:
@@ -118,25 +131,44 @@ def _messages(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, object]:
     raise ValueError(f"unknown silver source {cfg.source!r}")
 
 
+def _indexed_sink(cfg: JobConfig) -> seen.IndexedSilverSink:
+    cfg.require("silver_path", "index_path")
+    root = cfg.index_path.rstrip("/")
+    return seen.IndexedSilverSink(
+        SilverBatchSink(cfg.silver_path, fmt=cfg.silver_format, files=cfg.files_per_batch),
+        seen.SeenIds(root, cfg.horizon_days),
+        cfg.rejects_path or f"{root}/rejects",
+        cfg.late_path or f"{root}/late",
+    )
+
+
 def silver_job(
     spark: SparkSession, cfg: JobConfig | None = None, trigger: dict | None = None, wait: bool = True
 ):
-    """Start the silver stream; with ``wait`` block until it stops (or fails)."""
+    """Start the silver stream; with ``wait`` block until it stops (or fails).
+
+    With ``SILVER_INDEX_PATH`` ids are remembered in an index instead of streaming state, and rejected
+    and late rows are kept.
+    """
     cfg = cfg or JobConfig()
     cfg.require("silver_path", "checkpoint_path")
-    if cfg.rocksdb_state:
-        streams.use_rocksdb_state(spark)
     stream, decode_fn = _messages(spark, cfg)
-    query = streams.start_silver(
-        stream,
-        SilverBatchSink(cfg.silver_path, fmt=cfg.silver_format, files=cfg.files_per_batch),
-        cfg.checkpoint_path,
-        trigger=trigger or {"processingTime": cfg.trigger_interval},
-        bounded_delay=cfg.bounded_delay,
-        decode_fn=decode_fn,
-        query_name="silver",
-        salt_buckets=cfg.salt_buckets,
-    )
+    trigger = trigger or {"processingTime": cfg.trigger_interval}
+    if cfg.index_path:
+        query = seen.start_indexed_silver(stream, _indexed_sink(cfg), cfg.checkpoint_path, trigger, decode_fn)
+    else:
+        if cfg.rocksdb_state:
+            streams.use_rocksdb_state(spark)
+        query = streams.start_silver(
+            stream,
+            SilverBatchSink(cfg.silver_path, fmt=cfg.silver_format, files=cfg.files_per_batch),
+            cfg.checkpoint_path,
+            trigger=trigger,
+            bounded_delay=cfg.bounded_delay,
+            decode_fn=decode_fn,
+            query_name="silver",
+            salt_buckets=cfg.salt_buckets,
+        )
     log.info("silver stream started: %s -> %s", cfg.source, cfg.silver_path)
     if wait:
         query.awaitTermination()
@@ -150,12 +182,34 @@ def gold_job(spark: SparkSession, cfg: JobConfig | None = None) -> dict[str, int
     """Rebuild the nine gold tables from silver; raises if silver is missing or empty."""
     cfg = cfg or JobConfig()
     cfg.require("silver_path", "gold_path")
-    counts = run_gold(spark, cfg.silver_path, cfg.gold_path, silver_fmt=cfg.silver_format)
+    counts = run_gold(
+        spark, cfg.silver_path, cfg.gold_path, silver_fmt=cfg.silver_format, versioned=cfg.gold_versioned
+    )
     for name, n in counts.items():
         log.info("gold %s: %d rows", name, n)
     return counts
 
 
+def gold_incremental_job(spark: SparkSession, cfg: JobConfig | None = None) -> dict[str, int]:
+    """The same nine tables from stored sums and the silver batches that came since the last run."""
+    cfg = cfg or JobConfig()
+    cfg.require("silver_path", "gold_path")
+    store = cfg.gold_store_path or f"{cfg.gold_path.rstrip('/')}/_store"
+    counts = run_gold_incremental(spark, cfg.silver_path, store, cfg.gold_path, versioned=cfg.gold_versioned)
+    log.info("gold: %s", counts or "no new silver batches")
+    return counts
+
+
+def repair_job(spark: SparkSession, cfg: JobConfig | None = None) -> int:
+    """Merge the late rows that silver lacks; returns the late batches read."""
+    cfg = cfg or JobConfig()
+    sink = _indexed_sink(cfg)
+    ledger = f"{cfg.index_path.rstrip('/')}/repairs"
+    batches = seen.repair_late(spark, sink.silver, sink.rejects, sink.late, ledger)
+    log.info("late rows: %d batches merged", batches)
+    return batches
+
+
 def gold_live_job(
     spark: SparkSession, cfg: JobConfig | None = None, trigger: dict | None = None, wait: bool = True
 ):
@@ -216,23 +270,25 @@ def main(argv: list[str] | None = None) -> int:
     import sys
 
     args = list(sys.argv[1:] if argv is None else argv)
-    if not args or args[0] not in ("silver", "gold", "gold-live", "kpi", "report"):
-        print("usage: python -m visitflow silver|gold|gold-live|kpi|report", file=sys.stderr)
+    jobs = {
+        "silver": silver_job,
+        "gold": gold_job,
+        "gold-incremental": gold_incremental_job,
+        "gold-live": gold_live_job,
+        "repair": repair_job,
+        "report": report_job,
+        "kpi": kpi_job,
+    }
+    if not args or args[0] not in jobs:
+        print(f"usage: python -m visitflow {'|'.join(jobs)}", file=sys.stderr)
         return 2
     logging.basicConfig(level=logging.INFO, format="%(asctime)s [%(levelname)s] %(message)s")
     spark = SparkSession.builder.appName(f"visitflow-{args[0]}").getOrCreate()
     _stop_streams_on_signal(spark)
     try:
-        if args[0] == "silver":
-            silver_job(spark)
-        elif args[0] == "gold":
-            gold_job(spark)
-        elif args[0] == "gold-live":
-            gold_live_job(spark)
-        elif args[0] == "report":
-            report_job(spark)
-        else:
-            for row in kpi_job(spark).collect():  # one row
+        done = jobs[args[0]](spark)
+        if args[0] == "kpi":
+            for row in done.collect():  # one row
                 print(row.asDict())
     except MissingInputError as exc:
         log.error("%s; run the silver job first, then retry", exc)

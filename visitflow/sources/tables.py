@@ -7,6 +7,8 @@ the reference) and keeps column types stable. Missing input raises
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
@@ -68,18 +70,22 @@ def _lacks(spark: SparkSession, path: str, column: str) -> bool:
         raise
 
 
-def committed_batches(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+def committed_batches(
+    spark: SparkSession, path: str, known: Callable[[str, int], bool] = lambda stream, number: False
+) -> list[tuple[str, int]]:
     """(stream, batch number) of every batch that a ``SilverBatchSink`` has committed under ``path``.
 
-    Folder names only; a batch without its ``_SUCCESS`` isn't there yet.
+    Folder names only, one listing a stream; a batch without its ``_SUCCESS`` isn't there yet.
+    Those that are ``known`` are left out without a look at them.
     """
     found = []
-    for stream in names(spark, path):
-        if stream.startswith("stream="):
-            for batch in names(spark, f"{path}/{stream}"):
-                if batch.startswith("batch_id=") and exists(spark, f"{path}/{stream}/{batch}/_SUCCESS"):
-                    found.append((stream.removeprefix("stream="), int(batch.removeprefix("batch_id="))))
-    return sorted(found)
+    for folder in names(spark, path):
+        if folder.startswith("stream="):
+            stream = folder.removeprefix("stream=")
+            batches = [n for n in names(spark, f"{path}/{folder}") if n.startswith("batch_id=")]
+            new = [n for n in sorted(int(b.removeprefix("batch_id=")) for b in batches) if not known(stream, n)]
+            found += [(stream, n) for n in new if exists(spark, f"{path}/{folder}/batch_id={n}/_SUCCESS")]
+    return found
 
 
 def read_silver_batches(spark: SparkSession, path: str, batches: list[tuple[str, int]], fmt: str = "parquet") -> DataFrame:

@@ -129,7 +129,7 @@ def merge_batches(spark: SparkSession, silver_root: str, root: str, buckets: int
     """
     store = gold_store(spark, root, buckets)
     ledger = store.versions.current(spark)[1].get("merged", {})
-    new = [(s, n) for s, n in committed_batches(spark, silver_root) if not _covers(ledger.get(s, []), n)]
+    new = committed_batches(spark, silver_root, lambda stream, n: _covers(ledger.get(stream, []), n))
     if not new:
         return 0
     rows = read_silver_batches(spark, silver_root, new)
