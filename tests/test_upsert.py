@@ -199,6 +199,24 @@ def test_readers_see_tables_of_one_run(spark, visits, monkeypatch):
     assert "daily_trends" not in read_gold(spark, root) and len(read_gold(spark, root)) == 8
 
 
+def test_closed_days_leave_the_state(spark, visits):
+    """Days come in order, one a batch, delay two days: the state holds the last days only, the table all."""
+    root = scratch_path(spark, "u-days")
+    sink = SilverBatchSink(f"{root}/silver")
+    days = [r[0] for r in visits.selectExpr("try_to_date(timestamp) d").where("d is not null").distinct().orderBy("d").limit(8).collect()]
+    held = []
+    for number, day in enumerate(days):
+        sink(visits.where((F.try_to_date("timestamp") == F.lit(day)) | (F.lit(number == 3) & F.try_to_date("timestamp").isNull())), number)
+        stream = read_silver_stream(spark, f"{root}/silver")
+        queries = streams.start_daily_windows(stream, f"{root}/daily", f"{root}/checkpoint", "2 days", trigger=NOW)
+        for query in queries:
+            streams.run_to_end(query, 300)
+        held.append(queries[0].lastProgress.stateOperators[0].numRowsTotal)
+    assert max(held) <= 4 < len(days)
+    kept = visits.where(F.try_to_date("timestamp").isNull() | F.try_to_date("timestamp").isin(days))
+    assert rows(streams.read_daily_windows(spark, f"{root}/daily")) == rows(gold.build(kept, "daily_trends"))
+
+
 def test_ledger_ranges():
     held = upsert._with([], [0, 1, 2, 7])
     assert held == [[0, 2], [7, 7]]

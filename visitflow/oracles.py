@@ -344,6 +344,7 @@ FROM ({GOLD_BODIES['age_group_summary']})"""
     q["stream_gold_replay"] = q["gold_one_pass"]
     q["stream_silver_bounded"] = q["silver_visits"]
     q["stream_daily_trends"] = q["gold_daily_trends"]
+    q["stream_daily_windows"] = q["gold_daily_trends"]
     q["stream_gold_upsert"] = q["gold_one_pass"]
     q["stream_gold_top"] = _with(
         f"SELECT * FROM ({stack_body}) WHERE table_name IN ('top_doctors', 'diagnosis_summary')", ctes=stack_ctes

@@ -25,7 +25,7 @@ import logging
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -33,7 +33,8 @@ from visitflow.functions import rules
 from visitflow.operators import silver as silver_ops
 from visitflow.sinks.files import SilverBatchSink
 from visitflow.sources.messages import decode_envelope
-from visitflow.storage import replace
+from visitflow.schema import GOLD_SCHEMAS
+from visitflow.storage import exists, replace
 
 log = logging.getLogger(__name__)
 
@@ -260,6 +261,71 @@ def start_daily_trends(
     )
 
 
+def windowed_daily_trends(silver: DataFrame, delay: str) -> DataFrame:
+    """Daily counts by event-time windows of one day; a day leaves the state once the watermark passes its end.
+
+    Rows more than ``delay`` behind the latest day seen find their day closed and are dropped
+    (``late_rows`` counts them), so ``delay`` must exceed the stream's disorder. Rows whose clock runs
+    over ``FUTURE_SKEW`` ahead don't move the watermark: they are left out here, and so are
+    undated ones; ``undated_trends`` has both.
+    """
+    day = rules.visit_date("timestamp").cast("timestamp")
+    timed = silver.withColumn("visit_day", day).where(_trusted("visit_day")).withWatermark("visit_day", delay)
+    daily = timed.groupBy(F.window("visit_day", "1 day")).agg(*_daily_columns())
+    return daily.select(F.col("window.start").cast("date").alias("date"), *DAILY_COLUMNS)
+
+
+def undated_trends(silver: DataFrame) -> DataFrame:
+    """The days that have no window: null, and dates too far ahead. Their state is a row each."""
+    date = rules.visit_date("timestamp")
+    rest = silver.withColumn("date", date).where(~_trusted(date.cast("timestamp")))
+    return rest.groupBy("date").agg(*_daily_columns()).select("date", *DAILY_COLUMNS)
+
+
+DAILY_COLUMNS = ("patient_per_day", "avg_age", "severe_cases")
+
+
+def _daily_columns() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("patient_per_day"),
+        F.round(F.avg("age"), 1).alias("avg_age"),
+        F.count_if(F.col("severity") == "SEVERE").alias("severe_cases"),
+    ]
+
+
+def _trusted(time: str | Column) -> Column:
+    time = F.col(time) if isinstance(time, str) else time
+    return F.coalesce(time <= F.current_timestamp() + F.expr(f"INTERVAL {FUTURE_SKEW}"), F.lit(False))
+
+
+def start_daily_windows(
+    silver: DataFrame, path: str, checkpoint: str, delay: str, trigger: dict | None = None
+) -> list[StreamingQuery]:
+    """Keep the daily table current with bounded state: two queries, windows and the days without one.
+
+    They write days that don't overlap to one table, each changed day overwritten. ``silver`` is read by both;
+    feed them from the silver table's new files.
+    """
+    queries = []
+    for name, rows in (("windows", windowed_daily_trends(silver, delay)), ("undated", undated_trends(silver))):
+        writer = rows.writeStream.outputMode("update").foreachBatch(UpsertPartitionsSink(f"{path}/part={name}", "date"))
+        writer = writer.option("checkpointLocation", f"{checkpoint}/{name}")
+        queries.append(writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start())
+    return queries
+
+
+def read_daily_windows(spark: SparkSession, path: str) -> DataFrame:
+    """The daily table that ``start_daily_windows`` keeps."""
+    schema = GOLD_SCHEMAS["daily_trends"]
+    out = None
+    for name in ("windows", "undated"):
+        folder = f"{path}/part={name}"
+        if exists(spark, folder):
+            part = spark.read.schema(schema).option("basePath", folder).parquet(folder).select(*schema.fieldNames())
+            out = part if out is None else out.unionByName(part)
+    return spark.createDataFrame([], schema) if out is None else out
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows that the query's last micro-batches dropped as later than the watermark."""
     return sum(
