@@ -163,15 +163,17 @@ def fit(texts: pa.Array, labels: np.ndarray) -> Model:
     if not 0 < toxic < n:
         return none
     counts = np.zeros((2, buckets))
-    present = np.zeros(buckets, bool)
+    # A bucket counts once a text: its last text, and the last place it was met at.
+    last, place = np.full(buckets, -1, np.int32), np.zeros(buckets, np.int32)
     for at, y in enumerate(labels.tolist()):
         body, offsets = utf8_column(_lowered(texts.slice(at, 1)))
         for part, ends, _, cut in _pieces(body, offsets):
             for _, bucket in ngram_buckets(part, ends, cut):
-                present[bucket] = True
-        found = np.flatnonzero(present)
-        counts[y, found] += 1
-        present[found] = False
+                here = np.arange(len(bucket), dtype=np.int32)
+                place[bucket] = here
+                new = bucket[(place[bucket] == here) & (last[bucket] != at)]
+                last[new] = at
+                counts[y, new] += 1
     seen = counts.sum(axis=0) >= MIN_TEXTS
     p, q = counts[1] + 1.0, counts[0] + 1.0
     ratio = np.log(p / (toxic + 2)) - np.log(q / (n - toxic + 2))
