@@ -33,6 +33,8 @@ RIDGE = 0.002
 MOST_WEIGHT = 2.0
 ROUNDS = 120
 THRESHOLD = 0.7
+#: Pairs of a text and a feature that a training step sums together.
+STEP_PAIRS = 1 << 19
 #: Bytes of text worked on at a time; a longer text is read in overlapping pieces.
 PIECE_BYTES = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -147,6 +149,11 @@ class Model:
     def __init__(self, of: np.ndarray, weight: np.ndarray, bias: float):
         self.of, self.weight, self.bias = of, weight, bias
 
+    def __reduce__(self):
+        """Sent to a task as the used buckets and their weights, not as the whole table."""
+        used = np.flatnonzero(self.of >= 0)
+        return _model, (used[np.argsort(self.of[used])].astype(np.int32), self.weight, self.bias)
+
     def score(self, column: pa.Array) -> np.ndarray:
         if len(self.weight) == 0:
             return np.full(len(column), float(sigmoid(np.array(self.bias))))
@@ -154,6 +161,12 @@ class Model:
         return sigmoid(self.bias + np.bincount(rows, self.weight[features], len(column)))
 
 
+def _model(used: np.ndarray, weight: np.ndarray, bias: float) -> Model:
+    of = np.full(1 << BUCKET_BITS, -1, np.int32)
+    of[used] = np.arange(len(used))
+    return Model(of, weight, bias)
+
+
 def fit(texts: pa.Array, labels: np.ndarray) -> Model:
     """Fit on labelled texts (in a fixed order). One class only: a constant score."""
     buckets = 1 << BUCKET_BITS
@@ -162,7 +175,7 @@ def fit(texts: pa.Array, labels: np.ndarray) -> Model:
     none = Model(np.full(buckets, -1, np.int32), np.zeros(0), prior)
     if not 0 < toxic < n:
         return none
-    counts = np.zeros((2, buckets))
+    counts = np.zeros((2, buckets), np.int32)
     # A bucket counts once a text: its last text, and the last place it was met at.
     last, place = np.full(buckets, -1, np.int32), np.zeros(buckets, np.int32)
     for at, y in enumerate(labels.tolist()):
@@ -174,29 +187,33 @@ def fit(texts: pa.Array, labels: np.ndarray) -> Model:
                 new = bucket[(place[bucket] == here) & (last[bucket] != at)]
                 last[new] = at
                 counts[y, new] += 1
-    seen = counts.sum(axis=0) >= MIN_TEXTS
-    p, q = counts[1] + 1.0, counts[0] + 1.0
-    ratio = np.log(p / (toxic + 2)) - np.log(q / (n - toxic + 2))
-    used = np.flatnonzero(seen & (np.abs(ratio) >= MIN_RATIO))
+    del last, place
+    seen = np.flatnonzero(counts[0] + counts[1] >= MIN_TEXTS)
+    ratio = np.log((counts[1, seen] + 1.0) / (toxic + 2)) - np.log((counts[0, seen] + 1.0) / (n - toxic + 2))
+    del counts
+    strong = np.abs(ratio) >= MIN_RATIO
+    used, scale = seen[strong], ratio[strong]
     if not len(used):
         return none
-    of = np.full(buckets, -1, np.int32)
+    of = none.of
     of[used] = np.arange(len(used))
-    scale = ratio[used]
     rows, features = [], []
     for first in range(0, n, 256):
         r, f = _features(texts.slice(first, 256), of)
-        rows.append(r + first)
-        features.append(f)
+        rows.append((r + first).astype(np.int32))
+        features.append(f.astype(np.int32))
+    # Pairs of a text and a feature are kept narrow and summed some at a time.
     rows, features = np.concatenate(rows), np.concatenate(features)
-    x = scale[features]
+    parts = [slice(i, i + STEP_PAIRS) for i in range(0, len(rows), STEP_PAIRS)]
     # Both classes weigh half, the rarer one at most MOST_WEIGHT times its rows.
     class_weight = np.where(labels == 1, min(MOST_WEIGHT, n / (2 * toxic)), min(MOST_WEIGHT, n / (2 * (n - toxic))))
     w, b = np.zeros(len(used)), prior
     m_w, v_w, m_b, v_b, rate = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0, 0.05
     for step in range(1, ROUNDS + 1):  # Adam on the whole sample
-        off = (sigmoid(b + np.bincount(rows, w[features] * x, n)) - labels) * class_weight
-        g_w = np.bincount(features, off[rows] * x, len(used)) / n + RIDGE * w
+        scaled = w * scale
+        margin = sum(np.bincount(rows[part], scaled[features[part]], n) for part in parts)
+        off = (sigmoid(b + margin) - labels) * class_weight
+        g_w = sum(np.bincount(features[part], off[rows[part]], len(used)) for part in parts) * scale / n + RIDGE * w
         g_b = off.mean()
         m_w, v_w = 0.9 * m_w + 0.1 * g_w, 0.999 * v_w + 0.001 * g_w * g_w
         m_b, v_b = 0.9 * m_b + 0.1 * g_b, 0.999 * v_b + 0.001 * g_b * g_b
