@@ -221,6 +221,86 @@ def test_sketches_of_any_length_compare():
         assert lists.alike(x, y, want + off).tolist() == [off >= 0] * len(x)
 
 
+def shared_passages(rng):
+    """Chains of edited copies, and texts that share a short passage with others."""
+    vocabulary = [f"w{i}" for i in range(400)]
+    passages = [list(rng.choice(vocabulary, 6)) for _ in range(12)]
+    rows = []
+    for _ in range(5):
+        words = list(rng.choice(vocabulary, int(rng.integers(60, 160))))
+        for _ in range(8):
+            words = edited(rng, words, int(rng.integers(0, 4))).split()
+            rows.append((len(rows), " ".join(words)))
+    for _ in range(60):
+        own = list(rng.choice(vocabulary, int(rng.integers(30, 120))))
+        rows.append((len(rows), " ".join(own + passages[int(rng.integers(0, 12))])))
+    return rows + [(len(rows) + i, t.upper()) for i, (_, t) in enumerate(rows[:5])]
+
+
+def lists_of(rows):
+    out = {}
+    for r in rows:
+        out.setdefault(r["token"], []).append(r)
+    return out.values()
+
+
+def may_link(x, y, rule):
+    """Whether two postings of one list can be the first common hash of two linked sets."""
+    common = min(x["n"] - x["pos"], y["n"] - y["pos"])
+    return x["node"] != y["node"] and rule.den * common >= rule.num * (x["n"] + y["n"] - common)
+
+
+@pytest.mark.parametrize("rule", RULES[:2])
+def test_postings_without_a_partner_leave_the_index(spark, monkeypatch, rule):
+    """Lists hold what sizes and positions allow to link, however the rows come in batches."""
+    docs = spark.createDataFrame(shared_passages(np.random.default_rng(20)), "doc_id long, text string")
+    join = jj.Join(docs, rule, Scratch(spark))
+    key = lambda r: (r["token"], r["node"], r["n"], r["pos"])
+    lists = lists_of(jj._postings(join.classes).collect())
+    want = sorted(key(x) for rows in lists for x in rows if any(may_link(x, y, rule) for y in rows))
+    assert want and sorted(map(key, join.lists.collect())) == want
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        assert sorted(map(key, jj.shared_lists(join.classes, rule).collect())) == want
+        monkeypatch.setattr(jj, "NEAR", 2)  # rows of longer lists stay untested; none is lost
+        assert set(map(key, jj.shared_lists(join.classes, rule).collect())) >= set(want)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("list_rows", [20_000, 4])
+def test_second_round_gives_sketches_to_strangers_only(spark, monkeypatch, list_rows):
+    monkeypatch.setattr(jj, "LIST_ROWS", list_rows)
+    rule, scratch = jj.Rule(5, 80, 100), Scratch(spark)
+    docs = spark.createDataFrame(shared_passages(np.random.default_rng(21)), "doc_id long, text string")
+    join = jj.Join(docs, rule, scratch)
+    comps = jj.connected(join.found, scratch)
+    known = join.leads().join(comps, "node", "left").selectExpr("node", "lead", "gap", "coalesce(root, node) root")
+    about = {r["node"]: r for r in known.collect()}
+
+    def meet(x, y):
+        a, b = about[x["node"]], about[y["node"]]
+        apart = a["lead"] == b["lead"] and abs(a["gap"] - b["gap"]) > rule.differ(x["n"] + y["n"])
+        return a["root"] != b["root"] and not apart and may_link(x, y, rule)
+
+    lists = lists_of([r for r in join.lists.collect() if r["node"] in about])
+    want = {(x["token"], x["node"]) for rows in lists for x in rows if any(meet(x, y) for y in rows)}
+    got = {(r["token"], r["node"]) for r in jj._entries(join.lists, join.classes, rule, known, scratch).collect()}
+    assert want and got == want and len(want) < sum(map(len, lists))
+
+
+def test_one_class_row_a_set(spark):
+    """Copies give one row, the lowest (doc_id, text); sets without copies are not written again."""
+    rows = [(3, "a b c d"), (1, "A b c d"), (None, "x y z"), (7, "x y z"), (5, "e f g h"), (4, "i j k"), (9, None), (4, "i j k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scratch = Scratch(spark)
+    join = jj.Join(docs, jj.Rule(), scratch)
+    assert sorted(r["d"] for r in join.classes.collect()) == [jj.LOWEST, 1, 4, 5]
+    assert join.classes.columns == ["node", "d", "t", "n", "prefix", "brief", "bits"]
+    written = next(p for p in scratch.paths if "join-classes" in p)
+    assert sorted(r["d"] for r in spark.read.parquet(written).collect()) == [jj.LOWEST, 1, 4]
+
+
 def test_shingles_do_not_depend_on_neighbours():
     texts = ["a b c d", "", "a b c d", "b c d"]
     body, offsets = utf8_column(pa.array(texts))

@@ -9,7 +9,9 @@ first: a hash's top bits are its rank, from how often its bucket (of ``2**RANK_B
 texts, so that shingles which many documents share enter few prefixes, and the lists stay short. A list (all classes with one
 hash) is ordered by set size and skipped by position: a probe reads only the block
 of sizes that can link, and of these only entries whose positions leave room for
-enough common hashes and whose parity sketches differ in few enough bits. In the first round a
+enough common hashes and whose parity sketches differ in few enough bits. Sizes and positions are
+tested on narrow rows: what has no partner in a list leaves it before sketches join, in the second
+round also what only meets its own component. In the first round a
 sketch is brief (512 bits); in the second, which has few entries, it has some four bits a
 hash, so that it also tells sets apart that just miss a link. Pairs found are tested by their prefixes before full sets are fetched. Each bound is exact: it rules
 out no pair that links.
@@ -56,6 +58,8 @@ RANK_BITS, CLASS_BITS = 20, 5
 #: Ranks for counts about the mean.
 FINE = 20
 LIST_ROWS = 20_000
+#: Neighbours in a list, in size order, that an entry's position is tested against before its sketch joins.
+NEAR = 16
 #: First prefix hashes that go with an entry in round 2, to give a pair in one of its lists only.
 HEAD = 16
 #: Rows of lists that are probed together.
@@ -84,6 +88,11 @@ class Rule:
         """Most hashes in one set only, for two linked sets of ``sizes`` hashes in all."""
         return sizes - 2 * -(-self.num * sizes // (self.num + self.den))
 
+    def fits(self, n_x, pos_x, n_y, pos_y):
+        """Whether two sets whose first common hash is at these positions can link; sizes too far apart never fit."""
+        sizes, room = n_x + n_y, np.minimum(n_x - pos_x, n_y - pos_y)  # this hash and those after it
+        return 2 * room >= sizes - self.differ(sizes)
+
 
 # ------------------------------------------------------------------ sets
 
@@ -212,19 +221,24 @@ def sketches(docs: DataFrame, rule: Rule, ranks: np.ndarray) -> DataFrame:
     return _text_rows(docs).mapInArrow(run, "d long, t long, n long, node long, prefix binary, brief binary, bits binary")
 
 
-def _maybe(rows: DataFrame, wanted: DataFrame, keys: list[str], scratch: Scratch) -> DataFrame:
-    """``rows`` without most of those whose keys ``wanted`` doesn't hold.
+def _flagged(rows: DataFrame, wanted: DataFrame, keys: list[str], scratch: Scratch) -> DataFrame:
+    """``rows`` and ``_maybe``: false only where ``wanted`` doesn't hold the row's keys.
 
     A bitmap of hashes of the wanted keys is broadcast: FILTER_BITS bits at most,
-    however many are wanted. It lets some others pass, never one wanted less.
+    however many are wanted. It marks some others too, never one wanted less.
     """
     bit = F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS)) + 1
     bits = wanted.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("_bucket"))
     bits = scratch.stored(bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("_bits")), "join-filter")
     keyed = rows.withColumn("_bucket", F.bitmap_bucket_number(bit)).withColumn("_at", F.bitmap_bit_position(bit))
     byte = F.conv(F.hex(F.expr("substring(_bits, cast(_at div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    named = keyed.join(F.broadcast(bits), "_bucket").where(F.getbit(byte, (F.col("_at") % 8).cast("int")) == 1)
-    return named.select(rows.columns)
+    maybe = F.coalesce(F.getbit(byte, (F.col("_at") % 8).cast("int")) == 1, F.lit(False))
+    return keyed.join(F.broadcast(bits), "_bucket", "left").select(*rows.columns, maybe.alias("_maybe"))
+
+
+def _maybe(rows: DataFrame, wanted: DataFrame, keys: list[str], scratch: Scratch) -> DataFrame:
+    """``rows`` without most of those whose keys ``wanted`` doesn't hold."""
+    return _flagged(rows, wanted, keys, scratch).where("_maybe").select(rows.columns)
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, rule: Rule, ranks: np.ndarray, scratch: Scratch) -> DataFrame:
@@ -297,24 +311,32 @@ def _starts(columns: list[np.ndarray]) -> np.ndarray:
 
 
 def shared_lists(classes: DataFrame, rule: Rule) -> DataFrame:
-    """Postings that have a neighbour in their list, in size order, of a size that can link."""
+    """Postings whose list holds another one that sizes and positions allow to link.
+
+    Pairs up to ``NEAR`` rows apart in size order are tested; a posting with more than that
+    many of a size that can link stays untested.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Lists are read as a stream; only the last row waits for the next batch.
-        rest, rest_near = None, False
+        # Lists are read as a stream; only the last rows wait for the next batch.
+        rest, marked = None, np.zeros(0, bool)
         for batch in batches:
             if not batch.num_rows:
                 continue
             table = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch])
-            token, n = table.column("token").to_numpy(), table.column("n").to_numpy().astype(np.int64)
-            near = np.zeros(len(token), bool)
-            near[1:] = (token[1:] == token[:-1]) & (n[:-1] * rule.den >= n[1:] * rule.num)
-            near[:-1] |= near[1:]
-            near[0] |= rest_near
-            yield from table.slice(0, len(near) - 1).filter(pa.array(near[:-1])).to_batches()
-            rest, rest_near = table.slice(len(near) - 1), bool(near[-1])
-        if rest_near:
-            yield from rest.to_batches()
+            token, n, pos = (table.column(c).to_numpy().astype(np.int64) for c in ("token", "n", "pos"))
+            paired = np.zeros(len(token), bool)
+            paired[: len(marked)] = marked
+            for off in range(1, min(NEAR, len(token) - 1) + 1):
+                x = np.flatnonzero(token[off:] == token[:-off])
+                y = x + off
+                ok = n[x] * rule.den >= n[y] * rule.num if off == NEAR else rule.fits(n[x], pos[x], n[y], pos[y])
+                paired[x[ok]] = paired[y[ok]] = True
+            last = max(len(token) - NEAR, 0)
+            yield from table.slice(0, last).filter(pa.array(paired[:last])).to_batches()
+            rest, marked = table.slice(last), paired[last:]
+        if rest is not None:
+            yield from rest.filter(pa.array(marked)).to_batches()
 
     lists = _postings(classes).repartition("token").sortWithinPartitions("token", "n", "node")
     return lists.mapInArrow(run, "token long, node long, n int, pos int")
@@ -332,10 +354,11 @@ class Lists:
         self.starts = _starts([col("token"), col("i"), col("j")])
         self.ends = np.append(self.starts[1:], table.num_rows)
         self.list_of = np.repeat(np.arange(len(self.starts)), self.ends - self.starts)
-        bits = table.column("bits").to_pylist()
-        self.words = np.array([len(x) // 8 for x in bits], np.int64)  # of each sketch
-        self.at = np.cumsum(self.words) - self.words
-        self.bits = np.frombuffer(b"".join(bits), np.uint64)
+        if "bits" in table.column_names:
+            bits = table.column("bits").to_pylist()
+            self.words = np.array([len(x) // 8 for x in bits], np.int64)  # of each sketch
+            self.at = np.cumsum(self.words) - self.words
+            self.bits = np.frombuffer(b"".join(bits), np.uint64)
         self.key = self.list_of * (1 << 32) + self.n
         self.token = col("token").view(np.uint64)
         if "head" in table.column_names:
@@ -354,16 +377,18 @@ class Lists:
         to = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
         return np.repeat(probes, count), to
 
-    def close(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Which pairs no bound rules out."""
-        sizes = self.n[x] + self.n[y]
-        differ = self.rule.differ(sizes)
-        room = np.minimum(self.n[x] - self.pos[x], self.n[y] - self.pos[y])  # this hash and those after it
-        ok = (self.node[x] != self.node[y]) & (2 * room >= sizes - differ)
+    def fits(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Which pairs sizes and positions don't rule out."""
+        ok = (self.node[x] != self.node[y]) & self.rule.fits(self.n[x], self.pos[x], self.n[y], self.pos[y])
         if self.side is not None:
             ok &= ~self.cross[x] | (self.side[x] != self.side[y])
+        return ok
+
+    def close(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Which pairs no bound rules out."""
+        ok = self.fits(x, y)
         at = np.flatnonzero(ok)
-        ok[at] = self.alike(x[at], y[at], differ[at])
+        ok[at] = self.alike(x[at], y[at], self.rule.differ(self.n[x[at]] + self.n[y[at]]))
         return ok
 
     def alike(self, x: np.ndarray, y: np.ndarray, differ: np.ndarray) -> np.ndarray:
@@ -427,8 +452,8 @@ class Lists:
             at = to[to < self.ends[self.list_of[probes]]]
         return np.concatenate(xs), np.concatenate(ys)
 
-    def between(self, comp: np.ndarray, lead: np.ndarray, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Round 2: close pairs of different components, probed from outside each list's commonest one.
+    def strangers(self, comp: np.ndarray, lead: np.ndarray, gap: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of different components that fit, probed from outside each list's commonest one.
 
         Pairs whose differences ``gap`` from a common ``lead`` rule a link out are left out.
         """
@@ -439,14 +464,27 @@ class Lists:
         by = np.lexsort((-size, owner))
         common = comp[order[first[by[_starts([owner[by]])]]]]
         probes = np.flatnonzero(comp != common[self.list_of])
-        xs, ys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         work = np.cumsum((self.ends - self.starts)[self.list_of[probes]])
         for some in np.split(probes, np.flatnonzero(np.diff(work // ENGINE_ROWS)) + 1):
             x, y = self.window(some)
             apart = np.abs(gap[x] - gap[y]) > self.rule.differ(self.n[x] + self.n[y])
             other = (comp[x] != comp[y]) & ~((lead[x] == lead[y]) & apart)
             x, y = x[other], y[other]
-            ok = self.close(x, y)
+            ok = self.fits(x, y)
+            yield x[ok], y[ok]
+
+    def met(self, comp: np.ndarray, lead: np.ndarray, gap: np.ndarray) -> np.ndarray:
+        """Entries that are in a pair of ``strangers``."""
+        out = np.zeros(len(self.node), bool)
+        for x, y in self.strangers(comp, lead, gap):
+            out[x] = out[y] = True
+        return out
+
+    def between(self, comp: np.ndarray, lead: np.ndarray, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Round 2: pairs of ``strangers`` with close sketches, each in one list."""
+        xs, ys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for x, y in self.strangers(comp, lead, gap):
+            ok = self.alike(x, y, self.rule.differ(self.n[x] + self.n[y]))
             x, y = x[ok], y[ok]
             ok = self.first_of(x, y)
             xs.append(x[ok])
@@ -470,28 +508,52 @@ class Lists:
             yield x[ok], y[ok], sure[ok]
 
 
-def _entries(lists: DataFrame, classes: DataFrame, known: DataFrame | None, scratch: Scratch) -> DataFrame:
-    """Entries of the lists with sketches and what is ``known`` of a node, dealt by block pair, in order."""
+def _by_list(entries: DataFrame) -> DataFrame:
+    """Entries dealt by block pair, in order."""
+    return entries.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "node")
+
+
+def _met(entries: DataFrame, rule: Rule) -> DataFrame:
+    """Entries that meet one of another component which sizes, positions and answers allow to link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _runs(batches, ["token", "i", "j"]):
+            met = Lists(table, rule).met(*(table.column(c).to_numpy() for c in ("root", "lead", "gap")))
+            yield from table.filter(pa.array(met)).to_batches()
+
+    return _by_list(entries).mapInArrow(run, entries.schema)
+
+
+def _entries(lists: DataFrame, classes: DataFrame, rule: Rule, known: DataFrame | None, scratch: Scratch) -> DataFrame:
+    """Entries of the lists with sketches and what is ``known`` of a node, dealt by block pair, in order.
+
+    With the ``root`` of every node known, only the entries that meet another component get sketches.
+    """
     long = lists.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > LIST_ROWS)
     sketched = classes.select("node", F.col("brief").alias("bits"))
-    if known is not None:
-        sketched = classes.select("node", "bits", F.substring("prefix", 1, 8 * HEAD).alias("head"))
-        sketched = _maybe(sketched, known, ["node"], scratch).join(known, "node")
-    dealt = (
-        lists.join(long, "token", "left")
+    entries = (
+        lists.join(F.broadcast(long), "token", "left")  # at most one row for LIST_ROWS of the lists
         .withColumn("blocks", F.coalesce(F.ceil(F.col("rows") / LIST_ROWS), F.lit(1)).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .drop("rows")
     )
+
+    def dealt(entries: DataFrame) -> DataFrame:
+        return (
+            entries.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumn("i", F.least("block", "other"))
+            .withColumn("j", F.greatest("block", "other"))
+            .drop("blocks", "other")
+        )
+
+    if known is not None:
+        sketched = classes.select("node", "bits", F.substring("prefix", 1, 8 * HEAD).alias("head"))
+        sketched = _maybe(sketched, known, ["node"], scratch)
+        entries = entries.join(known, "node")
+        if "root" in known.columns:
+            return _by_list(_met(dealt(entries), rule).join(sketched, "node"))
     # Sketches join last: they move once.
-    entries = (
-        dealt.join(sketched, "node")
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("i", F.least("block", "other"))
-        .withColumn("j", F.greatest("block", "other"))
-        .drop("blocks", "other")
-    )
-    return entries.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "node")
+    return _by_list(dealt(entries.join(sketched, "node")))
 
 
 def candidate_pairs(
@@ -508,7 +570,7 @@ def candidate_pairs(
             pairs = np.unique(np.stack([a, b], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
-    return _entries(lists, classes, known, scratch).mapInArrow(run, "a long, b long").distinct()
+    return _entries(lists, classes, rule, known, scratch).mapInArrow(run, "a long, b long").distinct()
 
 
 def answer_pairs(lists: DataFrame, classes: DataFrame, rule: Rule, leads: DataFrame, scratch: Scratch) -> DataFrame:
@@ -522,7 +584,7 @@ def answer_pairs(lists: DataFrame, classes: DataFrame, rule: Rule, leads: DataFr
                     [pa.array(found.node[x]), pa.array(found.node[y]), pa.array(sure)], ["a", "b", "sure"]
                 )
 
-    return _entries(lists, classes, leads, scratch).mapInArrow(run, "a long, b long, sure boolean").distinct()
+    return _entries(lists, classes, rule, leads, scratch).mapInArrow(run, "a long, b long, sure boolean").distinct()
 
 
 # ------------------------------------------------------------------ verification
@@ -590,21 +652,28 @@ class Join:
         self.docs, self.rule, self.scratch = docs, rule, scratch
         self.ranks = shingle_ranks(docs, rule)
         self.rows = scratch.stored(sketches(docs, rule, self.ranks), "join-sketches")
+        self.classes = self.class_rows()
+        self.lists = scratch.stored(shared_lists(self.classes, rule), "join-lists")
+        self.seen = scratch.stored(candidate_pairs(self.lists, self.classes, rule, scratch), "join-first")
+        self.marked = scratch.stored(nodes_of(self.seen), "join-marked")
+        self.verified = self.compared(self.seen, self.marked)
+        self.found = self.verified.where("linked").select("a", "b", "gap")
+
+    def class_rows(self) -> DataFrame:
+        """(node, d, t, n, prefix, brief, bits), one row a node; sets that no other row may equal are read where they are."""
         named = self.rows.where("node is not null")
-        classes = named.groupBy("node").agg(
+        copied = named.groupBy("node").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("node")
+        flagged = _flagged(named, self.scratch.stored(copied, "join-copied"), ["node"], self.scratch)
+        copies = flagged.where("_maybe").groupBy("node").agg(
             F.min(F.struct("d", "t")).alias("rep"),
             F.first("n").alias("n"),
             F.first("prefix").alias("prefix"),
             F.first("brief").alias("brief"),
             F.first("bits").alias("bits"),
         )
-        classes = classes.select("node", "rep.d", "rep.t", "n", "prefix", "brief", "bits")
-        self.classes = scratch.stored(classes, "join-classes")
-        self.lists = scratch.stored(shared_lists(self.classes, rule), "join-lists")
-        self.seen = scratch.stored(candidate_pairs(self.lists, self.classes, rule, scratch), "join-first")
-        self.marked = scratch.stored(nodes_of(self.seen), "join-marked")
-        self.verified = self.compared(self.seen, self.marked)
-        self.found = self.verified.where("linked").select("a", "b", "gap")
+        copies = copies.select("node", "rep.d", "rep.t", "n", "prefix", "brief", "bits")
+        alone = flagged.where("not _maybe").select(copies.columns)
+        return alone.union(self.scratch.stored(copies, "join-classes"))
 
     def compared(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         """(a, b, gap, linked) of the ``pairs`` whose prefixes allow a link; ``nodes``: those of the pairs."""
