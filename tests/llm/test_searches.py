@@ -158,3 +158,20 @@ def test_length_is_the_candidates(spark):
     assert {r["query_id"] for r in near} == {50} and len(near) == 3
     top = sorted(map(tuple, topk_histogram.top_k(asked, frame, k=4).collect()))
     assert top == brute_top(rows, 4, lambda i: i % 50 == 0)
+
+
+def test_nearest_broadcasts_nothing(monkeypatch, spark):
+    """Spark sizes exploded rows and arrays too low: a join that it plans as a broadcast fills the driver."""
+    plans, stored = [], ann_tree.stored
+
+    def seen(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, label)
+
+    monkeypatch.setattr(ann_tree, "stored", seen)
+    x = np.random.default_rng(7).normal(size=(40, 4))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann_tree.search(rows.limit(5), rows, k=3)
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    assert got.count() == 15
+    assert len(plans) == 5 and not [p for p in plans if "Broadcast" in p]

@@ -172,6 +172,8 @@ def search(
     Rows with a null id, a vector that is null, zero, of another length than the
     candidates' commonest, or holding null or non-finite components take no part. Rows that
     repeat a query's id and vector are one query. Empty tables give an empty result.
+
+    No join here may be broadcast: Spark sizes arrays and exploded rows far too low.
     """
     spark = candidates.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
@@ -239,19 +241,21 @@ def search(
                 at, to = np.nonzero(near >= kth[:, None] - 1e-9)  # as many again as rounding may hide
                 yield pd.DataFrame({"q": q_ids[at], "c": c_ids[to], "score": cosine(q[at], c[to])})
 
-    scored = stocks.join(visitors, "leaf").mapInPandas(nearest, "q long, c long, score double")
+    scored = stocks.hint("merge").join(visitors, "leaf").mapInPandas(nearest, "q long, c long, score double")
     # A class's best k + 1 are enough for any query of it, whose own id may be among them.
     by_class = Window.partitionBy("q").orderBy(F.desc("score"), "c")
     best = scored.withColumn("at", F.row_number().over(by_class)).where(F.col("at") <= k + 1)
     best = stored(
-        best.join(classes.select("c", "ids"), "c").select("q", "score", F.explode("ids").alias("vec_id")), "ann-best"
+        best.hint("merge").join(classes.select("c", "ids"), "c").select("q", "score", F.explode("ids").alias("vec_id")),
+        "ann-best",
     )
     trimmed = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
     best = best.withColumn("at", F.row_number().over(trimmed)).where(F.col("at") <= k + 1)
-    named = wanted.join(asked, "v").select("q", F.col("id").alias("query_id"))
+    named = wanted.hint("merge").join(asked, "v").select("q", F.col("id").alias("query_id"))
     ranked = Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id")
     return (
-        named.join(best.drop("at"), "q")
+        named.hint("merge")
+        .join(best.drop("at"), "q")
         .where(F.col("vec_id") != F.col("query_id"))
         .withColumn("rank", F.row_number().over(ranked))
         .where(F.col("rank") <= k)
