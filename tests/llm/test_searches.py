@@ -175,3 +175,88 @@ def test_nearest_broadcasts_nothing(monkeypatch, spark):
     plans.append(got._jdf.queryExecution().executedPlan().toString())
     assert got.count() == 15
     assert len(plans) == 5 and not [p for p in plans if "Broadcast" in p]
+
+
+def shuffled_rows(plan):
+    """Mean bytes of a row in each shuffle of an executed plan."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return shuffled_rows(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return shuffled_rows(plan.plan())
+    got = [x for i in range(plan.children().size()) for x in shuffled_rows(plan.children().apply(i))]
+    if kind == "ShuffleExchangeExec":
+        size, rows = (plan.metrics().apply(x).value() for x in ("dataSize", "shuffleRecordsWritten"))
+        got.append(size / max(1, rows))
+    return got
+
+
+def test_no_row_holds_many_vectors(monkeypatch, spark):
+    """Blocks of many vectors in a row, thousands of rows an Arrow batch, fill an executor's memory."""
+    wide, stored = [], ann_tree.stored
+
+    def seen(df, label):
+        df.count()
+        if label == "ann-best":
+            df.collect()
+            wide.extend(shuffled_rows(df._jdf.queryExecution().executedPlan()))
+        return stored(df, label)
+
+    monkeypatch.setattr(ann_tree, "stored", seen)
+    x = np.random.default_rng(8).normal(size=(3000, 8))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    assert ann_tree.search(rows.where("vec_id < 400"), rows, k=3).count() == 1200
+    assert len(wide) >= 2 and max(wide) < 10 * 8 * 8
+
+
+def test_cells_cover_the_leaves():
+    x = ann_tree.unit(np.random.default_rng(9).normal(size=(900, 8)))
+    tree = ann_tree.fit_tree(np.concatenate([x, np.repeat(x[:1], 500, axis=0)]))
+    sample = np.concatenate([x, np.repeat(x[:1], 500, axis=0)])
+    cells = ann_tree.dealt_cells(tree, sample, 14000, 1500)
+    size = np.bincount(tree.descend(sample), minlength=tree.leaves) * 10
+    load = np.zeros(cells[-1][-1] + 1)
+    for own, n in zip(cells, size):
+        load[list(own)] += n / len(own)
+    assert load.min() > 0 and load.max() <= 1500
+    assert sorted({i for own in cells for i in own}) == list(range(len(load)))
+    assert max(len(own) for own in cells) == -(-size.max() // 1500)
+    assert ann_tree.dealt_cells(tree, sample, 14000, 10**6) == [range(0, 1)] * tree.leaves
+
+
+def test_search_in_many_cells(monkeypatch, spark):
+    """Cells of a few vectors, also parts of a leaf that can't be split, give what one cell gives."""
+    rng = np.random.default_rng(10)
+    x = [v.tolist() for v in rng.normal(size=(300, 4))] + [[float(i), 0.0, -float(i), 0.0] for i in range(1, 200)]
+    rows = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>")
+    one, many = [], []
+    for size, out in ((1 << 20, one), (700, many)):
+        monkeypatch.setattr(ann_tree, "CELL_BYTES", size)
+        out += sorted(map(tuple, ann_tree.search(rows.where("vec_id % 20 = 0"), rows, k=5).collect()))
+    assert len(one) == 25 * 5 and one == many
+
+
+@pytest.mark.parametrize("kind", ["f4", "f8"])
+def test_best_of_a_cell(monkeypatch, kind):
+    monkeypatch.setattr(ann_tree, "BLOCK", 16)
+    monkeypatch.setattr(ann_tree, "PAIR_BYTES", 400)
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(150, 5)).astype(kind)
+    x[50:90] = x[50]  # more equal scores than are kept
+    x[90:110] = x[50] * 2
+
+    def block(numbers):
+        raw = x[numbers]
+        return ann_tree.Block(np.asarray(numbers), raw, ann_tree.unit(raw.astype(float)).astype(np.float32))
+
+    order = rng.permutation(150)
+    stocks = {0: [block(order[:3])], 1: [block(order[3:60]), block(order[60:100])], 2: [block(order[100:])]}
+    visited = rng.random((40, 3)) < 0.7
+    visited[0] = False
+    best = ann_tree.best_of(block(np.arange(30, 70)), visited, {leaf: list(p) for leaf, p in stocks.items()}, 6)
+    for i, q in enumerate(range(30, 70)):
+        there = [c for leaf in range(3) if visited[i, leaf] for p in stocks[leaf] for c in p.number.tolist()]
+        score = ann_tree.cosine(np.repeat(x[q : q + 1], len(there), axis=0).astype(float), x[there].astype(float))
+        want = sorted(zip((-score).tolist(), there))[:6]
+        got = [(-s, c) for s, c in zip(best.score[i].tolist(), best.number[i].tolist()) if s > -np.inf]
+        assert got == want

@@ -2,8 +2,9 @@
 
 The tree is fitted on a bounded sample (``sample_rows``) of distinct unit vectors; its
 size is bounded by the sample, so it goes to the tasks with the code. Every row is
-then indexed: each distinct vector walks down to one leaf, and the leaves are
-stored as blocks of vectors.
+then indexed: each distinct vector walks down to one leaf. Runs of leaves make cells of
+a bounded size; a query is sent to the cells of the leaves that it visits, where one task
+holds the vectors and lets the queries pass.
 
 A query keeps a priority queue of branches by their centre's distance. It opens
 the nearest, pushes its children, and goes on until it has visited ``visits`` leaves.
@@ -24,21 +25,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitflow.llm.common import bounded_sample, stored
-from visitflow.llm.vectors import common_length, grouped, matrix, usable
+from visitflow.llm.common import bounded_sample, mix64, stored
+from visitflow.llm.vectors import common_length, grouped, usable
 
 SAMPLE_ROWS = 20_000
 BRANCHES = 8
 LEAF_SAMPLE = 64
 TARGET_RECALL = 0.97
 CALIBRATION_QUERIES = 256
-#: Vectors in a block of a leaf, and queries in a block of a leaf's visitors.
+#: Queries, and vectors of a leaf, that are multiplied at once.
 BLOCK = 1024
-#: Parts that a leaf's vectors are dealt to, so that a full leaf isn't one task's.
-PARTS = 4
+#: A cell's vectors, as they are and as unit vectors: what a task holds.
+CELL_BYTES = 128 << 20
+#: Cells for each core, if there are vectors enough.
+CELLS_A_TASK = 4
+#: Vectors of the pairs that are scored in double precision at once, on either side.
+PAIR_BYTES = 4 << 20
 
 
 def _scaled(x: np.ndarray) -> np.ndarray:
@@ -153,6 +159,132 @@ def calibrate(
     return needed[min(len(needed) - 1, int(np.ceil(target * len(needed))) - 1)]
 
 
+def dealt_cells(tree: Tree, sample: np.ndarray, rows: int, most: int) -> list[range]:
+    """The cells of each leaf, which hold about ``most`` rows: runs of leaves, or a part of one larger leaf.
+
+    How many of the table's ``rows`` a leaf has is estimated from the sample.
+    """
+    expected = np.bincount(tree.descend(sample), minlength=tree.leaves) * (rows / len(sample))
+    cells, at, load = [], 0, 0.0
+    for n in expected.tolist():
+        if load and load + n > most:
+            at, load = at + 1, 0.0
+        parts = max(1, int(np.ceil(n / most)))
+        cells.append(range(at, at + parts))
+        at, load = (at + parts, 0.0) if parts > 1 else (at, load + n)
+    return cells
+
+
+def _coded(rows: DataFrame, kind: str, most: int | None = None) -> DataFrame:
+    """(id, b): ``v``'s components as bytes of ``kind``; of a batch's rows with equal vectors the ``most`` smallest ids."""
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column("v").flatten().to_numpy(zero_copy_only=False).astype(kind) + 0.0  # no negative zeros
+                x = x.reshape(batch.num_rows, -1)
+                frame = pd.DataFrame({"id": batch.column("id").to_numpy(), "b": [y.tobytes() for y in x]})
+                frame = frame.drop_duplicates().sort_values("id")
+                if most is not None:
+                    frame = frame[frame.groupby("b").cumcount() < most]
+                columns = [pa.array(frame["id"], pa.int64()), pa.array(frame["b"], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "b"])
+
+    return rows.select("id", "v").mapInArrow(code, "id long, b binary")
+
+
+def _decoded(column: pd.Series, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column), kind).reshape(len(column), -1)
+
+
+class Best:
+    """The ``most`` best candidates of each query so far, by score and then by number."""
+
+    def __init__(self, queries: int, most: int):
+        self.score = np.full((queries, most), -np.inf)
+        self.number = np.full((queries, most), np.iinfo(np.int64).max)
+
+    def add(self, at: np.ndarray, number: np.ndarray, score: np.ndarray) -> None:
+        rows, place = np.unique(at, return_inverse=True)
+        most = self.score.shape[1]
+        place = np.concatenate([np.repeat(np.arange(len(rows)), most), place])
+        score = np.concatenate([self.score[rows].ravel(), score])
+        number = np.concatenate([self.number[rows].ravel(), number])
+        order = np.lexsort((number, -score, place))
+        place = place[order]
+        first = order[np.arange(len(place)) - np.searchsorted(place, place) < most]
+        self.score[rows] = score[first].reshape(-1, most)
+        self.number[rows] = number[first].reshape(-1, most)
+
+    def offer(self, at: np.ndarray, q: Block, c: Block) -> None:
+        """Take what is better among the candidates ``c`` for ``q``, which are the queries ``at``.
+
+        Products in single precision tell which pairs may be; these are scored in double precision.
+        """
+        most, dim = self.score.shape[1], q.raw.shape[1]
+        slack = np.float32((dim + 16) * 2.0**-24)  # bounds the rounding of a product of unit vectors
+        near = q.unit @ c.unit.T
+        least = self.score[at, -1].astype(np.float32) - slack
+        hot = np.flatnonzero(near.max(axis=1) >= least)
+        if not len(hot):
+            return
+        near, least = near[hot], least[hot]
+        passed = near >= least[:, None]
+        full = np.flatnonzero(np.count_nonzero(passed, axis=1) > most)
+        if len(full):
+            some = near[full]
+            passed[full] = some >= np.maximum(least[full], np.partition(some, -most, axis=1)[:, -most] - 2 * slack)[:, None]
+        of, to = np.nonzero(passed)
+        of = hot[of]
+        step = max(1, PAIR_BYTES // (8 * dim))
+        for i in range(0, len(of), step):
+            x, y = of[i : i + step], to[i : i + step]
+            self.add(at[x], c.number[y], cosine(q.raw[x].astype(np.float64), c.raw[y].astype(np.float64)))
+
+
+@dataclass
+class Block:
+    """Vectors by number, as they are and as unit vectors in single precision."""
+
+    number: np.ndarray
+    raw: np.ndarray
+    unit: np.ndarray
+
+    @classmethod
+    def of(cls, piece: pd.DataFrame, kind: str) -> Block:
+        raw = _decoded(piece["b"], kind)
+        return cls(piece["key"].to_numpy(np.int64), raw, unit(raw.astype(np.float64)).astype(np.float32))
+
+    def __getitem__(self, at) -> Block:
+        return Block(self.number[at], self.raw[at], self.unit[at])
+
+    @staticmethod
+    def joined(parts: list[Block]) -> Block:
+        return Block(*(np.concatenate(x) for x in zip(*((p.number, p.raw, p.unit) for p in parts))))
+
+
+def best_of(queries: Block, visited: np.ndarray, stocks: dict[int, list[Block]], most: int) -> Best:
+    """The ``most`` best candidates of each query, in those leaves of ``stocks`` that it visits.
+
+    ``visited``: by query and leaf. ``stocks``: each leaf's vectors, in parts, which are joined here.
+    """
+    best = Best(len(queries.number), most)
+    for leaf, parts in stocks.items():
+        if len(parts) > 1:
+            parts[:] = [Block.joined(parts)]
+        who = np.flatnonzero(visited[:, leaf])
+        for i in range(0, len(who), BLOCK):
+            at = who[i : i + BLOCK]
+            asked = queries[at]
+            for j in range(0, len(parts[0].number), BLOCK):
+                best.offer(at, asked, parts[0][j : j + BLOCK])
+    return best
+
+
+def _is_float(rows: DataFrame, vector_col: str) -> bool:
+    return rows.schema[vector_col].dataType.simpleString() == "array<float>"
+
+
 def search(
     queries: DataFrame,
     candidates: DataFrame,
@@ -179,79 +311,84 @@ def search(
     schema = "query_id long, rank int, vec_id long, score double"
     nonzero = F.exists("v", lambda x: x != 0)
     length = common_length(candidates, id_col, vector_col)
-    rows = usable(candidates, id_col, vector_col, length).where(nonzero)
+    kind = "f4" if _is_float(candidates, vector_col) and _is_float(queries, vector_col) else "f8"
+    rows = _coded(usable(candidates, id_col, vector_col, length).where(nonzero), kind, k + 1)
     # Classes of equal vectors with their k + 1 smallest ids; the window keeps no more.
-    first = Window.partitionBy("v").orderBy("id")
+    first = Window.partitionBy("b").orderBy("id")
     classes = stored(
-        rows.distinct()
-        .withColumn("at", F.row_number().over(first))
+        rows.withColumn("at", F.dense_rank().over(first))
         .where(F.col("at") <= k + 1)
-        .groupBy("v")
-        .agg(F.sort_array(F.collect_list("id")).alias("ids"))
+        .groupBy("b")
+        .agg(F.sort_array(F.collect_set("id")).alias("ids"))
         .withColumn("c", F.element_at("ids", 1)),
         "ann-classes",
     )
-    wanted = stored(usable(queries, id_col, vector_col, length).where(nonzero).distinct(), "ann-queries")
-    asked = stored(wanted.groupBy("v").agg(F.min("id").alias("q")), "ann-asked")
-    drawn = bounded_sample(classes, sample_rows, "c").select("v").toPandas()
+    wanted = _coded(usable(queries, id_col, vector_col, length).where(nonzero), kind)
+    wanted = stored(wanted.distinct(), "ann-queries")
+    asked = stored(wanted.groupBy("b").agg(F.min("id").alias("q")), "ann-asked")
+    drawn = bounded_sample(classes, sample_rows, "c").select("b").toPandas()
     if not len(drawn):
         return spark.createDataFrame([], schema)
-    held, sample = set_aside(unit(matrix(drawn["v"])), CALIBRATION_QUERIES)
+    held, sample = set_aside(unit(_decoded(drawn["b"], kind).astype(np.float64)), CALIBRATION_QUERIES)
     tree = fit_tree(sample, seed=seed)
     visits = calibrate(tree, sample, k, target_recall, CALIBRATION_QUERIES, held)
+    total, tasks = classes.count(), spark.sparkContext.defaultParallelism
+    leaves, width = tree.leaves, sample.shape[1] * (np.dtype(kind).itemsize + 4)
+    cells = dealt_cells(tree, sample, total, max(1, min(CELL_BYTES // width, -(-total // (CELLS_A_TASK * tasks)))))
+    parts = np.array([len(x) for x in cells])
+    start = np.array([x[0] for x in cells])
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                yield batch[["c", "v"]].assign(leaf=tree.descend(unit(matrix(batch["v"]))))
+                leaf = tree.descend(unit(_decoded(batch["b"], kind).astype(np.float64)))
+                mixed = mix64(batch["key"].to_numpy(np.int64).view(np.uint64))
+                part = (mixed % parts[leaf].astype(np.uint64)).astype(np.int64)
+                yield batch[["key", "b"]].assign(cell=start[leaf] + part, leaf=leaf)
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                leaves = [tree.visit(q, visits) for q in unit(matrix(batch["v"]))]
-                yield batch[["q", "v"]].assign(leaf=leaves).explode("leaf").astype({"leaf": "int64"})
-
-    def pack(name: str):
-        def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for (leaf,), piece in grouped(batches, ["leaf"]):
-                for at in range(0, len(piece), BLOCK):
-                    part = piece.iloc[at : at + BLOCK]
-                    ids = part[name].to_numpy(np.int64).tobytes()
-                    yield pd.DataFrame({"leaf": [leaf], f"{name}_ids": [ids], f"{name}_data": [matrix(part["v"]).tobytes()]})
-
-        return build
-
-    dim = sample.shape[1]
-    leafed = classes.select("c", "v").mapInPandas(index, "c long, v array<double>, leaf long")
-    leafed = leafed.withColumn("part", F.pmod(F.xxhash64("c"), F.lit(PARTS)))
-    stocks = leafed.repartition("leaf", "part").sortWithinPartitions("leaf").drop("part")
-    stocks = stocks.mapInPandas(pack("c"), "leaf long, c_ids binary, c_data binary")
-    routed = asked.mapInPandas(route, "q long, v array<double>, leaf long")
-    visitors = routed.repartition("leaf").sortWithinPartitions("leaf")
-    visitors = visitors.mapInPandas(pack("q"), "leaf long, q_ids binary, q_data binary")
+                into, visited = [], np.zeros((len(batch), leaves), bool)
+                for i, q in enumerate(unit(_decoded(batch["b"], kind).astype(np.float64))):
+                    found = tree.visit(q, visits)
+                    visited[i, found] = True
+                    into.append(sorted({cell for leaf in found for cell in cells[leaf]}))
+                packed = [x.tobytes() for x in np.packbits(visited, axis=1)]
+                yield batch[["key", "b"]].assign(cells=into, visited=packed)
 
     def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                q_ids, c_ids = np.frombuffer(row.q_ids, np.int64), np.frombuffer(row.c_ids, np.int64)
-                q = np.frombuffer(row.q_data, np.float64).reshape(-1, dim)
-                c = np.frombuffer(row.c_data, np.float64).reshape(-1, dim)
-                near = unit(q) @ unit(c).T
-                kth = np.partition(near, -(k + 1), axis=1)[:, -(k + 1)] if len(c) > k + 1 else np.full(len(q), -2.0)
-                at, to = np.nonzero(near >= kth[:, None] - 1e-9)  # as many again as rounding may hide
-                yield pd.DataFrame({"q": q_ids[at], "c": c_ids[to], "score": cosine(q[at], c[to])})
-
-    scored = stocks.hint("merge").join(visitors, "leaf").mapInPandas(nearest, "q long, c long, score double")
+        held, stocks = None, {}
+        for (cell, asks, leaf), piece in grouped(batches, ["cell", "asks", "leaf"]):
+            if cell != held:
+                held, stocks = cell, {}
+            if not asks:
+                stocks.setdefault(leaf, []).append(Block.of(piece, kind))
+                continue
+            visited = np.unpackbits(_decoded(piece["visited"], "u1"), axis=1, count=leaves).view(bool)
+            asked = Block.of(piece, kind)
+            best = best_of(asked, visited, stocks, k + 1)
+            at, to = np.nonzero(best.score > -np.inf)
+            yield pd.DataFrame({"q": asked.number[at], "c": best.number[at, to], "score": best.score[at, to]})
+
+    # A cell's candidates come first, by leaf; its queries follow, one vector a row, and meet them in the task.
+    leafed = classes.select(F.col("c").alias("key"), "b").mapInPandas(index, "key long, b binary, cell long, leaf long")
+    leafed = leafed.withColumn("asks", F.lit(False)).withColumn("visited", F.lit(None).cast("binary"))
+    routed = asked.select(F.col("q").alias("key"), "b").repartition(CELLS_A_TASK * tasks)
+    routed = routed.mapInPandas(route, "key long, b binary, cells array<long>, visited binary")
+    routed = routed.select("key", "b", F.explode("cells").alias("cell"), "visited")
+    routed = routed.withColumn("asks", F.lit(True)).withColumn("leaf", F.lit(-1).cast("long"))
+    met = leafed.unionByName(routed).repartition(2 * (cells[-1][-1] + 1), "cell")
+    met = met.sortWithinPartitions("cell", "asks", "leaf")
+    scored = met.mapInPandas(nearest, "q long, c long, score double")
     # A class's best k + 1 are enough for any query of it, whose own id may be among them.
     by_class = Window.partitionBy("q").orderBy(F.desc("score"), "c")
     best = scored.withColumn("at", F.row_number().over(by_class)).where(F.col("at") <= k + 1)
-    best = stored(
-        best.hint("merge").join(classes.select("c", "ids"), "c").select("q", "score", F.explode("ids").alias("vec_id")),
-        "ann-best",
-    )
+    best = best.hint("merge").join(classes.select("c", "ids"), "c")
+    best = stored(best.select("q", "score", F.explode("ids").alias("vec_id")), "ann-best")
     trimmed = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
     best = best.withColumn("at", F.row_number().over(trimmed)).where(F.col("at") <= k + 1)
-    named = wanted.hint("merge").join(asked, "v").select("q", F.col("id").alias("query_id"))
+    named = wanted.hint("merge").join(asked, "b").select("q", F.col("id").alias("query_id"))
     ranked = Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id")
     return (
         named.hint("merge")
